@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -18,13 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@functools.cache
+def _own_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="spark-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor sees, from spark.checkpoint.dir; a temporary one where that is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder every executor sees, from spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
 
 
 def cut(df: DataFrame) -> DataFrame:
