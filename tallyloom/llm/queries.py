@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import rules, secrets, shards
+from tallyloom.llm import language, maintext, pieces, rules, secrets, shards
 from tallyloom.llm.common import table
 
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op2_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.listing(table(spark, sf_dir, "documents"))
 
 
+def op3_output_code_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
+def op4_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), pieces.read_model(PIECE_MODEL))
+
+
 def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -20,5 +33,9 @@ def op7_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.measured(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_trigram_secret_scan, op6_hash_tree_shards, op7_rule_cascade)}
+def op8_text_to_tag_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op2_trigram_secret_scan, op3_output_code_language, op4_piece_round_trip, op6_hash_tree_shards, op7_rule_cascade, op8_text_to_tag_main_text)}
 ORACLES: dict[str, str] = {}
