@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import language, maintext, pieces, rules, secrets, shards
+from tallyloom.llm import language, leaks, maintext, pieces, quotes, rules, secrets, shards
 from tallyloom.llm.common import table
 
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.linked(table(spark, sf_dir, "conversations"))
+
+
 def op2_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.listing(table(spark, sf_dir, "documents"))
 
@@ -37,5 +41,21 @@ def op8_text_to_tag_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintext.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_trigram_secret_scan, op3_output_code_language, op4_piece_round_trip, op6_hash_tree_shards, op7_rule_cascade, op8_text_to_tag_main_text)}
+def op10_pigeonhole_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quotation_links,
+        op2_trigram_secret_scan,
+        op3_output_code_language,
+        op4_piece_round_trip,
+        op6_hash_tree_shards,
+        op7_rule_cascade,
+        op8_text_to_tag_main_text,
+        op10_pigeonhole_leaks,
+    )
+}
 ORACLES: dict[str, str] = {}
