@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import language, leaks, maintext, pieces, quotes, rules, secrets, shards
+from tallyloom.llm import jaccard, language, leaks, maintext, pieces, quotes, rules, secrets, shards
 from tallyloom.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op4_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), pieces.read_model(PIECE_MODEL))
 
 
+def op5_tiled_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
         op2_trigram_secret_scan,
         op3_output_code_language,
         op4_piece_round_trip,
+        op5_tiled_jaccard_join,
         op6_hash_tree_shards,
         op7_rule_cascade,
         op8_text_to_tag_main_text,
