@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import jaccard, language, leaks, maintext, pieces, quotes, rules, secrets, shards
+from tallyloom.llm import jaccard, language, leaks, maintext, pieces, quotes, repeats, rules, secrets, shards
 from tallyloom.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op8_text_to_tag_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintext.extract(table(spark, sf_dir, "pages"))
 
 
+def op9_sparse_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_pigeonhole_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -60,6 +64,7 @@ QUERIES = {
         op6_hash_tree_shards,
         op7_rule_cascade,
         op8_text_to_tag_main_text,
+        op9_sparse_suffix_repeats,
         op10_pigeonhole_leaks,
     )
 }

@@ -68,10 +68,11 @@ def windows(words: np.ndarray, size: int) -> np.ndarray:
     n = len(words) - size + 1
     if n < 1:
         return np.zeros(0, np.uint64)
-    total = np.full(n, size, np.uint64)
-    for j, factor in enumerate(_powers_of(0xD6E8FEB86659FD93, size)):
-        total += words[j : j + n] * factor
-    return mix(total)
+    if n > _STEP:
+        return np.concatenate([windows(words[at : at + _STEP + size - 1], size) for at in range(0, n, _STEP)])
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * _powers_of(_BASE, len(words)), out=sums[1:])
+    return mix((sums[size:] - sums[:-size]) * _powers_of(_INVERSE, n) + np.uint64(size))
 
 
 def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
