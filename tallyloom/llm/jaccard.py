@@ -68,12 +68,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [shingle_set(t.as_py()) for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"),
+                *(batch.column(c) for c in ("doc_id", "text_hash")),
                 pa.array([len(s) for s in found], pa.int64()),
                 pa.array([digest(s) if len(s) else None for s in found], pa.int64()),
                 pa.array([signature(s) if len(s) else None for s in found], pa.binary()),
             ],
-            names=["doc_id", "n", "k", "sig"],
+            names=["doc_id", "text_hash", "n", "k", "sig"],
         )
 
 
@@ -326,8 +326,10 @@ def _large(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sets, roots): doc_id, n, k of every document; root of every class that is linked to a lesser one."""
-    sets = cut(docs.select("doc_id", "text").mapInArrow(_sets, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, k long, sig binary"))
+    """(sets, roots): doc_id, text_hash, n, k of every document; root of every class that is linked to a lesser one."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    sets = cut(rows.mapInArrow(_sets, f"doc_id {kind}, text_hash long, n long, k long, sig binary"))
     least = sets.filter("k is not null and doc_id is not null").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"))
     classes = cut(least.join(sets.filter("sig is not null").select("doc_id", "k", "sig"), ["doc_id", "k"]).dropDuplicates(["k"]))
     tiled = cut(tiles(docs, common_tokens(docs)))
@@ -349,14 +351,38 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sets, components(first.union(second))
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n and component_id of every document."""
+    sets, roots = linked_classes(docs)
+    placed = sets.join(roots, "k", "left").select("doc_id", "text_hash", "n", F.coalesce("root", "k").alias("root"))
+    least = placed.filter("root is not null and doc_id is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
+    return placed.join(least, "root", "left").select("doc_id", "text_hash", "n", component.alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document.
 
     component_id is the smallest doc_id that links lead to. Documents without words or text link with nothing and are
     their own component. A null doc_id is never linked and has a null component. Repeated rows are each returned.
     """
-    sets, roots = linked_classes(docs)
-    placed = sets.join(roots, "k", "left").select("doc_id", "n", F.coalesce("root", "k").alias("root"))
-    least = placed.filter("root is not null and doc_id is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
-    return placed.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return _placed(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """docs with one document of each component, the one with the smallest doc_id, its columns as they are.
+
+    Documents that link with nothing stay, empty ones and those without doc_id too. Of rows that repeat a doc_id and a
+    text one stays. The rows to leave out are broadcast while they are few enough, else joined by a shuffle.
+    """
+    placed = cut(_placed(docs).filter("doc_id is not null").select("doc_id", "text_hash", "component_id"))
+    gone = placed.filter("component_id <> doc_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    again = placed.filter("component_id = doc_id").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).count().filter("count > 1")
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    kept = docs.join(_small(cut(gone)), same, "left_anti")
+    again = cut(again.drop("count"))
+    if again.isEmpty():
+        return kept
+    hashed = kept.withColumn("_text", F.xxhash64("text"))
+    single = hashed.join(_small(again), same, "left_semi").dropDuplicates(["doc_id", "_text"]).drop("_text")
+    return kept.join(_small(again), same, "left_anti").unionByName(single)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tallyloom.llm import jaccard, language, leaks, maintext, pieces, quotes, repeats, rules, secrets, shards
 from tallyloom.llm.common import table
 
@@ -53,6 +54,10 @@ def op10_pigeonhole_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -66,6 +71,7 @@ QUERIES = {
         op8_text_to_tag_main_text,
         op9_sparse_suffix_repeats,
         op10_pigeonhole_leaks,
+        pipeline,
     )
 }
 ORACLES: dict[str, str] = {}
