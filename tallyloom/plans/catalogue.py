@@ -1,4 +1,583 @@
-"""Registered queries of the reference's operators and their SQL."""
+"""Registered queries of the tool's operators, each over whole tables, and DuckDB SQL for the same rows.
 
-QUERIES: dict = {}
+Lists come out as text joined by commas or bars, instants as text, so that both engines show them alike.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyloom.functions import periods, text
+from tallyloom.operators import dossier, layers, membership, timeline
+from tallyloom.plans import analogue
+from tallyloom.sources.tables import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+#: SQL of the derived star, for the queries that start from it.
+STAR = r"""
+WITH sold AS (SELECT regexp_replace(lower(p_name), '[^a-z]', '', 'g') AS surname, * FROM lineitem JOIN part ON l_partkey = p_partkey),
+frq AS (SELECT surname, year(l_shipdate)::INT AS year, count(*)::INT AS freq FROM sold GROUP BY ALL),
+kde AS (SELECT * FROM frq WHERE freq >= (SELECT quantile_disc(freq, 0.95) FROM frq)),
+known AS (SELECT DISTINCT regexp_replace(lower(p_name), '[^a-z]', '', 'g') AS surname FROM part),
+inputs AS (SELECT DISTINCT p_name AS input FROM part UNION ALL SELECT DISTINCT ' ' || upper(replace(p_name, ' ', ''' ')) || ' 2' FROM part
+  UNION ALL SELECT unnest(['', '''', '12 3', 'O''Neil', 'zzz'])),
+forms AS (SELECT input, regexp_replace(lower(input), '[^a-z'']', '', 'g') AS form FROM inputs),
+probes AS (SELECT *, replace(form, '''', '') AS surname FROM forms),
+kept AS (SELECT surname, string_agg(year::VARCHAR, ',' ORDER BY year) AS years FROM kde WHERE NOT coalesce(year IN (0, 1996, 1998), false) GROUP BY surname),
+classed AS (SELECT p.*, k.years, CASE WHEN form = '' THEN 'empty' WHEN k.years IS NOT NULL THEN 'found'
+  WHEN p.surname IN (SELECT surname FROM kde) OR p.surname IN (SELECT surname FROM known) THEN 'db' ELSE 'none' END AS status
+  FROM probes p LEFT JOIN kept k ON p.surname = k.surname),
+axis AS (SELECT unnest(range(1994, 2002))::INT AS year),
+vectors AS (SELECT surname, string_agg(coalesce(freq, 0)::VARCHAR, ',' ORDER BY year) AS freqs
+  FROM (SELECT DISTINCT surname FROM frq) CROSS JOIN axis LEFT JOIN frq USING (surname, year) GROUP BY surname),
+place AS (SELECT DISTINCT s.surname, upper(r_name) AS regcnty, n_name AS parish, 'E' || n_nationkey AS msoa11cd FROM sold s JOIN supplier ON l_suppkey = s_suppkey
+  JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+prio AS (SELECT surname, o_orderpriority FROM sold JOIN orders ON l_orderkey = o_orderkey)
+"""
+TITLE = r"""array_to_string(list_transform(regexp_extract_all(lower({0}), '[a-z]+|[^a-z]+'), lambda w: upper(w[1]) || w[2:]), '')"""
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def joined(array: Column | str, by: str = ",") -> Column:
+    return F.array_join(F.col(array) if isinstance(array, str) else array, by)
+
+
+def shown(ts: Column | str) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+
+
+def instants(array: Column) -> Column:
+    return joined(F.transform(array, shown))
+
+
+def events(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").withColumn("ts", F.date_trunc("SECOND", F.col("ts").cast("timestamp")))
+
+
+def order_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with their dates and the sorted dates and quantities of their items."""
+    items = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("timestamp").alias("t"), "l_linenumber", "l_quantity")
+    track = F.sort_array(F.collect_list(F.struct("t", "l_linenumber", "l_quantity")))
+    tracks = items.groupBy("l_orderkey").agg(track.alias("track"))
+    orders = table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    return orders.join(tracks, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        "o_orderkey", "o_orderdate", F.transform("track", lambda x: x["t"]).alias("times"), F.transform("track", lambda x: x["l_quantity"]).alias("points")
+    )
+
+
+# --- names, membership, dossier ---------------------------------------------------------------------------------
+
+
+@query(STAR + f"""SELECT input, status, CASE WHEN status = 'found' THEN {TITLE.format('form')} ELSE status END AS display,
+  CASE WHEN status = 'found' THEN years END AS years, CASE WHEN status = 'found' THEN freqs END AS freqs FROM classed LEFT JOIN vectors USING (surname)""")
+def dossier_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    freq = analogue.frequencies(spark, sf)
+    names = table(spark, sf, "part").select(text.name_key(text.name_form(F.col("p_name"))).alias("surname")).distinct()
+    probes = membership.prepared(analogue.probes(spark, sf))
+    rows = membership.classify(probes, analogue.thresholded(freq), names, list(analogue.EXCLUDED))
+    rows = rows.join(dossier.year_vector(freq, list(analogue.AXIS)), "surname", "left")
+    found = F.col("status") == "found"
+    return rows.select(
+        "input", "status", F.when(found, text.title_case(F.col("form"))).otherwise(F.col("status")).alias("display"),
+        F.when(found, joined("years")).alias("years"), F.when(found, joined("freqs")).alias("freqs"),
+    )
+
+
+@query(STAR + "SELECT input, form, surname FROM probes")
+def normalise_name(spark: SparkSession, sf: str) -> DataFrame:
+    return membership.prepared(analogue.probes(spark, sf))
+
+
+@query(f"SELECT c_custkey, {TITLE.format('c_name || chr(39) || c_mktsegment')} AS title FROM customer")
+def title_case(spark: SparkSession, sf: str) -> DataFrame:
+    name = F.concat("c_name", F.lit("'"), "c_mktsegment")
+    return table(spark, sf, "customer").select("c_custkey", text.title_case(name).alias("title"))
+
+
+@query(STAR + "SELECT input, surname, status FROM classed")
+def classify_probes(spark: SparkSession, sf: str) -> DataFrame:
+    freq = analogue.frequencies(spark, sf)
+    probes = membership.prepared(analogue.probes(spark, sf))
+    names = table(spark, sf, "part").select(text.name_key(text.name_form(F.col("p_name"))).alias("surname"))
+    return membership.classify(probes, analogue.thresholded(freq), names, list(analogue.EXCLUDED)).select("input", "surname", "status")
+
+
+@query(STAR + "SELECT surname, freqs FROM vectors")
+def year_vector(spark: SparkSession, sf: str) -> DataFrame:
+    return dossier.year_vector(analogue.frequencies(spark, sf), list(analogue.AXIS)).withColumn("freqs", joined("freqs"))
+
+
+@query(STAR + """SELECT surname, string_agg(coalesce(freq, 0)::VARCHAR, ',' ORDER BY year) FILTER (year < 1997) AS early,
+  string_agg(coalesce(freq, 0)::VARCHAR, ',' ORDER BY year) FILTER (year >= 1997) AS late
+  FROM (SELECT DISTINCT surname FROM frq) CROSS JOIN axis LEFT JOIN frq USING (surname, year) GROUP BY surname""")
+def vector_split(spark: SparkSession, sf: str) -> DataFrame:
+    rows = dossier.year_vector(analogue.frequencies(spark, sf), list(analogue.AXIS))
+    early, late = dossier.split_vector(F.col("freqs"), 3)
+    return rows.select("surname", joined(early).alias("early"), joined(late).alias("late"))
+
+
+@query(STAR + "SELECT surname, year::VARCHAR AS year, coalesce(freq, 0) AS freq FROM (SELECT DISTINCT surname FROM frq) CROSS JOIN axis LEFT JOIN frq USING (surname, year)")
+def labelled_years(spark: SparkSession, sf: str) -> DataFrame:
+    rows = dossier.year_vector(analogue.frequencies(spark, sf), list(analogue.AXIS))
+    labels = F.array(*[F.lit(str(y)) for y in analogue.AXIS])
+    return rows.select("surname", F.inline(F.arrays_zip(labels.alias("year"), F.col("freqs").alias("freq"))))
+
+
+@query(STAR + "SELECT surname, years FROM kept")
+def kept_years(spark: SparkSession, sf: str) -> DataFrame:
+    kde = analogue.thresholded(analogue.frequencies(spark, sf))
+    return membership.kept_years(kde, list(analogue.EXCLUDED)).withColumn("years", joined("years"))
+
+
+@query("SELECT p_partkey, nullif(p_size % 5, 0) AS kind FROM part WHERE NOT coalesce(nullif(p_size % 5, 0) IN (1, 3), false)")
+def nulls_kept_not_in(spark: SparkSession, sf: str) -> DataFrame:
+    kind = F.nullif(F.col("p_size") % 5, F.lit(0))
+    return table(spark, sf, "part").select("p_partkey", kind.alias("kind")).filter(text.not_in(F.col("kind"), [1, 3]))
+
+
+@query(STAR + """SELECT surname, coalesce(string_agg(forename, '|' ORDER BY forename) FILTER (sex = 'F'), '') AS female,
+  coalesce(string_agg(forename, '|' ORDER BY forename) FILTER (sex = 'M'), '') AS male
+  FROM (SELECT DISTINCT surname, p_brand AS forename, CASE l_returnflag WHEN 'R' THEN 'F' WHEN 'A' THEN 'M' END AS sex FROM sold) GROUP BY surname""")
+def forenames_by_sex(spark: SparkSession, sf: str) -> DataFrame:
+    sex = F.when(F.col("l_returnflag") == "R", "F").when(F.col("l_returnflag") == "A", "M")
+    names = analogue.sales(spark, sf, "p_brand", "l_returnflag").select("surname", F.col("p_brand").alias("forename"), sex.alias("sex")).distinct()
+    return dossier.forenames(names).select("surname", joined("female", "|").alias("female"), joined("male", "|").alias("male"))
+
+
+@query(STAR + f"""SELECT surname, string_agg(pair, '|' ORDER BY pair) AS places FROM (SELECT surname, pair, row_number() OVER (PARTITION BY surname ORDER BY d, parish) AS k
+  FROM (SELECT DISTINCT surname, {TITLE.format('regcnty')} AS d, parish, d || '/' || parish AS pair FROM place)) WHERE k <= 5 GROUP BY surname""")
+def top_parishes(spark: SparkSession, sf: str) -> DataFrame:
+    top = dossier.top_places(analogue.places(spark, sf))
+    return top.select("surname", joined(F.transform("places", lambda x: F.concat_ws("/", x["district"], x["parish"])), "|").alias("places"))
+
+
+@query(STAR + """SELECT surname, string_agg(r_name || '/' || n_name, '|' ORDER BY msoa11cd) AS areas FROM (SELECT *, row_number() OVER (PARTITION BY surname ORDER BY msoa11cd) AS k
+  FROM place JOIN nation ON msoa11cd = 'E' || n_nationkey JOIN region ON n_regionkey = r_regionkey) WHERE k <= 5 GROUP BY surname""")
+def area_lookup_top5(spark: SparkSession, sf: str) -> DataFrame:
+    met = dossier.areas(analogue.places(spark, sf).select("surname", "msoa11cd"), analogue.area_lookup(spark, sf))
+    return met.select("surname", joined(F.transform("areas", lambda x: F.concat_ws("/", x["ladnm"], x["msoa11nm"])), "|").alias("areas"))
+
+
+@query(STAR + """SELECT surname, 'Super ' || o_orderpriority[1] AS supergroup, o_orderpriority AS "group", 'all of ' || o_orderpriority[1] AS supergroup_text,
+  'about ' || o_orderpriority AS group_text, o_orderpriority[1] || lower(o_orderpriority[3]) AS code
+  FROM (SELECT *, row_number() OVER (PARTITION BY surname ORDER BY n DESC, o_orderpriority) AS k FROM (SELECT surname, o_orderpriority, count(*) AS n FROM prio GROUP BY ALL)) WHERE k = 1""")
+def group_classification(spark: SparkSession, sf: str) -> DataFrame:
+    code = analogue.priority_code("o_orderpriority")
+    facts = analogue.groups(analogue.priorities(spark, sf), "o_orderpriority", code, "oac")
+    names, texts = analogue.group_lookups(spark, sf, "orders", "o_orderpriority", code)
+    return dossier.classification(facts, names, texts, "oaccd", "oacnm").drop("missed")
+
+
+@query(STAR + """SELECT surname, code, name, 'size ' || code AS text FROM (SELECT regexp_replace(lower(p_name), '[^a-z]', '', 'g') AS surname, p_size AS code, p_type AS name,
+  row_number() OVER (PARTITION BY regexp_replace(lower(p_name), '[^a-z]', '', 'g') ORDER BY p_size, p_type) AS k FROM part) WHERE k = 1""")
+def cast_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    part = table(spark, sf, "part").withColumn("surname", text.name_key(text.name_form(F.col("p_name"))))
+    lookup = part.select(F.col("p_size").cast("string").alias("size_code"), F.concat(F.lit("size "), "p_size").alias("description")).distinct()
+    return dossier.described(part, "p_size", "p_type", lookup, "size_code", "description").drop("missed")
+
+
+@query(STAR + """SELECT surname, decile, n FROM (SELECT *, row_number() OVER (PARTITION BY surname ORDER BY n DESC, decile) AS k
+  FROM (SELECT surname, ceil(p_size / 5.0)::INT AS decile, count(*) AS n FROM sold GROUP BY ALL)) WHERE k = 1""")
+def modal_decile(spark: SparkSession, sf: str) -> DataFrame:
+    rows = analogue.sales(spark, sf, "p_size").withColumn("decile", analogue.decile("p_size"))
+    return dossier.modal_pick(rows, "surname", "decile")
+
+
+@query(STAR + "SELECT input, coalesce(years, 'No data') AS years, coalesce(freqs, 'No data') AS freqs FROM classed LEFT JOIN vectors USING (surname)")
+def default_sentinels(spark: SparkSession, sf: str) -> DataFrame:
+    freq = analogue.frequencies(spark, sf)
+    years = membership.kept_years(analogue.thresholded(freq), list(analogue.EXCLUDED))
+    rows = membership.prepared(analogue.probes(spark, sf)).join(years, "surname", "left").join(dossier.year_vector(freq, list(analogue.AXIS)), "surname", "left")
+    return rows.select("input", *[F.coalesce(joined(c), F.lit(dossier.NO_DATA)).alias(c) for c in ("years", "freqs")])
+
+
+@query(STAR + "SELECT surname, printf('%.2f', avg(l_quantity)) AS mean, printf('%.2f', stddev_samp(l_quantity)) AS sd FROM sold GROUP BY surname")
+def mean_sd_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    rows = analogue.sales(spark, sf, "l_quantity").groupBy("surname").agg(F.avg("l_quantity").alias("m"), F.stddev("l_quantity").alias("s"))
+    return rows.select("surname", text.to_fixed2(F.col("m")).alias("mean"), text.to_fixed2(F.col("s")).alias("sd"))
+
+
+@query()
+def dossier_json(spark: SparkSession, sf: str) -> DataFrame:
+    probes = membership.prepared(analogue.probes(spark, sf))
+    rows = dossier.assemble(probes, analogue.tables(spark, sf), analogue.AXIS, analogue.EXCLUDED)
+    return dossier.documents(rows)
+
+
+@query("SELECT o_orderkey, format('{:,}', (o_totalprice * 100)::BIGINT) AS shown FROM orders")
+def thousands(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").select("o_orderkey", text.thousands(F.round(F.col("o_totalprice") * 100).cast("long")).alias("shown"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+def semi_join(spark: SparkSession, sf: str) -> DataFrame:
+    customer = table(spark, sf, "customer")
+    return customer.join(table(spark, sf, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey", "c_name")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)")
+def anti_join(spark: SparkSession, sf: str) -> DataFrame:
+    large = table(spark, sf, "lineitem").filter("l_quantity > 45")
+    return table(spark, sf, "part").join(large, F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey", "p_name")
+
+
+@query(STAR + """SELECT surname, year, surname[1:2] || '/' || surname || '/' || surname || '_' || year || '.json' AS path FROM kde""")
+def layer_paths(spark: SparkSession, sf: str) -> DataFrame:
+    kde = analogue.thresholded(analogue.frequencies(spark, sf))
+    return kde.select("surname", "year", layers.feature_path(F.col("surname"), F.col("year")).alias("path"))
+
+
+@query("SELECT c_custkey, nullif(regexp_extract('theme=dark; token=' || c_mktsegment || '%20x; id=' || c_custkey, 'token=([^;]*)', 1), '') AS token_text FROM customer")
+def cookie_value(spark: SparkSession, sf: str) -> DataFrame:
+    cookies = F.concat(F.lit("theme=dark; token="), "c_mktsegment", F.lit("%20x; id="), "c_custkey")
+    pairs = F.transform(F.split(cookies, ";"), F.trim)
+    value = F.get(F.filter(pairs, lambda x: F.startswith(x, F.lit("token="))), 0)
+    return table(spark, sf, "customer").select("c_custkey", F.substring(value, 7, 1000).alias("token_text"))
+
+
+# --- axes --------------------------------------------------------------------------------------------------------
+
+DAYS = """WITH a AS (SELECT user_id, date_trunc('day', ts)::DATE AS day FROM events WHERE event_type = 'click'), b AS (SELECT user_id, date_trunc('day', ts)::DATE AS day FROM events WHERE event_type = 'view') """
+
+
+def _days(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    return table(spark, sf, "events").filter(F.col("event_type") == kind).select("user_id", F.to_date("ts").alias("day"))
+
+
+def _merged(mode: str, bag: bool) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return timeline.merge_axes(_days(spark, sf, "click"), _days(spark, sf, "view"), mode, bag).withColumn("day", F.col("day").cast("string"))
+
+    return run
+
+
+for _name, _mode, _bag, _sql in (
+    ("axis_union", "union", False, "SELECT * FROM a UNION SELECT * FROM b"),
+    ("axis_intersect", "intersect", False, "SELECT * FROM a INTERSECT SELECT * FROM b"),
+    ("axis_replace", "replace", False, "SELECT DISTINCT * FROM b"),
+    ("axis_bag_union", "union", True, "SELECT * FROM a UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a)"),
+    ("axis_bag_intersect", "intersect", True, "SELECT * FROM a INTERSECT ALL SELECT * FROM b"),
+):
+    QUERIES[_name] = _merged(_mode, _bag)
+    ORACLES[_name] = f"{DAYS}SELECT user_id, day::VARCHAR AS day FROM ({_sql})"
+
+
+def week() -> Column:
+    return periods.parse_period(F.lit("P7D"))
+
+
+@query("""WITH ends AS (SELECT user_id, min(date_trunc('day', ts)) AS low, max(date_trunc('day', ts)) AS high FROM events GROUP BY user_id)
+  SELECT DISTINCT user_id, strftime(unnest(list_append(generate_series(low, high - INTERVAL 1 SECOND, INTERVAL 7 DAY), high)), '%Y-%m-%d %H:%M:%S') AS t FROM ends""")
+def axis_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    axis = events(spark, sf).select("user_id", F.date_trunc("DAY", "ts").alias("t"))
+    return timeline.extremes(axis, "user_id", "t", week()).select("user_id", shown("t").alias("t"))
+
+
+SPANS = "WITH spans AS (SELECT o_orderkey, o_orderdate AS a, max(l_shipdate) AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL), "
+LIST = "array_to_string(list_transform({0}, lambda x: strftime(x, '%Y-%m-%d %H:%M:%S')), ',')"
+WEEKS = "list_append(CASE WHEN a < b THEN generate_series(a, b - INTERVAL 1 SECOND, INTERVAL 7 DAY) ELSE [] END, b)"
+
+
+@query(SPANS + f"steps AS (SELECT o_orderkey, {WEEKS} AS t FROM spans) SELECT o_orderkey, {LIST.format('t')} AS times FROM steps")
+def explode_range(spark: SparkSession, sf: str) -> DataFrame:
+    rows = order_spans(spark, sf)
+    return rows.select("o_orderkey", instants(timeline.explode_range(F.col("o_orderdate"), F.array_max("times"), week())).alias("times"))
+
+
+@query(SPANS + """steps AS (SELECT o_orderkey, list_append(CASE WHEN a < b THEN list_filter(generate_series(a, b - INTERVAL 1 SECOND, INTERVAL 31 HOUR),
+  lambda x: hour(x) BETWEEN 6 AND 17 AND (hour(x) <> 17 OR minute(x) <= 30)) ELSE [] END, b) AS t FROM spans) SELECT o_orderkey, """ + LIST.format("t") + " AS times FROM steps")
+def time_of_day_filter(spark: SparkSession, sf: str) -> DataFrame:
+    period = periods.parse_period(F.lit("PT31H"))
+    steps = timeline.explode_range(F.col("o_orderdate"), F.array_max("times"), period, ("06:00", "17:30"))
+    return order_spans(spark, sf).select("o_orderkey", instants(steps).alias("times"))
+
+
+@query(SPANS + f"""steps AS (SELECT o_orderkey, list_sort(list_concat([a - INTERVAL 1 DAY, b], {WEEKS})) AS t FROM spans) SELECT o_orderkey, {LIST.format('t')} AS times FROM steps""")
+def times_expression(spark: SparkSession, sf: str) -> DataFrame:
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    a, b = F.col("o_orderdate"), F.array_max("times")
+    said = F.concat(day(b), F.lit(",junk,"), day(a), F.lit("/"), day(b), F.lit("/P7D,"), day(F.date_sub(a, 1)))
+    rows = order_spans(spark, sf).select("o_orderkey", said.alias("said"))
+    return rows.select("o_orderkey", instants(timeline.parse_times(F.col("said"))).alias("times"))
+
+
+@query("""SELECT o_orderkey, strftime(CASE o_orderkey % 3 WHEN 0 THEN o_orderdate WHEN 1 THEN o_orderdate - INTERVAL 36 HOUR ELSE o_orderdate END, '%Y-%m-%d %H:%M:%S') AS first,
+  strftime(CASE o_orderkey % 3 WHEN 0 THEN o_orderdate + INTERVAL 5 DAY WHEN 1 THEN o_orderdate ELSE o_orderdate + INTERVAL 36 HOUR END, '%Y-%m-%d %H:%M:%S') AS last FROM orders""")
+def interval_string(spark: SparkSession, sf: str) -> DataFrame:
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    at, kind = F.col("o_orderdate"), F.col("o_orderkey") % 3
+    said = F.when(kind == 0, F.concat(day(at), F.lit("/"), day(F.date_add(at, 5)))).when(kind == 1, F.concat(F.lit("P1DT12H/"), day(at))).otherwise(F.concat(day(at), F.lit("/PT36H")))
+    rows = table(spark, sf, "orders").select("o_orderkey", timeline.parse_interval(said).alias("x"))
+    return rows.select("o_orderkey", shown("x.start").alias("first"), shown("x.end").alias("last"))
+
+
+#: Period texts made of a row's own numbers.
+PERIOD_SQL = "'P' || l_linenumber || 'Y' || (l_orderkey % 30) || 'M' || (l_partkey % 9) || 'W' || l_quantity::INT || 'DT' || (l_suppkey % 50) || 'H' || (l_orderkey % 130) || 'M' || (l_partkey % 200) || 'S'"
+SLOTS_SQL = "[l_linenumber::BIGINT, l_orderkey % 30, l_partkey % 9, l_quantity::BIGINT, l_suppkey % 50, l_orderkey % 130, l_partkey % 200]"
+
+
+def _periods(spark: SparkSession, sf: str) -> DataFrame:
+    n = lambda e: F.expr(f"cast({e} as bigint)").cast("string")
+    said = F.concat(
+        F.lit("P"), n("l_linenumber"), F.lit("Y"), n("l_orderkey % 30"), F.lit("M"), n("l_partkey % 9"), F.lit("W"), n("l_quantity"), F.lit("DT"),
+        n("l_suppkey % 50"), F.lit("H"), n("l_orderkey % 130"), F.lit("M"), n("l_partkey % 200"), F.lit("S"),
+    )
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", said.alias("said"))
+
+
+@query(f"SELECT l_orderkey, l_linenumber, {PERIOD_SQL} AS said, array_to_string({SLOTS_SQL}, ',') AS slots FROM lineitem")
+def period_parse(spark: SparkSession, sf: str) -> DataFrame:
+    return _periods(spark, sf).withColumn("slots", joined(periods.parse_period(F.col("said"))))
+
+
+@query(f"""WITH r AS (SELECT l_orderkey, l_linenumber, {SLOTS_SQL} AS p FROM lineitem), s AS (SELECT *, p[7] % 60 AS s, p[6] + p[7] // 60 AS m FROM r),
+  h AS (SELECT *, m % 60 AS mi, p[5] + m // 60 AS h FROM s), d AS (SELECT *, h % 24 AS ho, p[4] + h // 24 AS d FROM h), w AS (SELECT *, d % 7 AS da, p[3] + d // 7 AS w FROM d),
+  o AS (SELECT *, w % 4 AS we, p[2] + w // 4 AS o FROM w) SELECT l_orderkey, l_linenumber, concat_ws(',', p[1] + o // 12, o % 12, we, da, ho, mi, s) AS slots FROM o""")
+def period_carry(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _periods(spark, sf)
+    return rows.select("l_orderkey", "l_linenumber", joined(periods.parse_period(F.col("said"), carry=True)).alias("slots"))
+
+
+@query(f"""WITH r AS (SELECT l_orderkey, l_linenumber, {SLOTS_SQL} AS p FROM lineitem) SELECT l_orderkey, l_linenumber,
+  p[1] * 31104000 + p[2] * 2592000 + p[3] * 604800 + p[4] * 86400 + p[5] * 3600 + p[6] * 60 + p[7] AS seconds FROM r""")
+def period_seconds(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _periods(spark, sf)
+    return rows.select("l_orderkey", "l_linenumber", periods.period_seconds(periods.parse_period(F.col("said"))).alias("seconds"))
+
+
+@query(f"""WITH r AS (SELECT l_orderkey, l_linenumber, {SLOTS_SQL} AS p FROM lineitem) SELECT l_orderkey, l_linenumber, concat_ws(' ', """ + ", ".join(
+    f"CASE WHEN p[{i}] = 1 THEN '1 {w}' WHEN p[{i}] > 1 THEN p[{i}] || ' {w}s' END" for i, w in enumerate(periods.WORDS, 1)
+) + ") AS words, true AS valid FROM r")
+def period_text(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _periods(spark, sf)
+    said = F.col("said")
+    return rows.select("l_orderkey", "l_linenumber", periods.period_words(periods.parse_period(said)).alias("words"), periods.is_period(said).alias("valid"))
+
+
+def _month_moved(months: str, days: int, overflow: bool) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        moved = periods.add_period(F.col("l_shipdate").cast("timestamp"), periods.parse_period(F.lit(months)), days, overflow)
+        return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", shown(moved).alias("moved"))
+
+    return run
+
+
+for _name, _sign, _over, _sql in (
+    ("month_overflow_add", 1, True, "date_trunc('month', l_shipdate) + INTERVAL 1 MONTH + to_days(day(l_shipdate)::INT - 1) + (l_shipdate - date_trunc('day', l_shipdate))"),
+    ("month_overflow_subtract", -1, True, "date_trunc('month', l_shipdate) - INTERVAL 1 MONTH + to_days(day(l_shipdate)::INT - 1) + (l_shipdate - date_trunc('day', l_shipdate))"),
+    ("month_clamp_add", 1, False, "l_shipdate + INTERVAL 1 MONTH"),
+):
+    QUERIES[_name] = _month_moved("P1M", _sign, _over)
+    ORACLES[_name] = f"SELECT l_orderkey, l_linenumber, strftime({_sql}, '%Y-%m-%d %H:%M:%S') AS moved FROM lineitem"
+
+
+@query("SELECT year, epoch_ms(make_timestamp(year, 1, 1, 0, 0, 0)) AS millis, strftime(make_timestamp(year, 1, 1, 0, 0, 0), '%Y') AS label FROM (SELECT DISTINCT year(o_orderdate) - 90 AS year FROM orders)")
+def year_instants(spark: SparkSession, sf: str) -> DataFrame:
+    years = table(spark, sf, "orders").select((F.year("o_orderdate").cast("long") - 90).alias("year")).distinct()
+    at = periods.year_millis(F.col("year").cast("int"))
+    return years.select("year", at.alias("millis"), F.date_format(F.timestamp_millis(at), "yyyy").alias("label"))
+
+
+@query("""WITH e AS (SELECT event_id, event_type, date_trunc('second', ts) AS ts FROM events), axis AS (SELECT DISTINCT ts AS t FROM e WHERE event_type = 'purchase')
+  SELECT event_id, strftime(coalesce(t, (SELECT min(t) FROM axis)), '%Y-%m-%d %H:%M:%S') AS sought FROM e ASOF LEFT JOIN axis ON e.ts >= axis.t""")
+def asof_seek(spark: SparkSession, sf: str) -> DataFrame:
+    rows = events(spark, sf).select("event_id", "ts", "event_type")
+    found = timeline.seek_join(rows, "ts", rows.filter("event_type = 'purchase'"), "ts", 3600)
+    return found.select("event_id", shown("sought").alias("sought"))
+
+
+AXIS = "WITH axis AS (SELECT DISTINCT user_id, date_trunc('second', ts) AS t FROM events), placed AS (SELECT *, (row_number() OVER w - 1)::INT AS index, (count(*) OVER (PARTITION BY user_id) - 1)::INT AS last FROM axis WINDOW w AS (PARTITION BY user_id ORDER BY t)) "
+
+
+def user_axis(spark: SparkSession, sf: str) -> DataFrame:
+    return events(spark, sf).select("user_id", F.col("ts").alias("t")).distinct()
+
+
+def _moved(step: int, loop: bool) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return timeline.cursor(user_axis(spark, sf), "user_id", "t", step, loop).select("user_id", shown("t").alias("t"), "index", shown("moved").alias("moved"))
+
+    return run
+
+
+for _name, _step, _loop in (("next_time_clamp", 3, False), ("next_time_wrap", 3, True), ("previous_time_clamp", -2, False), ("previous_time_wrap", -2, True)):
+    _to = f"CASE WHEN index + {_step} > last THEN {'0' if _loop else 'last'} WHEN index + {_step} < 0 THEN {'last' if _loop else '0'} ELSE index + {_step} END"
+    QUERIES[_name] = _moved(_step, _loop)
+    ORACLES[_name] = AXIS + f"""SELECT p.user_id, strftime(p.t, '%Y-%m-%d %H:%M:%S') AS t, p.index, strftime(q.t, '%Y-%m-%d %H:%M:%S') AS moved
+      FROM (SELECT *, {_to} AS target FROM placed) p JOIN placed q ON p.user_id = q.user_id AND q.index = p.target"""
+
+
+@query(AXIS + """SELECT user_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS t, coalesce(array_to_string(list_transform(list(t) OVER (PARTITION BY user_id ORDER BY t ROWS BETWEEN 1 FOLLOWING AND 4 FOLLOWING),
+  lambda x: strftime(x, '%Y-%m-%d %H:%M:%S')), ','), '') AS ahead FROM axis""")
+def lookahead_list(spark: SparkSession, sf: str) -> DataFrame:
+    rows = timeline.lookahead(user_axis(spark, sf), "user_id", "t", 4)
+    return rows.select("user_id", shown("t").alias("t"), instants(F.col("ahead")).alias("ahead"))
+
+
+@query("""WITH axis AS (SELECT user_id, event_id, value > 5 AS ready FROM events) SELECT user_id, event_id, CASE WHEN count(*) OVER w < 5 THEN 5 ELSE coalesce(sum(ready::INT) OVER w, 0) END::BIGINT AS ready_ahead
+  FROM axis WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)""")
+def lookahead_ready(spark: SparkSession, sf: str) -> DataFrame:
+    axis = table(spark, sf, "events").select("user_id", "event_id", (F.col("value") > 5).alias("ready"))
+    return timeline.ready_ahead(axis, "user_id", "event_id", "ready", 5).drop("ready")
+
+
+@query("SELECT user_id, date_trunc('day', ts)::DATE::VARCHAR AS day, bool_and(value > 1) AS all_ready FROM events GROUP BY ALL")
+def all_ready(spark: SparkSession, sf: str) -> DataFrame:
+    days = table(spark, sf, "events").withColumn("day", F.to_date("ts").cast("string"))
+    return days.groupBy("user_id", "day").agg(F.bool_and(F.col("value") > 1).alias("all_ready"))
+
+
+@query(AXIS + """, low AS (SELECT user_id, coalesce(max(t) FILTER (t <= TIMESTAMP '2024-01-08'), min(t)) AS a, coalesce(max(t) FILTER (t <= TIMESTAMP '2024-01-20'), min(t)) AS b FROM axis GROUP BY user_id)
+  SELECT user_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS t FROM axis JOIN low USING (user_id) WHERE t BETWEEN a AND b""")
+def limits_range(spark: SparkSession, sf: str) -> DataFrame:
+    at = lambda d: F.lit(d).cast("timestamp")
+    return timeline.limited(user_axis(spark, sf), "user_id", "t", at("2024-01-08"), at("2024-01-20")).select("user_id", shown("t").alias("t"))
+
+
+@query("""SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY date_trunc('second', ts) RANGE BETWEEN INTERVAL 2 DAY PRECEDING AND CURRENT ROW) AS trailing FROM events""")
+def trailing_window(spark: SparkSession, sf: str) -> DataFrame:
+    return timeline.trailing_count(events(spark, sf), "user_id", "ts", 2 * 86400).select("event_id", "trailing")
+
+
+# --- layers ------------------------------------------------------------------------------------------------------
+
+TRACKS = "WITH tracks AS (SELECT o_orderkey, list(l_shipdate ORDER BY l_shipdate, l_linenumber, l_quantity) AS ts, list(l_quantity::INT ORDER BY l_shipdate, l_linenumber, l_quantity) AS ps FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey) "
+LOW, HIGH = "1997-06-01", "1998-03-01"
+
+
+def _window() -> tuple[Column, Column]:
+    return F.lit(LOW).cast("timestamp"), F.lit(HIGH).cast("timestamp")
+
+
+@query(TRACKS + f"SELECT o_orderkey FROM tracks WHERE NOT (ts[1] > TIMESTAMP '{HIGH}' OR ts[-1] < TIMESTAMP '{LOW}')")
+def overlap_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return order_spans(spark, sf).filter(layers.overlaps(F.col("times"), *_window())).select("o_orderkey")
+
+
+@query(TRACKS + """, ticks AS (SELECT t - INTERVAL 7 DAY AS low, t AS high FROM (SELECT DISTINCT date_trunc('month', o_orderdate) AS t FROM orders))
+  SELECT strftime(high, '%Y-%m-%d') AS tick, o_orderkey FROM ticks JOIN tracks ON ts[-1] >= low AND ts[1] <= high""")
+def overlap_join(spark: SparkSession, sf: str) -> DataFrame:
+    month = table(spark, sf, "orders").select(F.date_trunc("MONTH", F.col("o_orderdate").cast("timestamp")).alias("high")).distinct()
+    ticks = month.withColumn("low", F.timestamp_micros(F.unix_micros("high") - 7 * 86400 * 1000000))
+    spans = order_spans(spark, sf).select("o_orderkey", F.get("times", F.lit(0)).alias("first"), F.element_at("times", -1).alias("last"))
+    return layers.overlap_join(ticks, spans, 30 * 86400).select(F.date_format("high", "yyyy-MM-dd").alias("tick"), "o_orderkey")
+
+
+@query(TRACKS + f"""SELECT o_orderkey, array_to_string(list_transform(list_filter(list_zip(ts, ps), lambda x: x[1] <= TIMESTAMP '{HIGH}' AND (x[1] > TIMESTAMP '{LOW}' OR ts[-1] <= TIMESTAMP '{LOW}')), lambda x: x[2]), ',') AS points
+  FROM tracks WHERE NOT (ts[1] > TIMESTAMP '{HIGH}' OR ts[-1] < TIMESTAMP '{LOW}')""")
+def track_slice(spark: SparkSession, sf: str) -> DataFrame:
+    whole = F.transform("points", lambda x: x.cast("int"))
+    cut = layers.track_slice(F.col("times"), whole, *_window())
+    return order_spans(spark, sf).select("o_orderkey", joined(cut).alias("points")).filter("points is not null")
+
+
+@query(TRACKS + "SELECT o_orderkey, ps[-1] AS point, strftime(ts[-1], '%Y-%m-%d') AS at FROM tracks")
+def track_last_point(spark: SparkSession, sf: str) -> DataFrame:
+    last = lambda c: F.element_at(c, -1)
+    return order_spans(spark, sf).select("o_orderkey", last("points").cast("int").alias("point"), F.date_format(last("times"), "yyyy-MM-dd").alias("at"))
+
+
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN (props->>'$.k') WHEN 1 THEN (props->>'$.k') || ',7' ELSE '' END AS times FROM events")
+def json_property_probe(spark: SparkSession, sf: str) -> DataFrame:
+    kind = F.col("event_id") % 3
+    doc = F.when(kind == 0, F.replace("props", F.lit('"k"'), F.lit('"time"'))).when(
+        kind == 1, F.concat(F.lit('{"times": ['), F.regexp_extract("props", r"(\d+)", 1), F.lit('], "time": 3}')))
+    doc = F.when(kind == 1, F.replace(doc, F.lit("], "), F.lit(", 7], "))).otherwise(F.coalesce(doc, F.lit("{}")))
+    shape = "time bigint, times array<bigint>, coordTimes array<bigint>, linestringTimestamps array<bigint>"
+    rows = table(spark, sf, "events").select("event_id", F.from_json(doc, shape).alias("p"))
+    return rows.select("event_id", joined(layers.feature_times(F.col("p"))).alias("times"))
+
+
+@query("""WITH a AS (SELECT user_id, list_distinct(list(day(ts))) AS days FROM events GROUP BY user_id) SELECT e.user_id, e.event_id AS feature, (e.event_id % 4)::BIGINT AS level FROM events e
+  UNION ALL SELECT user_id, -n_nationkey - 1, 0 FROM a CROSS JOIN nation WHERE list_contains(days, 11)""")
+def layer_union_conditional(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "events")
+    days = rows.groupBy("user_id").agg(F.collect_set(F.dayofmonth("ts")).alias("years"))
+    features = rows.select("user_id", F.col("event_id").alias("feature"), (F.col("event_id") % 4).alias("level")).join(days, "user_id")
+    mask = table(spark, sf, "nation").select((-F.col("n_nationkey").cast("long") - 1).alias("feature"), F.lit(0).cast("long").alias("level"))
+    return layers.with_mask(features, mask, "user_id", "years", 11)
+
+
+@query("SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN '#DCDCDC' WHEN 1 THEN '#6baed6' WHEN 2 THEN '#4292c6' WHEN 3 THEN '#2171b5' END AS fill FROM part")
+def level_style(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select("p_partkey", layers.fill(F.col("p_size") % 5).alias("fill"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, floor((floor((least(greatest(l_quantity, 2), 40) - 2) / 0.5 + 0.5) * 0.5 + 2) * 100 + 0.5) / 100 AS snapped, floor(l_quantity / 50 * 100)::BIGINT AS percent,
+  floor(10000 / (l_quantity * 100) + 0.5) / 10 AS fps, (l_quantity - 1) / (49.0 / 200) AS x FROM lineitem""")
+def snap_to_step(spark: SparkSession, sf: str) -> DataFrame:
+    q = F.col("l_quantity")
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", text.snap_to_step(q, F.lit(2), F.lit(40), 0.5).alias("snapped"), text.percent_floor(q, F.lit(50)).alias("percent"),
+        text.frames_per_second(q * 100).alias("fps"), text.rescale(q, F.lit(1), F.lit(50.0), F.lit(200)).alias("x"),
+    )
+
+
+@query("SELECT DISTINCT strftime(l_shipdate, '%Y-%m-%d') AS t FROM lineitem")
+def feature_times(spark: SparkSession, sf: str) -> DataFrame:
+    return order_spans(spark, sf).select(F.explode("times").alias("t")).distinct().select(F.date_format("t", "yyyy-MM-dd").alias("t"))
+
+
+# --- what feeds the star ------------------------------------------------------------------------------------------
+
+
+@query(STAR + "SELECT surname, count(*) AS bearers FROM sold GROUP BY surname HAVING count(*) >= 100")
+def suppress_small(spark: SparkSession, sf: str) -> DataFrame:
+    return analogue.sales(spark, sf).groupBy("surname").agg(F.count("*").alias("bearers")).filter("bearers >= 100")
+
+
+@query(STAR + """SELECT surname, p_brand, n, place FROM (SELECT *, row_number() OVER (PARTITION BY surname ORDER BY n DESC, p_brand)::INT AS place FROM (SELECT surname, p_brand, count(*) AS n FROM sold GROUP BY ALL)) WHERE place <= 5""")
+def topk_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    return dossier.top_k(analogue.sales(spark, sf, "p_brand"), "surname", "p_brand", 5)
+
+
+@query(STAR + """SELECT surname, o_orderpriority, n FROM (SELECT *, row_number() OVER (PARTITION BY surname ORDER BY n DESC, o_orderpriority) AS k FROM (SELECT surname, o_orderpriority, count(*) AS n FROM prio GROUP BY ALL)) WHERE k = 1""")
+def mode_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    return dossier.modal_pick(analogue.priorities(spark, sf), "surname", "o_orderpriority")
+
+
+@query("""WITH d AS (SELECT o_custkey, o_orderpriority, ntile(10) OVER (PARTITION BY o_orderpriority, o_custkey % 16 ORDER BY o_totalprice, o_orderkey)::INT AS decile FROM orders)
+  SELECT o_custkey, decile, n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, decile) AS k FROM (SELECT o_custkey, decile, count(*) AS n FROM d GROUP BY ALL)) WHERE k = 1""")
+def ntile_mode(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    part = Window.partitionBy("o_orderpriority", F.col("o_custkey") % 16).orderBy("o_totalprice", "o_orderkey")
+    rows = table(spark, sf, "orders").withColumn("decile", F.ntile(10).over(part))
+    return dossier.modal_pick(rows, "o_custkey", "decile")
+
+
+@query("""WITH r AS (SELECT o_custkey, percent_rank() OVER (PARTITION BY o_orderpriority, o_custkey % 16 ORDER BY o_totalprice) AS p FROM orders)
+  SELECT o_custkey, round(avg(p), 4) AS mean, round(coalesce(stddev_samp(p), 0), 4) AS sd FROM r GROUP BY o_custkey""")
+def percent_rank_avg_sd(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    part = Window.partitionBy("o_orderpriority", F.col("o_custkey") % 16).orderBy("o_totalprice")
+    rows = table(spark, sf, "orders").withColumn("p", F.percent_rank().over(part)).groupBy("o_custkey")
+    return rows.agg(F.round(F.avg("p"), 4).alias("mean"), F.round(F.coalesce(F.stddev("p"), F.lit(0.0)), 4).alias("sd"))
+
+
+@query("SELECT s_suppkey, n_name AS place, n_nationkey * 1.5 AS x, r_regionkey * 2.5 AS y FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+def centroid_join(spark: SparkSession, sf: str) -> DataFrame:
+    nation = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    centroids = nation.select("n_nationkey", F.col("n_name").alias("place"), (F.col("n_nationkey") * 1.5).alias("x"), (F.col("r_regionkey") * 2.5).alias("y"))
+    return table(spark, sf, "supplier").join(centroids, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "place", "x", "y")
+
+
+@query(STAR + "SELECT surname, year, freq FROM frq")
+def yearly_frequencies(spark: SparkSession, sf: str) -> DataFrame:
+    return analogue.frequencies(spark, sf)
