@@ -3,11 +3,11 @@
 Two sets with a similarity of at least 3/4 share one of the tokens that come first in each of them, in any order that
 is the same for all sets: within n - ceil(3n/4) + 1 tokens of the larger set and n - ceil(6n/7) + 1 of the smaller.
 So sets meet in tiles, one for each such token, sorted by size. The order puts tokens that many texts share last,
-which keeps common passages out of the tiles. Tiles are worked off twice. First every set is paired with the least of
-its size band in each tile, which links groups of copies without pairing their members with each other. Then, in tiles
-that still hold several components, all pairs of different components are compared; tiles of more than SMALL sets are
-cut into pairs of blocks, compared by bitmap signatures in place. Every pair that is formed is bounded by the bits of
-its signatures, and only what the bound lets through is intersected exactly.
+which keeps common passages out of the tiles. Tiles are worked off twice. First every set is tried with two hubs of
+its size band in each tile and with its neighbour by size, which links groups of copies without pairing their members
+with each other. Then, in tiles that still hold several components, all pairs of different components are compared;
+tiles of more than SMALL sets are cut into pairs of blocks, compared by bitmap signatures in place. Every pair that is
+formed is bounded by the bits of its signatures, and only what the bound lets through is intersected exactly.
 
 Texts with equal sets are one class, known by the set's 64-bit digest, from the start.
 """
@@ -40,8 +40,8 @@ def digest(tokens: np.ndarray) -> int:
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    """Bitmap with as many bits as the next power of two over the set's size, 64 to 4096."""
-    bits = 1 << min(12, max(6, int(len(tokens) - 1).bit_length()))
+    """Bitmap with four to eight bits an element, a power of two from 64 to 16384: few elements share a bit."""
+    bits = 1 << min(14, max(6, int(len(tokens)).bit_length() + 2))
     flags = np.zeros(bits, bool)
     flags[(mix(tokens) & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes()
@@ -142,42 +142,62 @@ def _tokens(common: np.ndarray):
     return run
 
 
+def _hubs(k: np.ndarray, segment: np.ndarray, seed: int) -> np.ndarray:
+    """For every row the class with the least hash so far in its segment (segments are numbered in order)."""
+    # Least so far over all rows, with later segments below all earlier ones, is least so far in each segment.
+    rank = mix(k.view(np.uint64) + np.uint64(seed)) >> np.uint64(12)
+    order = np.argsort(rank, kind="stable")
+    place = np.empty(len(k), np.int64)
+    place[order] = np.arange(len(k))
+    low = np.minimum.accumulate(place - segment * len(k))
+    return k[order[low + segment * len(k)]]
+
+
 def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token, code and class, without repeated ones and those alone in their tile; with the leader, the
-    first row, of each row's size band in the tile. Rows stream by: only the last one is held until the next comes."""
+    """Rows sorted by token, code and class, without repeated ones and those alone in their tile, with three classes
+    of the tile that each is tried with: two hubs, each the least so far in its size band by a hash of its own, and the
+    row before. Rows stream by: only the last one and its hubs are held until the next come."""
+    names = ("token", "k", "code", "hub0", "hub1", "before")
     held: list[np.ndarray] | None = None
-    held_lead, held_joined = 0, False
+    joined = False
 
-    def made(columns: list[np.ndarray], lead: np.ndarray, keep: np.ndarray) -> pa.RecordBatch:
-        values = zip(("token", "k", "code", "leader"), [*columns, lead], strict=True)
-        return _batch({name: (v[keep], pa.int64()) for name, v in values})
+    def made(columns: list[np.ndarray], keep: np.ndarray) -> pa.RecordBatch:
+        return _batch({name: (v[keep], pa.int64()) for name, v in zip(names, columns, strict=True)})
 
     for batch in batches:
-        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "k", "code")]
-        if held is not None:
-            columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
-        token, k, _ = columns
-        fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (k[1:] != k[:-1])]) if len(k) else np.zeros(0, bool)
-        token, k, code = columns = [c[fresh] for c in columns]
+        token, k, code = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "k", "code"))
+        fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (k[1:] != k[:-1])])[: len(k)]
+        if held is not None and len(k) and (held[0][0], held[1][0]) == (token[0], k[0]):
+            fresh &= np.cumsum(fresh) > 1
+        token, k, code = token[fresh], k[fresh], code[fresh]
         if not len(k):
             continue
+        # What was held stands first: its hubs, then the row itself.
+        lead = [] if held is None else [(held[0][0], h, held[2][0]) for h in (held[3][0], held[4][0], held[1][0])]
+        extra = len(lead)
+        if extra:
+            token, k, code = (np.concatenate([[x[i] for x in lead], c]) for i, c in enumerate((token, k, code)))
         same = token[1:] == token[:-1]
         band = np.floor(np.log(code >> 1) / BAND).astype(np.int64)
-        first = np.concatenate([[True], ~same | (band[1:] != band[:-1])])
-        at = np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))
-        lead = np.where(at == 0, held_lead, k[at]) if held is not None else k[at]
-        before = np.concatenate([[held_joined], same])
-        keep = (before | np.concatenate([same, [False]]))[:-1]
-        yield made([c[:-1] for c in columns], lead[:-1], keep)
-        held, held_lead, held_joined = [c[-1:] for c in columns], lead[-1], bool(before[-1])
-    if held is not None and held_joined:
-        yield made(held, np.array([held_lead]), np.array([True]))
+        segment = np.cumsum(np.concatenate([[False], ~same | (band[1:] != band[:-1])]))
+        before = np.concatenate([k[:1], np.where(same, k[:-1], k[1:])])
+        columns = [token, k, code, _hubs(k, segment, 1), _hubs(k, segment, 2), before]
+        if extra:  # the held row as it was, without its hubs
+            columns = [np.concatenate([h, c[extra:]]) for h, c in zip(held, columns, strict=True)]
+            same = same[extra - 1 :]
+        met = np.concatenate([[joined], same])
+        keep = (met | np.concatenate([same, [False]]))[:-1]
+        yield made([c[:-1] for c in columns], keep)
+        held, joined = [c[-1:] for c in columns], bool(met[-1])
+    if held is not None and joined:
+        yield made(held, np.array([True]))
 
 
 def tiles(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(token, k, code, leader) of all tiles with two classes or more."""
+    """(token, k, code, hub0, hub1, before) of all tiles with two classes or more."""
     rows = docs.filter("doc_id is not null").select("text").mapInArrow(_tokens(common), "token long, k long, code long")
-    return rows.repartition("token").sortWithinPartitions("token", "code", "k").mapInArrow(_tiled, "token long, k long, code long, leader long")
+    dealt = rows.repartition("token").sortWithinPartitions("token", "code", "k")
+    return dealt.mapInArrow(_tiled, "token long, k long, code long, hub0 long, hub1 long, before long")
 
 
 def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -325,6 +345,19 @@ def _large(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return signed.groupBy("token", "i", "j").applyInPandas(_blocked, "a long, b long").distinct()
 
 
+def _ordered(tiled: DataFrame, other: str) -> DataFrame:
+    """Distinct pairs (a, b) of a row's class and another column's. Written."""
+    pair = F.least(other, "k").alias("a"), F.greatest(other, "k").alias("b")
+    return cut(tiled.filter(F.col(other) != F.col("k")).select(*pair).distinct())
+
+
+def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs that no links lead between yet."""
+    side = lambda s: roots.select(F.col("k").alias(s), F.col("root").alias(f"root_{s}"))
+    placed = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return placed.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sets, roots): doc_id, text_hash, n, k of every document; root of every class that is linked to a lesser one."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
@@ -333,9 +366,11 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     least = sets.filter("k is not null and doc_id is not null").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"))
     classes = cut(least.join(sets.filter("sig is not null").select("doc_id", "k", "sig"), ["doc_id", "k"]).dropDuplicates(["k"]))
     tiled = cut(tiles(docs, common_tokens(docs)))
-    stars = cut(tiled.filter("leader <> k").select(F.least("leader", "k").alias("a"), F.greatest("leader", "k").alias("b")).distinct())
-    first = links(stars, docs, classes)
-    labels = components(first)
+    tried = [_ordered(tiled, c) for c in ("hub0", "hub1", "before")]
+    found = links(tried[0], docs, classes)
+    for pairs in tried[1:]:
+        found = found.union(links(_across(pairs, components(found)), docs, classes))
+    labels = components(found)
 
     tile = Window.partitionBy("token")
     labelled = tiled.join(labels, "k", "left").select("token", "k", "code", F.coalesce("root", "k").alias("label"))
@@ -346,9 +381,8 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     mixed = cut(mixed)
     small = mixed.filter(f"rows <= {SMALL}").repartition("token").sortWithinPartitions("token", "code", "k")
     pairs = small.select("token", "k", "code", "label").mapInArrow(_pairs, "a long, b long").distinct()
-    pairs = cut(pairs.union(_large(mixed.filter(f"rows > {SMALL}"), classes)).distinct().join(stars, ["a", "b"], "left_anti"))
-    second = links(pairs, docs, classes)
-    return sets, components(first.union(second))
+    pairs = pairs.union(_large(mixed.filter(f"rows > {SMALL}"), classes)).distinct()
+    return sets, components(found.union(links(pairs, docs, classes)))
 
 
 def _placed(docs: DataFrame) -> DataFrame:

@@ -107,7 +107,9 @@ def test_tiles_don_t_depend_on_batches():
     one = lambda part: pa.RecordBatch.from_pydict({"token": [r[0] for r in part], "k": [r[2] for r in part], "code": [r[1] for r in part]}, pa.schema([(c, pa.int64()) for c in ("token", "k", "code")]))
     run = lambda size: [tuple(x.values()) for b in jaccard._tiled(one(rows[i : i + size]) for i in range(0, len(rows), size)) for x in b.to_pylist()]
     assert run(1) == run(7) == run(len(rows))
-    assert {r[:3] for r in run(7)} == {(t, k, c) for t, c, k in rows if len({x[2] for x in rows if x[0] == t}) > 1}
+    met = {(t, k, c) for t, c, k in rows if len({x[2] for x in rows if x[0] == t}) > 1}
+    assert {r[:3] for r in run(7)} == met and len(run(7)) == len(met)
+    assert all({(t, h) for h in (a, b, p)} <= {(x[0], x[1]) for x in met} for t, _, _, a, b, p in run(7))
 
 
 def test_bounds_hold():
