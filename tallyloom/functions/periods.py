@@ -5,9 +5,13 @@ A period is an array of seven ints: years, months, weeks, days, hours, minutes,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyloom.functions.binding import let
+
 #: The period grammar, how many of each slot make one of the slot before, and seconds a slot.
 GRAMMAR = r"^P((\d+Y)?(\d+M)?(\d+W)?(\d+D)?)?(T(\d+H)?(\d+M)?(\d+S)?)?$"
 GROUPS = (2, 3, 4, 5, 7, 8, 9)
@@ -24,22 +28,34 @@ def parse_period(text: Column, carry: bool = False) -> Column:
     """Seven ints; null if the text is no period, zeros if it is empty. With carry, full slots move up, from the end."""
     upper = F.upper(text)
     slots = [F.coalesce(F.rtrim(F.regexp_extract(upper, GRAMMAR, g), F.lit("YMWDHS")).try_cast("int"), F.lit(0)) for g in GROUPS]
+    found = F.array(*slots)
     if carry:
         for i in range(6, 0, -1):
-            slots[i - 1] = slots[i - 1] + F.floor(slots[i] / CARRY[i]).cast("int")
-            slots[i] = slots[i] % CARRY[i]
-    return F.when(upper.rlike(GRAMMAR) | (upper == ""), F.array(*slots))
+            found = let(found, _carried(i))
+    return F.when(upper.rlike(GRAMMAR) | (upper == ""), found)
+
+
+def _carried(i: int) -> Callable[[Column], Column]:
+    """From slots to slots with what fills slot i moved up into the one before."""
+
+    def step(p: Column) -> Column:
+        slots = [F.get(p, F.lit(k)) for k in range(7)]
+        slots[i - 1] = slots[i - 1] + F.floor(slots[i] / CARRY[i]).cast("int")
+        slots[i] = slots[i] % CARRY[i]
+        return F.array(*slots)
+
+    return step
 
 
 def period_seconds(period: Column) -> Column:
     """With years of 360 days and months of 30."""
-    return sum((F.get(period, i).cast("long") * n for i, n in enumerate(SECONDS)), F.lit(0).cast("long"))
+    return sum((F.get(period, F.lit(i)).cast("long") * n for i, n in enumerate(SECONDS)), F.lit(0).cast("long"))
 
 
 def period_words(period: Column) -> Column:
     """The slots above zero in words."""
     said = [
-        F.when(F.get(period, i) == 1, F.lit(f"1 {w}")).when(F.get(period, i) > 1, F.concat(F.get(period, i).cast("string"), F.lit(f" {w}s")))
+        F.when(F.get(period, F.lit(i)) == 1, F.lit(f"1 {w}")).when(F.get(period, F.lit(i)) > 1, F.concat(F.get(period, F.lit(i)).cast("string"), F.lit(f" {w}s")))
         for i, w in enumerate(WORDS)
     ]
     return F.concat_ws(" ", *said)
@@ -49,19 +65,23 @@ def add_period(ts: Column, period: Column, sign: int = 1, overflow: bool = True)
     """ts moved by the slots one after another. With overflow, days that a month lacks run over after the year's and
     after the month's step; without, they are cut to the month's last day."""
 
-    def months(at: Column, n: Column) -> Column:
-        if not overflow:
-            whole = F.add_months(at.cast("date"), n)
-        else:
-            whole = F.date_add(F.add_months(F.trunc(at.cast("date"), "MM"), n), F.dayofmonth(at) - 1)
-        return F.timestamp_micros(F.unix_micros(whole.cast("timestamp")) + F.unix_micros(at) - F.unix_micros(F.date_trunc("DAY", at)))
-
-    slot = lambda i: F.get(period, i) * sign
-    at = months(ts, slot(0) * 12)
-    at = months(at, slot(1))
-    rest = F.get(period, 2).cast("long") * 604800 + F.get(period, 3).cast("long") * 86400
-    rest = rest + F.get(period, 4).cast("long") * 3600 + F.get(period, 5).cast("long") * 60 + F.get(period, 6).cast("long")
-    return F.timestamp_micros(F.unix_micros(at) + rest * sign * 1000000)
+    def months(n: Column) -> Callable[[Column], Column]:
+        def step(at: Column) -> Column:
+            if not overflow:
+                whole = F.add_months(at.cast("date"), n)
+            else:
+                whole = F.date_add(F.add_months(F.trunc(at.cast("date"), "MM"), n), F.dayofmonth(at) - 1)
+            return F.timestamp_micros(F.unix_micros(whole.cast("timestamp")) + F.unix_micros(at) - F.unix_micros(F.date_trunc("DAY", at)))
+
+        return step
+
+    def moved(p: Column) -> Column:
+        slot = lambda i: F.get(p, F.lit(i)) * sign
+        at = let(let(ts, months(slot(0) * 12)), months(slot(1)))
+        rest = sum((F.get(p, F.lit(i)).cast("long") * SECONDS[i] for i in range(2, 7)), F.lit(0).cast("long"))
+        return F.timestamp_micros(F.unix_micros(at) + rest * sign * 1000000)
+
+    return let(period, moved)
 
 
 def year_millis(year: Column) -> Column:

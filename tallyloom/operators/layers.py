@@ -44,7 +44,7 @@ def with_mask(layers: DataFrame, mask: DataFrame, key: str, years: str, year: in
 
 def overlaps(times: Column, low: Column, high: Column) -> Column:
     """Does a feature show in the closed window: its first and last time overlap it, or it has none."""
-    return (F.size(times) == 0) | ~((F.get(times, 0) > high) | (F.element_at(times, -1) < low))
+    return (F.size(times) == 0) | ~((F.get(times, F.lit(0)) > high) | (F.element_at(times, -1) < low))
 
 
 def track_slice(times: Column, points: Column, low: Column, high: Column) -> Column:
@@ -53,7 +53,7 @@ def track_slice(times: Column, points: Column, low: Column, high: Column) -> Col
     late = F.filter(at, lambda x: x["t"] > high)
     upto = F.slice(at, 1, F.size(at) - F.size(late))
     after = F.when(F.element_at(times, -1) > low, F.filter(upto, lambda x: x["t"] > low)).otherwise(upto)
-    inside = ~((F.get(times, 0) > high) | (F.element_at(times, -1) < low))
+    inside = ~((F.get(times, F.lit(0)) > high) | (F.element_at(times, -1) < low))
     return F.when(F.size(times) == 0, points).when(inside, F.transform(after, lambda x: x["p"]))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions.binding import let
 from tallyloom.functions.periods import add_period, parse_instant, parse_period
 
 
@@ -25,8 +26,13 @@ def explode_range(start: Column, end: Column, period: Column, valid: tuple[str,
     Steps add up: a month's step starts from where the last one landed. valid keeps instants within a time of day, but
     not end. A zero period raises an error if start lies before end.
     """
-    months = F.get(period, 0) * 12 + F.get(period, 1)
-    fixed = sum((F.get(period, i).cast("long") * n for i, n in ((2, 604800), (3, 86400), (4, 3600), (5, 60), (6, 1))), F.lit(0).cast("long"))
+    given = F.struct(start.alias("start"), end.alias("end"), period.alias("period"))
+    return let(given, lambda x: _stepped(x["start"], x["end"], x["period"], valid, overflow))
+
+
+def _stepped(start: Column, end: Column, period: Column, valid: tuple[str, str] | None, overflow: bool) -> Column:
+    months = F.get(period, F.lit(0)) * 12 + F.get(period, F.lit(1))
+    fixed = sum((F.get(period, F.lit(i)).cast("long") * n for i, n in ((2, 604800), (3, 86400), (4, 3600), (5, 60), (6, 1))), F.lit(0).cast("long"))
     left = F.unix_micros(end) - F.unix_micros(start)
     least = (months.cast("long") * 28 * 86400 + fixed) * 1000000
     count = F.when(left <= 0, F.lit(0).cast("long")).when(least > 0, F.ceil(left / least)).otherwise(
@@ -90,7 +96,7 @@ def extremes(axis: DataFrame, key: str, time: str, period: Column) -> DataFrame:
 def seek(axis: Column, time: Column) -> Column:
     """The last time of a sorted array that isn't after `time`, or the first one; null for a null time."""
     found = F.filter(axis, lambda t: t <= time)
-    return F.when(time.isNotNull(), F.coalesce(F.try_element_at(found, F.lit(-1)), F.get(axis, 0)))
+    return F.when(time.isNotNull(), F.coalesce(F.try_element_at(found, F.lit(-1)), F.get(axis, F.lit(0))))
 
 
 def seek_join(rows: DataFrame, time: str, axis: DataFrame, axis_time: str, seconds: int = 86400) -> DataFrame:

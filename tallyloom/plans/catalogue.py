@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import periods, text
@@ -245,7 +245,7 @@ def layer_paths(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT c_custkey, nullif(regexp_extract('theme=dark; token=' || c_mktsegment || '%20x; id=' || c_custkey, 'token=([^;]*)', 1), '') AS token_text FROM customer")
 def cookie_value(spark: SparkSession, sf: str) -> DataFrame:
     cookies = F.concat(F.lit("theme=dark; token="), "c_mktsegment", F.lit("%20x; id="), "c_custkey")
-    pairs = F.transform(F.split(cookies, ";"), F.trim)
+    pairs = F.transform(F.split(cookies, ";"), lambda x: F.trim(x))
     value = F.get(F.filter(pairs, lambda x: F.startswith(x, F.lit("token="))), 0)
     return table(spark, sf, "customer").select("c_custkey", F.substring(value, 7, 1000).alias("token_text"))
 
@@ -554,24 +554,25 @@ def mode_by_group(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH d AS (SELECT o_custkey, o_orderpriority, ntile(10) OVER (PARTITION BY o_orderpriority, o_custkey % 16 ORDER BY o_totalprice, o_orderkey)::INT AS decile FROM orders)
   SELECT o_custkey, decile, n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, decile) AS k FROM (SELECT o_custkey, decile, count(*) AS n FROM d GROUP BY ALL)) WHERE k = 1""")
 def ntile_mode(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
-
     part = Window.partitionBy("o_orderpriority", F.col("o_custkey") % 16).orderBy("o_totalprice", "o_orderkey")
     rows = table(spark, sf, "orders").withColumn("decile", F.ntile(10).over(part))
     return dossier.modal_pick(rows, "o_custkey", "decile")
 
 
-@query("""WITH r AS (SELECT o_custkey, percent_rank() OVER (PARTITION BY o_orderpriority, o_custkey % 16 ORDER BY o_totalprice) AS p FROM orders)
-  SELECT o_custkey, round(avg(p), 4) AS mean, round(coalesce(stddev_samp(p), 0), 4) AS sd FROM r GROUP BY o_custkey""")
+@query("""WITH r AS (SELECT o_custkey, percent_rank() OVER (PARTITION BY o_orderpriority, o_custkey % 16 ORDER BY o_totalprice)::DECIMAL(18, 9) AS p FROM orders),
+  s AS (SELECT o_custkey, count(*) AS n, sum(p)::DOUBLE AS s, sum(p * p)::DOUBLE AS ss FROM r GROUP BY o_custkey)
+  SELECT o_custkey, floor(s / n * 10000 + 0.5) / 10000 AS mean, CASE WHEN n > 1 THEN floor(sqrt(greatest((ss - s * s / n) / (n - 1), 0)) * 10000 + 0.5) / 10000 ELSE 0.0::DOUBLE END AS sd FROM s""")
 def percent_rank_avg_sd(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
-
     part = Window.partitionBy("o_orderpriority", F.col("o_custkey") % 16).orderBy("o_totalprice")
-    rows = table(spark, sf, "orders").withColumn("p", F.percent_rank().over(part)).groupBy("o_custkey")
-    return rows.agg(F.round(F.avg("p"), 4).alias("mean"), F.round(F.coalesce(F.stddev("p"), F.lit(0.0)), 4).alias("sd"))
+    ranked = table(spark, sf, "orders").withColumn("p", F.percent_rank().over(part).cast("decimal(18,9)")).groupBy("o_custkey")
+    # Sums of decimals don't depend on the order of rows.
+    sums = ranked.agg(F.count("*").alias("n"), F.sum("p").cast("double").alias("s"), F.sum(F.col("p") * F.col("p")).cast("double").alias("ss"))
+    n, s, ss = F.col("n"), F.col("s"), F.col("ss")
+    sd = F.when(n > 1, text.half_up(F.sqrt(F.greatest((ss - s * s / n) / (n - 1), F.lit(0.0))) * 10000) / 10000).otherwise(F.lit(0.0))
+    return sums.select("o_custkey", (text.half_up(s / n * 10000) / 10000).alias("mean"), sd.alias("sd"))
 
 
-@query("SELECT s_suppkey, n_name AS place, n_nationkey * 1.5 AS x, r_regionkey * 2.5 AS y FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+@query("SELECT s_suppkey, n_name AS place, n_nationkey * 1.5::DOUBLE AS x, r_regionkey * 2.5::DOUBLE AS y FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
 def centroid_join(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     centroids = nation.select("n_nationkey", F.col("n_name").alias("place"), (F.col("n_nationkey") * 1.5).alias("x"), (F.col("r_regionkey") * 2.5).alias("y"))
