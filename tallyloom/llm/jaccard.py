@@ -410,13 +410,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     text one stays. The rows to leave out are broadcast while they are few enough, else joined by a shuffle.
     """
     placed = cut(_placed(docs).filter("doc_id is not null").select("doc_id", "text_hash", "component_id"))
-    gone = placed.filter("component_id <> doc_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    again = placed.filter("component_id = doc_id").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).count().filter("count > 1")
-    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    kept = docs.join(_small(cut(gone)), same, "left_anti")
-    again = cut(again.drop("count"))
-    if again.isEmpty():
-        return kept
-    hashed = kept.withColumn("_text", F.xxhash64("text"))
-    single = hashed.join(_small(again), same, "left_semi").dropDuplicates(["doc_id", "_text"]).drop("_text")
-    return kept.join(_small(again), same, "left_anti").unionByName(single)
+    gone = placed.filter("component_id <> doc_id").select("doc_id", "text_hash").distinct()
+    again = cut(placed.filter("component_id = doc_id").groupBy("doc_id", "text_hash").count().filter("count > 1").drop("count"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("row"))
+    kept = rows.join(_small(cut(gone)), ["doc_id", "text_hash"], "left_anti")
+    if not again.isEmpty():
+        single = kept.join(_small(again), ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
+        kept = kept.join(_small(again), ["doc_id", "text_hash"], "left_anti").unionByName(single)
+    return kept.select("row.*")

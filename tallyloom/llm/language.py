@@ -59,6 +59,8 @@ def grams(text: str) -> np.ndarray | None:
 def codebook(languages: int) -> np.ndarray:
     """Codewords of -1 and 1, one row a language: all ways to part up to six languages in two, else the draw of
     random columns with the largest least distance."""
+    if languages < 2:
+        return np.zeros((languages, 0), int)
     if languages <= 6:
         columns = [c for c in itertools.product((-1, 1), repeat=languages) if c[0] == 1 and -1 in c]
         return np.array(columns, int).reshape(len(columns), languages).T
