@@ -5,9 +5,9 @@ is the same for all sets: within n - ceil(3n/4) + 1 tokens of the larger set and
 So sets meet in tiles, one for each such token, sorted by size. The order puts tokens that many texts share last,
 which keeps common passages out of the tiles. Tiles are worked off twice. First every set is tried with two hubs of
 its size band in each tile and with its neighbour by size, which links groups of copies without pairing their members
-with each other. Then, in tiles that still hold several components, all pairs of different components are compared;
-tiles of more than SMALL sets are cut into pairs of blocks, compared by bitmap signatures in place. Every pair that is
-formed is bounded by the bits of its signatures, and only what the bound lets through is intersected exactly.
+with each other. Then the tiles that still hold several components are thrown together by their least component and
+size band, cut into blocks, and the bitmap signatures of all pairs of different components in them compared in place.
+Every pair is bounded by the bits of its signatures, and only what the bound lets through is intersected exactly.
 
 Texts with equal sets are one class, known by the set's 64-bit digest, from the start.
 """
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import cut
@@ -27,8 +27,8 @@ from tallyloom.llm.shingles import mix, shingle_set
 
 #: Tokens that come last in the order, at most: 8 bytes each in every task.
 COMMON_TOKENS = 50_000
-#: Sets in a tile up to which its pairs are formed directly, and in a block of a larger one.
-SMALL, BLOCK = 64, 2048
+#: Sets in a block of a tile.
+BLOCK = 2048
 #: Rows of a table that is broadcast, at most; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 BAND = np.log(4 / 3)
@@ -200,35 +200,60 @@ def tiles(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return dealt.mapInArrow(_tiled, "token long, k long, code long, hub0 long, hub1 long, before long")
 
 
-def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Can sets with codes a <= b be similar by size, with a token of the smaller one's part."""
-    return (4 * (a >> 1) >= 3 * (b >> 1)) & ((a & 1 == 1) | ((a >> 1 == b >> 1) & (b & 1 == 1)))
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within tiles of up to SMALL rows, which come sorted by token and code."""
-    rest: list[np.ndarray] | None = None
-
-    def made(cols: list[np.ndarray]) -> pa.RecordBatch:
-        token, k, code, label = cols
-        a, b = [], []
-        for step in range(1, min(SMALL, len(k))):
-            mask = token[step:] == token[:-step]
-            if not mask.any():
-                break
-            mask &= (label[step:] != label[:-step]) & _near(code[:-step], code[step:])
-            a.append(np.minimum(k[:-step], k[step:])[mask])
-            b.append(np.maximum(k[:-step], k[step:])[mask])
-        both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0) if a else np.zeros((0, 2), np.int64)
-        return _batch({"a": (both[:, 0], pa.int64()), "b": (both[:, 1], pa.int64())})
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components between blocks i and j of a tile that the bounds of their signatures let through.
+    Rows come sorted by tile, band, i and j; a group of them has about two blocks' rows at most."""
+    rest: pa.Table | None = None
+    keys = ("tile", "tile_band", "i", "j")
+
+    def group(t: dict[str, np.ndarray], sigs: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        widths = np.array([len(x) for x in sigs])
+        stacked = {int(w): np.stack([sigs[p] for p in np.flatnonzero(widths == w)]) for w in np.unique(widths)}
+        where = {w: np.flatnonzero(widths == w) for w in stacked}
+        a_out, b_out = [], []
+        i, j, band = t["i"][0], t["j"][0], t["tile_band"][0]
+        for p in np.flatnonzero(t["block"] == i):
+            n = t["n"][p]
+            fit = (t["block"] == j) & (t["label"] != t["label"][p]) & (np.minimum(t["band"], t["band"][p]) == band)
+            fit &= 4 * np.minimum(t["n"], n) >= 3 * np.maximum(t["n"], n)
+            if i == j:
+                fit[: p + 1] = False
+            for w, rows in where.items():
+                own = fit[rows]
+                if not own.any():
+                    continue
+                at, width = rows[own], min(w, len(sigs[p]))
+                x = np.bitwise_or.reduce(sigs[p].reshape(-1, width))
+                y = np.bitwise_or.reduce(stacked[w][own].reshape(len(at), -1, width), axis=1)
+                m = t["n"][at]
+                most = np.minimum(n - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), m - np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
+                good = t["k"][at[100 * most >= 75 * (n + m - most)]]
+                a_out.append(np.minimum(good, t["k"][p]))
+                b_out.append(np.maximum(good, t["k"][p]))
+        return a_out, b_out
+
+    def made(table: pa.Table) -> pa.RecordBatch:
+        t = {c: table.column(c).to_numpy() for c in (*keys, "block", "k", "n", "band", "label")}
+        sigs = [np.frombuffer(x, np.uint64) for x in table.column("sig").to_pylist()]
+        change = np.logical_or.reduce([t[c][1:] != t[c][:-1] for c in keys])
+        edges = [0, *(np.flatnonzero(change) + 1).tolist(), table.num_rows]
+        a_out, b_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            a, b = group({c: v[lo:hi] for c, v in t.items()}, sigs[lo:hi])
+            a_out += a
+            b_out += b
+        return _batch({"a": (np.concatenate(a_out), pa.int64()), "b": (np.concatenate(b_out), pa.int64())})
 
     for batch in batches:
-        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "k", "code", "label")]
-        if rest is not None:
-            cols = [np.concatenate([x, y]) for x, y in zip(rest, cols, strict=True)]
-        open_from = int(np.argmax(cols[0] == cols[0][-1])) if len(cols[0]) else 0
-        yield made([c[:open_from] for c in cols])
-        rest = [c[open_from:] for c in cols]
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        if not table.num_rows:
+            continue
+        same = np.logical_and.reduce([(v := table.column(c).to_numpy()) == v[-1] for c in keys])
+        open_from = int(np.argmax(same))
+        if open_from:
+            yield made(table.slice(0, open_from))
+        rest = table.slice(open_from)
     if rest is not None:
         yield made(rest)
 
@@ -306,43 +331,27 @@ def components(edges: DataFrame) -> DataFrame:
         mark = tuple(new)
 
 
-def _blocked(pdf):
-    """Pairs of different components between two blocks of one large tile that their bounds let through."""
-    import pandas as pd
-
-    i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-    pdf = pdf.sort_values(["code", "k"])
-    left, right = pdf[pdf["block"] == i], pdf[pdf["block"] == j]
-    a_out, b_out = [], []
-    sigs = [np.frombuffer(s, np.uint64) for s in right["sig"]]
-    codes, labels, ks = (right[c].to_numpy() for c in ("code", "label", "k"))
-    widths = np.array([len(s) for s in sigs])
-    for code, label, k, sig in zip(left["code"], left["label"], left["k"], left["sig"], strict=True):
-        low, high = np.minimum(codes, code), np.maximum(codes, code)
-        fit = (labels != label) & (4 * (low >> 1) >= 3 * (high >> 1))
-        own = np.frombuffer(sig, np.uint64)
-        for width in np.unique(widths[fit]):
-            at = np.flatnonzero(fit & (widths == width))
-            w = min(len(own), int(width))
-            x = np.bitwise_or.reduce(own.reshape(-1, w))
-            y = np.bitwise_or.reduce(np.stack([sigs[p] for p in at]).reshape(len(at), -1, w), axis=1)
-            n, m = code >> 1, codes[at] >> 1
-            most = np.minimum(n - np.bitwise_count(x & ~y).sum(1).astype(np.int64), m - np.bitwise_count(y & ~x).sum(1).astype(np.int64))
-            good = at[100 * most >= 75 * (n + m - most)]
-            a_out.append(np.minimum(ks[good], k))
-            b_out.append(np.maximum(ks[good], k))
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a_out, b_out))
-    return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
-
-
-def _large(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs from tiles of more than SMALL rows: blocks of BLOCK rows by size, each met with itself and later ones."""
-    block = F.floor((F.col("at") - 1) / BLOCK).cast("long")
-    last = F.floor((F.col("rows") - 1) / BLOCK).cast("long")
-    placed = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    placed = placed.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    signed = placed.join(classes.select("k", "sig"), "k").select("token", "i", "j", "block", "k", "code", "label", "sig")
-    return signed.groupBy("token", "i", "j").applyInPandas(_blocked, "a long, b long").distinct()
+def _still_apart(tiled: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes of different components that share a token and that the bounds let through.
+
+    Tiles whose least component is the same hold much the same classes, so they are thrown together: each class stands
+    once in a tile for its own size band and once in the one for the band below, and each pair is compared in the tile
+    of its lesser band. Tiles of more than BLOCK rows are cut into blocks, every pair of which is a group of its own.
+    """
+    labelled = tiled.join(labels, "k", "left").select("token", "k", (F.shiftright("code", 1)).alias("n"), F.coalesce("root", "k").alias("label"))
+    ends = labelled.groupBy("token").agg(F.min("label").alias("tile"), F.max("label").alias("high")).filter("tile < high")
+    mixed = labelled.join(ends.select("token", "tile"), "token").select("tile", "k", "n", "label").distinct()
+    band = F.floor(F.log(F.col("n").cast("double")) / float(BAND)).cast("long")
+    banded = mixed.withColumn("band", band).withColumn("tile_band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    banded = cut(banded)
+    sizes = banded.groupBy("tile", "tile_band").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
+    sizes = sizes.filter("low < high").select("tile", "tile_band", F.ceil(F.col("rows") / BLOCK).alias("blocks"))
+    placed = banded.join(sizes, ["tile", "tile_band"]).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = met.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    signed = met.join(classes.select("k", "sig"), "k").select("tile", "tile_band", "i", "j", "block", "k", "n", "band", "label", "sig")
+    dealt = signed.repartition("tile", "tile_band", "i", "j").sortWithinPartitions("tile", "tile_band", "i", "j", "n", "k")
+    return dealt.mapInArrow(_compared, "a long, b long").distinct()
 
 
 def _ordered(tiled: DataFrame, other: str) -> DataFrame:
@@ -370,18 +379,7 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = links(tried[0], docs, classes)
     for pairs in tried[1:]:
         found = found.union(links(_across(pairs, components(found)), docs, classes))
-    labels = components(found)
-
-    tile = Window.partitionBy("token")
-    labelled = tiled.join(labels, "k", "left").select("token", "k", "code", F.coalesce("root", "k").alias("label"))
-    mixed = labelled.withColumns({
-        "rows": F.count("*").over(tile), "low": F.min("label").over(tile), "high": F.max("label").over(tile),
-        "at": F.row_number().over(tile.orderBy("code", "k")),
-    }).filter("low < high").drop("low", "high")
-    mixed = cut(mixed)
-    small = mixed.filter(f"rows <= {SMALL}").repartition("token").sortWithinPartitions("token", "code", "k")
-    pairs = small.select("token", "k", "code", "label").mapInArrow(_pairs, "a long, b long").distinct()
-    pairs = pairs.union(_large(mixed.filter(f"rows > {SMALL}"), classes)).distinct()
+    pairs = _still_apart(tiled, components(found), classes)
     return sets, components(found.union(links(pairs, docs, classes)))
 
 

@@ -80,7 +80,6 @@ def test_planted_groups(spark, rows):
 
 
 def test_large_tiles_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "SMALL", 3)
     monkeypatch.setattr(jaccard, "BLOCK", 7)
     docs = spark.createDataFrame(groups(), "doc_id long, text string").repartition(3)
     assert result(jaccard.near_duplicates(docs)) == brute(groups())
