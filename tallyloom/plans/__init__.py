@@ -1 +1 @@
-
+"""The derived star and the registered queries."""
