@@ -40,8 +40,8 @@ def digest(tokens: np.ndarray) -> int:
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    """Bitmap with four to eight bits an element, a power of two from 64 to 16384: few elements share a bit."""
-    bits = 1 << min(14, max(6, int(len(tokens)).bit_length() + 2))
+    """Bitmap with two to four bits an element, a power of two from 64 to 16384: few elements share a bit."""
+    bits = 1 << min(14, max(6, int(len(tokens)).bit_length() + 1))
     flags = np.zeros(bits, bool)
     flags[(mix(tokens) & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes()
@@ -373,8 +373,10 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     kind = docs.schema["doc_id"].dataType.simpleString()
     sets = cut(rows.mapInArrow(_sets, f"doc_id {kind}, text_hash long, n long, k long, sig binary"))
     least = sets.filter("k is not null and doc_id is not null").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"))
-    classes = cut(least.join(sets.filter("sig is not null").select("doc_id", "k", "sig"), ["doc_id", "k"]).dropDuplicates(["k"]))
     tiled = cut(tiles(docs, common_tokens(docs)))
+    # Only classes that share a token with another one are ever compared.
+    known = least.join(tiled.select("k").distinct(), "k", "left_semi")
+    classes = cut(known.join(sets.select("doc_id", "k", "sig"), ["doc_id", "k"]).dropDuplicates(["k"]))
     tried = [_ordered(tiled, c) for c in ("hub0", "hub1", "before")]
     found = links(tried[0], docs, classes)
     for pairs in tried[1:]:
