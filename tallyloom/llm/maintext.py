@@ -4,7 +4,8 @@ The standard library's streaming parser turns a page into lines, one for each bl
 characters and of tags. The ratios of the two are smoothed by a Gaussian along the page, and a threshold halfway
 between the means of their two clusters tells content lines from the rest. The content region is the container that
 holds most of the content lines' text; all of its lines belong to the article, short ones too, but those inside
-elements that the page itself marks as something else: menus, forms, adverts, comments and the like.
+elements that the page itself marks as something else: menus, forms, adverts, comments and the like. A mark on the
+wrapper of most of the page's content counts for nothing.
 """
 
 from __future__ import annotations
@@ -23,12 +24,23 @@ ASIDE = frozenset(
     "nav header footer aside form script style noscript template iframe object svg canvas audio video button select "
     "textarea input dialog menu title head".split()
 )
-#: Words in class, id or role that say the same of any element.
-ASIDE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|respond|disqus|cookies?|consent|notice|notification|"
-    r"popup|modal|overlay|newsletter|subscribe|signup|login|menu|navbar|nav|navigation|pagination|pager|sidebar|side|"
-    r"widget|related|recommended|promo\w*|sponsor\w*|share|sharing|social|toolbar|masthead|footer|header|"
-    r"contentinfo|complementary|alert|search|skip)(?:$|[\s_-])",
+#: Elements that may stand in a head; any other one ends it.
+HEAD = frozenset("head base basefont bgsound link meta title noscript noframes style script template".split())
+#: Words that say the same of any element, if a whole name in its class, id or role consists of them and of QUALIFIERS:
+#: sidebar or cookie-notice, but not has-sidebar, comments-open or header-fixed, which tell something of a wrapper.
+ASIDE_WORDS = (
+    r"(?:ads?|advert[a-z]*|banner|breadcrumbs?|comments?|respond|disqus|cookies?|consent|notice|notification|popup|modal|"
+    r"overlay|newsletter|subscribe|signup|login|menu|navbar|nav|navigation|pagination|pager|sidebar|side|widget|related|"
+    r"recommended|promo[a-z]*|sponsor[a-z]*|share|sharing|social|toolbar|masthead|footer|header|contentinfo|complementary|"
+    r"alert|search|skip)"
+)
+QUALIFIERS = (
+    r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|sub|mobile|user|post|article|entry|story|text|"
+    r"bar|box|block|area|section|column|col|row|list|item|links?|buttons?|icons?|media|form|panel|wrap|wrapper|container|"
+    r"inner|outer|title|posts|articles|stories|slot|unit|space|leaderboard|google|div|gpt|thread|reply|\d+)"
+)
+ASIDE_NAME = re.compile(
+    rf"(?!(?:page|post|article|entry|story)[_-]header$)(?:{QUALIFIERS}[_-]+)*{ASIDE_WORDS}(?:[_-]+(?:{ASIDE_WORDS}|{QUALIFIERS}))*|skip[_-].+",
     re.IGNORECASE,
 )
 #: Elements that begin and end a line.
@@ -41,6 +53,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements that the start of the keyed one ends, if they are open within the same container.
 CLOSES = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "p"}}
 ARTICLE = frozenset({"article", "main"})
+#: Kinds of elements: what a MARKED one holds is no part of the article unless that is most of the page, what a HIDDEN
+#: one holds never is.
+PLAIN, MARKED, HIDDEN = range(3)
 SIGMA = 1.0
 RADIUS = 2
 
@@ -49,11 +64,25 @@ RADIUS = 2
 class Line:
     text: str
     tags: int
-    aside: bool
+    hidden: bool
+    #: Numbers of the open MARKED elements.
+    marks: tuple[int, ...]
     #: Open containers from the outermost, as (number, is it an article).
     path: tuple[tuple[int, bool], ...]
 
 
+def kind_of(tag: str, attrs: list[tuple[str, str | None]]) -> int:
+    """A form is MARKED only, as some pages stand in one as a whole; html, body and articles aren't marked by names."""
+    if tag in ASIDE and tag != "form" or any(k == "hidden" for k, _ in attrs):
+        return HIDDEN
+    if tag == "form":
+        return MARKED
+    if tag in ("html", "body") or tag in ARTICLE:
+        return PLAIN
+    named = any(v and k in ("class", "id", "role") and any(map(ASIDE_NAME.fullmatch, v.split())) for k, v in attrs)
+    return MARKED if named else PLAIN
+
+
 class Lines(HTMLParser):
     """Collects a page's lines from parser events."""
 
@@ -64,8 +93,8 @@ class Lines(HTMLParser):
         self.tags = 0
         #: Text of the line that an inline aside interrupts.
         self.before_aside: list[str] = []
-        #: Open elements that matter: (tag, number, is it aside).
-        self.open: list[tuple[str, int, bool]] = []
+        #: Open elements that matter: (tag, number, kind).
+        self.open: list[tuple[str, int, int]] = []
         self.asides = 0
         self.numbers = 0
 
@@ -76,15 +105,27 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             path = tuple((n, t in ARTICLE) for t, n, _ in self.open if t in BLOCK and t != "p")
-            self.lines.append(Line(text, self.tags, self.asides > 0, path))
+            marks = tuple(n for _, n, k in self.open if k == MARKED)
+            self.lines.append(Line(text, self.tags, any(k == HIDDEN for _, _, k in self.open), marks, path))
         self.parts, self.tags = [], 0
 
     def pop(self, at: int) -> None:
-        self.asides -= sum(a for _, _, a in self.open[at:])
+        self.asides -= sum(k != PLAIN for _, _, k in self.open[at:])
         del self.open[at:]
 
+    def end_head(self, at: int) -> None:
+        """What isn't of a head ends it, as </head> may be left out."""
+        self.flush()
+        self.pop(at)
+        if not self.asides:
+            self.parts, self.before_aside = self.before_aside, []
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
+        if tag == "body" or tag not in HEAD:
+            at = next((i for i, x in enumerate(self.open) if x[0] == "head"), None)
+            if at is not None and (tag == "body" or at == len(self.open) - 1):
+                self.end_head(at)
         if tag in VOID:
             if tag == "hr":
                 self.flush()
@@ -98,15 +139,13 @@ class Lines(HTMLParser):
                 self.pop(len(self.open) - 1)
         elif tag in ("td", "th"):
             self.parts.append(" ")
-        aside = tag in ASIDE or (tag not in ("html", "body") and any(
-            v and k in ("class", "id", "role") and ASIDE_WORDS.search(v) or k in ("hidden",) for k, v in attrs
-        ))
-        if tag in BLOCK or aside:
-            if aside and tag not in BLOCK:
+        kind = kind_of(tag, attrs)
+        if tag in BLOCK or kind != PLAIN:
+            if kind != PLAIN and tag not in BLOCK:
                 self.flush_inline()
             self.numbers += 1
-            self.open.append((tag, self.numbers, aside))
-            self.asides += aside
+            self.open.append((tag, self.numbers, kind))
+            self.asides += kind != PLAIN
 
     def flush_inline(self) -> None:
         """An inline element that isn't content: the line goes on after it, without its text."""
@@ -126,6 +165,8 @@ class Lines(HTMLParser):
             self.parts, self.before_aside = [*self.before_aside, " "], []
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self.end_head(len(self.open) - 1)
         self.parts.append(data)
 
 
@@ -151,13 +192,24 @@ def threshold(values: list[float], rounds: int = 20) -> float:
     return (low + high) / 2
 
 
+def usable_lines(lines: list[Line], high: list[int]) -> list[int]:
+    """Lines that aren't aside. A mark on what holds most of the high lines' text is one of a wrapper and doesn't count."""
+    high = [i for i in high if not lines[i].hidden]
+    weight: dict[int, int] = {}
+    for i in high:
+        for m in lines[i].marks:
+            weight[m] = weight.get(m, 0) + len(lines[i].text)
+    total = sum(len(lines[i].text) for i in high)
+    return [i for i, x in enumerate(lines) if not x.hidden and all(2 * weight.get(m, 0) > total for m in x.marks)]
+
+
 def main_lines(lines: list[Line]) -> list[Line]:
     """The lines of the content region, in page order."""
     if not lines:
         return []
     values = smoothed([len(x.text) / max(1, x.tags) for x in lines])
     cut = threshold(values)
-    usable = [i for i, x in enumerate(lines) if not x.aside]
+    usable = usable_lines(lines, [i for i in range(len(lines)) if values[i] >= cut])
     content = [i for i in usable if values[i] >= cut] or usable
     weight: dict[int, int] = {}
     articles: dict[int, int] = {}

@@ -119,6 +119,26 @@ def test_main_text_of_odd_pages(spark):
     assert (text[2], text[3], text[4], text[5], text[7]) == ("", "", "plain", "", "x") and text[6] == "\n".join("a" * 3000)
 
 
+LONG = "A sentence of the article that is long enough to be told from a menu. " * 6
+
+
+def test_main_text_without_end_of_head():
+    for start in ("<body>", "<div>", "<b>", "", "<body class='has-sidebar'><article>"):
+        assert maintext.main_text(f"<html><head><title>t</title><meta charset=x>{start}{LONG}<p>End.") == f"{LONG.strip()}\nEnd."
+    assert maintext.main_text(f"<head><title>t</title><noscript><p>no</p></noscript></head><p>{LONG}") == LONG.strip()
+
+
+@pytest.mark.parametrize("wrap", (
+    'div class="content has-sidebar"', 'article class="post comments-open"', 'div id="page" class="site header-fixed"',
+    'article class="widget"', 'main id="search"', 'div class="widget"', 'form id="aspnetForm"', 'div class="right-sidebar"',
+))
+def test_main_text_in_marked_wrapper(wrap):
+    page = f"<html><body><{wrap}><h1>Title</h1><p>{LONG}</p><div class='ad-slot-1'>Buy</div><p>Short.</p><p>{LONG}</p></{wrap.split()[0]}>"
+    for mark in ('class="sidebar"', 'id="cookie-notice"', 'class="x site-header"', 'id="comments"', 'class="related-posts"', 'role="search"'):
+        page += f"<div {mark}><p>Not of the article.</p></div>"
+    assert maintext.main_text(page) == f"Title\n{LONG.strip()}\nShort.\n{LONG.strip()}"
+
+
 # --- 10 ---
 
 
