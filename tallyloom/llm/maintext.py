@@ -3,13 +3,14 @@
 The standard library's streaming parser turns a page into lines, one for each block of text, each with its number of
 characters and of tags. The ratios of the two are smoothed by a Gaussian along the page, and a threshold halfway
 between the means of their two clusters tells content lines from the rest. The content region is the container that
-holds most of the content lines' text; all of its lines belong to the article, short ones too, but those inside
+holds all content lines, with the headings and paragraphs beside it; all of its lines belong to the article, short ones too, but those inside
 elements that the page itself marks as something else: menus, forms, adverts, comments and the like. A mark on the
 wrapper of most of the page's content counts for nothing.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -53,6 +54,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements that the start of the keyed one ends, if they are open within the same container.
 CLOSES = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "p"}}
 ARTICLE = frozenset({"article", "main"})
+#: Elements that can be the content region; lists, tables, quotations and the like are parts of one.
+REGION = ARTICLE | frozenset("html body div section center form fieldset details".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = frozenset("p blockquote pre li dd table".split())
 #: Kinds of elements: what a MARKED one holds is no part of the article unless that is most of the page, what a HIDDEN
 #: one holds never is.
 PLAIN, MARKED, HIDDEN = range(3)
@@ -67,8 +72,12 @@ class Line:
     hidden: bool
     #: Numbers of the open MARKED elements.
     marks: tuple[int, ...]
-    #: Open containers from the outermost, as (number, is it an article).
+    #: Open elements of REGION from the outermost, as (number, is it an article).
     path: tuple[tuple[int, bool], ...]
+    #: Open elements that begin and end a line.
+    within: frozenset[str]
+    #: Is most of it in links?
+    linked: bool
 
 
 def kind_of(tag: str, attrs: list[tuple[str, str | None]]) -> int:
@@ -91,6 +100,8 @@ class Lines(HTMLParser):
         self.lines: list[Line] = []
         self.parts: list[str] = []
         self.tags = 0
+        self.in_link = False
+        self.link_chars = 0
         #: Text of the line that an inline aside interrupts.
         self.before_aside: list[str] = []
         #: Open elements that matter: (tag, number, kind).
@@ -104,10 +115,11 @@ class Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            path = tuple((n, t in ARTICLE) for t, n, _ in self.open if t in BLOCK and t != "p")
+            path = tuple((n, t in ARTICLE) for t, n, _ in self.open if t in REGION)
+            within = frozenset(t for t, _, _ in self.open)
             marks = tuple(n for _, n, k in self.open if k == MARKED)
-            self.lines.append(Line(text, self.tags, any(k == HIDDEN for _, _, k in self.open), marks, path))
-        self.parts, self.tags = [], 0
+            self.lines.append(Line(text, self.tags, any(k == HIDDEN for _, _, k in self.open), marks, path, within, 2 * self.link_chars > len(text)))
+        self.parts, self.tags, self.link_chars = [], 0, 0
 
     def pop(self, at: int) -> None:
         self.asides -= sum(k != PLAIN for _, _, k in self.open[at:])
@@ -126,6 +138,7 @@ class Lines(HTMLParser):
             at = next((i for i, x in enumerate(self.open) if x[0] == "head"), None)
             if at is not None and (tag == "body" or at == len(self.open) - 1):
                 self.end_head(at)
+        self.in_link |= tag == "a"
         if tag in VOID:
             if tag == "hr":
                 self.flush()
@@ -157,6 +170,8 @@ class Lines(HTMLParser):
         at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
         if tag in BLOCK:
             self.flush()
+        if tag == "a":
+            self.in_link = False
         if at is None:
             return
         before = self.asides
@@ -168,6 +183,8 @@ class Lines(HTMLParser):
         if self.open and self.open[-1][0] == "head" and data.strip():
             self.end_head(len(self.open) - 1)
         self.parts.append(data)
+        if self.in_link:
+            self.link_chars += len(data.strip())
 
 
 def smoothed(ratios: list[float]) -> list[float]:
@@ -203,30 +220,46 @@ def usable_lines(lines: list[Line], high: list[int]) -> list[int]:
     return [i for i, x in enumerate(lines) if not x.hidden and all(2 * weight.get(m, 0) > total for m in x.marks)]
 
 
+def joined(lines: list[Line], usable: list[int], inside: set[int], tagged: bool) -> set[int]:
+    """Lines around the region that belong to it: paragraphs and headings up to the next line of links, with what lies
+    between them, unless an article's tags bound the region; and the h1 before it, with what follows that isn't links."""
+    before, after = [i for i in usable if i < min(inside)][::-1], [i for i in usable if i > max(inside)]
+    out: set[int] = set()
+    if not tagged:
+        for side, ends in ((before, PARAGRAPHS | HEADINGS), (after, PARAGRAPHS)):
+            run = list(itertools.takewhile(lambda i: not lines[i].linked, side))
+            out.update(run[: max((k + 1 for k, i in enumerate(run) if lines[i].within & ends), default=0)])
+    if not any("h1" in lines[i].within for i in inside | out):
+        title = next((i for i in before if "h1" in lines[i].within and not lines[i].linked), None)
+        if title is not None:
+            out.update(i for i in before if i >= title and not lines[i].linked)
+    return out
+
+
 def main_lines(lines: list[Line]) -> list[Line]:
     """The lines of the content region, in page order."""
     if not lines:
         return []
-    values = smoothed([len(x.text) / max(1, x.tags) for x in lines])
+    ratios = [len(x.text) / max(1, x.tags) for x in lines]
+    values = smoothed(ratios)
     cut = threshold(values)
     usable = usable_lines(lines, [i for i in range(len(lines)) if values[i] >= cut])
-    content = [i for i in usable if values[i] >= cut] or usable
-    weight: dict[int, int] = {}
+    if not usable:
+        return []
+    # Links that only the lines around lift over the threshold are none of the content.
+    content = [i for i in usable if values[i] >= cut and (ratios[i] >= cut or not lines[i].linked)] or usable
     articles: dict[int, int] = {}
     for i in content:
-        for n, article in lines[i].path:
-            weight[n] = weight.get(n, 0) + len(lines[i].text)
         outer = next((n for n, article in lines[i].path if article), None)
         if outer is not None:
             articles[outer] = articles.get(outer, 0) + len(lines[i].text)
-    total = sum(len(lines[i].text) for i in content)
     if articles:
         region = max(articles, key=lambda n: articles[n])
     else:
-        # The innermost container with nearly all of the content; a line's containers are numbered from outside in.
-        region = max((n for n in weight if 10 * weight[n] >= 9 * total), default=None)
-    inside = [i for i in usable if region is None or any(n == region for n, _ in lines[i].path)]
-    return [lines[i] for i in inside]
+        # The innermost container of all of the content; a line's containers are numbered from outside in.
+        region = max(set.intersection(*({n for n, _ in lines[i].path} for i in content)), default=None)
+    inside = {i for i in usable if region is None or any(n == region for n, _ in lines[i].path)}
+    return [lines[i] for i in sorted(inside | joined(lines, usable, inside, bool(articles)))]
 
 
 def main_text(html: str) -> str:

@@ -139,6 +139,23 @@ def test_main_text_in_marked_wrapper(wrap):
     assert maintext.main_text(page) == f"Title\n{LONG.strip()}\nShort.\n{LONG.strip()}"
 
 
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        (f"<body><h1>Title</h1><div class=intro><p>Few words.</p></div><div class=body><p>{LONG * 5}</p><p>{LONG * 5}</p></div>", ["Title", "Few words.", LONG * 5, LONG * 5]),
+        (f"<body><div><a>Home</a></div><div><a>News</a></div><div id=post><h1>Title</h1><div>By A. Writer</div><div class=text><p>{LONG}</p><p>{LONG}</p></div></div>", ["Title", "By A. Writer", LONG, LONG]),
+        *(
+            (f"<body><div><h2>Title</h2><p>Before.</p><{tag}>{LONG * 9}</{tag.split('>')[-1].strip('<')}><p>After.</p></div>", ["Title", "Before.", LONG * 9, "After."])
+            for tag in ("pre", "ul><li", "table><tr><td", "blockquote", "blockquote><p")
+        ),
+        (f"<div><p>{LONG * 30}</p></div><div><p>{LONG * 2}</p></div><div><p>{LONG * 30}</p></div>", [LONG * 30, LONG * 2, LONG * 30]),
+        (f"<div><a>Home</a></div><div><p>{LONG}</p><p>{LONG}</p></div><div><h3>More</h3><ul><li><a>Another page</a></ul></div>", [LONG, LONG]),
+    ],
+)
+def test_main_text_around_the_innermost_container(page, wanted):
+    assert maintext.main_text(page).split("\n") == [w.strip() for w in wanted]
+
+
 # --- 10 ---
 
 
