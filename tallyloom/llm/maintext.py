@@ -2,16 +2,18 @@
 
 The standard library's streaming parser turns a page into lines, one for each block of text, each with its number of
 characters and of tags. The ratios of the two are smoothed by a Gaussian along the page, and a threshold halfway
-between the means of their two clusters tells content lines from the rest. The content region is the container that
-holds all content lines, with the headings and paragraphs beside it; all of its lines belong to the article, short ones too, but those inside
-elements that the page itself marks as something else: menus, forms, adverts, comments and the like. A mark on the
-wrapper of most of the page's content counts for nothing.
+between the means of their two clusters tells content lines from the rest. The content region is the innermost
+container that holds all content lines, or the articles that do, with the headings and paragraphs beside it. All of
+its lines belong to the article, short ones too, but those inside elements that the page itself marks as something
+else: menus, forms, adverts, comments and the like. A mark on the wrapper of most of the page's content counts for
+nothing.
 """
 
 from __future__ import annotations
 
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -61,6 +63,8 @@ PARAGRAPHS = frozenset("p blockquote pre li dd table".split())
 #: Kinds of elements: what a MARKED one holds is no part of the article unless that is most of the page, what a HIDDEN
 #: one holds never is.
 PLAIN, MARKED, HIDDEN = range(3)
+#: Factor on the smoothed ratio of lines in an article or main.
+BONUS = 1.3
 SIGMA = 1.0
 RADIUS = 2
 
@@ -182,6 +186,8 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1][0] == "head" and data.strip():
             self.end_head(len(self.open) - 1)
+        if self.open and self.open[-1][0] in ("script", "style"):
+            return  # code is no line; its ratio would set the threshold
         self.parts.append(data)
         if self.in_link:
             self.link_chars += len(data.strip())
@@ -210,21 +216,27 @@ def threshold(values: list[float], rounds: int = 20) -> float:
 
 
 def usable_lines(lines: list[Line], high: list[int]) -> list[int]:
-    """Lines that aren't aside. A mark on what holds most of the high lines' text is one of a wrapper and doesn't count."""
+    """Lines that aren't aside. A mark on what holds most of the high lines, and of their text, is one of a wrapper and
+    doesn't count."""
     high = [i for i in high if not lines[i].hidden]
-    weight: dict[int, int] = {}
+    chars: Counter[int] = Counter()
+    count: Counter[int] = Counter()
     for i in high:
         for m in lines[i].marks:
-            weight[m] = weight.get(m, 0) + len(lines[i].text)
+            chars[m] += len(lines[i].text)
+            count[m] += 1
     total = sum(len(lines[i].text) for i in high)
-    return [i for i, x in enumerate(lines) if not x.hidden and all(2 * weight.get(m, 0) > total for m in x.marks)]
+    wrappers = {m for m in chars if 2 * chars[m] > total and 2 * count[m] > len(high)}
+    return [i for i, x in enumerate(lines) if not x.hidden and wrappers.issuperset(x.marks)]
 
 
 def joined(lines: list[Line], usable: list[int], inside: set[int], tagged: bool) -> set[int]:
     """Lines around the region that belong to it: paragraphs and headings up to the next line of links, with what lies
-    between them, unless an article's tags bound the region; and the h1 before it, with what follows that isn't links."""
+    between them, unless an article's tags bound the region; those between several articles; and the h1 before it, with
+    what follows that isn't links."""
     before, after = [i for i in usable if i < min(inside)][::-1], [i for i in usable if i > max(inside)]
-    out: set[int] = set()
+    between = [i for i in usable if min(inside) < i < max(inside) and i not in inside]
+    out = {i for i in between if not lines[i].linked and lines[i].within & (PARAGRAPHS | HEADINGS)}
     if not tagged:
         for side, ends in ((before, PARAGRAPHS | HEADINGS), (after, PARAGRAPHS)):
             run = list(itertools.takewhile(lambda i: not lines[i].linked, side))
@@ -241,25 +253,23 @@ def main_lines(lines: list[Line]) -> list[Line]:
     if not lines:
         return []
     ratios = [len(x.text) / max(1, x.tags) for x in lines]
-    values = smoothed(ratios)
+    articles = [next((n for n, article in x.path if article), None) for x in lines]
+    values = [v * (1 if a is None else BONUS) for v, a in zip(smoothed(ratios), articles, strict=True)]
     cut = threshold(values)
     usable = usable_lines(lines, [i for i in range(len(lines)) if values[i] >= cut])
     if not usable:
         return []
     # Links that only the lines around lift over the threshold are none of the content.
-    content = [i for i in usable if values[i] >= cut and (ratios[i] >= cut or not lines[i].linked)] or usable
-    articles: dict[int, int] = {}
-    for i in content:
-        outer = next((n for n, article in lines[i].path if article), None)
-        if outer is not None:
-            articles[outer] = articles.get(outer, 0) + len(lines[i].text)
-    if articles:
-        region = max(articles, key=lambda n: articles[n])
-    else:
+    content = [i for i in usable if values[i] >= cut and (ratios[i] >= cut or not lines[i].linked)]
+    content = content or [i for i in usable if not lines[i].linked] or usable
+    held = {articles[i] for i in content}
+    tagged = None not in held
+    if not tagged:
         # The innermost container of all of the content; a line's containers are numbered from outside in.
-        region = max(set.intersection(*({n for n, _ in lines[i].path} for i in content)), default=None)
-    inside = {i for i in usable if region is None or any(n == region for n, _ in lines[i].path)}
-    return [lines[i] for i in sorted(inside | joined(lines, usable, inside, bool(articles)))]
+        held = set.intersection(*({n for n, _ in lines[i].path} for i in content))
+        held = {max(held)} if held else set()
+    inside = {i for i in usable if not held or any(n in held for n, _ in lines[i].path)}
+    return [lines[i] for i in sorted(inside | joined(lines, usable, inside, tagged))]
 
 
 def main_text(html: str) -> str:

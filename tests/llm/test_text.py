@@ -156,6 +156,30 @@ def test_main_text_around_the_innermost_container(page, wanted):
     assert maintext.main_text(page).split("\n") == [w.strip() for w in wanted]
 
 
+@pytest.mark.parametrize("tag", ("div", "section"))
+def test_main_text_without_article_tags(spark, tag):
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    assert len(pages) > 20
+    for html in pages:
+        assert "<article>" in html
+        plain = html.replace("<article>", f"<{tag}>").replace("</article>", f"</{tag}>").replace("<nav>", "<div>").replace("</nav>", "</div>")
+        assert maintext.main_text(plain) == maintext.main_text(html)
+
+
+def test_ratios_choose_among_articles():
+    parts = f"<article><h2>One</h2><p>{LONG}</p></article><h2>Between</h2><article><p>Short.</p><p>{LONG * 2}</p></article>"
+    wanted = f"One\n{LONG.strip()}\nBetween\nShort.\n{(LONG * 2).strip()}"
+    teasers = "<article><h4><a>Other page</a></h4></article>" * 3
+    assert maintext.main_text(f"<div><a>Home</a></div>{parts}<div><a>x</a></div>{teasers}") == wanted
+    text = "".join(f"<p>{LONG * 2}</p>" for _ in range(4))
+    code = f"<script>{'x = 1;' * 9999}</script>"
+    outside = maintext.main_text(f"<div>{text}</div>{code}<div><a>a</a></div><div><a>b</a></div>{teasers}")
+    assert outside == "\n".join([(LONG * 2).strip()] * 4)
+    menu = "<div><a>Home</a></div><div><a>News</a></div><div><a>Mail</a></div>"
+    both = maintext.main_text(f"{menu}<section><div><p>{LONG * 3}</p><p>{LONG * 3}</p></div><article><p>{LONG * 3}</p></article></section>{menu}")
+    assert both == "\n".join([(LONG * 3).strip()] * 3)
+
+
 # --- 10 ---
 
 
