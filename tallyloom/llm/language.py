@@ -30,8 +30,8 @@ CALIBRATION_ROWS = 2000
 
 
 def _letter_table() -> np.ndarray:
-    """1 for code points below 65536 that are letters; those above count as letters."""
-    return np.array([chr(i).isalpha() for i in range(1 << 16)])
+    """True for the code points that are letters."""
+    return np.array([chr(i).isalpha() for i in range(0x110000)])
 
 
 LETTERS = _letter_table()
@@ -43,7 +43,7 @@ def grams(text: str) -> np.ndarray | None:
     None if there is no letter.
     """
     codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4")
-    letter = LETTERS[np.minimum(codes, 65535)] | (codes > 65535)
+    letter = LETTERS[codes]
     if not letter.any():
         return None
     keep = letter.copy()

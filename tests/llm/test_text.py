@@ -46,6 +46,15 @@ def test_language_odd_rows(spark, docs):
     assert one.predict("hello there") == ("en", 1.0, False)
 
 
+def test_symbols_beyond_the_first_plane_are_no_letters(spark, docs):
+    rows = [(5, "\U0001f600" * 5), (6, "123 \U0001f600"), (7, "\U0010ffff"), (8, "\U00020000"), (9, "\U0001d41a")]
+    model = language.fit(docs)
+    got = {r.doc_id: r for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert all((got[i].lang_pred, got[i].score, got[i].ambiguous) == ("und", 0, True) for i in (5, 6, 7))
+    assert all(got[i].lang_pred in model.languages for i in (8, 9))
+    assert (language.grams("the \U0001f600 end") == language.grams("the . end")).all()
+
+
 def test_codewords_are_apart():
     for n in (2, 3, 4, 6, 9, 40):
         code = language.codebook(n)
