@@ -23,7 +23,7 @@ from tallyloom.llm.shingles import windows, word_hashes
 
 #: Words of a passage, and of the head that suffixes are matched by.
 LEAST, HEAD = 50, 16
-#: Documents that share a head up to which its suffixes are compared in one group.
+#: Suffixes with the same head, of one document or many, up to which they are compared in one group.
 GROUP = 2048
 
 
@@ -68,18 +68,22 @@ def _owned(words: np.ndarray, at: np.ndarray, least: int, head: int) -> list[tup
 def _heads(least: int, head: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(retained(word_hashes(t.as_py() or ""), least, head)[1]).view(np.int64) for t in batch.column("text")]
-            sizes = [len(f) for f in found]
+            found = [np.unique(retained(word_hashes(t.as_py() or ""), least, head)[1], return_counts=True) for t in batch.column("text")]
+            sizes = [len(f) for f, _ in found]
             rows = np.repeat(np.arange(len(found)), sizes)
-            heads = np.concatenate(found) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(heads, pa.int64()), batch.column("doc_id").take(pa.array(rows))], names=["head", "doc_id"])
+            heads = np.concatenate([f.view(np.int64) for f, _ in found]) if found else np.zeros(0, np.int64)
+            times = np.concatenate([n for _, n in found]) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(heads, pa.int64()), batch.column("doc_id").take(pa.array(rows)), pa.array(times.astype(np.int32), pa.int32())],
+                names=["head", "doc_id", "times"],
+            )
 
     return run
 
 
 def _passages(least: int, head: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each shared suffix of a document: head, documents with it, doc_id, start and hashes of its passages."""
+        """A row for each shared suffix of a document: head, suffixes with it, doc_id, start and hashes of its passages."""
         kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
         for batch in batches:
             for doc, text, shared in zip(*(batch.column(c) for c in ("doc_id", "text", "shared")), strict=True):
@@ -146,14 +150,14 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, head: int = HEAD, gro
     whose passages of `least` words stand in other documents too; first_doc_id is the least doc_id with one of them.
 
     Stretches that overlap or touch are one. Texts that are null, empty or shorter have none; rows without doc_id
-    aren't compared; rows that repeat a doc_id are one document. Suffixes whose head up to `group` documents share are
-    compared in one place; for more frequent heads each passage is a row of its own, and rows are folded to the least
+    aren't compared; rows that repeat a doc_id are one document. Suffixes are compared in one place if up to `group`
+    of them have the same head; for more frequent heads each passage is a row of its own, and rows are folded to the least
     and greatest doc_id before they are shuffled, so no group grows with the data and none is cut short.
     """
     known = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    heads = cut(known.mapInArrow(_heads(least, head), "head long, doc_id long"))
-    counted = heads.groupBy("head").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = heads.join(counted.filter("low < high").select("head", "n"), "head")
+    heads = cut(known.mapInArrow(_heads(least, head), "head long, doc_id long, times int"))
+    counted = heads.groupBy("head").agg(F.sum("times").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    shared = heads.drop("times").join(counted.filter("low < high").select("head", "n"), "head")
     wanted = shared.groupBy("doc_id").agg(F.collect_set(F.struct("head", "n")).alias("shared"))
     rows = known.join(wanted, "doc_id").mapInArrow(_passages(least, head), "head long, n long, doc_id long, start long, passages array<long>")
     rows = cut(rows)

@@ -75,3 +75,20 @@ def test_every_passage_has_one_suffix():
         owned = repeats._owned(words, at, repeats.LEAST, repeats.HEAD)
         assert sorted(i for lo, hi in owned for i in range(lo, hi)) == list(range(451))
         assert all(lo >= p - 34 and hi - 1 <= p for p, (lo, hi) in zip(at.tolist(), owned, strict=True) if hi > lo)
+
+
+def test_groups_count_occurrences(spark, monkeypatch):
+    """A head that few documents hold many times is no group of its own, and the rows stay the same."""
+    rows = [(d, f"start{d} " + "junk " * 400 + f"end{d} " + " ".join(f"w{i}" for i in range(60))) for d in (1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = sorted(tuple(r) for r in repeats.repeated_passages(docs, group=10**6).collect())
+    real = repeats._compared
+
+    def checked(batches):
+        kept = list(batches)
+        heads = [h for b in kept for h in b.column("head").to_pylist()]
+        assert all(heads.count(h) <= 100 for h in set(heads))
+        yield from real(iter(kept))
+
+    monkeypatch.setattr(repeats, "_compared", checked)
+    assert sorted(tuple(r) for r in repeats.repeated_passages(docs, group=100).collect()) == wanted and len(wanted) >= 6
