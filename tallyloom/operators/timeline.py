@@ -159,10 +159,14 @@ def ready_ahead(axis: DataFrame, key: str, time: str, ready: str, count: int) ->
 
 
 def limited(axis: DataFrame, key: str, time: str, low: Column, high: Column) -> DataFrame:
-    """axis between the times that low and high seek, both included."""
-    times = F.sort_array(F.collect_set(time).over(Window.partitionBy(key)))
-    bound = axis.withColumns({"_low": seek(times, low), "_high": seek(times, high)})
-    return bound.filter(F.col(time).between(F.col("_low"), F.col("_high"))).drop("_low", "_high")
+    """axis between the times that low and high seek, both included. low and high are the same for all rows."""
+
+    def sought(bound: Column) -> Column:
+        return F.when(bound.isNotNull(), F.coalesce(F.max(F.when(F.col(time) <= bound, F.col(time))), F.min(time)))
+
+    bounds = axis.groupBy(F.col(key).alias("_key")).agg(sought(low).alias("_low"), sought(high).alias("_high"))
+    bound = axis.join(bounds, F.col(key).eqNullSafe(F.col("_key")))
+    return bound.filter(F.col(time).between(F.col("_low"), F.col("_high"))).select(*axis.columns)
 
 
 def trailing_count(rows: DataFrame, key: str, time: str, seconds: int) -> DataFrame:

@@ -128,3 +128,14 @@ def test_dossiers(spark):
     assert docs["Rare"] == {"surname": "db"} and docs["bad"] == {"surname": "error"}
     assert len(docs["O'Neil"]["stats"]) == 14 and docs["O'Neil"]["stats"][9:11] == [["No data"], 7]
     assert docs["O'Neil"]["years"] == [1851, 1911, 1998, 2016]
+
+
+def test_limited_gathers_no_key_in_one_row(spark):
+    axis = spark.sql("SELECT CASE WHEN id < 90 THEN 'a' WHEN id < 95 THEN 'b' END AS k, timestamp_seconds(id) AS t FROM range(100) UNION ALL SELECT 'a', NULL")
+    at = lambda s: F.timestamp_seconds(F.lit(s))
+    got = timeline.limited(axis, "k", "t", at(10), at(92))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "Window" not in plan
+    want = [("a", i) for i in range(10, 90)] + [("b", i) for i in range(90, 93)] + [(None, 95)]
+    assert sorted(((r.k, int(r.s)) for r in got.select("k", F.unix_seconds("t").alias("s")).collect()), key=str) == sorted(want, key=str)
+    assert timeline.limited(axis, "k", "t", F.lit(None).cast("timestamp"), at(50)).count() == 0
