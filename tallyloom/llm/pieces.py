@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame
 
 #: SentencePiece's stand-in for a space.
 GAP = "▁"
-NORMAL, BYTE = 1, 6
+NORMAL, USER_DEFINED = 1, 4
 
 
 class Encoder:
     """One model's pieces, ready to encode. Runs inside tasks, once for each Python worker."""
 
-    def __init__(self, model: bytes, cached_words: int = 1_000_000):
+    def __init__(self, model: bytes, cached_words: int = 100_000, cached_pairs: int = 200_000):
         import ahocorasick
         from sentencepiece import SentencePieceProcessor
         from sentencepiece import sentencepiece_model_pb2 as proto
@@ -36,6 +36,8 @@ class Encoder:
         plain = not norm.precompiled_charsmap and norm.add_dummy_prefix and not norm.remove_extra_whitespaces
         if train.model_type != proto.TrainerSpec.BPE or not (plain and norm.escape_whitespaces and train.byte_fallback):
             raise ValueError("needs a BPE model with identity normalisation, a dummy prefix and byte fallback")
+        if any(p.type == USER_DEFINED for p in spec.pieces):
+            raise ValueError("user-defined pieces aren't supported")
         self.library = SentencePieceProcessor(model_proto=model)
         self.score = {p.piece: p.score for p in spec.pieces if p.type == NORMAL}
         word = lambda i: i.to_bytes(4, "little")
@@ -57,8 +59,10 @@ class Encoder:
         self.words = re.compile(f"{GAP}+[^{GAP}{self.alone}]*|[^{GAP}{self.alone}]+" + (f"|[{self.alone}]" if self.alone else ""))
         self.compatible: dict[str, dict[str, bool]] = {}
         self.pairs = 0
+        #: Ids of words, those met lately and those before: when the first is full it takes the other's place.
         self.cache: dict[str, bytes] = {}
-        self.cached_words = cached_words
+        self.older: dict[str, bytes] = {}
+        self.cached_words, self.cached_pairs = cached_words, cached_pairs
 
     def merge(self, text: str) -> list[str]:
         """Pieces by merging: the pair with the best score first, the leftmost of equals."""
@@ -84,7 +88,7 @@ class Encoder:
         return [s for s in symbols if s]
 
     def _fit(self, left: str, right: str) -> bool:
-        if self.pairs >= 1_000_000:
+        if self.pairs >= self.cached_pairs:
             self.compatible.clear()
             self.pairs = 0
         self.pairs += 1
@@ -132,10 +136,11 @@ class Encoder:
         for word in self.words.findall(GAP + text.replace(" ", GAP)) if text else ():
             ids = cache.get(word)
             if ids is None:
-                ids = self._ids(word)
-                if len(word) < 64:
+                ids = self.older.get(word) or self._ids(word)
+                if len(word) < 32:
                     if len(cache) >= self.cached_words:
-                        cache.clear()
+                        self.older, self.cache = cache, {}
+                        cache = self.cache
                     cache[word] = ids
             out.append(ids)
         out.append(self.end)
@@ -197,7 +202,11 @@ def encoded(docs: DataFrame, model: bytes) -> DataFrame:
 
 
 def digests(docs: DataFrame, model: bytes) -> DataFrame:
-    """doc_id, number of ids, and digests of ids and decoded text."""
+    """doc_id, number of ids, and digests of ids and decoded text.
+
+    Null text counts as empty, whose ids are begin and end; repeated rows and null doc_ids stay; other columns aren't
+    read. Narrow, and a worker holds the encoder and bounded caches (some 70 MB) besides the rows at hand.
+    """
     sha = lambda b: hashlib.sha256(b).hexdigest()
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
     return _mapped(docs, model, schema, lambda ids, text: (len(ids) // 4, sha(ids), sha(text.encode("utf-8", "surrogatepass"))))
