@@ -6,15 +6,19 @@ So sets meet in tiles, one for each such token, sorted by size. The order puts t
 which keeps common passages out of the tiles. Tiles are worked off twice. First every set is tried with two hubs of
 its size band in each tile and with its neighbour by size, which links groups of copies without pairing their members
 with each other. Then the tiles that still hold several components are thrown together by their least component and
-size band, cut into blocks, and the bitmap signatures of all pairs of different components in them compared in place.
-Every pair is bounded by the bits of its signatures, and only what the bound lets through is intersected exactly.
+size band as far as that saves comparisons, cut into blocks, and the bitmap signatures of all pairs of different
+components in them compared in place, if the smaller set has one of the tile's tokens among its first ones. Every pair
+is bounded by the bits of its signatures, and only what the bound lets through is intersected exactly.
 
-Texts with equal sets are one class, known by the set's 64-bit digest, from the start.
+Texts with equal sets are one class from the start, known by half of the set's 128-bit digest. The other half is
+compared too; should two sets ever share the first half, all digests are drawn anew.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import cut
-from tallyloom.llm.shingles import mix, shingle_set
+from tallyloom.llm.common import cut, drop
+from tallyloom.llm.shingles import mix, shingle_sets
 
 #: Tokens that come last in the order, at most: 8 bytes each in every task.
 COMMON_TOKENS = 50_000
@@ -31,12 +35,15 @@ COMMON_TOKENS = 50_000
 BLOCK = 2048
 #: Rows of a table that is broadcast, at most; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
+#: Sets that are intersected with one other in a row.
+GROUP = 256
 BAND = np.log(4 / 3)
 
 
-def digest(tokens: np.ndarray) -> int:
-    """Class of a set, as a signed 64-bit number."""
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+def digest(tokens: np.ndarray, seed: int = 0) -> tuple[int, int]:
+    """Class of a set, and a check that two sets of one class are equal, as signed 64-bit numbers."""
+    both = hashlib.blake2b(tokens.tobytes(), digest_size=16, salt=seed.to_bytes(8, "little")).digest()
+    return int.from_bytes(both[:8], "little", signed=True), int.from_bytes(both[8:], "little", signed=True)
 
 
 def signature(tokens: np.ndarray) -> bytes:
@@ -63,18 +70,33 @@ def _batch(columns: dict[str, tuple[object, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [shingle_set(t.as_py()) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays(
-            [
-                *(batch.column(c) for c in ("doc_id", "text_hash")),
-                pa.array([len(s) for s in found], pa.int64()),
-                pa.array([digest(s) if len(s) else None for s in found], pa.int64()),
-                pa.array([signature(s) if len(s) else None for s in found], pa.binary()),
-            ],
-            names=["doc_id", "text_hash", "n", "k", "sig"],
-        )
+def _parts(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that only some of its texts stand in memory twice."""
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
+def _texts(batch: pa.RecordBatch) -> list[str | None]:
+    return batch.column("text").to_pylist()
+
+
+def _sets(seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch):
+                found = list(shingle_sets(_texts(part)))
+                keys = [digest(s, seed) if len(s) else (None, None) for s in found]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c) for c in ("doc_id", "text_hash")),
+                        pa.array([len(s) for s in found], pa.int64()),
+                        pa.array([k for k, _ in keys], pa.int64()),
+                        pa.array([c for _, c in keys], pa.int64()),
+                        pa.array([signature(s) if len(s) else None for s in found], pa.binary()),
+                    ],
+                    names=["doc_id", "text_hash", "n", "k", "check", "sig"],
+                )
+
+    return run
 
 
 def _frequent(batches: Iterator[pa.RecordBatch], chunk: int = 1_000_000, least: int = 3) -> Iterator[pa.RecordBatch]:
@@ -91,9 +113,8 @@ def _frequent(batches: Iterator[pa.RecordBatch], chunk: int = 1_000_000, least:
 
     size = 0
     for batch in batches:
-        for text in batch.column("text"):
-            tokens = shingle_set(text.as_py())
-            if len(tokens) and (k := digest(tokens)) not in seen:
+        for tokens in shingle_sets(_texts(batch)):
+            if len(tokens) and (k := digest(tokens)[0]) not in seen:
                 seen.add(k)
                 waiting.append(tokens)
                 size += len(tokens)
@@ -111,7 +132,7 @@ def common_tokens(docs: DataFrame, most: int = COMMON_TOKENS) -> np.ndarray:
     return np.array([r.token for r in reversed(top)], np.int64).view(np.uint64)
 
 
-def _tokens(common: np.ndarray):
+def _tokens(common: np.ndarray, seed: int):
     order = np.argsort(common)
     table = common[order]
 
@@ -120,12 +141,11 @@ def _tokens(common: np.ndarray):
         seen: set[int] = set()
         for batch in batches:
             out: list[tuple[np.ndarray, int, np.ndarray]] = []
-            for text in batch.column("text"):
-                tokens = shingle_set(text.as_py())
+            for tokens in shingle_sets(_texts(batch)):
                 n = len(tokens)
-                if not n or (k := digest(tokens)) in seen:
+                if not n or (k := digest(tokens, seed)[0]) in seen:
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < 200_000:
                     seen.add(k)
                 at = np.searchsorted(table, tokens)
                 rank = np.where(table[np.minimum(at, len(table) - 1)] == tokens, order[np.minimum(at, len(table) - 1)] + 1, 0) if len(table) else np.zeros(n, int)
@@ -193,18 +213,18 @@ def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made(held, np.array([True]))
 
 
-def tiles(docs: DataFrame, common: np.ndarray) -> DataFrame:
+def tiles(docs: DataFrame, common: np.ndarray, seed: int = 0) -> DataFrame:
     """(token, k, code, hub0, hub1, before) of all tiles with two classes or more."""
-    rows = docs.filter("doc_id is not null").select("text").mapInArrow(_tokens(common), "token long, k long, code long")
+    rows = docs.filter("doc_id is not null").select("text").mapInArrow(_tokens(common, seed), "token long, k long, code long")
     dealt = rows.repartition("token").sortWithinPartitions("token", "code", "k")
     return dealt.mapInArrow(_tiled, "token long, k long, code long, hub0 long, hub1 long, before long")
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of different components between blocks i and j of a tile that the bounds of their signatures let through.
-    Rows come sorted by tile, band, i and j; a group of them has about two blocks' rows at most."""
+    Rows come sorted by tile, part, band, i and j; a group of them has about two blocks' rows at most."""
     rest: pa.Table | None = None
-    keys = ("tile", "tile_band", "i", "j")
+    keys = ("tile", "part", "tile_band", "i", "j")
 
     def group(t: dict[str, np.ndarray], sigs: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         widths = np.array([len(x) for x in sigs])
@@ -216,6 +236,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = t["n"][p]
             fit = (t["block"] == j) & (t["label"] != t["label"][p]) & (np.minimum(t["band"], t["band"][p]) == band)
             fit &= 4 * np.minimum(t["n"], n) >= 3 * np.maximum(t["n"], n)
+            fit &= np.where(t["n"] < n, t["near"], t["near"][p]) > 0
             if i == j:
                 fit[: p + 1] = False
             for w, rows in where.items():
@@ -233,7 +254,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return a_out, b_out
 
     def made(table: pa.Table) -> pa.RecordBatch:
-        t = {c: table.column(c).to_numpy() for c in (*keys, "block", "k", "n", "band", "label")}
+        t = {c: table.column(c).to_numpy() for c in (*keys, "block", "k", "n", "near", "band", "label")}
         sigs = [np.frombuffer(x, np.uint64) for x in table.column("sig").to_pylist()]
         change = np.logical_or.reduce([t[c][1:] != t[c][:-1] for c in keys])
         edges = [0, *(np.flatnonzero(change) + 1).tolist(), table.num_rows]
@@ -267,28 +288,31 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _intersected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that are similar."""
-    held: dict[int, np.ndarray] = {}
-
-    def tokens(k: int, text: str) -> np.ndarray:
-        if k not in held:
-            if len(held) > 200:
-                held.clear()
-            held[k] = shingle_set(text)
-        return held[k]
-
-    for batch in batches:
-        good = []
-        for a, b, x, y in zip(*(batch.column(c) for c in ("a", "b", "text_a", "text_b")), strict=True):
-            s, t = tokens(a.as_py(), x.as_py()), tokens(b.as_py(), y.as_py())
-            good.append(similar(len(np.intersect1d(s, t, assume_unique=True)), len(s), len(t)))
-        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
+    """Pairs that are similar. A held set comes first, with no class beside it, then those that it is compared with."""
+    own, part, mine = None, None, np.zeros(0, np.uint64)
+    for whole in batches:
+        for batch in _parts(whole):
+            a_out, b_out = [], []
+            rows = zip(batch.column("held").to_pylist(), batch.column("part").to_pylist(), batch.column("other").to_pylist(), shingle_sets(_texts(batch)), strict=True)
+            for held, salt, other, tokens in rows:
+                if other is None:
+                    own, part, mine = held, salt, tokens.copy()
+                elif (own, part) != (held, salt):
+                    raise ValueError("a set is missing")
+                elif similar(len(np.intersect1d(mine, tokens, assume_unique=True)), len(mine), len(tokens)):
+                    a_out.append(held)
+                    b_out.append(other)
+            yield _batch({"a": (a_out, pa.int64()), "b": (b_out, pa.int64())})
+
+
+def _classed(seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch):
+                found = [digest(s, seed)[0] for s in shingle_sets(_texts(part))]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), part.column("rep"), part.column("text")], names=["own", "rep", "text"])
 
-def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [digest(shingle_set(t.as_py())) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), batch.column("rep"), batch.column("text")], names=["own", "rep", "text"])
+    return run
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -296,18 +320,29 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that are similar: bounded by signatures first, then intersected. Written."""
+def links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, seed: int = 0) -> DataFrame:
+    """The pairs (a, b) of classes that are similar: bounded by signatures first, then intersected. Written.
+
+    For the intersection the sets of all b that have one a are compared with it in groups of about GROUP: a's text goes
+    once into each group, and no task ever needs all of them.
+    """
     side = lambda s: classes.select(F.col("k").alias(s), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))
     signed = pairs.join(side("a"), "a").join(side("b"), "b")
     left = cut(signed.mapInArrow(_bounded, "a long, b long"))
     wanted = cut(left.select(F.col("a").alias("k")).union(left.select("b")).distinct().join(classes.select("k", "doc_id"), "k"))
     found = docs.join(_small(wanted.select("doc_id", F.col("k").alias("rep"))), "doc_id").select("rep", "text")
     # doc_ids may repeat with other texts; the class of the text tells which is meant.
-    texts = found.mapInArrow(_classed, "own long, rep long, text string").filter("own = rep").dropDuplicates(["rep"])
+    texts = found.mapInArrow(_classed(seed), "own long, rep long, text string").filter("own = rep").dropDuplicates(["rep"])
     texts = cut(texts.select(F.col("rep").alias("k"), "text"))
-    text = lambda s: texts.select(F.col("k").alias(s), F.col("text").alias(f"text_{s}"))
-    return cut(left.join(text("a"), "a").join(text("b"), "b").mapInArrow(_intersected, "a long, b long"))
+    parts = left.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
+    placed = left.join(parts, "a").select(F.col("a").alias("held"), F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), F.col("b").alias("other"))
+    placed = cut(placed)
+    heads = placed.select("held", "part").distinct().withColumn("other", F.lit(None).cast("long"))
+    both = heads.join(texts, heads["held"] == texts["k"]).unionByName(placed.join(texts, placed["other"] == texts["k"])).drop("k")
+    dealt = both.repartition("held", "part").sortWithinPartitions("held", "part", F.col("other").asc_nulls_first())
+    similar_pairs = cut(dealt.mapInArrow(_intersected, "a long, b long"))
+    drop(left, wanted, texts, placed)
+    return similar_pairs
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -319,6 +354,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     mark = None
     while True:
+        last = now
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -329,35 +365,46 @@ def components(edges: DataFrame) -> DataFrame:
         if tuple(new) == mark:
             return now.select(F.col("u").alias("k"), F.col("v").alias("root"))
         mark = tuple(new)
+        drop(last)
 
 
 def _still_apart(tiled: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes of different components that share a token and that the bounds let through.
 
-    Tiles whose least component is the same hold much the same classes, so they are thrown together: each class stands
-    once in a tile for its own size band and once in the one for the band below, and each pair is compared in the tile
-    of its lesser band. Tiles of more than BLOCK rows are cut into blocks, every pair of which is a group of its own.
+    Tiles whose least component is the same hold much the same classes, so they are thrown together, unless they don't:
+    where comparing all their classes would take more than comparing tile by tile, they are dealt by token into parts of
+    about BLOCK entries. So comparisons stay in proportion to the tiles' entries, times BLOCK. Each class stands once in
+    a tile for its own size band and once in the one for the band below, and each pair is compared in the tile of its
+    lesser band. Tiles of more than BLOCK rows are cut into blocks, every pair of which is a group of its own.
     """
-    labelled = tiled.join(labels, "k", "left").select("token", "k", (F.shiftright("code", 1)).alias("n"), F.coalesce("root", "k").alias("label"))
-    ends = labelled.groupBy("token").agg(F.min("label").alias("tile"), F.max("label").alias("high")).filter("tile < high")
-    mixed = labelled.join(ends.select("token", "tile"), "token").select("tile", "k", "n", "label").distinct()
+    near = F.col("code").bitwiseAND(1)
+    labelled = tiled.join(labels, "k", "left").select("token", "k", F.shiftright("code", 1).alias("n"), near.alias("near"), F.coalesce("root", "k").alias("label"))
+    ends = labelled.groupBy("token").agg(F.min("label").alias("tile"), F.max("label").alias("high"), F.max("near").alias("any")).filter("tile < high and any = 1")
+    entries = cut(labelled.join(ends.select("token", "tile"), "token"))
+    sizes = entries.groupBy("tile", "k").agg(F.count("*").alias("tokens")).groupBy("tile").agg(F.count("*").alias("rows"), F.sum("tokens").alias("entries"))
+    wide = sizes.filter(F.col("rows") * F.col("rows") > 4 * BLOCK * F.col("entries")).select("tile", F.ceil(F.col("entries") / BLOCK).alias("parts"))
+    part = F.coalesce(F.pmod(F.xxhash64("token"), F.col("parts")), F.lit(0))
+    mixed = entries.join(wide, "tile", "left").withColumn("part", part).groupBy("tile", "part", "k", "n", "label").agg(F.max("near").alias("near"))
     band = F.floor(F.log(F.col("n").cast("double")) / float(BAND)).cast("long")
     banded = mixed.withColumn("band", band).withColumn("tile_band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     banded = cut(banded)
-    sizes = banded.groupBy("tile", "tile_band").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
-    sizes = sizes.filter("low < high").select("tile", "tile_band", F.ceil(F.col("rows") / BLOCK).alias("blocks"))
-    placed = banded.join(sizes, ["tile", "tile_band"]).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")))
+    own = ["tile", "part", "tile_band"]
+    counts = banded.groupBy(*own).agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
+    counts = counts.filter("low < high").select(*own, F.ceil(F.col("rows") / BLOCK).alias("blocks"))
+    placed = banded.join(counts, own).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = met.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    signed = met.join(classes.select("k", "sig"), "k").select("tile", "tile_band", "i", "j", "block", "k", "n", "band", "label", "sig")
-    dealt = signed.repartition("tile", "tile_band", "i", "j").sortWithinPartitions("tile", "tile_band", "i", "j", "n", "k")
-    return dealt.mapInArrow(_compared, "a long, b long").distinct()
+    signed = met.join(classes.select("k", "sig"), "k").select(*own, "i", "j", "block", "k", "n", "near", "band", "label", "sig")
+    dealt = signed.repartition(*own, "i", "j").sortWithinPartitions(*own, "i", "j", "n", "k")
+    pairs = cut(dealt.mapInArrow(_compared, "a long, b long").distinct())
+    drop(entries, banded)
+    return pairs
 
 
-def _ordered(tiled: DataFrame, other: str) -> DataFrame:
-    """Distinct pairs (a, b) of a row's class and another column's. Written."""
-    pair = F.least(other, "k").alias("a"), F.greatest(other, "k").alias("b")
-    return cut(tiled.filter(F.col(other) != F.col("k")).select(*pair).distinct())
+def _tried(tiled: DataFrame, *others: str) -> DataFrame:
+    """Distinct pairs (a, b) of what the named columns hold and a row's class. Written."""
+    pairs = [tiled.filter(F.col(c) != F.col("k")).select(F.col(c).alias("a"), F.col("k").alias("b")) for c in others]
+    return cut(functools.reduce(DataFrame.union, pairs).distinct())
 
 
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -367,22 +414,32 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
-def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sets, roots): doc_id, text_hash, n, k of every document; root of every class that is linked to a lesser one."""
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(sets, least, seed): the set of every document, one row for each class, and the seed of their digests."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = cut(rows.mapInArrow(_sets, f"doc_id {kind}, text_hash long, n long, k long, sig binary"))
-    least = sets.filter("k is not null and doc_id is not null").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"))
-    tiled = cut(tiles(docs, common_tokens(docs)))
+    for seed in itertools.count():
+        sets = cut(rows.mapInArrow(_sets(seed), f"doc_id {kind}, text_hash long, n long, k long, check long, sig binary"))
+        known = sets.filter("k is not null and doc_id is not null").groupBy("k")
+        least = cut(known.agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("check").alias("check"), F.max("check").alias("other")))
+        if least.filter("check <> other").isEmpty():
+            return sets.drop("check"), least.select("k", "n", "doc_id"), seed
+        drop(sets, least)
+
+
+def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sets, roots): doc_id, text_hash, n, k of every document; root of every class that is linked to a lesser one."""
+    sets, least, seed = _classes(docs)
+    tiled = cut(tiles(docs, common_tokens(docs), seed))
     # Only classes that share a token with another one are ever compared.
     known = least.join(tiled.select("k").distinct(), "k", "left_semi")
     classes = cut(known.join(sets.select("doc_id", "k", "sig"), ["doc_id", "k"]).dropDuplicates(["k"]))
-    tried = [_ordered(tiled, c) for c in ("hub0", "hub1", "before")]
-    found = links(tried[0], docs, classes)
-    for pairs in tried[1:]:
-        found = found.union(links(_across(pairs, components(found)), docs, classes))
+    found = links(_tried(tiled, "hub0"), docs, classes, seed)
+    found = found.union(links(_across(_tried(tiled, "hub1", "before"), components(found)), docs, classes, seed))
     pairs = _still_apart(tiled, components(found), classes)
-    return sets, components(found.union(links(pairs, docs, classes)))
+    roots = components(found.union(links(pairs, docs, classes, seed)))
+    drop(tiled, classes, pairs)
+    return sets, roots
 
 
 def _placed(docs: DataFrame) -> DataFrame:

@@ -98,6 +98,48 @@ def test_repeated_ids_and_empty_table(spark):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def thue_morse(n, a, b):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_of_two_letters_in_opposite_order_differ(spark):
+    for n in (8, 64, 65, 1024, 2048, 4096):
+        assert shingles.word_hashes(thue_morse(n, "a", "b"))[0] != shingles.word_hashes(thue_morse(n, "b", "a"))[0]
+    parts = [np.array([int(c) for c in thue_morse(64, a, b)], np.uint64) for a, b in ("01", "10")]
+    assert all((shingles.windows(parts[0], w)[:1] != shingles.windows(parts[1], w)[:1]).all() for w in (2, 5, 32, 50, 64))
+    rows = [(1, thue_morse(1024, "a", "b")), (2, thue_morse(1024, "b", "a"))]
+    assert result(jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
+def test_digests_are_drawn_anew_when_two_sets_share_one(spark, monkeypatch):
+    rows = [(1, "a b c d e f"), (2, "one two three"), (3, "A b c d e f"), (4, "four"), (5, "one two three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    drawn = []
+    sets = jaccard._sets
+
+    def clashing(seed):
+        drawn.append(seed)
+        inner = sets(seed)
+
+        def run(batches):
+            for b in inner(batches):
+                yield b.set_column(3, "k", pa.array([7 if seed == 0 and n else k for k, n in zip(b["k"].to_pylist(), b["n"].to_pylist(), strict=True)], pa.int64()))
+
+        return run
+
+    monkeypatch.setattr(jaccard, "_sets", clashing)
+    assert result(jaccard.near_duplicates(docs)) == brute(rows) and drawn == [0, 1]
+
+
+@pytest.mark.parametrize("block", [2, 5])
+def test_tiles_dealt_into_parts(spark, monkeypatch, block):
+    """With blocks this small every tile is split by token; the result stays the same."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "GROUP", 3)
+    rows = groups()[:60] + groups()[150:260]
+    assert result(jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
 def test_tiles_don_t_depend_on_batches():
     rng = np.random.default_rng(1)
     # A class has one size, so one code within a tile.
