@@ -348,26 +348,36 @@ def links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, seed: int = 0)
 def components(edges: DataFrame) -> DataFrame:
     """(k, root) for every node of edges (a, b): root is the least node of its component, and has no row itself.
 
-    Large-star and small-star steps in turn: each hangs nodes onto the least node around, until nothing moves. Edges
-    stay as many as nodes, groups are only folded to their least member, and every round is written.
+    Large-star and small-star steps in turn: each hangs nodes onto the least node around, until every component is a
+    star around its least node. Edges stay as many as nodes, groups are only folded to their least member, and every
+    round is written.
     """
     now = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark = None
     while True:
-        last = now
+        ends = now.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(now.select("v", F.lit(0), F.lit(1)))
+        loose = ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up")).filter("down > 1 or down = 1 and up = 1")
+        if loose.isEmpty():
+            return now.select(F.col("u").alias("k"), F.col("v").alias("root"))
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         best = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(best, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        now = cut(small.union(best.select("u", F.col("m").alias("v"))).distinct())
-        new = now.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
-        if tuple(new) == mark:
-            return now.select(F.col("u").alias("k"), F.col("v").alias("root"))
-        mark = tuple(new)
+        last, now = now, cut(small.union(best.select("u", F.col("m").alias("v"))).distinct())
         drop(last)
 
 
+def _refined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """roots (k, root) with the components joined that the links `more` lead between."""
+    if more.isEmpty():
+        return roots
+    side = lambda s: roots.select(F.col("k").alias(s), F.col("root").alias(f"root_{s}"))
+    between = more.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    merged = components(between).select(F.col("k").alias("root"), F.col("root").alias("top"))
+    moved = roots.join(merged, "root", "left").select("k", F.coalesce("top", "root").alias("root"))
+    return cut(moved.union(merged.select("root", "top")))
+
+
 def _still_apart(tiled: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes of different components that share a token and that the bounds let through.
 
@@ -407,13 +417,6 @@ def _tried(tiled: DataFrame, *others: str) -> DataFrame:
     return cut(functools.reduce(DataFrame.union, pairs).distinct())
 
 
-def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs that no links lead between yet."""
-    side = lambda s: roots.select(F.col("k").alias(s), F.col("root").alias(f"root_{s}"))
-    placed = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    return placed.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-
-
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """(sets, least, seed): the set of every document, one row for each class, and the seed of their digests."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
@@ -434,10 +437,9 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Only classes that share a token with another one are ever compared.
     known = least.join(tiled.select("k").distinct(), "k", "left_semi")
     classes = cut(known.join(sets.select("doc_id", "k", "sig"), ["doc_id", "k"]).dropDuplicates(["k"]))
-    found = links(_tried(tiled, "hub0"), docs, classes, seed)
-    found = found.union(links(_across(_tried(tiled, "hub1", "before"), components(found)), docs, classes, seed))
-    pairs = _still_apart(tiled, components(found), classes)
-    roots = components(found.union(links(pairs, docs, classes, seed)))
+    roots = components(links(_tried(tiled, "hub0", "hub1", "before"), docs, classes, seed))
+    pairs = _still_apart(tiled, roots, classes)
+    roots = _refined(roots, links(pairs, docs, classes, seed))
     drop(tiled, classes, pairs)
     return sets, roots
 
