@@ -1,13 +1,14 @@
 """Operators 2, 6 and 7 against plain Python on the smallest tables and on odd rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
 
 import pytest
 
-from tallyloom.llm import rules, secrets, shards
+from tallyloom.llm import rules, secrets, shards, trigrams
 
 SF = "/root/testdata/sf0.001/documents.parquet"
 ODD = [
@@ -49,9 +50,10 @@ def test_secrets_equal_plain_regex(docs):
 
 
 def test_secret_queries_and_redaction(spark):
-    assert secrets.query(secrets.RULES[2]) == ()
-    assert secrets.query(secrets.RULES[1]) == (frozenset({"aki", "kia"}),)
-    assert len(secrets.query(secrets.RULES[0])) == 6
+    assert secrets.RULES[2].query is True
+    assert secrets.RULES[1].query == ("all", ("aki", "kia"))
+    kind, alternatives = secrets.RULES[0].query
+    assert kind == "any" and len(alternatives) == 6 and ("all", ("ken", "oke", "tok")) in alternatives
     rows = spark.createDataFrame(
         [(1, "id token=abcdefgh12 end", "a", 23), (2, None, "b", 0), (3, "clean", None, 5)],
         "doc_id long, text string, rules string, n_chars long",
@@ -63,6 +65,49 @@ def test_secret_queries_and_redaction(spark):
     assert secrets.redacted(rows.limit(0)).count() == 0
 
 
+def some_regex(rng, depth=3):
+    kind = rng.randrange(9 if depth else 3)
+    if kind < 3:
+        return rng.choice(["a", "b", "AB", "abc", "[ab]", "[a-c]x", "[^a]", ".", "bca", r"\x62", "(?i:aBc)", "cab"])
+    inner = some_regex(rng, depth - 1)
+    if kind < 6:
+        return inner + some_regex(rng, depth - 1)
+    if kind == 6:
+        return f"(?:{inner}|{some_regex(rng, depth - 1)})"
+    return f"({inner})" + rng.choice(["?", "*", "+", "{2}", "{1,3}", "{3,}", "*?", "+?"])
+
+
+def test_no_match_lacks_its_trigrams():
+    rng, met, missed = random.Random(7), 0, 0
+    for _ in range(3000):
+        regex = some_regex(rng)
+        query = trigrams.derive(regex)
+        for _ in range(12):
+            text = "".join(rng.choice("aabbccxABC") for _ in range(rng.randrange(25)))
+            if re.search(regex, text):
+                met += 1
+                assert trigrams.holds(query, text.lower()), (regex, text, query)
+            elif not trigrams.holds(query, text.lower()):
+                missed += 1
+    assert met > 3000 and missed > 3000
+
+
+def test_rules_given_as_regex_alone(spark, docs, monkeypatch):
+    """Other rules, one of them without a trigram, broadcast or shuffled, against plain regexes."""
+    rules = (secrets.SecretRule("a", "th(e|at|is) [a-z]{4,}", 1, 2), secrets.SecretRule("b", "[0-9]+", 0, 1), secrets.SecretRule("c", "(?i:THE)n?x?", 0, 3))
+    texts = [r.text or "" for r in docs.collect()]
+    want = Counter(tuple(sorted((m.start(), k, m.end()) for k, r in enumerate(rules) for m in re.finditer(r.regex, t) if len(m[r.group]) >= r.least)) for t in texts)
+    for most in (10**6, 0):
+        monkeypatch.setattr(secrets, "BROADCAST_ROWS", most)
+        got = Counter(tuple((x.start, x.rank, x.end) for x in r.spans) for r in secrets.scan(docs, rules).select("spans").collect())
+        assert got == want
+    alone = secrets.scan(docs, rules[1:2]).collect()
+    assert len(alone) == len(texts)
+    many = spark.createDataFrame([(1, "7 " * 30_000)], "doc_id long, text string")
+    assert len(secrets.scan(many, rules[1:2]).first().spans) == 30_000
+    assert secrets.listing(docs.limit(0)).count() == 0
+
+
 def test_shards(spark, docs):
     rows = shards.shard_documents(docs).collect()
     text = Counter((r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in docs.collect())
