@@ -1,8 +1,10 @@
 """Operators 2, 6 and 7 against plain Python on the smallest tables and on odd rows."""
 
 import hashlib
+import itertools
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -140,25 +142,59 @@ def measures(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit)
 
 
-def test_rules_equal_plain_counts(docs):
-    rows = rules.measured(docs).collect()
-    got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows)
-    want = Counter()
+def rejected_by(text):
+    """All rules that reject a text, in plain Python."""
+    n, chars, symbols, dup, repeat = measures(text)
+    lines = sum(1 for x in text.split("\n") if WORDS.search(x))
+    runs = ["".join(g) for letter, g in itertools.groupby(text, str.isalpha) if letter]
+    shouts, long = sum(len(r) > 2 and all(unicodedata.category(c) == "Lu" for c in r) for r in runs), sum(len(r) > 2 for r in runs)
+    found = {
+        "few_words": n < 20, "repeated_windows": 100 * repeat > 30 * n, "symbols": 100 * symbols > 10 * n, "duplicated_lines": 10 * dup > 4 * lines,
+        "word_length": chars < 2 * n or chars > 14 * n, "few_letters": 2 * sum(map(str.isalpha, text)) < chars, "capitals": shouts > 0 and 2 * shouts > long,
+    }
+    return {k for k, v in found.items() if v}
+
+
+def junk():
+    rng = random.Random(6)
+    rows = [("#$% " * 3 + "word " * 2) * 9, "LOUD WORDS ARE HERE " * 8, "ab 12 " * 30, "x " * 40, ("w" * 20 + " ") * 25, "Éa ÀÉÈ É ÉÉÉÉ " * 9]
+    rows += ["\n".join(rng.choice(["a line of its own", "another line", "", f"line {i}"]) for i in range(rng.randrange(1, 30))) for _ in range(60)]
+    rows += [" ".join(rng.choice(["ONE", "TWO", "three", "#", "12", "é", "of"]) for _ in range(rng.randrange(60))) for _ in range(60)]
+    return list(enumerate(rows, 10**7))
+
+
+def test_rules_equal_plain_counts(spark, docs):
+    docs = docs.union(spark.createDataFrame(junk(), "doc_id long, text string"))
+    rows = rules.measured(docs.withColumn("n_words", docs.doc_id).withColumn("_words", docs.text)).collect()
+    got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept) for r in rows)
+    want, fired = Counter(), Counter()
     for r in docs.collect():
-        m = measures(r.text or "")
-        want[(r.doc_id, *m, m[0] < 20 or 100 * m[4] > 30 * m[0])] += 1
+        m, why = measures(r.text or ""), rejected_by(r.text or "")
+        fired.update(why)
+        want[(r.doc_id, *m, m[0] < 20 or 100 * m[4] > 30 * m[0], not why)] += 1
     assert got == want
-    assert all(not r.kept for r in rows if r.base_failed) and any(r.kept for r in rows)
+    assert set(fired) == {r.name for r in rules.RULES} and any(r.kept for r in rows)
+    kept = Counter(r.doc_id for r in rules.keep_good(docs).collect())
+    assert kept == Counter(r.doc_id for r in rows if r.kept)
+
+
+def test_rules_are_ordered_by_rejections_per_second():
+    rejected = [[True, True, False]] * 6 + [[False, True, False]] * 2 + [[False, False, False]] * 2
+    # The second rule rejects more, but costs too much; after the first it has 2 of 4 left.
+    assert rules.ordered([1.0, 4.0, 0.5], rejected) == [(0, 0.6), (1, 0.5), (2, 0.0)]
+    assert [r for r, _ in rules.ordered([4.0, 1.0, 0.5], rejected)] == [1, 2, 0]
 
 
 def test_cascade_order_and_verdicts(spark, docs):
-    ranked = rules.rank(docs)
-    assert {r.name for r, _, _ in ranked} == {r.name for r in rules.RULES}
-    gains = [rate / cost for _, cost, rate in ranked]
-    assert gains == sorted(gains, reverse=True)
-    assert rules.measured(docs.limit(0)).count() == 0
+    idle = rules.Rule("idle", lambda f: rules.F.length(f.text) < 0)
+    ranked = rules.rank(docs, (*rules.RULES, idle))
+    assert {r.name for r, _, _ in ranked} == {*(r.name for r in rules.RULES), "idle"}
+    cost = {r.name: c for r, c, _ in ranked}
+    assert cost["idle"] < cost["repeated_windows"] / 3
+    assert all(0 <= rate <= 1 for _, _, rate in ranked) and ranked[-1][2] == 0 < ranked[0][2]
+    assert rules.measured(docs.limit(0)).count() == 0 and rules.keep_good(docs.limit(0)).count() == 0
+    assert rules.keep_good(docs.withColumn("rejected_by", docs.text)).columns == [*docs.columns, "rejected_by"]
     kept = Counter(r.doc_id for r in rules.keep_good(docs).collect())
-    assert kept == Counter(r.doc_id for r in rules.measured(docs).collect() if r.kept)
     labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.001/labels.parquet").collect()}
     clean = [d for d, q in labels.items() if q == 1]
     long = {r.doc_id for r in docs.collect() if len(WORDS.findall(r.text or "")) >= 20}
