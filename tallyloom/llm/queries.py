@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyloom.llm import jaccard, language, leaks, maintext, pieces, quotes, repeats, rules, secrets, shards
+from tallyloom.llm import jaccard, language, leaks, maintext, oracles, pieces, quotes, repeats, rules, secrets, shards
 from tallyloom.llm.common import table
 
 
@@ -74,4 +74,4 @@ QUERIES = {
         pipeline,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
