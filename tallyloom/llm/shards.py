@@ -1,10 +1,11 @@
 """Sharding by a hierarchical weighted hash tree (DataFrame functions only).
 
-A tree has regions, racks and shards. Every shard draws -ln(u) / weight for a row, with u hashed from the row's key
-and the shard's name; a rack's draw is the least of its shards' draws and a region's the least of its racks'. The
-least of exponential draws is an exponential draw with the summed weight, so descending to the least region, rack
-and shard respects the weights at every level. A changed weight changes no draw outside its own subtree: rows move
-only into that subtree, out of it or within it, and a shard that is added takes rows only into itself.
+A tree has regions, racks and shards. A row descends it level by level: every child of the node it has come to draws
+-ln(u) / weight, with u hashed from the row's key and the child's name and weight the sum of the shards below it, and
+the least draw wins. A child is chosen with a chance in proportion to its weight. Where weights change, only draws of
+nodes with another sum change: rows move only into or out of those, and within them only below nodes that changed in
+turn. Weight shifted between two shards of a rack moves no row of another rack. A shard that is added as a region of its
+own changes no other sum, so it takes rows only into itself.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import cut
+from tallyloom.llm.common import cut, let
 
 
 @dataclass(frozen=True)
@@ -25,65 +26,63 @@ class Leaf:
     weight: float = 1.0
 
     @property
-    def name(self) -> str:
-        return f"{self.region}/{self.rack}/{self.shard}"
+    def path(self) -> tuple[str, str, str]:
+        """Names of the nodes down to it, each unique in the tree."""
+        return self.region, f"{self.region}/{self.rack}", f"{self.region}/{self.rack}/{self.shard}"
 
 
 def even_tree(shards: int = 24, per_rack: int = 4, racks: int = 2) -> tuple[Leaf, ...]:
-    """Equal shards, per_rack to a rack and racks to a region; one more shard extends the last rack."""
-    full = shards - shards % per_rack or shards
-    places = [min(i, full - 1) // per_rack for i in range(shards)]
-    return tuple(Leaf(f"region{p // racks}", f"rack{p % racks}", i) for i, p in enumerate(places))
+    """Equal shards, per_rack to a rack and racks to a region."""
+    return tuple(Leaf(f"region{i // per_rack // racks}", f"rack{i // per_rack % racks}", i) for i in range(shards))
 
 
-def _draw(key: Column, leaf: Leaf) -> Column:
-    """Exponential draw of a leaf; u lies strictly between 0 and 1."""
-    bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(leaf.name)), 11)
-    return -F.log((bits.cast("double") + 0.5) / float(1 << 53)) / leaf.weight
+def grown(tree: tuple[Leaf, ...], weight: float = 1.0) -> tuple[Leaf, ...]:
+    """tree with one more shard, in a region of its own: rows move into the new shard only."""
+    shard = max((x.shard for x in tree), default=-1) + 1
+    return (*tree, Leaf(f"added{shard}", "rack0", shard, weight))
 
 
-def _least(columns: list[Column]) -> Column:
-    return F.least(*columns) if len(columns) > 1 else columns[0]
+def sums(tree: tuple[Leaf, ...]) -> dict[str, dict[str, float]]:
+    """Of each inner node (the root is an empty name) the children and their weights."""
+    out: dict[str, dict[str, float]] = {}
+    for leaf in tree:
+        for node, child in zip(("", *leaf.path[:-1]), leaf.path, strict=True):
+            below = out.setdefault(node, {})
+            below[child] = below.get(child, 0.0) + leaf.weight
+    return out
 
 
-def _first_at(options: list[tuple[Column, Column]], value: Column) -> Column:
-    """The result of the first option whose draw equals value."""
-    out = F.when(options[0][0] == value, options[0][1])
-    for draw, result in options[1:]:
-        out = out.when(draw == value, result)
-    return out
+def _child(key: Column, children: Column) -> Column:
+    """The name of the child with the least draw; u lies strictly between 0 and 1."""
 
+    def draw(c: Column) -> Column:
+        bits = F.shiftrightunsigned(F.xxhash64(key, c["name"]), 11)
+        return F.struct((-F.log((bits.cast("double") + 0.5) / float(1 << 53)) / c["weight"]).alias("draw"), c["name"].alias("name"))
 
-def _descend(tree: tuple[Leaf, ...], draws: dict[str, Column]) -> Column:
-    regions: dict[str, dict[str, list[Leaf]]] = {}
-    for leaf in tree:
-        regions.setdefault(leaf.region, {}).setdefault(leaf.rack, []).append(leaf)
-    by_region = []
-    for racks in regions.values():
-        by_rack = []
-        for leaves in racks.values():
-            own = [draws[x.name] for x in leaves]
-            by_rack.append((_least(own), _first_at([(draws[x.name], F.lit(x.shard)) for x in leaves], _least(own))))
-        least_rack = _least([d for d, _ in by_rack])
-        by_region.append((least_rack, _first_at(by_rack, least_rack)))
-    return _first_at(by_region, _least([d for d, _ in by_region]))
+    return F.array_min(F.transform(children, draw))["name"]
+
+
+def descend(key: Column, tree: tuple[Leaf, ...]) -> Column:
+    """The shard that a key comes to. Only the children of the nodes on its way draw, so a row costs as many hashes as
+    these have, and not as many as there are shards. The tree is a constant of the plan."""
+    nodes = sums(tree)
+    entry = lambda name, weight: F.struct(F.lit(name).alias("name"), F.lit(float(weight)).alias("weight"))
+    listed = F.map_from_arrays(F.array(*map(F.lit, nodes)), F.array(*[F.array(*[entry(n, w) for n, w in c.items()]) for c in nodes.values()]))
+    shards = F.map_from_arrays(F.array(*[F.lit(x.path[-1]) for x in tree]), F.array(*[F.lit(x.shard) for x in tree]))
+    region = _child(key, F.element_at(listed, F.lit("")))
+    rack = let(region, lambda r: _child(key, F.element_at(listed, r)))
+    return let(let(rack, lambda r: _child(key, F.element_at(listed, r))), lambda leaf: F.element_at(shards, leaf))
 
 
 def place(rows: DataFrame, key: str, trees: dict[str, tuple[Leaf, ...]]) -> DataFrame:
     """rows with one int column for each tree: the shard that the row descends to.
 
-    Weights must be above 0. A null key is a key like any other, so all null keys meet in one shard. Draws shared by
-    several trees are made once. Narrow: no shuffle.
+    Weights must be above 0. A null key is a key like any other, so all null keys meet in one shard; equal keys do too.
+    Narrow: no shuffle.
     """
-    leaves = {(x.name, x.weight): x for tree in trees.values() for x in tree}
-    if any(x.weight <= 0 for x in leaves.values()):
+    if any(x.weight <= 0 for tree in trees.values() for x in tree):
         raise ValueError("weights must be above 0")
-    column = {k: f"_draw{i}" for i, k in enumerate(leaves)}
-    drawn = rows.withColumns({column[k]: _draw(F.col(key), x) for k, x in leaves.items()})
-    placed = drawn.withColumns({
-        name: _descend(tree, {x.name: F.col(column[x.name, x.weight]) for x in tree}) for name, tree in trees.items()
-    })
-    return placed.drop(*column.values())
+    return rows.withColumns({name: descend(F.col(key), tree) for name, tree in trees.items()})
 
 
 def numbered(rows: DataFrame, shard: str, row: str, slot: str, bins: int = 1024) -> DataFrame:
@@ -93,26 +92,21 @@ def numbered(rows: DataFrame, shard: str, row: str, slot: str, bins: int = 1024)
     `bins` parts by a hash of row, each after the parts before it. The parts' counts, at most shards x bins rows, are
     the only thing broadcast.
     """
-    parts = rows.withColumn("_bin", F.pmod(F.xxhash64(row), F.lit(bins)).cast("int"))
-    before = Window.partitionBy(shard).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    counts = parts.groupBy(shard, "_bin").agg(F.count("*").alias("_n"))
-    starts = counts.select(
-        F.col(shard).alias("_shard"), F.col("_bin").alias("_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
-    )
-    within = F.row_number().over(Window.partitionBy(shard, "_bin").orderBy(row)) - 1
-    return (
-        parts.withColumn("_within", within)
-        .join(F.broadcast(starts), (F.col(shard) == F.col("_shard")) & (F.col("_bin") == F.col("_part")))
-        .withColumn(slot, F.col("_start") + F.col("_within"))
-        .drop("_bin", "_within", "_shard", "_part", "_start")
-    )
+    parts = rows.select(F.struct("*").alias("row"), F.col(shard).alias("shard"), F.col(row).alias("id"))
+    parts = parts.withColumn("bin", F.pmod(F.xxhash64("id"), F.lit(bins)).cast("int"))
+    before = Window.partitionBy("shard").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy("shard", "bin").agg(F.count("*").alias("n"))
+    starts = counts.select("shard", "bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("shard", "bin").orderBy("id")) - 1
+    placed = parts.withColumn("within", within).join(F.broadcast(starts), ["shard", "bin"])
+    return placed.select("row.*", (F.col("start") + F.col("within")).alias(slot))
 
 
 def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     """Law `key`: doc_id and the number of shards decide each document's shard.
 
-    Null text counts as no bytes (size 8, CRC of nothing). Repeated rows each get a slot of their own. Other columns
-    are not read.
+    Null text counts as no bytes (size 8, CRC of nothing). Repeated rows meet in one shard and each get a slot of their
+    own. Other columns are not read, whatever their names.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     facts = docs.select(
@@ -122,7 +116,8 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
         F.lit("key").alias("law"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    placed = cut(place(facts, "doc_id", {"shard": even_tree(shards), "grown_shard": even_tree(shards + 1)}))
+    tree = even_tree(shards)
+    placed = cut(place(facts, "doc_id", {"shard": tree, "grown_shard": grown(tree)}))
     return numbered(placed, "shard", "_row", "slot").select(
         "doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long"), "grown_shard"
     )

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import unicodedata
@@ -9,6 +10,7 @@ import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 
 from tallyloom.llm import rules, secrets, shards, trigrams
 
@@ -110,27 +112,56 @@ def test_rules_given_as_regex_alone(spark, docs, monkeypatch):
     assert secrets.listing(docs.limit(0)).count() == 0
 
 
+def plain_descent(key, tree):
+    """Node by node with the weights below each child summed anew."""
+    node = ()
+    while len(node) < 3:
+        below = {x.path[: len(node) + 1] for x in tree if x.path[: len(node)] == node}
+
+        def draw(child):
+            seed = 42 if key is None else xxhash.xxh64(key.to_bytes(8, "little", signed=True), 42).intdigest()
+            u = ((xxhash.xxh64(child[-1].encode(), seed).intdigest() >> 11) + 0.5) / 2**53
+            return -math.log(u) / sum(x.weight for x in tree if x.path[: len(child)] == child)
+
+        node = min(below, key=draw)
+    return next(x.shard for x in tree if x.path == node)
+
+
 def test_shards(spark, docs):
-    rows = shards.shard_documents(docs).collect()
+    rows = shards.shard_documents(docs.withColumn("shard", docs.text).withColumn("_bin", docs.text)).collect()
     text = Counter((r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in docs.collect())
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == text
     for s in range(24):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
-    assert all(r.grown_shard in (r.shard, 24) for r in rows)
-    many = shards.place(spark.range(60_000), "id", {"a": shards.even_tree(24), "b": shards.even_tree(25)})
-    counts = Counter((r.a, r.b) for r in many.collect())
-    assert all(a == b or b == 24 for a, b in counts)
-    assert all(2200 < sum(n for (a, _), n in counts.items() if a == s) < 2800 for s in range(24))
-    assert 2000 < sum(n for (_, b), n in counts.items() if b == 24) < 2800
+    tree = shards.even_tree(24)
+    assert all(r.shard == plain_descent(r.doc_id, tree) and r.grown_shard == plain_descent(r.doc_id, shards.grown(tree)) for r in rows)
+    assert all(r.grown_shard in (r.shard, 24) for r in rows) and {r.law for r in rows} == {"key"}
+    assert shards.shard_documents(docs.limit(0)).count() == 0
+    many = shards.place(spark.range(60_000), "id", {"a": tree, "b": shards.grown(tree), "c": shards.grown(shards.grown(tree))})
+    counts = Counter((r.a, r.b, r.c) for r in many.collect())
+    assert all(b in (a, 24) and c in (b, 25) for a, b, c in counts)
+    assert all(2200 < sum(n for (a, _, _), n in counts.items() if a == s) < 2800 for s in range(24))
+    assert 2000 < sum(n for (_, b, _), n in counts.items() if b == 24) < 2800
 
 
-def test_weights_move_rows_only_into_their_subtree(spark):
+def test_weights_move_rows_only_where_sums_change(spark):
     tree = shards.even_tree(24)
-    heavy = tuple(shards.Leaf(x.region, x.rack, x.shard, 3.0) if x.shard in (5, 6) else x for x in tree)
-    rows = shards.place(spark.range(20_000), "id", {"a": tree, "b": heavy}).collect()
-    assert {r.b for r in rows if r.a != r.b} == {5, 6}
-    share = sum(r.b == 5 for r in rows) / len(rows)
-    assert abs(share - 3 / 28) < 0.01
+    changed = lambda w: tuple(shards.Leaf(x.region, x.rack, x.shard, w.get(x.shard, 1.0)) for x in tree)
+    shifted, heavy = changed({5: 1.75, 6: 0.25}), changed({5: 3.0, 6: 3.0})
+    rows = shards.place(spark.range(20_000), "id", {"a": tree, "b": shifted, "c": heavy}).collect()
+    rack = {x.shard: x.path[1] for x in tree}
+    region = {x.shard: x.region for x in tree}
+    # Between two shards of a rack: no row leaves or enters a rack.
+    moved = [r for r in rows if r.a != r.b]
+    assert moved and all(rack[r.a] == rack[r.b] == rack[5] and (r.b == 5 or r.a == 6) for r in moved)
+    # A heavier rack: rows come from all over, but between racks only into its region, and within that only into it.
+    assert all(region[r.c] == region[5] for r in rows if r.a != r.c)
+    assert all(r.c in (5, 6) if rack[r.a] == rack[5] else rack[r.c] == rack[5] or region[r.a] != region[5] for r in rows if r.a != r.c)
+    assert abs(sum(r.c == 5 for r in rows) / len(rows) - 3 / 28) < 0.01
+    assert shards.sums(heavy)[""]["region0"] == 12.0
+    wide = shards.even_tree(2000, 10, 10)
+    got = [r.s for r in shards.place(spark.range(200), "id", {"s": wide}).orderBy("id").collect()]
+    assert got == [plain_descent(i, wide) for i in range(200)]
 
 
 def measures(text):
