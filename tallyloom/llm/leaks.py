@@ -15,11 +15,13 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Edits allowed for each character of an item.
 ERROR_RATE = 0.08
-#: Text of items that one pass holds in every task, in bytes; more items are searched in several passes.
-BLOCK_BYTES = 16_000_000
+#: Text of items that one pass holds in every task, in bytes; more items are searched in several passes. An automaton
+#: takes some tens of bytes for each.
+BLOCK_BYTES = 4_000_000
 
 
 def normal(text: str) -> str:
@@ -28,7 +30,7 @@ def normal(text: str) -> str:
 
 @dataclass(frozen=True)
 class Item:
-    id: int
+    id: object
     text: str
     budget: int
 
@@ -103,7 +105,7 @@ class Searcher:
             out[i] = apart
         return out
 
-    def find(self, text: str | None) -> list[tuple[int, int]]:
+    def find(self, text: str | None) -> list[tuple[object, int]]:
         """(item id, least distance) of the items within their budgets."""
         text = normal(text or "")
         if not text or not self.items:
@@ -133,26 +135,27 @@ def blocks(benchmark: DataFrame, rate: float, block_bytes: int) -> Iterator[list
 def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, distance): each item that a document holds within its budget, with its least distance.
 
-    Null and empty texts and items match nothing; repeated documents are each searched. Narrow for each block of
-    items: documents aren't shuffled, whatever their number or length.
+    Null and empty texts and items match nothing; repeated documents are each searched, repeated items once; ids of
+    any type stay as they are, null too. Narrow for each block of items: documents aren't shuffled, whatever their
+    number or length.
     """
     id_kind, item_kind = (d.schema[c].dataType.simpleString() for d, c in ((docs, "doc_id"), (benchmark, "item_id")))
     schema = f"doc_id {id_kind}, item_id {item_kind}, distance long"
     out = docs.sparkSession.createDataFrame([], schema)
     for k, items in enumerate(blocks(benchmark, rate, block_bytes)):
-        found = docs.select("doc_id", "text").mapInArrow(_listed(items), schema)
+        found = docs.select("doc_id", "text").mapInArrow(_listed(items, to_arrow_type(benchmark.schema["item_id"].dataType)), schema)
         out = out.unionByName(found) if k else found
     return out
 
 
-def _listed(items: list[Item]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _listed(items: list[Item], id_type: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Searcher(items)
         for batch in batches:
             found = [(i, item, d) for i, t in enumerate(batch.column("text")) for item, d in search.find(t.as_py())]
             rows, ids, distances = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(ids, pa.int64()), pa.array(distances, pa.int64())],
+                [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(ids, id_type), pa.array(distances, pa.int64())],
                 names=["doc_id", "item_id", "distance"],
             )
 
@@ -169,7 +172,8 @@ def _clean(items: list[Item], column: str) -> Callable[[Iterator[pa.RecordBatch]
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs without the documents that hold an item; the others keep their columns, null texts too."""
+    """docs without the documents that hold an item; the others keep their columns, whatever their names, and null and
+    empty texts stay. Repeated rows stay or go together."""
     for items in blocks(benchmark, rate, block_bytes):
         docs = docs.mapInArrow(_clean(items, "text"), docs.schema)
     return docs

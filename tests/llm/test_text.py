@@ -193,13 +193,13 @@ def test_ratios_choose_among_articles():
 
 
 def edit_distance_within(pattern, text):
-    row = [0] * (len(text) + 1)
+    """The table of all distances, a row a character of the pattern."""
+    chars, places = np.array([*text]) if text else np.zeros(0, "U1"), np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, int)
     for i, p in enumerate(pattern, 1):
-        new = [i]
-        for j, c in enumerate(text, 1):
-            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (p != c)))
-        row = new
-    return min(row)
+        new = np.concatenate([[i], np.minimum(row[1:] + 1, row[:-1] + (chars != p))])
+        row = np.minimum.accumulate(new - places) + places  # a step to the right costs one
+    return int(row.min())
 
 
 def test_bit_parallel_distance():
@@ -232,14 +232,22 @@ def test_planted_leaks(spark, docs, block):
     for d, t in rows:
         for i, item in items.items():
             text = leaks.normal(t or "")
-            if len(text) < 20_000 and (least := edit_distance_within(item, text) if d is None or d > 99 or i == d % 40 else 10**9) <= int(0.08 * len(item)):
+            if (least := edit_distance_within(item, text)) <= int(0.08 * len(item)):
                 want.append((d, i, least))
-    assert [g for g in got if g[0] is None or g[0] > 99 or g[1] == g[0] % 40] == sorted(want, key=str) and 10 < len(want) < 60
+    assert got == sorted(want, key=str) and 10 < len(want) < 60
     clean = leaks.decontaminated(frame.withColumn("item_id", frame.doc_id), bench, block_bytes=block)
     assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(d) for d, _ in rows if str(d) not in {str(g[0]) for g in got})
     assert leaks.matches(frame, bench.limit(0)).count() == 0 and leaks.decontaminated(frame.limit(0), bench).count() == 0
 
 
+def test_leaks_with_text_ids_in_a_long_text(spark):
+    bench = spark.createDataFrame([("x-1", "a question that nobody has asked before today, or ever"), (None, "short item")], "item_id string, text string")
+    long = "word " * 60_000 + "A question that nobody  has askd before today, or ever" + " word" * 60_000
+    docs = spark.createDataFrame([("d", long, 1), ("e", None, 2), (None, "SHORT\nitem", 3)], "doc_id string, text string, item_id int")
+    assert sorted(map(tuple, leaks.matches(docs, bench).collect()), key=str) == [("d", "x-1", 1), (None, None, 0)]
+    assert [r.doc_id for r in leaks.decontaminated(docs, bench).collect()] == ["e"]
+
+
 # --- pipeline ---
 
 
