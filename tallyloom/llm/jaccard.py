@@ -34,7 +34,7 @@ COMMON_TOKENS = 50_000
 #: Sets in a block of a tile.
 BLOCK = 2048
 #: Rows of a table that is broadcast, at most; a larger one is joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 #: Sets that are intersected with one other in a row.
 GROUP = 256
 BAND = np.log(4 / 3)
@@ -323,8 +323,8 @@ def _small(df: DataFrame) -> DataFrame:
 def links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, seed: int = 0) -> DataFrame:
     """The pairs (a, b) of classes that are similar: bounded by signatures first, then intersected. Written.
 
-    For the intersection the sets of all b that have one a are compared with it in groups of about GROUP: a's text goes
-    once into each group, and no task ever needs all of them.
+    For the intersection, of each pair the set that more pairs have is held and those of the others are compared with it,
+    in groups of about GROUP: its text goes once into each group, and no task ever needs all of them.
     """
     side = lambda s: classes.select(F.col("k").alias(s), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))
     signed = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -334,9 +334,14 @@ def links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, seed: int = 0)
     # doc_ids may repeat with other texts; the class of the text tells which is meant.
     texts = found.mapInArrow(_classed(seed), "own long, rep long, text string").filter("own = rep").dropDuplicates(["rep"])
     texts = cut(texts.select(F.col("rep").alias("k"), "text"))
-    parts = left.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
-    placed = left.join(parts, "a").select(F.col("a").alias("held"), F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), F.col("b").alias("other"))
-    placed = cut(placed)
+    # Few sets have many pairs; the rest need no count.
+    often = left.select(F.explode(F.array("a", "b")).alias("k")).groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP // 8)
+    often = _small(cut(often))
+    of = lambda s: often.select(F.col("k").alias(s), F.col("n").alias(f"n_{s}"))
+    counted = left.join(of("a"), "a", "left").join(of("b"), "b", "left").withColumn("n", F.greatest("n_a", "n_b", F.lit(1)))
+    swap = F.coalesce(F.col("n_b"), F.lit(0)) > F.coalesce(F.col("n_a"), F.lit(0))
+    held, other = F.when(swap, F.col("b")).otherwise(F.col("a")), F.when(swap, F.col("a")).otherwise(F.col("b"))
+    placed = cut(counted.select(held.alias("held"), F.pmod(F.xxhash64(other), F.ceil(F.col("n") / GROUP)).alias("part"), other.alias("other")))
     heads = placed.select("held", "part").distinct().withColumn("other", F.lit(None).cast("long"))
     both = heads.join(texts, heads["held"] == texts["k"]).unionByName(placed.join(texts, placed["other"] == texts["k"])).drop("k")
     dealt = both.repartition("held", "part").sortWithinPartitions("held", "part", F.col("other").asc_nulls_first())
@@ -394,14 +399,14 @@ def _still_apart(tiled: DataFrame, labels: DataFrame, classes: DataFrame) -> Dat
     sizes = entries.groupBy("tile", "k").agg(F.count("*").alias("tokens")).groupBy("tile").agg(F.count("*").alias("rows"), F.sum("tokens").alias("entries"))
     wide = sizes.filter(F.col("rows") * F.col("rows") > 4 * BLOCK * F.col("entries")).select("tile", F.ceil(F.col("entries") / BLOCK).alias("parts"))
     part = F.coalesce(F.pmod(F.xxhash64("token"), F.col("parts")), F.lit(0))
-    mixed = entries.join(wide, "tile", "left").withColumn("part", part).groupBy("tile", "part", "k", "n", "label").agg(F.max("near").alias("near"))
+    mixed = entries.join(_small(cut(wide)), "tile", "left").withColumn("part", part).groupBy("tile", "part", "k", "n", "label").agg(F.max("near").alias("near"))
     band = F.floor(F.log(F.col("n").cast("double")) / float(BAND)).cast("long")
     banded = mixed.withColumn("band", band).withColumn("tile_band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     banded = cut(banded)
     own = ["tile", "part", "tile_band"]
     counts = banded.groupBy(*own).agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
     counts = counts.filter("low < high").select(*own, F.ceil(F.col("rows") / BLOCK).alias("blocks"))
-    placed = banded.join(counts, own).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")))
+    placed = banded.join(_small(cut(counts)), own).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = met.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     signed = met.join(classes.select("k", "sig"), "k").select(*own, "i", "j", "block", "k", "n", "near", "band", "label", "sig")
@@ -412,9 +417,17 @@ def _still_apart(tiled: DataFrame, labels: DataFrame, classes: DataFrame) -> Dat
 
 
 def _tried(tiled: DataFrame, *others: str) -> DataFrame:
-    """Distinct pairs (a, b) of what the named columns hold and a row's class. Written."""
-    pairs = [tiled.filter(F.col(c) != F.col("k")).select(F.col(c).alias("a"), F.col("k").alias("b")) for c in others]
-    return cut(functools.reduce(DataFrame.union, pairs).distinct())
+    """Distinct pairs (a, b): b is a row's class, a what a named column holds in most of its tiles. Written.
+
+    That makes one pair a class and column, whatever the number of tiles and the size of the group.
+    """
+
+    def pairs(column: str) -> DataFrame:
+        counted = tiled.filter(F.col(column) != F.col("k")).groupBy(F.col(column).alias("a"), F.col("k").alias("b")).agg(F.count("*").alias("n"))
+        best = counted.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best"))
+        return best.select(F.least("best.a", "b").alias("a"), F.greatest("best.a", "b").alias("b"))
+
+    return cut(functools.reduce(DataFrame.union, map(pairs, others)).distinct())
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
