@@ -25,16 +25,22 @@ def is_period(text: Column) -> Column:
 
 
 def parse_period(text: Column, carry: bool = False) -> Column:
-    """Seven ints; null if the text is no period, zeros if it is empty. With carry, full slots move up, from the end."""
+    """Seven ints; null if the text is no period or has a number beyond them, zeros if it is empty. With carry, full
+    slots move up, from the end."""
     upper = F.upper(text)
-    slots = [F.coalesce(F.rtrim(F.regexp_extract(upper, GRAMMAR, g), F.lit("YMWDHS")).try_cast("int"), F.lit(0)) for g in GROUPS]
-    found = F.array(*slots)
+    digits = [F.rtrim(F.regexp_extract(upper, GRAMMAR, g), F.lit("YMWDHS")) for g in GROUPS]
+    found = let(F.array(*[F.when(d == "", F.lit(0)).otherwise(d.try_cast("int")) for d in digits]), lambda p: F.when(~F.exists(p, F.isnull), p))
     if carry:
-        for i in range(6, 0, -1):
-            found = let(found, _carried(i))
+        found = let(found, lambda p: F.when(p.isNotNull(), _all_carried(p)))
     return F.when(upper.rlike(GRAMMAR) | (upper == ""), found)
 
 
+def _all_carried(period: Column) -> Column:
+    for i in range(6, 0, -1):
+        period = let(period, _carried(i))
+    return period
+
+
 def _carried(i: int) -> Callable[[Column], Column]:
     """From slots to slots with what fills slot i moved up into the one before."""
 

@@ -58,14 +58,22 @@ def snap_to_step(value: Column, low: Column, high: Column, step: float) -> Colum
     return half_up(steps * 100) / 100
 
 
+def number_or_text(text: Column) -> Column:
+    """Two decimals of what is a number; any other text, NaN too, stays as it is."""
+    number = text.try_cast("double")
+    return F.when(number.isNull() | F.isnan(number), text).otherwise(to_fixed2(number))
+
+
 def rescale(value: Column, low: Column, high: Column, size: Column) -> Column:
-    """Position on a scale of `size` for a value between low and high."""
-    return (value - low) / ((high - low) / size)
+    """Position on a scale of `size` for a value between low and high; null on a scale without length."""
+    return F.try_divide(value - low, F.try_divide(high - low, size))
 
 
 def percent_floor(part: Column, whole: Column) -> Column:
-    return F.floor(part / whole * 100)
+    """Whole percents, rounded down; null of nothing."""
+    return F.floor(F.try_divide(part, whole) * 100)
 
 
 def frames_per_second(milliseconds: Column) -> Column:
-    return half_up(F.lit(10000) / milliseconds) / 10
+    """To one decimal; null for no time."""
+    return half_up(F.try_divide(F.lit(10000), milliseconds)) / 10

@@ -57,6 +57,13 @@ def track_slice(times: Column, points: Column, low: Column, high: Column) -> Col
     return F.when(F.size(times) == 0, points).when(inside, F.transform(after, lambda x: x["p"]))
 
 
+def with_last_points(tracks: DataFrame, points: str) -> DataFrame:
+    """tracks with `last` (false), and for each that has points a row with its last one alone and `last` true."""
+    whole = tracks.withColumn("last", F.lit(False))
+    ends = tracks.filter(F.size(points) > 0).withColumn(points, F.slice(points, -1, 1)).withColumn("last", F.lit(True))
+    return whole.unionByName(ends)
+
+
 def overlap_join(ticks: DataFrame, spans: DataFrame, seconds: int) -> DataFrame:
     """Pairs of ticks (low, high) and spans (first, last) that overlap, ends included.
 

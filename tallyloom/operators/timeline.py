@@ -24,10 +24,11 @@ def explode_range(start: Column, end: Column, period: Column, valid: tuple[str,
     """Array of instants from start in steps of period, before end, then always end itself.
 
     Steps add up: a month's step starts from where the last one landed. valid keeps instants within a time of day, but
-    not end. A zero period raises an error if start lies before end.
+    not end. A zero period raises an error if start lies before end; null if one of the three is.
     """
     given = F.struct(start.alias("start"), end.alias("end"), period.alias("period"))
-    return let(given, lambda x: _stepped(x["start"], x["end"], x["period"], valid, overflow))
+    whole = lambda x: x["start"].isNotNull() & x["end"].isNotNull() & x["period"].isNotNull()
+    return let(given, lambda x: F.when(whole(x), _stepped(x["start"], x["end"], x["period"], valid, overflow)))
 
 
 def _stepped(start: Column, end: Column, period: Column, valid: tuple[str, str] | None, overflow: bool) -> Column:
@@ -43,7 +44,13 @@ def _stepped(start: Column, end: Column, period: Column, valid: tuple[str, str]
         F.sequence(F.lit(1).cast("long"), F.greatest(count, F.lit(1))), F.array(start),
         lambda seen, _: F.concat(seen, F.array(add_period(F.element_at(seen, -1), period, overflow=overflow))),
     )
-    steps = F.filter(F.when(months > 0, walked).otherwise(even), lambda t: t < end)
+    # Up to the 28th a month's steps land on the same day of every month, so each is reached from start at once.
+    leaps = F.transform(
+        F.sequence(F.lit(0), count.cast("int")),
+        lambda i: F.timestamp_micros(F.unix_micros(F.add_months(start.cast("date"), months * i).cast("timestamp")) + F.unix_micros(start) - F.unix_micros(F.date_trunc("DAY", start))),
+    )
+    monthly = F.when((fixed == 0) & (F.dayofmonth(start) <= 28), leaps).otherwise(walked)
+    steps = F.filter(F.when(months > 0, monthly).otherwise(even), lambda t: t < end)
     if valid:
         steps = F.filter(steps, lambda t: in_time_of_day(t, *valid))
     return F.concat(steps, F.array(end))
@@ -61,18 +68,50 @@ def parse_interval(text: Column) -> Column:
     return F.when(F.size(parts) == 2, whole).otherwise(F.raise_error(F.concat(F.lit("not a time interval: "), text)).cast("struct<start:timestamp,end:timestamp>"))
 
 
+#: Fixed value: the period where none is given.
+DAILY = "P1D"
+
+
+def parse_range(text: Column) -> Column:
+    """Instants of `start/end/period` or `start/end`, which is in steps of a day; null if a part can't be read."""
+    cut = F.split(text, "/")
+    start, end = parse_instant(F.get(cut, F.lit(0))), parse_instant(F.get(cut, F.lit(1)))
+    return explode_range(start, end, parse_period(F.coalesce(F.get(cut, F.lit(2)), F.lit(DAILY)), carry=True))
+
+
 def parse_times(text: Column) -> Column:
-    """Sorted instants of a list of dates and start/end/period ranges; what is neither is left out, repeats stay."""
+    """Sorted instants of a list of dates and start/end/period ranges; what is neither is left out, ranges that can't be
+    read too, repeats stay."""
 
     def one(part: Column) -> Column:
-        cut = F.split(part, "/")
-        start, end = parse_instant(F.get(cut, F.lit(0))), parse_instant(F.get(cut, F.lit(1)))
-        ranged = explode_range(start, end, parse_period(F.get(cut, F.lit(2)), carry=True))
-        return F.when(F.size(cut) == 3, ranged).otherwise(F.array_compact(F.array(parse_instant(part))))
+        single = F.array_compact(F.array(parse_instant(part)))
+        return F.when(F.size(F.split(part, "/")) == 3, F.coalesce(parse_range(part), F.array().cast("array<timestamp>"))).otherwise(single)
 
     return F.sort_array(F.flatten(F.transform(F.split(text, ","), one)))
 
 
+def axis_from_options(times: Column, interval: Column, period: Column, valid: tuple[str, str] | None = None) -> Column:
+    """An axis as its options say: the times expression if there is one, else the interval in steps of the period (a day
+    where it is null), else no times."""
+    ends = parse_interval(interval)
+    ranged = let(ends, lambda x: explode_range(x["start"], x["end"], parse_period(F.coalesce(period, F.lit(DAILY)), carry=True), valid))
+    given = lambda c: F.coalesce(c, F.lit("")) != ""
+    return F.when(given(times), parse_times(times)).when(given(interval), ranged).otherwise(F.array().cast("array<timestamp>"))
+
+
+def set_times(old: DataFrame, new: DataFrame, key: str, time: str, mode: str, period: Column | None = None) -> DataFrame:
+    """Every key's axis after new times have come: as merge_axes, and keys without an axis yet take the new times in any
+    mode. Mode `extremes` gives each key of `new` a regular range between its least and greatest time, by days or by
+    period."""
+    if mode == "extremes":
+        return extremes(new, key, time, period if period is not None else parse_period(F.lit(DAILY)))
+    merged = merge_axes(old.select(key, time), new.select(key, time), mode)
+    if mode != "intersect":
+        return merged
+    fresh = new.select(key, time).distinct().join(old.select(key).distinct(), key, "left_anti")
+    return merged.unionByName(fresh)
+
+
 def merge_axes(old: DataFrame, new: DataFrame, mode: str, bag: bool = False) -> DataFrame:
     """New times into an old axis: intersect, union or replace. Both have the same columns (a key and a time).
 
@@ -103,8 +142,10 @@ def seek_join(rows: DataFrame, time: str, axis: DataFrame, axis_time: str, secon
     """rows with `sought`, the last axis time that isn't after theirs, or the first of all. Null times seek nothing.
 
     Both sides are dealt by stretches of `seconds`; what a stretch starts with comes from a table of the stretches'
-    last times, which grows with the span of time only.
+    last times, which grows with the span of time only. Null times are set aside first.
     """
+    untimed = rows.filter(F.col(time).isNull()).withColumn("sought", F.lit(None).cast("timestamp"))
+    whole, rows = rows, rows.filter(F.col(time).isNotNull())
     part = lambda c: F.floor(F.unix_micros(c) / (seconds * 1000000))
     marks = axis.select(F.col(axis_time).alias("_t")).filter("_t is not null").distinct()
     probes = rows.withColumn("_t", F.col(time)).withColumn("_mark", F.lit(None).cast("timestamp"))
@@ -117,8 +158,8 @@ def seek_join(rows: DataFrame, time: str, axis: DataFrame, axis_time: str, secon
     starts = parts.select("_p", F.max("_last").over(before).alias("_start"))
     first = marks.agg(F.min("_t").alias("_first"))
     out = filled.filter(F.col("_mark").isNull()).join(starts, F.col("_part") == F.col("_p"), "left").join(F.broadcast(first))
-    sought = F.when(F.col(time).isNotNull(), F.coalesce("_sought", "_start", "_first"))
-    return out.withColumn("sought", sought).select(*rows.columns, "sought")
+    found = out.withColumn("sought", F.coalesce("_sought", "_start", "_first")).select(*whole.columns, "sought")
+    return found.unionByName(untimed)
 
 
 def _by(key: str, time: str):
@@ -134,8 +175,14 @@ def positions(axis: DataFrame, key: str, time: str) -> DataFrame:
 
 
 def cursor(axis: DataFrame, key: str, time: str, step: int = 1, loop: bool = False, lower: int = 0, upper: int | None = None) -> DataFrame:
-    """axis with `moved`: the time that a cursor on this one goes to. Beyond a limit it stops there, or with loop goes
-    to the opposite limit."""
+    """axis with `index`, its place, and `moved`: the time that a cursor on this one goes to. Beyond a limit it stops
+    there, or with loop goes to the opposite limit."""
+    if lower == 0 and upper is None:  # the whole axis: a look along it
+        whole = _by(key, time).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        far, near = (F.last, F.first) if step > 0 else (F.first, F.last)
+        past = (near if loop else far)(time).over(whole)
+        ahead = F.lead(time, step) if step > 0 else F.lag(time, -step)
+        return axis.select(key, time, (F.row_number().over(_by(key, time)) - 1).alias("index"), F.coalesce(ahead.over(_by(key, time)), past).alias("moved"))
     placed = positions(axis, key, time)
     high = F.least(F.col("last"), F.lit(upper)) if upper is not None else F.col("last")
     to = F.col("index") + step
@@ -145,17 +192,59 @@ def cursor(axis: DataFrame, key: str, time: str, step: int = 1, loop: bool = Fal
     return moved.join(target, [key, "to"]).select(key, time, "index", "moved")
 
 
-def lookahead(axis: DataFrame, key: str, time: str, count: int) -> DataFrame:
-    """axis with `ahead`: up to `count` times that follow."""
-    return axis.withColumn("ahead", F.collect_list(time).over(_by(key, time).rowsBetween(1, count)))
-
-
-def ready_ahead(axis: DataFrame, key: str, time: str, ready: str, count: int) -> DataFrame:
-    """axis with `ready_ahead`: how many of the next `count` are ready; all of them if the axis ends before."""
-    frame = _by(key, time).rowsBetween(1, count)
-    seen = F.count("*").over(frame)
-    n = F.coalesce(F.sum(F.col(ready).cast("int")).over(frame), F.lit(0))
-    return axis.withColumn("ready_ahead", F.when(seen < count, F.lit(count)).otherwise(n).cast("long"))
+def _ahead(step: int, count: int, loop: bool, lower: int, upper: int | None, halt: bool) -> Column:
+    """struct(out, ended): the next `count` places from `index` in steps, and whether a limit ended them before. With
+    loop, a step over a limit lands on the opposite one; with halt, coming back to the start ends them too."""
+    high = F.least(F.col("last"), F.lit(upper)) if upper is not None else F.col("last")
+    start = F.named_struct(F.lit("at"), F.col("index"), F.lit("out"), F.array().cast("array<int>"), F.lit("ended"), F.lit(False), F.lit("closed"), F.lit(False))
+
+    def move(acc: Column, _: Column) -> Column:
+        to = acc["at"] + step
+        beyond = (to > high) | (to < lower)
+        landed = F.when(to > high, F.lit(lower)).when(to < lower, high).otherwise(to).cast("int")
+        ended = acc["ended"] | (beyond if not loop else F.lit(False))
+        closed = acc["closed"] | ended | ((landed == F.col("index")) if halt else F.lit(False))
+        out = F.when(closed, acc["out"]).otherwise(F.concat(acc["out"], F.array(landed)))
+        return F.named_struct(F.lit("at"), F.when(closed, acc["at"]).otherwise(landed), F.lit("out"), out, F.lit("ended"), ended, F.lit("closed"), closed)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(count)), start, move)
+
+
+def _visited(axis: DataFrame, key: str, time: str, places: Column) -> DataFrame:
+    """(key, index, ended, place, rank): a row for each place ahead of each time, one without a place where there is none."""
+    placed = positions(axis, key, time).withColumn("places", places)
+    return placed.select(key, "index", "places.ended", F.posexplode_outer("places.out").alias("rank", "place"))
+
+
+def lookahead(
+    axis: DataFrame, key: str, time: str, count: int, step: int = 1, loop: bool = False, lower: int = 0, upper: int | None = None
+) -> DataFrame:
+    """axis with `ahead`: up to `count` times that a cursor moving by `step` comes to. Without loop they end at a limit,
+    with it where they come back to the start. (key, time) must be unique unless the plain window does."""
+    if step == 1 and not loop and lower == 0 and upper is None:
+        return axis.withColumn("ahead", F.collect_list(time).over(_by(key, time).rowsBetween(1, count)))
+    spots = _visited(axis, key, time, _ahead(step, count, loop, lower, upper, halt=True))
+    placed = positions(axis, key, time)
+    met = spots.join(placed.select(key, F.col("index").alias("place"), F.col(time).alias("met")), [key, "place"], "left")
+    listed = met.groupBy(key, "index").agg(F.sort_array(F.collect_list(F.when(F.col("place").isNotNull(), F.struct("rank", "met")))).alias("found"))
+    return placed.join(listed, [key, "index"]).select(*axis.columns, F.transform("found", lambda x: x["met"]).alias("ahead"))
+
+
+def ready_ahead(
+    axis: DataFrame, key: str, time: str, ready: str, count: int, step: int = 1, loop: bool = False, lower: int = 0, upper: int | None = None
+) -> DataFrame:
+    """axis with `ready_ahead`: how many of the next `count` are ready; all of them if a limit ends them before."""
+    if step == 1 and not loop and lower == 0 and upper is None:
+        frame = _by(key, time).rowsBetween(1, count)
+        seen = F.count("*").over(frame)
+        n = F.coalesce(F.sum(F.col(ready).cast("int")).over(frame), F.lit(0))
+        return axis.withColumn("ready_ahead", F.when(seen < count, F.lit(count)).otherwise(n).cast("long"))
+    spots = _visited(axis, key, time, _ahead(step, count, loop, lower, upper, halt=False))
+    placed = positions(axis, key, time)
+    met = spots.join(placed.select(key, F.col("index").alias("place"), F.col(ready).alias("met")), [key, "place"], "left")
+    counted = met.groupBy(key, "index").agg(F.count_if("met").alias("n"), F.bool_or("ended").alias("ended"))
+    n = F.when(F.col("ended"), F.lit(count)).otherwise(F.col("n")).cast("long")
+    return placed.join(counted, [key, "index"]).select(*axis.columns, n.alias("ready_ahead"))
 
 
 def limited(axis: DataFrame, key: str, time: str, low: Column, high: Column) -> DataFrame:

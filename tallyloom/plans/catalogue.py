@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import periods, text
-from tallyloom.operators import dossier, layers, membership, timeline
+from tallyloom.operators import dossier, layers, membership, ranking, timeline
 from tallyloom.plans import analogue
+from tallyloom.sources import schemas
 from tallyloom.sources.tables import table
+from tallyloom.streaming import snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -212,7 +214,38 @@ def mean_sd_fixed(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("surname", text.to_fixed2(F.col("m")).alias("mean"), text.to_fixed2(F.col("s")).alias("sd"))
 
 
-@query()
+def _modal(rows: str, value: str) -> str:
+    return f"(SELECT surname, {value} FROM (SELECT *, row_number() OVER (PARTITION BY surname ORDER BY n DESC, {value}) AS k FROM (SELECT surname, {value}, count(*) AS n FROM {rows} GROUP BY ALL)) WHERE k = 1)"
+
+
+def _sexed(value: str, flag: str, female: str, male: str) -> str:
+    names = f"(SELECT DISTINCT surname, {value} AS x, {flag} AS s FROM sold)"
+    of = lambda s: f"coalesce(list(x ORDER BY x) FILTER (s = '{s}'), [])"
+    return f"(SELECT surname, {of(female)} AS f, {of(male)} AS m FROM {names} GROUP BY surname)"
+
+
+#: The slots in order, each as JSON text.
+DOSSIER = STAR + f""", seg AS (SELECT surname, c_mktsegment FROM sold JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+sized AS (SELECT *, ceil(p_size / 5.0)::INT AS decile FROM sold),
+parishes AS (SELECT surname, list([d, parish] ORDER BY d, parish) AS x FROM (SELECT *, row_number() OVER (PARTITION BY surname ORDER BY d, parish) AS k FROM (SELECT DISTINCT surname, {TITLE.format('regcnty')} AS d, parish FROM place)) WHERE k <= 5 GROUP BY surname),
+areas AS (SELECT surname, list([r_name, n_name] ORDER BY msoa11cd) AS x FROM (SELECT *, row_number() OVER (PARTITION BY surname ORDER BY msoa11cd) AS k FROM place JOIN nation ON msoa11cd = 'E' || n_nationkey JOIN region ON n_regionkey = r_regionkey) WHERE k <= 5 GROUP BY surname),
+own AS (SELECT surname, min({{'s': p_size, 't': p_type}}) AS i, min({{'s': p_size, 'b': p_brand}}) AS b FROM (SELECT regexp_replace(lower(p_name), '[^a-z]', '', 'g') AS surname, * FROM part) GROUP BY surname),
+std AS (SELECT surname, [printf('%.2f', avg(l_quantity)), printf('%.2f', stddev_samp(l_quantity))] AS x FROM sold GROUP BY surname),
+slots AS (SELECT surname, concat_ws(',', to_json(h.f)::VARCHAR, to_json(h.m)::VARCHAR, to_json(c.f)::VARCHAR, to_json(c.m)::VARCHAR, to_json(p.x)::VARCHAR, to_json(a.x)::VARCHAR,
+  to_json(['Super ' || o_orderpriority[1], o_orderpriority, 'all of ' || o_orderpriority[1], 'about ' || o_orderpriority, o_orderpriority[1] || lower(o_orderpriority[3])])::VARCHAR,
+  to_json(['Super ' || c_mktsegment[1], c_mktsegment, 'all of ' || c_mktsegment[1], 'about ' || c_mktsegment, c_mktsegment[1] || '1'])::VARCHAR,
+  to_json([i.s::VARCHAR, i.t, 'size ' || i.s])::VARCHAR, l_linenumber::VARCHAR, decile::VARCHAR, to_json([ceil(b.s / 5.0)::INT::VARCHAR, b.b])::VARCHAR,
+  to_json([(length(surname) % 9 + 1)::VARCHAR, 'length ' || length(surname)])::VARCHAR, to_json(std.x)::VARCHAR) AS stats
+  FROM {_sexed('p_brand', 'l_returnflag', 'R', 'A')} h JOIN {_sexed('p_type', 'l_linestatus', 'F', 'O')} c USING (surname) JOIN parishes p USING (surname) JOIN areas a USING (surname)
+  JOIN {_modal('prio', 'o_orderpriority')} USING (surname) JOIN {_modal('seg', 'c_mktsegment')} USING (surname) JOIN own USING (surname) JOIN {_modal('sold', 'l_linenumber')} USING (surname)
+  JOIN {_modal('sized', 'decile')} USING (surname) JOIN std USING (surname)),
+off AS (SELECT surname, bool_or(year NOT BETWEEN 1994 AND 2001) AS off FROM frq GROUP BY surname),
+settled AS (SELECT *, CASE WHEN status = 'found' AND off THEN 'error' ELSE status END AS state FROM classed LEFT JOIN off USING (surname))
+SELECT input, CASE WHEN state <> 'found' THEN '{{"surname":"' || state || '"}}' ELSE '{{"surname":"' || {TITLE.format('form')} || '","years":[' || years || '],"freqs":[' || freqs || '],"stats":[' || stats || ']}}' END AS document
+FROM settled LEFT JOIN vectors USING (surname) LEFT JOIN slots USING (surname)"""
+
+
+@query(DOSSIER)
 def dossier_json(spark: SparkSession, sf: str) -> DataFrame:
     probes = membership.prepared(analogue.probes(spark, sf))
     rows = dossier.assemble(probes, analogue.tables(spark, sf), analogue.AXIS, analogue.EXCLUDED)
@@ -242,12 +275,12 @@ def layer_paths(spark: SparkSession, sf: str) -> DataFrame:
     return kde.select("surname", "year", layers.feature_path(F.col("surname"), F.col("year")).alias("path"))
 
 
-@query("SELECT c_custkey, nullif(regexp_extract('theme=dark; token=' || c_mktsegment || '%20x; id=' || c_custkey, 'token=([^;]*)', 1), '') AS token_text FROM customer")
+@query("SELECT c_custkey, url_decode(nullif(regexp_extract('theme=dark; token=' || c_mktsegment || '%20x%3By; id=' || c_custkey, 'token=([^;]*)', 1), '')) AS token_text FROM customer")
 def cookie_value(spark: SparkSession, sf: str) -> DataFrame:
-    cookies = F.concat(F.lit("theme=dark; token="), "c_mktsegment", F.lit("%20x; id="), "c_custkey")
+    cookies = F.concat(F.lit("theme=dark; token="), "c_mktsegment", F.lit("%20x%3By; id="), "c_custkey")
     pairs = F.transform(F.split(cookies, ";"), lambda x: F.trim(x))
     value = F.get(F.filter(pairs, lambda x: F.startswith(x, F.lit("token="))), 0)
-    return table(spark, sf, "customer").select("c_custkey", F.substring(value, 7, 1000).alias("token_text"))
+    return table(spark, sf, "customer").select("c_custkey", F.url_decode(F.substr(value, F.lit(7))).alias("token_text"))
 
 
 # --- axes --------------------------------------------------------------------------------------------------------
@@ -454,6 +487,89 @@ def trailing_window(spark: SparkSession, sf: str) -> DataFrame:
     return timeline.trailing_count(events(spark, sf), "user_id", "ts", 2 * 86400).select("event_id", "trailing")
 
 
+STEPPED = AXIS + """, one AS (SELECT *, CASE WHEN index + 2 > last THEN 0 ELSE index + 2 END AS a FROM placed), two AS (SELECT *, CASE WHEN a + 2 > last THEN 0 ELSE a + 2 END AS b FROM one),
+  three AS (SELECT *, CASE WHEN b + 2 > last THEN 0 ELSE b + 2 END AS c FROM two), times AS (SELECT user_id, list(t ORDER BY t) AS ts FROM axis GROUP BY user_id) """
+
+
+@query(STEPPED + """SELECT user_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS t, array_to_string(list_transform(CASE index WHEN a THEN [] WHEN b THEN [a] WHEN c THEN [a, b] ELSE [a, b, c] END,
+  lambda i: strftime(ts[i + 1], '%Y-%m-%d %H:%M:%S')), ',') AS ahead FROM three JOIN times USING (user_id)""")
+def lookahead_loop(spark: SparkSession, sf: str) -> DataFrame:
+    rows = timeline.lookahead(user_axis(spark, sf), "user_id", "t", 3, step=2, loop=True)
+    return rows.select("user_id", shown("t").alias("t"), instants(F.col("ahead")).alias("ahead"))
+
+
+@query(STEPPED + """SELECT user_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS t, (second(ts[a + 1]) % 3 = 0)::BIGINT + (second(ts[b + 1]) % 3 = 0)::BIGINT + (second(ts[c + 1]) % 3 = 0)::BIGINT AS ready_ahead
+  FROM three JOIN times USING (user_id)""")
+def lookahead_ready_loop(spark: SparkSession, sf: str) -> DataFrame:
+    axis = user_axis(spark, sf).withColumn("ready", F.second("t") % 3 == 0)
+    return timeline.ready_ahead(axis, "user_id", "t", "ready", 3, step=2, loop=True).select("user_id", shown("t").alias("t"), "ready_ahead")
+
+
+@query(AXIS + """, lim AS (SELECT *, least(last, 6) AS high FROM placed), ahead AS (SELECT p.user_id, p.index, p.t, p.high, count(q.t) AS seen, count(q.t) FILTER (second(q.t) % 3 = 0) AS n
+  FROM lim p LEFT JOIN lim q ON p.user_id = q.user_id AND q.index < p.index AND q.index >= p.index - 4 AND q.index >= 2 AND p.index - 1 <= p.high GROUP BY ALL)
+  SELECT user_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS t, CASE WHEN index - 4 < 2 OR index - 1 > high THEN 4 ELSE n END::BIGINT AS ready_ahead FROM ahead""")
+def ready_behind_within_limits(spark: SparkSession, sf: str) -> DataFrame:
+    axis = user_axis(spark, sf).withColumn("ready", F.second("t") % 3 == 0)
+    return timeline.ready_ahead(axis, "user_id", "t", "ready", 4, step=-1, lower=2, upper=6).select("user_id", shown("t").alias("t"), "ready_ahead")
+
+
+LATE = "WITH a AS (SELECT user_id, date_trunc('day', ts) AS t FROM events WHERE event_type = 'click' AND user_id % 3 <> 0), b AS (SELECT user_id, date_trunc('day', ts) AS t FROM events WHERE event_type = 'view') "
+
+
+def _set(mode: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        days = lambda kind: table(spark, sf, "events").filter(F.col("event_type") == kind).select("user_id", F.date_trunc("DAY", F.col("ts").cast("timestamp")).alias("t"))
+        return timeline.set_times(days("click").filter("user_id % 3 <> 0"), days("view"), "user_id", "t", mode).select("user_id", shown("t").alias("t"))
+
+    return run
+
+
+for _name, _mode, _sql in (
+    ("set_times_intersect", "intersect", "SELECT * FROM a INTERSECT SELECT * FROM b UNION SELECT * FROM b WHERE user_id NOT IN (SELECT user_id FROM a)"),
+    ("set_times_union", "union", "SELECT * FROM a UNION SELECT * FROM b"),
+    ("set_times_extremes", "extremes", "SELECT user_id, unnest(generate_series(min(t), max(t), INTERVAL 1 DAY)) AS t FROM b GROUP BY user_id"),
+):
+    QUERIES[_name] = _set(_mode)
+    ORACLES[_name] = f"{LATE}SELECT user_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS t FROM ({_sql})"
+
+
+@query(SPANS + f"""kinds AS (SELECT o_orderkey, a, b, CASE o_orderkey % 4 WHEN 0 THEN [a, b] WHEN 1 THEN generate_series(a, a + INTERVAL 3 DAY, INTERVAL 1 DAY) WHEN 2 THEN [a, a + INTERVAL 36 HOUR, a + INTERVAL 60 HOUR] ELSE [] END AS t FROM spans)
+  SELECT o_orderkey, {LIST.format('list_sort(t)')} AS times FROM kinds""")
+def axis_options(spark: SparkSession, sf: str) -> DataFrame:
+    """A list of times, an interval by days, one with a period, or nothing."""
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    a, b, kind = F.col("o_orderdate"), F.array_max("times"), F.col("o_orderkey") % 4
+    times = F.when(kind == 0, F.concat(day(b), F.lit(","), day(a)))
+    interval = F.when(kind == 1, F.concat(day(a), F.lit("/P3D"))).when(kind == 2, F.concat(day(a), F.lit("/PT60H")))
+    period = F.when(kind == 2, F.lit("PT36H"))
+    return order_spans(spark, sf).select("o_orderkey", instants(timeline.axis_from_options(times, interval, period)).alias("times"))
+
+
+@query(f"""WITH kinds AS (SELECT o_orderkey, o_orderdate AS a, CASE o_orderkey % 3 WHEN 0 THEN generate_series(a, a + INTERVAL 4 DAY, INTERVAL 1 DAY) WHEN 1 THEN [a, a + INTERVAL 48 HOUR, a + INTERVAL 4 DAY] END AS t FROM orders)
+  SELECT o_orderkey, {LIST.format('t')} AS times FROM kinds""")
+def range_string(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges by days where no period is given, by one that is, and null for what can't be read."""
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    a, kind = F.col("o_orderdate"), F.col("o_orderkey") % 3
+    ends = F.concat(day(a), F.lit("/"), day(F.date_add(a, 4)))
+    said = F.when(kind == 0, ends).when(kind == 1, F.concat(ends, F.lit("/PT48H"))).otherwise(F.concat(ends, F.lit("/P99999999999D")))
+    return table(spark, sf, "orders").select("o_orderkey", instants(timeline.parse_range(said)).alias("times"))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS times FROM orders")
+def times_with_unreadable_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    said = F.concat(F.lit("junk/2020-01-02/P1D,"), day, F.lit(",2020-01-01/2020-01-03/P1X,2020-13-01,"))
+    return table(spark, sf, "orders").select("o_orderkey", instants(timeline.parse_times(said)).alias("times"))
+
+
+@query("""WITH ticks AS (SELECT user_id, ts, unnest([date_trunc('day', ts) + INTERVAL 1 DAY, date_trunc('day', ts) + INTERVAL 2 DAY]) AS tick FROM events)
+  SELECT strftime(tick, '%Y-%m-%d %H:%M:%S') AS tick, user_id, count(*) AS n, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last FROM ticks GROUP BY ALL""")
+def ticking_window(spark: SparkSession, sf: str) -> DataFrame:
+    rows = snapshots.ticking_counts(events(spark, sf), "ts", "user_id", "2 days", "1 day")
+    return rows.select(shown("tick").alias("tick"), "user_id", "n", shown("last").alias("last"))
+
+
 # --- layers ------------------------------------------------------------------------------------------------------
 
 TRACKS = "WITH tracks AS (SELECT o_orderkey, list(l_shipdate ORDER BY l_shipdate, l_linenumber, l_quantity) AS ts, list(l_quantity::INT ORDER BY l_shipdate, l_linenumber, l_quantity) AS ps FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey) "
@@ -492,6 +608,55 @@ def track_last_point(spark: SparkSession, sf: str) -> DataFrame:
     return order_spans(spark, sf).select("o_orderkey", last("points").cast("int").alias("point"), F.date_format(last("times"), "yyyy-MM-dd").alias("at"))
 
 
+@query(TRACKS + """SELECT o_orderkey, array_to_string(ps, ',') AS points, false AS last FROM tracks UNION ALL SELECT o_orderkey, ps[-1]::VARCHAR, true FROM tracks""")
+def track_with_last_point(spark: SparkSession, sf: str) -> DataFrame:
+    tracks = order_spans(spark, sf).select("o_orderkey", F.transform("points", lambda x: x.cast("int")).alias("points"))
+    return layers.with_last_points(tracks, "points").select("o_orderkey", joined("points").alias("points"), "last")
+
+
+@query(TRACKS + f"""SELECT o_orderkey, len(t)::INT AS n FROM (SELECT o_orderkey, list_filter(ts, lambda x: x >= TIMESTAMP '1998-01-01') AS t FROM tracks)
+  WHERE len(t) = 0 OR NOT (t[1] > TIMESTAMP '{HIGH}' OR t[-1] < TIMESTAMP '{LOW}')""")
+def overlap_or_untimed(spark: SparkSession, sf: str) -> DataFrame:
+    late = F.filter("times", lambda t: t >= F.lit("1998-01-01").cast("timestamp"))
+    rows = order_spans(spark, sf).select("o_orderkey", late.alias("t"))
+    return rows.filter(layers.overlaps(F.col("t"), *_window())).select("o_orderkey", F.size("t").alias("n"))
+
+
+@query("""SELECT user_id, string_agg(event_id || ':' || CASE WHEN event_type = 'click' THEN '7' ELSE '' END || ':0', ',' ORDER BY event_id) AS features FROM events GROUP BY user_id""")
+def stamped_features(spark: SparkSession, sf: str) -> DataFrame:
+    """A collection for each user from JSON text; every feature gets level 0, those of clicks the time 7."""
+    rows = table(spark, sf, "events")
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"level":'), F.col("event_id").cast("string"), F.lit(',"time":3},"geometry":{"type":"'), "event_type", F.lit('"}}'))
+    parts = F.sort_array(F.collect_list(F.struct("event_id", feature.alias("json"))))
+    listed = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.transform(parts, lambda x: x["json"]), ","), F.lit("]}"))
+    read = rows.groupBy("user_id").agg(listed.alias("doc")).select("user_id", F.from_json("doc", schemas.FEATURES).alias("x"))
+    ids = F.transform("x.features", lambda f: f["properties"]["level"])
+    clicks = layers.stamped(F.filter("x.features", lambda f: f["geometry"]["type"] == "click"), F.lit(7).cast("long"), F.lit(0))
+    others = layers.stamped(F.filter("x.features", lambda f: f["geometry"]["type"] != "click"), F.lit(None).cast("long"), F.lit(0))
+    kinds = F.transform("x.features", lambda f: f["geometry"]["type"] == "click")
+    props = lambda fs: F.get(fs, F.lit(0))["properties"]
+    shown_ = lambda p: F.concat(F.coalesce(p["time"].cast("string"), F.lit("")), F.lit(":"), p["level"].cast("string"))
+    rows = read.select("user_id", ids.alias("ids"), kinds.alias("kinds"), shown_(props(clicks)).alias("hit"), shown_(props(others)).alias("miss"))
+    pairs = F.transform(F.arrays_zip("ids", "kinds"), lambda x: F.concat_ws(":", x["ids"].cast("string"), F.when(x["kinds"], F.col("hit")).otherwise(F.col("miss"))))
+    return rows.select("user_id", joined(pairs).alias("features"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 'No data' WHEN 1 THEN 'NaN' ELSE printf('%.2f', l_quantity / 8 + 1e-12) END AS said FROM lineitem")
+def number_or_text(spark: SparkSession, sf: str) -> DataFrame:
+    kind = F.col("l_linenumber") % 4
+    raw = F.when(kind == 0, "No data").when(kind == 1, "NaN").otherwise((F.col("l_quantity").cast("double") / 8 + 1e-12).cast("string"))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.number_or_text(raw).alias("said"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, floor(l_quantity / nullif(l_linenumber - 1, 0) * 100)::BIGINT AS percent, floor(10000 / nullif(l_linenumber - 1, 0) + 0.5) / 10 AS fps,
+  l_quantity / nullif((l_linenumber - 1) / 200, 0) AS x FROM lineitem""")
+def zero_divisors(spark: SparkSession, sf: str) -> DataFrame:
+    q, n = F.col("l_quantity"), F.col("l_linenumber") - 1
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", text.percent_floor(q, n).alias("percent"), text.frames_per_second(n).alias("fps"), text.rescale(q, F.lit(0), n, F.lit(200)).alias("x"),
+    )
+
+
 @query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN (props->>'$.k') WHEN 1 THEN (props->>'$.k') || ',7' ELSE '' END AS times FROM events")
 def json_property_probe(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_id") % 3
@@ -551,21 +716,20 @@ def mode_by_group(spark: SparkSession, sf: str) -> DataFrame:
     return dossier.modal_pick(analogue.priorities(spark, sf), "surname", "o_orderpriority")
 
 
-@query("""WITH d AS (SELECT o_custkey, o_orderpriority, ntile(10) OVER (PARTITION BY o_orderpriority, o_custkey % 16 ORDER BY o_totalprice, o_orderkey)::INT AS decile FROM orders)
+@query("""WITH d AS (SELECT o_custkey, ntile(10) OVER (ORDER BY o_totalprice, o_orderkey)::INT AS decile FROM orders)
   SELECT o_custkey, decile, n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, decile) AS k FROM (SELECT o_custkey, decile, count(*) AS n FROM d GROUP BY ALL)) WHERE k = 1""")
 def ntile_mode(spark: SparkSession, sf: str) -> DataFrame:
-    part = Window.partitionBy("o_orderpriority", F.col("o_custkey") % 16).orderBy("o_totalprice", "o_orderkey")
-    rows = table(spark, sf, "orders").withColumn("decile", F.ntile(10).over(part))
-    return dossier.modal_pick(rows, "o_custkey", "decile")
+    rows = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return dossier.modal_pick(ranking.tiled(rows, "o_totalprice", "o_orderkey", 10, "decile"), "o_custkey", "decile")
 
 
-@query("""WITH r AS (SELECT o_custkey, percent_rank() OVER (PARTITION BY o_orderpriority, o_custkey % 16 ORDER BY o_totalprice)::DECIMAL(18, 9) AS p FROM orders),
+@query("""WITH r AS (SELECT o_custkey, percent_rank() OVER (ORDER BY o_totalprice)::DECIMAL(18, 9) AS p FROM orders),
   s AS (SELECT o_custkey, count(*) AS n, sum(p)::DOUBLE AS s, sum(p * p)::DOUBLE AS ss FROM r GROUP BY o_custkey)
   SELECT o_custkey, floor(s / n * 10000 + 0.5) / 10000 AS mean, CASE WHEN n > 1 THEN floor(sqrt(greatest((ss - s * s / n) / (n - 1), 0)) * 10000 + 0.5) / 10000 ELSE 0.0::DOUBLE END AS sd FROM s""")
 def percent_rank_avg_sd(spark: SparkSession, sf: str) -> DataFrame:
-    part = Window.partitionBy("o_orderpriority", F.col("o_custkey") % 16).orderBy("o_totalprice")
-    ranked = table(spark, sf, "orders").withColumn("p", F.percent_rank().over(part).cast("decimal(18,9)")).groupBy("o_custkey")
+    rows = ranking.percent_ranked(table(spark, sf, "orders").select("o_custkey", "o_totalprice"), "o_totalprice", "p")
     # Sums of decimals don't depend on the order of rows.
+    ranked = rows.withColumn("p", F.col("p").cast("decimal(18,9)")).groupBy("o_custkey")
     sums = ranked.agg(F.count("*").alias("n"), F.sum("p").cast("double").alias("s"), F.sum(F.col("p") * F.col("p")).cast("double").alias("ss"))
     n, s, ss = F.col("n"), F.col("s"), F.col("ss")
     sd = F.when(n > 1, text.half_up(F.sqrt(F.greatest((ss - s * s / n) / (n - 1), F.lit(0.0))) * 10000) / 10000).otherwise(F.lit(0.0))

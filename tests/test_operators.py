@@ -1,13 +1,16 @@
 """Axes, layers and dossiers on small cases with known answers."""
 
+import gzip
 import json
+import random
 from collections import Counter
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import periods
-from tallyloom.operators import dossier, layers, membership, timeline
+from tallyloom.operators import dossier, layers, membership, ranking, timeline
 from tallyloom.sources import schemas, tables
 
 
@@ -33,6 +36,13 @@ def test_ranges_and_expressions(spark):
         ranged("2020-01-01", "2020-01-02", "PT0S")
     times = one(spark, timeline.parse_times(F.lit("2003-01-01,2001-01-01,junk,2001-01-01")))
     assert [t.year for t in times] == [2001, 2001, 2003]
+    assert [t.year for t in one(spark, timeline.parse_times(F.lit("2001-01-01,junk/2020-01-02/P1D,2020-01-01/2020-01-03/P1X")))] == [2001]
+    assert one(spark, timeline.parse_range(F.lit("2020-01-01/2020-01-03/P99999999999D"))) is None
+    assert days(one(spark, timeline.parse_range(F.lit("2020-01-01/2020-01-03")))) == ["01-01 00", "01-02 00", "01-03 00"]
+    options = lambda *v, **k: days(one(spark, timeline.axis_from_options(*[F.lit(x).cast("string") for x in v], **k)))
+    assert options("2020-01-02,2020-01-01", "2021-01-01/P1D", None) == ["01-01 00", "01-02 00"]
+    assert options(None, "2021-01-01/P2D", None) == ["01-01 00", "01-02 00", "01-03 00"]
+    assert options("", "2021-01-01/P1D", "PT9H", valid=("08:00", "10:00")) == ["01-01 09", "01-02 00"] and options(None, None, None) == []
     interval = lambda s: one(spark, timeline.parse_interval(F.lit(s)))
     assert days(interval("P1D/2020-01-05")) == ["01-04 00", "01-05 00"]
     assert days(interval("2020-01-05/PT6H")) == ["01-05 00", "01-05 06"]
@@ -66,6 +76,36 @@ def test_seek_and_cursor(spark):
     assert {r.t: r.ready_ahead for r in timeline.ready_ahead(ready, "k", "t", "ok", 2).collect()} == {1: 1, 2: 2, 3: 2}
 
 
+def test_set_times_look_ahead_and_ranks(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "k string, t timestamp")
+    day = lambda d: datetime(2020, 1, d)
+    old, new = frame([("a", day(1)), ("a", day(2))]), frame([("a", day(2)), ("a", day(4)), ("b", day(1)), ("b", day(3)), ("b", day(3))])
+    got = lambda mode: sorted((r.k, r.t.day) for r in timeline.set_times(old, new, "k", "t", mode).collect())
+    assert got("intersect") == [("a", 2), ("b", 1), ("b", 3)] and got("replace") == [("a", 2), ("a", 4), ("b", 1), ("b", 3)]
+    assert got("union") == [("a", 1), ("a", 2), ("a", 4), ("b", 1), ("b", 3)] and got("extremes") == [("a", 2), ("a", 3), ("a", 4), ("b", 1), ("b", 2), ("b", 3)]
+    axis = spark.createDataFrame([(k, t) for k, n in (("a", 5), ("b", 1)) for t in range(n)], "k string, t int")
+    ahead = lambda *v, **k: {(r.k, r.t): r.ahead for r in timeline.lookahead(axis, "k", "t", *v, **k).collect()}
+    assert ahead(3, step=2, loop=True)["a", 1] == [3, 0, 2] and ahead(9, step=2, loop=True)["a", 0] == [2, 4] and ahead(2, loop=True)["b", 0] == []
+    assert ahead(4, step=-1)["a", 2] == [1, 0] and ahead(4, lower=1, upper=3)["a", 1] == [2, 3]
+    ready = lambda *v, **k: {(r.k, r.t): r.ready_ahead for r in timeline.ready_ahead(axis.withColumn("ok", F.col("t") != 3), "k", "t", "ok", *v, **k).collect()}
+    assert ready(3, step=2, loop=True)["a", 1] == 2 and ready(3, step=2)["a", 1] == 3 and ready(2, step=-1)["a", 4] == 1
+    rng = random.Random(3)
+    rows = spark.createDataFrame([(i, rng.choice([1.5, 2.0, 7.25, -3.0]) if i % 3 else rng.random()) for i in range(500)] + [(500, None)], "i int, v double")
+    rows.createOrReplaceTempView("ranked_rows")
+    want = {r.i: (r.p, r.n) for r in spark.sql("SELECT i, percent_rank() OVER (ORDER BY v) AS p, ntile(7) OVER (ORDER BY v, i) AS n FROM ranked_rows WHERE v IS NOT NULL").collect()}
+    got = {r.i: (r.p, r.n) for r in ranking.tiled(ranking.percent_ranked(rows, "v", "p"), "v", "i", 7, "n").collect()}
+    assert got.pop(500) == (None, None) and got == want
+    few = ranking.tiled(ranking.percent_ranked(rows.limit(1), "v", "p"), "v", "i", 7, "n").first()
+    assert (few.p, few.n) == (0, 1) and ranking.tiled(rows.limit(0), "v", "i", 7, "n").count() == 0
+
+
+def test_documents_are_written_compressed(spark, tmp_path):
+    docs = spark.createDataFrame([("a", '{"surname":"db"}'), ("b", '{"surname":"none"}')], "input string, document string")
+    tables.write_documents(docs, str(tmp_path / "docs"))
+    files = [*(tmp_path / "docs").glob("*.gz")]
+    assert files and sorted(x for f in files for x in gzip.open(f, "rt").read().split()) == ['{"surname":"db"}', '{"surname":"none"}']
+
+
 def test_layers(spark):
     assert [one(spark, layers.fill(F.lit(x))) for x in (0, 3, 9)] == ["#DCDCDC", "#2171b5", None]
     span = F.array(F.lit(10), F.lit(20))
