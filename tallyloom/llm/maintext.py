@@ -150,8 +150,11 @@ class Lines(HTMLParser):
                 self.parts.append(" ")
             return
         if tag in BLOCK:
-            self.flush()
             ends = CLOSES.get(tag, {"p"})
+            at = self.inline()
+            if at and self.open[at - 1][0] in ends:
+                self.end_inline(at)
+            self.flush()
             while self.open and self.open[-1][0] in ends:
                 self.pop(len(self.open) - 1)
         elif tag in ("td", "th"):
@@ -164,6 +167,27 @@ class Lines(HTMLParser):
             self.open.append((tag, self.numbers, kind))
             self.asides += kind != PLAIN
 
+    def inline(self) -> int:
+        """Where the inline elements begin that are open within the innermost block."""
+        at = len(self.open)
+        while at and self.open[at - 1][0] not in BLOCK:
+            at -= 1
+        return at
+
+    def end_inline(self, at: int) -> None:
+        """The end of their block ends inline elements too: the line goes on with what stood before an aside."""
+        before = self.asides
+        self.pop(at)
+        if before and not self.asides:
+            self.parts, self.before_aside = self.before_aside, []
+
+    def finish(self) -> None:
+        """The end of the page, or of a block around an aside that holds blocks: what stood before it is a line."""
+        self.flush()
+        if self.before_aside and not self.asides:
+            self.parts, self.before_aside = self.before_aside, []
+            self.flush()
+
     def flush_inline(self) -> None:
         """An inline element that isn't content: the line goes on after it, without its text."""
         if not self.asides:
@@ -173,6 +197,8 @@ class Lines(HTMLParser):
         self.tags += 1
         at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
         if tag in BLOCK:
+            if at is not None and (first := self.inline()) > at:
+                self.end_inline(first)
             self.flush()
         if tag == "a":
             self.in_link = False
@@ -180,8 +206,11 @@ class Lines(HTMLParser):
             return
         before = self.asides
         self.pop(at)
-        if tag not in BLOCK and before and not self.asides:
-            self.parts, self.before_aside = [*self.before_aside, " "], []
+        if before and not self.asides:
+            if tag in BLOCK:
+                self.finish()
+            else:
+                self.parts, self.before_aside = [*self.before_aside, " "], []
 
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1][0] == "head" and data.strip():
@@ -277,7 +306,10 @@ def main_text(html: str) -> str:
     parser = Lines()
     parser.feed(html)
     parser.close()
+    parser.end_inline(parser.inline())
     parser.flush()
+    parser.pop(0)
+    parser.finish()
     return "\n".join(x.text for x in main_lines(parser.lines))
 
 

@@ -165,6 +165,32 @@ def test_main_text_around_the_innermost_container(page, wanted):
     assert maintext.main_text(page).split("\n") == [w.strip() for w in wanted]
 
 
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        ("<p>Good text one that stays <span class='share'>Share</p><p>Next</p>", ["Good text one that stays", "Next"]),
+        ("<p>Good text one that stays <span class='share'>Share<p>Next", ["Good text one that stays", "Next"]),
+        ("<p>Good text one that stays <span class='share'>Share", ["Good text one that stays"]),
+        ("<p>Before <span class='ad'>buy</span> after <b class='share'>Share", ["Before after"]),
+        (f"<section>{LONG}<span class='share'><div>Share</section><p>{LONG}</p>", [LONG, LONG]),
+        (f"<section>{LONG}<span class='share'><div>Share</div>", [LONG]),
+        (f"<div><p>{LONG}</p><ul><li>One <span class='ad'>buy<li>Two</ul><p>{LONG}</p></div>", [LONG, "One", "Two", LONG]),
+        ('<div class="post side-story"><p>long article</p></div>', ["long article"]),
+    ],
+)
+def test_main_text_around_asides_left_open(page, wanted):
+    assert maintext.main_text(page).split("\n") == [w.strip() for w in wanted]
+
+
+def test_main_text_follows_the_ratios(spark, monkeypatch):
+    """On pages without article or main, constants in place of the ratios change every result."""
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    plain = [re.sub("(</?)(article|nav|main)>", r"\1div>", p) for p in pages]
+    real = [maintext.main_text(p) for p in plain]
+    monkeypatch.setattr(maintext, "smoothed", lambda ratios: [1.0] * len(ratios))
+    assert all(maintext.main_text(p) != r for p, r in zip(plain, real, strict=True)) and all(real)
+
+
 @pytest.mark.parametrize("tag", ("div", "section"))
 def test_main_text_without_article_tags(spark, tag):
     pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
