@@ -2,29 +2,34 @@
 
 Of all suffixes of a text only those are retained that begin at a minimiser: the place of the least hash of HEAD words
 within some stretch of as many starts as a passage of LEAST words has. What is retained depends on the words alone, so
-a passage of LEAST words retains the same suffixes wherever it stands, at least one of them. Suffixes are brought
-together by their first HEAD words; those whose head occurs in one document only are dropped. Around each suffix that
-is left, the passages of LEAST words that it is the minimiser of are sorted by content, and neighbours that are equal
-but stand in different documents are matches. Matches then grow left and right over the passages that follow on one
-another until no document shares the next word.
+a passage of LEAST words retains the same suffixes wherever it stands, at least one of them. Suffixes whose head occurs
+in one document only are dropped first, by its hash. The others are sorted by their words across all partitions and
+neighbours compared: no suffix shares more words with any other than with one of its neighbours, so that bounds how far
+a match can reach right. Within that reach matches are extended left, word by word, over the passages that the suffix is
+the minimiser of, and what is equal in words but stands in another document is a match. Matches that overlap or touch
+are one.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyloom.llm.common import cut
-from tallyloom.llm.shingles import windows, word_hashes
+from tallyloom.llm.shingles import mix, windows, words_of
 
 #: Words of a passage, and of the head that suffixes are matched by.
 LEAST, HEAD = 50, 16
-#: Suffixes with the same head, of one document or many, up to which they are compared in one group.
+#: Suffixes with the same head, of one document or many, up to which they are compared in one place.
 GROUP = 2048
+#: Rows of a table that is broadcast, at most (some 40 MB); a larger one is joined by a shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -68,7 +73,7 @@ def _owned(words: np.ndarray, at: np.ndarray, least: int, head: int) -> list[tup
 def _heads(least: int, head: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(retained(word_hashes(t.as_py() or ""), least, head)[1], return_counts=True) for t in batch.column("text")]
+            found = [np.unique(retained(w, least, head)[1], return_counts=True) for w in words_of(batch.column("text").to_pylist())]
             sizes = [len(f) for f, _ in found]
             rows = np.repeat(np.arange(len(found)), sizes)
             heads = np.concatenate([f.view(np.int64) for f, _ in found]) if found else np.zeros(0, np.int64)
@@ -81,68 +86,94 @@ def _heads(least: int, head: int):
     return run
 
 
-def _passages(least: int, head: int):
+#: Columns of a retained suffix: the range of passages that it is the minimiser of, from lo to before hi, and either its
+#: words, head first, with those before it, or the passages' 128-bit hashes in two halves.
+SUFFIX = {
+    "at": ("long", pa.int64()), "lo": ("long", pa.int64()), "hi": ("long", pa.int64()), "head": ("binary", pa.binary()), "right": ("binary", pa.binary()),
+    "left": ("binary", pa.binary()), "one": ("array<long>", pa.list_(pa.int64())), "two": ("array<long>", pa.list_(pa.int64())),
+}
+
+
+def _suffixes(least: int, head: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each shared suffix of a document: head, suffixes with it, doc_id, start and hashes of its passages."""
-        kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
+        """A row for each shared suffix of a document; those with a head in `often` have hashes instead of words."""
         for batch in batches:
-            for doc, text, shared in zip(*(batch.column(c) for c in ("doc_id", "text", "shared")), strict=True):
-                words = word_hashes(text.as_py() or "")
-                at, heads = retained(words, least, head)
+            texts = batch.column("text").to_pylist()
+            for doc, text, hashes, shared in zip(batch.column("doc_id").to_pylist(), texts, words_of(texts), batch.column("shared").to_pylist(), strict=True):
+                at, heads = retained(hashes, least, head)
                 if not len(at):
                     continue
-                counts = {s["head"]: s["n"] for s in shared.as_py()}
-                whole, owned = windows(words, least).view(np.int64), _owned(words, at, least, head)
-                out = [
-                    (h, counts[h], doc.as_py(), lo, whole[lo:hi])
-                    for h, (lo, hi) in zip(heads.view(np.int64).tolist(), owned, strict=True)
-                    if h in counts and hi > lo
-                ]
+                often = {s["head"]: s["often"] for s in shared}
+                # bytes have small letters of A-Z alone, and the white space that parts words here
+                words = text.encode("utf-8", "replace").lower().split()
+                one, two = windows(hashes, least).view(np.int64), None
+                out = []
+                for p, h, (lo, hi) in zip(at.tolist(), heads.view(np.int64).tolist(), _owned(hashes, at, least, head), strict=True):
+                    if h not in often or lo == hi:
+                        continue
+                    if often[h]:
+                        if two is None:
+                            two = windows(mix(hashes ^ np.uint64(0xD6E8FEB86659FD93)), least).view(np.int64)
+                        out.append((doc, p, lo, hi, None, None, None, one[lo:hi], two[lo:hi]))
+                    else:
+                        out.append((doc, p, lo, hi, b" ".join(words[p : p + head]), b" ".join([*words[p : hi - 1 + least], b""]), b" ".join(words[lo:p]), None, None))
                 if out:
-                    columns = zip(zip(*out, strict=True), kinds, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], names=["head", "n", "doc_id", "start", "passages"])
+                    kinds = [id_type, *(k for _, k in SUFFIX.values())]
+                    columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *SUFFIX])
 
     return run
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches among the passages around suffixes of one head, which come together: those of one document that follow
-    on one another as one row, with the least doc_id that has one of them."""
-    rest: pa.Table | None = None
-
-    def made(table: pa.Table) -> pa.RecordBatch:
-        lists = table.column("passages").combine_chunks()
-        sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        hashes = lists.flatten().to_numpy(zero_copy_only=False)
-        doc, start = (np.repeat(table.column(c).to_numpy(), sizes) for c in ("doc_id", "start"))
-        start = start + np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        order = np.lexsort((doc, hashes))
-        hashes, doc, start = hashes[order], doc[order], start[order]
-        begins = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        sizes = np.diff(np.append(begins, len(hashes)))
-        low, high = (np.repeat(x, sizes) for x in (doc[begins], doc[begins + sizes - 1]))  # sorted by doc_id
-        hit = low < high
-        doc, start, low = doc[hit], start[hit], low[hit]
-        order = np.lexsort((start, doc))
-        doc, start, low = doc[order], start[order], low[order]
-        begins = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)])[: len(doc)])
-        columns = {"doc_id": doc[begins], "start": start[begins], "last": start[np.append(begins[1:], len(doc)) - 1] if len(doc) else doc}
-        columns["first_doc_id"] = np.minimum.reduceat(low, begins) if len(doc) else doc
-        return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in columns.values()], names=list(columns))
-
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if rest is not None:
-            table = pa.concat_tables([rest, table])
-        if not table.num_rows:
-            continue
-        head = table.column("head").to_numpy()
-        open_from = int(np.argmax(head == head[-1]))
-        if open_from:
-            yield made(table.slice(0, open_from))
-        rest = table.slice(open_from)
-    if rest is not None:
-        yield made(rest)
+def _shared(a: list[bytes], b: list[bytes]) -> int:
+    """Words that two suffixes have in common from their start."""
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
+def _extended(rows: list[dict], least: int) -> Iterator[tuple]:
+    """Matches among suffixes of one head, which come sorted by their words: (doc_id, first and last passage in a row
+    that another document has too, the least doc_id with one of them)."""
+    # A space follows every word, so suffixes with the same first words stand together whatever the bytes of the next.
+    rights, lefts = [r["right"].split(b" ")[:-1] for r in rows], [r["left"].split(b" ") if r["left"] else [] for r in rows]
+    common = [0, *(_shared(a, b) for a, b in itertools.pairwise(rights)), 0]
+    ends: dict[bytes, list] = {}
+    found: list[list[tuple[int, bytes]]] = []
+    for row, right, left, reach in zip(rows, rights, lefts, map(max, common, common[1:]), strict=True):
+        at, lo, doc = row["at"], row["lo"], row["doc_id"]
+        own = []
+        for start in range(lo, min(row["hi"], reach + at - least + 1)):
+            passage = b" ".join(left[start - lo :] + right[: start + least - at])
+            own.append((start, passage))
+            low = ends.setdefault(passage, [doc, doc])
+            low[0], low[1] = min(low[0], doc), max(low[1], doc)
+        found.append(own)
+    for row, own in zip(rows, found, strict=True):
+        span = None
+        for start, passage in own:
+            low, high = ends[passage]
+            if low == high:
+                continue
+            if span and span[2] == start - 1:
+                span[2], span[3] = start, min(span[3], low)
+            else:
+                if span:
+                    yield tuple(span)
+                span = [row["doc_id"], start, start, low]
+        if span:
+            yield tuple(span)
+
+
+def _compared(least: int, id_type: pa.DataType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Matches of suffixes that come sorted by head and words. Rows of one head are held until the next comes."""
+        kinds = [id_type, pa.int64(), pa.int64(), id_type]
+        rows = (r for b in batches for part in range(0, b.num_rows, 1024) for r in b.slice(part, 1024).to_pylist())
+        matches = (m for _, group in itertools.groupby(rows, lambda r: r["head"]) for m in _extended(list(group), least))
+        while some := list(itertools.islice(matches, 10_000)):
+            columns = [pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "last", "first_doc_id"])
+
+    return run
 
 
 def repeated_passages(docs: DataFrame, least: int = LEAST, head: int = HEAD, group: int = GROUP) -> DataFrame:
@@ -150,29 +181,37 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, head: int = HEAD, gro
     whose passages of `least` words stand in other documents too; first_doc_id is the least doc_id with one of them.
 
     Stretches that overlap or touch are one. Texts that are null, empty or shorter have none; rows without doc_id
-    aren't compared; rows that repeat a doc_id are one document. Suffixes are compared in one place if up to `group`
-    of them have the same head; for more frequent heads each passage is a row of its own, and rows are folded to the least
-    and greatest doc_id before they are shuffled, so no group grows with the data and none is cut short.
+    aren't compared; rows that repeat a doc_id are one document; ids may be of any type, and other columns aren't read.
+    Suffixes are sorted and compared in one place if up to `group` of them have the same head. For more frequent heads
+    each passage is a row of its own, compared by 128 bits, and rows are folded to the least and greatest doc_id before
+    they are shuffled; so no group grows with the data and none is cut short.
     """
-    known = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    heads = cut(known.mapInArrow(_heads(least, head), "head long, doc_id long, times int"))
+    known = docs.filter("doc_id is not null").select("doc_id", "text")
+    kind = docs.schema["doc_id"].dataType
+    id_type, name = to_arrow_type(kind), kind.simpleString()
+    heads = cut(known.mapInArrow(_heads(least, head), f"head long, doc_id {name}, times int"))
     counted = heads.groupBy("head").agg(F.sum("times").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = heads.drop("times").join(counted.filter("low < high").select("head", "n"), "head")
-    wanted = shared.groupBy("doc_id").agg(F.collect_set(F.struct("head", "n")).alias("shared"))
-    rows = known.join(wanted, "doc_id").mapInArrow(_passages(least, head), "head long, n long, doc_id long, start long, passages array<long>")
-    rows = cut(rows)
-
-    rare = rows.filter(F.col("n") <= group).repartition("head").sortWithinPartitions("head").select("head", "doc_id", "start", "passages")
-    spans = rare.mapInArrow(_compared, "doc_id long, start long, last long, first_doc_id long")
-    often = rows.filter(F.col("n") > group).select("doc_id", F.col("start").alias("base"), F.posexplode("passages").alias("i", "passage"))
-    often = often.select("doc_id", (F.col("base") + F.col("i")).alias("start"), "passage")
-    least_doc = often.groupBy("passage").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("high")).filter("first_doc_id < high")
-    spans = spans.union(often.join(least_doc, "passage").select("doc_id", "start", F.col("start").alias("last"), "first_doc_id"))
+    shared = heads.drop("times").join(counted.filter("low < high").select("head", (F.col("n") > group).alias("often")), "head")
+    wanted = shared.groupBy("doc_id").agg(F.collect_set(F.struct("head", "often")).alias("shared"))
+    columns = ", ".join(f"{c} {k}" for c, (k, _) in SUFFIX.items())
+    rows = cut(known.join(wanted, "doc_id").mapInArrow(_suffixes(least, head, id_type), f"doc_id {name}, {columns}"))
+
+    # One range holds all suffixes of a head; where a head has many, they aren't among these.
+    rare = rows.filter("head is not null").select("head", "right", "left", "doc_id", "at", "lo", "hi")
+    sorted_ = rare.repartitionByRange("head").sortWithinPartitions("head", "right")
+    spans = cut(sorted_.mapInArrow(_compared(least, id_type), f"doc_id {name}, start long, last long, first_doc_id {name}"))
+    often = rows.filter("head is null").select("doc_id", "lo", F.posexplode(F.arrays_zip("one", "two")).alias("i", "p"))
+    often = often.select("doc_id", (F.col("lo") + F.col("i")).alias("start"), F.col("p.one").alias("one"), F.col("p.two").alias("two"))
+    ends = often.groupBy("one", "two").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("high")).filter("first_doc_id < high").drop("high")
+    ends = cut(ends)
+    ends = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
+    # Written by itself, so that adaptive execution can split the passages that very many documents have.
+    hits = cut(often.join(ends, ["one", "two"]).select("doc_id", "start", F.col("start").alias("last"), "first_doc_id"))
 
     by_doc = Window.partitionBy("doc_id").orderBy("start", "last")
     reached = F.max(F.col("last") + least).over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
     apart = F.when(F.col("start") > F.col("reached"), 1).otherwise(0)
-    joined = spans.withColumn("reached", reached).withColumn("island", F.sum(apart).over(by_doc))
+    joined = spans.union(hits).withColumn("reached", reached).withColumn("island", F.sum(apart).over(by_doc))
     out = joined.groupBy("doc_id", "island").agg(
         F.min("start").alias("start"), (F.max("last") + least).alias("end"), F.min("first_doc_id").alias("first_doc_id")
     )

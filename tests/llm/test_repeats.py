@@ -82,13 +82,38 @@ def test_groups_count_occurrences(spark, monkeypatch):
     rows = [(d, f"start{d} " + "junk " * 400 + f"end{d} " + " ".join(f"w{i}" for i in range(60))) for d in (1, 2, 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     wanted = sorted(tuple(r) for r in repeats.repeated_passages(docs, group=10**6).collect())
-    real = repeats._compared
+    real = repeats._extended
 
-    def checked(batches):
-        kept = list(batches)
-        heads = [h for b in kept for h in b.column("head").to_pylist()]
-        assert all(heads.count(h) <= 100 for h in set(heads))
-        yield from real(iter(kept))
+    def checked(rows, least):
+        assert len(rows) <= 100
+        yield from real(rows, least)
 
-    monkeypatch.setattr(repeats, "_compared", checked)
+    monkeypatch.setattr(repeats, "_extended", checked)
+    monkeypatch.setattr(repeats, "BROADCAST_ROWS", 0)
     assert sorted(tuple(r) for r in repeats.repeated_passages(docs, group=100).collect()) == wanted and len(wanted) >= 6
+
+
+def test_neighbours_that_hide_a_match(spark):
+    """Around one common phrase, documents that share more to the right, or to the left, stand between two that share a
+    whole passage."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    phrase, before, after = ([word() for _ in range(n)] for n in (20, 60, 60))
+    rows = []
+    for i in range(60):
+        l, r = rng.randrange(0, 40), rng.randrange(0, 40)
+        rows.append(" ".join([word() for _ in range(40)] + before[60 - l :] + phrase + after[:r] + [word() for _ in range(40)]))
+    # Words with bytes below the space sort before the end of a shorter word.
+    rows += [" ".join([word(), *before[30:], *phrase, *after[:20], last]) for last in ("a", "a\x01", "a\x01b", "\x02")]
+    rows = list(enumerate(rows))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for group in (2048, 3):
+        got = sorted(tuple(r) for r in repeats.repeated_passages(docs, group=group).collect())
+        assert got == brute(rows) and got
+
+
+def test_text_ids_and_extra_columns(spark):
+    rows = [(f"d{i}", t, i, i) for i, t in planted() if i is not None]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, head int, start int")
+    got = sorted(tuple(r) for r in repeats.repeated_passages(docs).collect())
+    assert got == brute([(d, t) for d, t, _, _ in rows])
