@@ -27,7 +27,7 @@ from tallyloom.llm.shingles import mix, windows, words_of
 #: Words of a passage, and of the head that suffixes are matched by.
 LEAST, HEAD = 50, 16
 #: Suffixes with the same head, of one document or many, up to which they are compared in one place.
-GROUP = 2048
+GROUP = 256
 #: Rows of a table that is broadcast, at most (some 40 MB); a larger one is joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -176,15 +176,33 @@ def _compared(least: int, id_type: pa.DataType):
     return run
 
 
+def _folded(often: DataFrame) -> DataFrame:
+    """(doc_id, start, last, first_doc_id) for suffixes of frequent heads, whose passages are compared by 128 bits.
+
+    Suffixes with the same passages around them, as copies have, are one surrounding, folded to its least and greatest
+    doc_id before anything is shuffled. Only the surroundings' passages, some dozens each, are rows of their own.
+    """
+    keyed = often.select("doc_id", "lo", "one", "two", F.xxhash64("one").alias("k"), F.xxhash64("two").alias("j"))
+    around = cut(keyed.groupBy("k", "j").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.first("one").alias("one"), F.first("two").alias("two")))
+    passages = around.select("k", "j", "low", "high", F.posexplode(F.arrays_zip("one", "two")).alias("i", "p")).select("k", "j", "low", "high", "i", "p.one", "p.two")
+    shared = passages.groupBy("one", "two").agg(F.min("low").alias("first_doc_id"), F.max("high").alias("last_doc_id")).filter("first_doc_id < last_doc_id")
+    hits = passages.join(shared, ["one", "two"]).select("k", "j", "i", "first_doc_id")
+    stretch = F.col("i") - F.row_number().over(Window.partitionBy("k", "j").orderBy("i"))
+    spans = hits.withColumn("stretch", stretch).groupBy("k", "j", "stretch").agg(F.min("i").alias("from"), F.max("i").alias("to"), F.min("first_doc_id").alias("first_doc_id"))
+    spans = cut(spans.drop("stretch"))
+    spans = F.broadcast(spans) if spans.count() <= BROADCAST_ROWS else spans
+    # Written by itself, so that adaptive execution can split surroundings that very many documents have.
+    return cut(keyed.join(spans, ["k", "j"]).select("doc_id", (F.col("lo") + F.col("from")).alias("start"), (F.col("lo") + F.col("to")).alias("last"), "first_doc_id"))
+
+
 def repeated_passages(docs: DataFrame, least: int = LEAST, head: int = HEAD, group: int = GROUP) -> DataFrame:
     """(doc_id, start, end, n_words, first_doc_id): the longest stretches of words, from start to before end, all of
     whose passages of `least` words stand in other documents too; first_doc_id is the least doc_id with one of them.
 
     Stretches that overlap or touch are one. Texts that are null, empty or shorter have none; rows without doc_id
     aren't compared; rows that repeat a doc_id are one document; ids may be of any type, and other columns aren't read.
-    Suffixes are sorted and compared in one place if up to `group` of them have the same head. For more frequent heads
-    each passage is a row of its own, compared by 128 bits, and rows are folded to the least and greatest doc_id before
-    they are shuffled; so no group grows with the data and none is cut short.
+    Suffixes are sorted and compared in one place if up to `group` of them have the same head; the suffixes of more
+    frequent heads are folded by their surroundings first, so no group grows with the data and none is cut short.
     """
     known = docs.filter("doc_id is not null").select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType
@@ -200,13 +218,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, head: int = HEAD, gro
     rare = rows.filter("head is not null").select("head", "right", "left", "doc_id", "at", "lo", "hi")
     sorted_ = rare.repartitionByRange("head").sortWithinPartitions("head", "right")
     spans = cut(sorted_.mapInArrow(_compared(least, id_type), f"doc_id {name}, start long, last long, first_doc_id {name}"))
-    often = rows.filter("head is null").select("doc_id", "lo", F.posexplode(F.arrays_zip("one", "two")).alias("i", "p"))
-    often = often.select("doc_id", (F.col("lo") + F.col("i")).alias("start"), F.col("p.one").alias("one"), F.col("p.two").alias("two"))
-    ends = often.groupBy("one", "two").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("high")).filter("first_doc_id < high").drop("high")
-    ends = cut(ends)
-    ends = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
-    # Written by itself, so that adaptive execution can split the passages that very many documents have.
-    hits = cut(often.join(ends, ["one", "two"]).select("doc_id", "start", F.col("start").alias("last"), "first_doc_id"))
+    hits = _folded(rows.filter("head is null"))
 
     by_doc = Window.partitionBy("doc_id").orderBy("start", "last")
     reached = F.max(F.col("last") + least).over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
