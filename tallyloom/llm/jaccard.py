@@ -47,8 +47,8 @@ def digest(tokens: np.ndarray, seed: int = 0) -> tuple[int, int]:
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    """Bitmap with two to four bits an element, a power of two from 64 to 16384: few elements share a bit."""
-    bits = 1 << min(14, max(6, int(len(tokens)).bit_length() + 1))
+    """Bitmap with eight to sixteen bits an element, a power of two from 64 to 65536: few elements share a bit."""
+    bits = 1 << min(16, max(6, int(len(tokens)).bit_length() + 3))
     flags = np.zeros(bits, bool)
     flags[(mix(tokens) & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes()
