@@ -41,10 +41,17 @@ def forenames(names: DataFrame) -> DataFrame:
     return names.groupBy("surname").agg(of("F").alias("female"), of("M").alias("male"))
 
 
+def _least(rows: DataFrame, most: int, *columns: str) -> DataFrame:
+    """The first `most` rows of each name in order of these columns: cut down before the shuffle and after it."""
+    place = F.row_number().over(Window.partitionBy("surname").orderBy(*columns))
+    return rows.select("surname", *columns, place.alias("_place")).filter(F.col("_place") <= most).drop("_place")
+
+
 def top_places(places: DataFrame, most: int = 5) -> DataFrame:
     """(surname, places): up to `most` distinct pairs of district, in title case, and parish, in alphabetical order."""
-    pairs = places.select("surname", F.struct(title_case(F.col("regcnty")).alias("district"), "parish").alias("pair"))
-    return pairs.groupBy("surname").agg(F.slice(F.sort_array(F.collect_set("pair")), 1, most).alias("places"))
+    pairs = places.select("surname", title_case(F.col("regcnty")).alias("district"), "parish").distinct()
+    listed = F.sort_array(F.collect_list(F.struct("district", "parish")))
+    return _least(pairs, most, "district", "parish").groupBy("surname").agg(listed.alias("places"))
 
 
 def first_match(dimension: DataFrame, key: str) -> DataFrame:
@@ -57,9 +64,13 @@ def areas(rows: DataFrame, lookup: DataFrame, most: int = 5) -> DataFrame:
     """(surname, areas, areas_missed): up to `most` pairs of district and area, repeats included, by area code; missed
     counts codes that the lookup lacks, beyond the first ones too."""
     met = rows.join(first_match(lookup, "msoa11cd"), "msoa11cd", "left")
-    listed = F.sort_array(F.collect_list(F.struct("msoa11cd", "ladnm", "msoa11nm")))
-    pairs = F.transform(F.slice(listed, 1, most), lambda x: F.struct(x["ladnm"].alias("ladnm"), x["msoa11nm"].alias("msoa11nm")))
-    return met.groupBy("surname").agg(pairs.alias("areas"), F.count_if(F.col("ladnm").isNull()).alias("areas_missed"))
+    fields = ("msoa11cd", "ladnm", "msoa11nm")
+    top = _least(met, most, *fields).select("surname", F.struct(*fields).alias("area"), F.lit(0).cast("long").alias("missed"))
+    # The areas' rows are few by now; a row without an area carries each name's count.
+    missed = met.groupBy("surname").agg(F.count_if(F.col("ladnm").isNull()).alias("missed"))
+    both = top.unionByName(missed, allowMissingColumns=True).groupBy("surname")
+    pairs = F.transform(F.sort_array(F.collect_list("area")), lambda x: F.struct(x["ladnm"].alias("ladnm"), x["msoa11nm"].alias("msoa11nm")))
+    return both.agg(pairs.alias("areas"), F.sum("missed").alias("areas_missed"))
 
 
 def first_row(facts: DataFrame, *columns: str, kind: str | None = None) -> DataFrame:

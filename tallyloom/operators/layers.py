@@ -36,10 +36,21 @@ def stamped(features: Column, time: Column | None = None, level: Column | None =
     return F.transform(features, one)
 
 
+#: Features of a mask that are broadcast, at most; a larger mask is dealt into parts of about as many.
+MASK_ROWS = 10_000
+
+
 def with_mask(layers: DataFrame, mask: DataFrame, key: str, years: str, year: int) -> DataFrame:
-    """Layers and, for the keys whose years hold `year`, the mask's features, in one table."""
+    """Layers and, for the keys whose years hold `year`, the mask's features, in one table.
+
+    The mask is counted first: it is broadcast while it is small, else its parts are joined with all keys by a shuffle.
+    """
+    parts = max(1, -(-mask.count() // MASK_ROWS))
+    dealt = mask.withColumn("_part", F.pmod(F.xxhash64(*mask.columns), F.lit(parts)))
     wanted = layers.filter(F.array_contains(years, year)).select(key).distinct()
-    return layers.drop(years).unionByName(wanted.join(F.broadcast(mask)), allowMissingColumns=True)
+    keyed = wanted.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    added = keyed.join(F.broadcast(dealt) if parts == 1 else dealt, "_part").drop("_part")
+    return layers.drop(years).unionByName(added, allowMissingColumns=True)
 
 
 def overlaps(times: Column, low: Column, high: Column) -> Column:

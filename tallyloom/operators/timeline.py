@@ -260,6 +260,5 @@ def limited(axis: DataFrame, key: str, time: str, low: Column, high: Column) ->
 
 def trailing_count(rows: DataFrame, key: str, time: str, seconds: int) -> DataFrame:
     """rows with `trailing`: rows of the key from `seconds` before, up to this one's time."""
-    micros = rows.withColumn("_us", F.unix_micros(time))
-    frame = Window.partitionBy(key).orderBy("_us").rangeBetween(-seconds * 1000000, 0)
-    return micros.withColumn("trailing", F.count("*").over(frame)).drop("_us")
+    frame = Window.partitionBy(key).orderBy(F.unix_micros(time)).rangeBetween(-seconds * 1000000, 0)
+    return rows.withColumn("trailing", F.count("*").over(frame))

@@ -116,6 +116,38 @@ def test_layers(spark):
     assert one(spark, layers.track_slice(times, points, F.lit(4), F.lit(9))) == list("abcd")
 
 
+def test_masks_of_any_size(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, i, [2011] if k != "c" else [1851]) for k in "abc" for i in range(3)], "k string, feature int, years array<int>")
+    mask = spark.range(50).select((-F.col("id") - 1).cast("int").alias("feature"))
+    want = sorted([(k, i) for k in "abc" for i in range(3)] + [(k, -i - 1) for k in "ab" for i in range(50)])
+    for most in (layers.MASK_ROWS, 7):
+        monkeypatch.setattr(layers, "MASK_ROWS", most)
+        got = layers.with_mask(rows, mask, "k", "years", 2011)
+        assert sorted(map(tuple, got.collect())) == want
+        assert "CartesianProduct" not in (plan := got._jdf.queryExecution().toString()) and "NestedLoop" not in plan
+    assert layers.with_mask(rows, mask.limit(0), "k", "years", 2011).count() == 9 and layers.with_mask(rows.limit(0), mask, "k", "years", 2011).count() == 0
+
+
+def test_only_the_first_places_of_a_name_are_gathered(spark):
+    pairs = [("a", f"p{i:03}", f"d{i % 7}") for i in range(300)] * 2 + [("b", None, "x"), ("b", "p", None)]
+    places = spark.createDataFrame(pairs, "surname string, parish string, regcnty string")
+    top = dossier.top_places(places)
+    got = {r.surname: [tuple(x) for x in r.places] for r in top.collect()}
+    assert got == {"a": [("D0", f"p{i:03}") for i in range(0, 35, 7)], "b": [(None, "p"), ("X", None)]}
+    assert "WindowGroupLimit" in top._jdf.queryExecution().toString()
+    rows = spark.createDataFrame([("a", f"E{i % 40:02}") for i in range(400)] + [("b", "E99")], "surname string, msoa11cd string")
+    lookup = spark.createDataFrame([(f"E{i:02}", f"A{i}", f"T{i}") for i in range(30)], "msoa11cd string, msoa11nm string, ladnm string")
+    met = {r.surname: ([x.msoa11nm for x in r.areas], r.areas_missed) for r in dossier.areas(rows, lookup).collect()}
+    assert met == {"a": (["A0"] * 5, 100), "b": ([None], 1)}
+    assert dossier.areas(rows.limit(0), lookup).count() == 0 and dossier.top_places(places.limit(0)).count() == 0
+
+
+def test_trailing_window_keeps_columns(spark):
+    rows = spark.sql("SELECT 'a' AS k, timestamp_seconds(id) AS t, id AS _us FROM range(5) UNION ALL SELECT 'a', NULL, 9")
+    got = timeline.trailing_count(rows, "k", "t", 2)
+    assert {r._us: r.trailing for r in got.collect()} == {0: 1, 1: 2, 2: 3, 3: 3, 4: 3, 9: 1} and got.columns == ["k", "t", "_us", "trailing"]
+
+
 def test_layer_files_are_pruned(spark, tmp_path):
     feature = {"type": "Feature", "properties": {"level": 1, "time": None}, "geometry": {"type": "Polygon", "coordinates": "[[0,1]]"}}
     lines = [json.dumps({"surname": s, "year": y, "type": "FeatureCollection", "features": [feature]}) for s in ("oneil", "smith") for y in (1851, 1911)]
