@@ -304,3 +304,26 @@ def test_one_of_each_keeps_odd_rows(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, _id string")
     got = sorted((str(r.doc_id), str(r.text)) for r in jaccard.one_of_each(frame).collect())
     assert got == sorted([("1", "a b c d e f"), ("2", "other words are here now"), ("3", "None"), ("4", ""), ("5", "same"), ("None", "a b c d e f")])
+
+
+def test_pipeline_runs_over_a_folder(spark, tmp_path):
+    """run() over a small folder against what is planted in it, and over empty tables."""
+    rng = random.Random(8)
+    words = [f"{a}{b}{c}" for a in ("ba", "ke", "lo", "mi") for b in ("n", "r", "st") for c in ("a", "e", "ing", "o")]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    item, clean = text(30), [text(60) for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate(clean)]
+    rows += [(10, clean[0].upper().title()), (11, clean[1] + " more"), (12, clean[2]), (13, "too short"), (14, None), (15, ""), (16, "# " * 90)]
+    rows += [(20, f"{text(40)} {item} {text(5)}"), (21, f"{text(40)} password: hunter2hunter2 {text(5)}")]
+    frame = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    bench = spark.createDataFrame([(1, item), (2, None)], "item_id long, text string")
+    for name, docs_, items in (("planted", frame, bench), ("empty", frame.limit(0), bench.limit(0))):
+        docs_.write.parquet(str(tmp_path / name / "documents.parquet"))
+        items.write.parquet(str(tmp_path / name / "benchmark.parquet"))
+    got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path / "planted")).collect()}
+    assert sorted(got) == [0, 1, 2, 3, 4, 5, 21]
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for d, r in got.items():
+        want = dict(rows)[d].replace("password: hunter2hunter2", "[secret:assign]")
+        assert r.decoded == want and list(r.ids) == library.encode(want, add_bos=True, add_eos=True) and r.n_tokens == len(r.ids)
+    assert corpus_pipeline.run(spark, str(tmp_path / "empty")).count() == 0
