@@ -67,4 +67,24 @@ apart AS (SELECT *, CASE WHEN i > lag(i) OVER w + 50 THEN 1 ELSE 0 END AS new FR
 islands AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM apart)
 SELECT doc_id, min(i) AS start, max(i) + 50 AS "end", max(i) + 50 - min(i) AS n_words, min(low) AS first_doc_id FROM islands GROUP BY doc_id, island"""
 
-ORACLES = {"op2_trigram_secret_scan": OP2, "op5_tiled_jaccard_join": OP5, "op7_rule_cascade": OP7, "op9_sparse_suffix_repeats": OP9}
+OP11 = """WITH taken AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM taken a JOIN taken b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, (row_number() OVER w)::INT AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) QUALIFY row_number() OVER w <= 10"""
+
+#: Restoring is the test's matter; here it is the text itself.
+OP12 = """WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+drawn AS (SELECT doc_id, t, length(t) AS n, ('0x' || d[1:8])::BIGINT AS h1, ('0x' || d[9:16])::BIGINT AS h2, ('0x' || d[17:24])::BIGINT AS h3, ('0x' || d[25:32])::BIGINT AS h4 FROM docs),
+cuts AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1) AS s FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM parts"""
+
+ORACLES = {"op2_trigram_secret_scan": OP2, "op5_tiled_jaccard_join": OP5, "op7_rule_cascade": OP7, "op9_sparse_suffix_repeats": OP9,
+           "op11_secondary_sort_negatives": OP11, "op12_fill_in_middle": OP12}

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyloom.llm import jaccard, language, leaks, maintext, oracles, pieces, quotes, repeats, rules, secrets, shards
+from tallyloom.llm import (
+    infill, jaccard, language, leaks, maintext, negatives, oracles, pieces, quotes, repeats, rules, secrets, shards,
+)
 from tallyloom.llm.common import table
 
 
@@ -54,6 +57,15 @@ def op10_pigeonhole_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_secondary_sort_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -71,6 +83,8 @@ QUERIES = {
         op8_text_to_tag_main_text,
         op9_sparse_suffix_repeats,
         op10_pigeonhole_leaks,
+        op11_secondary_sort_negatives,
+        op12_fill_in_middle,
         pipeline,
     )
 }

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     c = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     return c
 
