@@ -17,8 +17,8 @@ from pyspark import RDD
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Code points of a piece, at most.
-PIECE = 65_536
+#: Code points of a piece, at most, and bytes of text in a partition, about.
+PIECE, PARTITION = 65_536, 64_000_000
 #: The marks before prefix, suffix and middle.
 MARKS = ("<P>", "<S>", "<M>")
 #: Of each form the parts (0 prefix, 1 suffix, 2 middle, as in MARKS) in output order.
@@ -116,10 +116,10 @@ def _sorted(rdd: RDD, parts: int) -> RDD:
 
 
 def assembled(docs: DataFrame, **rates) -> tuple[RDD, int]:
-    """All rows' pieces in output order, each row in one partition, and the number of partitions, which grows with the
-    input's."""
+    """All rows' pieces in output order, each row in one partition, and the number of partitions, by the texts' bytes."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION))
     rows = docs.select(F.monotonically_increasing_id(), F.col("doc_id").cast("long"), "text").rdd
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.getNumPartitions())
     return _sorted(rows.flatMap(lambda r: pieces(*r, **rates)), parts), parts
 
 
