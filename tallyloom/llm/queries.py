@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyloom.llm import (
-    infill, jaccard, language, leaks, maintext, negatives, oracles, pieces, quotes, repeats, rules, secrets, shards,
+    bytebpe, infill, jaccard, language, leaks, maintext, negatives, oracles, pieces, quotes, repeats, rules, secrets, shards,
 )
 from tallyloom.llm.common import table
 
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +67,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_byte_merge_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.digests(table(spark, sf_dir, "documents"), bytebpe.read_ranks(BYTE_RANKS), public_tokenizers.PATTERN)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -85,6 +90,7 @@ QUERIES = {
         op10_pigeonhole_leaks,
         op11_secondary_sort_negatives,
         op12_fill_in_middle,
+        op13_byte_merge_fold,
         pipeline,
     )
 }
