@@ -4,36 +4,38 @@ A text is cut into words by the tokenizer's pattern. Words are counted over all
 are encoded once each, and that table, of bounded size, goes to every task. A word that isn't in it is encoded in its
 row, by the same fold. So no token is ever shuffled, only each task's distinct words are.
 
-The fold starts from a word's bytes, shown as the characters U+0000 to U+00FF, and the ranks of all neighbouring pairs in
-a literal map (an array of small maps by CRC, as Spark looks maps up from end to end). A step merges the leftmost pair of
-the least rank. In a word of more than LONG parts it merges all pairs of that rank at once, unless a pair made so would
-rank lower still: this is what single steps would come to, as nothing would come between them.
+The fold starts from a word's bytes, each shown as the character of its token, and the ranks of all neighbouring pairs
+from a literal map (an array of small maps by hash, as Spark looks maps up from end to end). A rank is shown as the
+character of the token that the pair merges to, so tokens and ranks are texts of one character a part, which are cheap
+to cut and whose order is that of the ranks. A step merges the leftmost pair of the least rank. In a word of more than
+LONG parts it merges all pairs of that rank at once, unless a pair made on the way would rank lower still: this is what
+single steps come to, as nothing can come between them.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import json
-import re
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import cut, let
 
-#: Words that are encoded once and sent to all tasks, at most, and bytes of one: some 25 MB in practice.
-FREQUENT, WIDEST = 500_000, 64
+#: Words that are encoded once and sent to all tasks, at most, and bytes of one: some 40 MB in practice.
+FREQUENT, WIDEST = 1_000_000, 64
 #: Small maps of the literal, and parts of a word above which a step merges all pairs of the least rank.
-BUCKETS, LONG = 65_536, 64
-#: Distinct words that a task holds before it passes their counts on.
+BUCKETS, LONG = 32_768, 64
+#: Distinct words whose counts a task holds before it passes them on.
 HELD = 262_144
-#: The rank of what can't be merged.
-NONE = 2**31 - 1
+#: The rank of what can't be merged, and of a pair that overlaps one that is merged.
+NONE, OVERLAPS = "\U0010ffff", "\U0010fffe"
 #: Letters and digits of the regex library that are younger than Unicode 16, which the ranks' library knows.
 YOUNG_LETTERS = (
     "\u0558 \u058b-\u058c \u088f \u0c5c \u0cdc \u208f \u209d-\u209f \ua7ce-\ua7cf \ua7d2 \ua7d4 \ua7dd \ua7e2 \ua7f1 \uab6c-\uab6d "
@@ -55,101 +57,120 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 # --- the fold ----------------------------------------------------------------------------------------------------
 
+def character(id: int) -> str:
+    """The character that shows a token."""
+    return chr(id + 1 if id + 1 < 0xD800 else id + 0x801)
+
 
 def _literal(ranks: dict[bytes, int]) -> Column:
-    """The rank map as a constant of the plan."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    """The ranks of all pairs of tokens, as a literal that the optimizer makes once of its text."""
+    buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
     for token, rank in ranks.items():
-        shown = token.decode("latin-1")
-        buckets[zlib.crc32(shown.encode()) % BUCKETS][shown] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+        for i in range(1, len(token)):
+            if token[:i] in ranks and token[i:] in ranks:
+                pair = character(ranks[token[:i]]) + character(ranks[token[i:]])
+                hashed = xxhash.xxh64_intdigest(pair.encode(), 42)
+                buckets[(hashed - (hashed >> 63 << 64)) % BUCKETS][pair] = character(rank)
+    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
+
 
+def _folded(start: Column, table: Column) -> Column:
+    """What the merges make of a word of at least one part, a character for each part."""
 
-def _folded(word: Column, table: Column) -> Column:
-    """Ids of a word (its bytes as characters)."""
+    def rank(pair: Column) -> Column:
+        return F.coalesce(F.try_element_at(F.get(table, F.pmod(F.xxhash64(pair), F.lit(BUCKETS))), pair), F.lit(NONE))
 
-    def rank(key: Column) -> Column:
-        bucket = F.get(table, F.pmod(F.crc32(key.cast("binary")), F.lit(BUCKETS)).cast("int"))
-        return F.coalesce(F.try_element_at(bucket, key), F.lit(NONE))
+    def state(parts: Column, ranks: Column) -> Column:
+        """ranks has one for each part, with the part after it."""
+        return let(ranks, lambda r: F.struct(parts.alias("parts"), r.alias("ranks"), F.array_min(F.split(r, "")).alias("least")))
 
-    state = lambda parts, ranks: F.struct(parts.alias("parts"), ranks.alias("ranks"), F.array_min(ranks).alias("least"))
+    cut = lambda text, at, n: F.substr(text, at, n)
 
     def one(acc: Column) -> Column:
         """The leftmost pair of the least rank merged; only its neighbours' ranks are looked up."""
-        parts, ranks = acc["parts"], acc["ranks"]
+        parts, ranks, m = acc["parts"], acc["ranks"], acc["least"]
 
         def at(i: Column) -> Column:  # counted from 1
-            def put(m: Column) -> Column:
-                before = F.when(i > 1, F.array(rank(F.concat(F.get(parts, i - 2), m)))).otherwise(F.array().cast("array<int>"))
-                here = F.array(rank(F.concat(m, F.get(parts, i + 1))))
-                rest = lambda a: F.slice(a, i + 2, F.size(parts))
-                return state(
-                    F.concat(F.slice(parts, F.lit(1), i - 1), F.array(m), rest(parts)),
-                    F.concat(F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))), before, here, rest(ranks)),
-                )
-
-            return let(F.concat(F.get(parts, i - 1), F.get(parts, i)), put)
+            before = F.when(i > 1, rank(F.concat(cut(parts, i - 1, F.lit(1)), m))).otherwise("")
+            after = rank(F.concat(m, cut(parts, i + 2, F.lit(1))))
+            return state(
+                F.concat(F.left(parts, i - 1), m, F.substr(parts, i + 2)),
+                F.concat(F.left(ranks, i - 2), before, after, F.substr(ranks, i + 2)),
+            )
 
-        return let(F.array_position(ranks, acc["least"]).cast("int"), at)
+        return let(F.position(m, ranks), at)
 
     def every(acc: Column) -> Column:
         """All pairs of the least rank merged, from the left, none overlapping the one before."""
-        parts, ranks = acc["parts"], acc["ranks"]
-        found = F.array_join(F.transform(ranks, lambda r: F.when(r == acc["least"], "1").otherwise("0")), "")
-        taken = F.split(F.replace(found, F.lit("11"), F.lit("10")), "")
+        m = acc["least"]
+        found = F.replace(acc["ranks"], F.concat(m, m), F.concat(m, F.lit(OVERLAPS)))
+        lists = F.struct(F.split(acc["parts"], "").alias("p"), F.split(acc["ranks"], "").alias("r"), F.split(found, "").alias("t"))
 
-        def put(t: Column) -> Column:
-            is_taken = lambda i: F.coalesce(F.get(t, i) == "1", F.lit(False))
-            merged = F.transform(parts, lambda p, i: F.when(is_taken(i), F.concat(p, F.get(parts, i + 1))).otherwise(p))
-            spots = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: (i == 0) | ~is_taken(i - 1))
+        def put(x: Column) -> Column:
+            taken = lambda i: F.coalesce(F.get(x["t"], i) == m, F.lit(False))
+            merged = F.transform(x["p"], lambda p, i: F.when(taken(i), m).otherwise(p))
+            spots = F.filter(F.sequence(F.lit(0), F.size(x["p"]) - 1), lambda i: (i == 0) | ~taken(i - 1))
 
-            def ranked(m: Column, s: Column) -> Column:
+            def ranked(p: Column, s: Column) -> Column:
                 def of(i: Column, k: Column) -> Column:
                     after = F.get(s, k + 1)
-                    changed = is_taken(i) | is_taken(after)
-                    return F.when(changed, rank(F.concat(F.get(m, i), F.get(m, after)))).otherwise(F.get(ranks, i))
+                    pair = F.concat(F.get(p, i), F.coalesce(F.get(p, after), F.lit("")))
+                    return F.when(taken(i) | taken(after), rank(pair)).otherwise(F.get(x["r"], after - 1))
 
-                return state(F.transform(s, lambda i: F.get(m, i)), F.transform(s, of))
+                last = F.coalesce(F.get(s, F.size(s) - 1), F.lit(0))
+                ranks = F.transform(s, lambda i, k: F.when(i == last, F.lit(NONE)).otherwise(of(i, k)))
+                return state(F.array_join(F.transform(s, lambda i: F.get(p, i)), ""), F.array_join(ranks, ""))
 
             # Between two neighbouring merges the first makes a pair with what the second has not merged yet.
-            passing = lambda i: is_taken(i) & is_taken(i + 2) & (rank(F.concat(F.get(merged, i), F.get(parts, i + 2))) < acc["least"])
+            passing = lambda i: taken(i) & taken(i + 2) & (rank(F.concat(m, F.get(x["p"], i + 2))) < m)
             lower = F.exists(spots, passing)
-            return F.when(~lower, let(F.struct(merged.alias("m"), spots.alias("s")), lambda x: ranked(x["m"], x["s"])))
+            return F.when(~lower, let(F.struct(merged.alias("p"), spots.alias("s")), lambda y: ranked(y["p"], y["s"])))
 
-        return let(let(taken, put), lambda x: F.when(x.isNull() | (x["least"] < acc["least"]), one(acc)).otherwise(x))
+        return let(let(lists, put), lambda x: F.when(x.isNull() | (x["least"] < m), one(acc)).otherwise(x))
 
     def step(acc: Column, _: Column) -> Column:
-        more = F.when(F.size(acc["parts"]) > LONG, every(acc)).otherwise(one(acc))
+        more = F.when(F.length(acc["parts"]) > LONG, every(acc)).otherwise(one(acc))
         return F.when(acc["least"] == NONE, acc).otherwise(more)
 
-    def merged(parts: Column) -> Column:
-        ranks = F.transform(parts, lambda p, i: rank(F.concat(p, F.get(parts, i + 1))))
-        steps = F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1)))
-        return F.aggregate(steps, state(parts, ranks), step, lambda acc: F.transform(acc["parts"], rank))
-
-    whole = lambda r: F.when(r < NONE, F.array(r)).otherwise(let(F.split(word, ""), merged))
-    return F.when(word == "", F.array().cast("array<int>")).otherwise(let(rank(word), whole))
-
+    pairs = F.transform(F.sequence(F.lit(1), F.length(start)), lambda i: rank(cut(start, i, F.lit(2))))
+    steps = F.sequence(F.lit(1), F.greatest(F.length(start) - 1, F.lit(1)))
+    return F.aggregate(steps, state(start, F.array_join(pairs, "")), step, lambda acc: acc["parts"])
 
-def encode_words(words: Column, ranks: dict[bytes, int]) -> Column:
-    """Ids of each word of an array of texts: array<array<int>>."""
-    shown = lambda w: F.decode(w.cast("binary"), "ISO-8859-1")
-    return let(_literal(ranks), lambda table: F.transform(words, lambda w: let(shown(w), lambda s: _folded(s, table))))
 
+class Merges:
+    """The merges of a rank file as expressions, made once for a query.
 
-# --- words -------------------------------------------------------------------------------------------------------
+    A token that its own bytes' merges don't come to stands only for a word that it is as a whole, as the library has
+    it; these are found by folding all tokens.
+    """
 
+    def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
+        self.pairs, all_bytes = _literal(ranks), [bytes([i]) for i in range(256)]
+        self.bytes = "".join(b.decode("latin-1") for b in all_bytes), "".join(character(ranks[b]) for b in all_bytes)
+        self.whole: dict[str, int] = {}
+        tokens = spark.createDataFrame([(t.decode("latin-1"), r) for t, r in ranks.items()], "token string, rank int").repartition(8)
+        ids = let(self.pairs, lambda pairs: self._one(F.col("token"), pairs))
+        self.whole = {r.token: r.rank for r in tokens.filter(~F.equal_null(ids, F.array("rank"))).collect()}
+
+    def _one(self, shown: Column, pairs: Column) -> Column:
+        """Ids of a word whose bytes are shown as characters."""
+        code = lambda c: F.ascii(c) - F.when(F.ascii(c) >= 0xE000, 0x801).otherwise(1)
+        merged = let(F.translate(shown, *self.bytes), lambda s: _folded(s, pairs))
+        found = F.when(shown == "", F.array().cast("array<int>")).otherwise(F.transform(F.split(merged, ""), code))
+        if not self.whole:
+            return found
+        whole = F.try_element_at(F.from_json(F.lit(json.dumps(self.whole)), "map<string,int>"), shown)
+        return let(whole, lambda w: F.when(w.isNotNull(), F.array(w)).otherwise(found))
+
+    def ids(self, words: Column) -> Column:
+        """Ids of each word of an array of texts: array<array<int>>."""
+        shown = lambda w: F.decode(w.cast("binary"), "ISO-8859-1")
+        return let(self.pairs, lambda pairs: F.transform(words, lambda w: let(shown(w), lambda s: self._one(s, pairs))))
 
-class _Numbers(dict):
-    """Keys numbered as they come."""
 
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        return n
+# --- words -------------------------------------------------------------------------------------------------------
 
 
-_ODD = re.compile(r" (?=\s|\Z)")
-_CUT = re.compile(r"(?= \S)")
 _patterns: dict[str, regex.Pattern] = {}
 
 
@@ -162,32 +183,72 @@ def compiled(pattern: str) -> regex.Pattern:
     return _patterns[pattern]
 
 
-def tokenized(texts: list[str | None], pattern: str):
-    """(code of each word of all texts, number of words in each text, words by code).
+MARKS = frozenset(".,;:!?")
+
+
+def _pieces_words(pieces: Iterable[str], find: Callable[[str], list[str]], words: dict[str, int]) -> tuple[list[int], list[int]]:
+    """(words in each piece, their numbers) of pieces that a space stands before; words gets what is new.
+
+    A run of letters is one word with the space, and a mark after it another, so most pieces need no matching.
+    """
+    sizes, flat, number = [], [], words.setdefault
+    for piece in pieces:
+        if piece.isalpha():
+            flat.append(number(" " + piece, len(words)))
+            sizes.append(1)
+        elif piece[-1:] in MARKS and piece[:-1].isalpha():
+            flat += number(" " + piece[:-1], len(words)), number(piece[-1], len(words))
+            sizes.append(2)
+        else:
+            found = find(" " + piece)
+            flat += [number(w, len(words)) for w in found]
+            sizes.append(len(found))
+    return sizes, flat
+
+
+def tokenized(texts: pa.Array, pattern: str):
+    """(number of each word of all texts, number of words in each text, words by number).
 
     The pattern must begin a match at every space that stands before something other than white space, as those of
-    byte-level tokenizers do: texts are cut there, and each cut piece that is new is matched once.
+    byte-level tokenizers do: texts are cut at spaces, and each piece is matched once. A text with a space before white
+    space or at its end is matched as a whole. Null is empty.
     """
     import numpy as np
+    import pyarrow.compute as pc
 
-    numbers, codes = _Numbers(), []
-    number = numbers.__getitem__
-    for text in texts:
-        if not text:
-            row: list[int] = []
-        elif _ODD.search(text):  # keys that begin with a space are pieces as they are, others miss their space
-            row = [number(c[1:] if c[0] == " " and len(c) > 1 and not c[1].isspace() else " " + c) for c in _CUT.split(text) if c]
-        else:
-            first, *rest = text.split(" ")
-            row = list(map(number, rest))
-            row[:0] = [number(" " + first)] if first else []
-        codes.append(np.array(row, np.int32))
-    words, find = _Numbers(), compiled(pattern).findall
-    found = [list(map(words.__getitem__, find(k[1:] if k[0] == " " else " " + k))) for k in numbers]
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.fromiter((w for f in found for w in f), np.int32, int(sizes.sum()))
-    per_row = np.array([int(sizes[c].sum()) for c in codes], np.int64)
-    return _spread(np.concatenate([*codes, np.zeros(0, np.int32)]), sizes, flat), per_row, list(words)
+    find, words = compiled(pattern).findall, {}
+    texts = pc.fill_null(texts, "")
+    lists = pc.split_pattern(texts, " ")
+    counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.cumsum(counts) - counts
+    coded = lists.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy().astype(np.int64)
+    # Pieces hold no space, so they come as one text and are parted here.
+    pieces = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), " ")[0].as_py().split(" ") if len(codes) else []
+    odd = np.array([not p or p[0].isspace() for p in pieces], bool)[codes]
+    odd[starts] = False
+    whole = np.add.reduceat(odd, starts, dtype=np.int64) > 0 if len(starts) else np.zeros(0, bool)
+    # A text's first piece has no space before it; it, or the whole text, gets a number of its own.
+    first, own = np.empty(len(starts), np.int64), {}
+    for i, code in enumerate(codes[starts].tolist()):
+        first[i] = len(pieces) + own.setdefault(texts[i].as_py() if whole[i] else pieces[code], len(own))
+    codes[starts] = first
+    kept = ~np.repeat(whole, counts)
+    kept[starts] = True
+    codes = codes[kept]
+    counts = np.where(whole, 1, counts)
+    used = np.zeros(len(pieces) + len(own), bool)
+    used[codes] = True
+    sizes = np.zeros(len(used), np.int64)
+    spaced = np.flatnonzero(used[: len(pieces)])
+    sizes[spaced], flat = _pieces_words(map(pieces.__getitem__, spaced.tolist()), find, words)
+    for i, text in enumerate(own, len(pieces)):
+        found = find(text)
+        sizes[i] = len(found)
+        flat += [words.setdefault(w, len(words)) for w in found]
+    sized = sizes[codes]
+    per_row = np.add.reduceat(sized, np.cumsum(counts) - counts) if len(starts) else np.zeros(0, np.int64)
+    return _spread(codes, sizes, np.array(flat, np.int32)), per_row, list(words)
 
 
 def _spread(codes, sizes, flat):
@@ -208,21 +269,20 @@ def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
 
         held: dict[str, int] = {}
         out = lambda: pa.RecordBatch.from_pydict({"word": pa.array(held, pa.string()), "n": pa.array(held.values(), pa.int64())})
-        for batch in batches:
-            for part in _parts(batch):
-                codes, _, words = tokenized(part.column("text").to_pylist(), pattern)
-                for w, n in zip(words, np.bincount(codes, minlength=len(words)).tolist(), strict=True):
-                    held[w] = held.get(w, 0) + n
-                if len(held) > HELD:
-                    yield out()
-                    held.clear()
+        for part in itertools.chain.from_iterable(map(_parts, batches)):
+            codes, _, words = tokenized(part.column("text"), pattern)
+            for w, n in zip(words, np.bincount(codes, minlength=len(words)).tolist(), strict=True):
+                held[w] = held.get(w, 0) + n
+            if len(held) > HELD:
+                yield out()
+                held.clear()
         if held:
             yield out()
 
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _parts(batch: pa.RecordBatch, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, most: int = 16_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of about `most` bytes of text."""
     import numpy as np
     import pyarrow.compute as pc
@@ -267,33 +327,28 @@ def _located(docs: DataFrame, pattern: str, known: pa.Table) -> DataFrame:
         table = pa.ipc.open_stream(shared.value).read_all().combine_chunks()
         words, lists = table["word"].combine_chunks(), table["ids"].combine_chunks()
         lengths, values = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten().to_numpy()
-        starts = np.cumsum(lengths) - lengths
-        for batch in batches:
-            for part in _parts(batch):
-                codes, per_row, own = tokenized(part.column("text").to_pylist(), pattern)
-                place = pc.fill_null(pc.index_in(pa.array(own, words.type), value_set=words), -1).to_numpy(zero_copy_only=False)
-                new = np.flatnonzero(place < 0)
-                # A word that isn't known has one item, which tells its number among such words of this slice.
-                sizes = np.where(place < 0, 1, lengths[np.maximum(place, 0)]) if len(words) else np.ones(len(own), np.int64)
-                ends = np.cumsum(sizes)
-                flat = np.empty(int(sizes.sum()), np.int32)
-                old = np.flatnonzero(place >= 0)
-                if len(old):
-                    n = sizes[old]
-                    within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                    flat[np.repeat(ends[old] - n, n) + within] = values[np.repeat(starts[place[old]], n) + within]
-                flat[ends[new] - 1] = -1 - np.arange(len(new))
-                row_ends = np.concatenate([[0], np.cumsum(sizes[codes])])[np.concatenate([[0], np.cumsum(per_row)])]
-                ids = _spread(codes, sizes, flat)
-                rows, missed = [], []
-                for a, b in zip(row_ends[:-1], row_ends[1:], strict=True):
-                    row = ids[a:b]
-                    other, number = np.unique(row[row < 0], return_inverse=True)
+        for part in itertools.chain.from_iterable(map(_parts, batches)):
+            codes, per_row, own = tokenized(part.column("text"), pattern)
+            place = pc.fill_null(pc.index_in(pa.array(own, words.type), value_set=words), -1).to_numpy(zero_copy_only=False)
+            # A word that isn't known has one item, made of its number.
+            sizes = np.where(place < 0, 1, lengths[place]) if len(lengths) else np.ones(len(own), np.int64)
+            flat = np.empty(int(sizes.sum()), np.int32)
+            new = np.zeros(len(flat), bool)
+            new[(np.cumsum(sizes) - sizes)[place < 0]] = True
+            flat[new] = -1 - np.flatnonzero(place < 0)
+            flat[~new] = _spread(place[place >= 0], lengths, values)
+            row_ends = np.concatenate([[0], np.cumsum(sizes[codes])])[np.concatenate([[0], np.cumsum(per_row)])]
+            ids = _spread(codes, sizes, flat)
+            rows, missed = [], []
+            for a, b in zip(row_ends[:-1], row_ends[1:], strict=True):
+                row = ids[a:b]
+                other, number = np.unique(row[row < 0], return_inverse=True)
+                if len(other):
                     row[row < 0] = -1 - number
-                    rows.append(row.tobytes())
-                    missed.append([own[new[-1 - k]] for k in other])
-                arrays = [part.column("doc_id"), pa.array(rows, pa.binary()), pa.array(missed, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "missed"])
+                rows.append(row.tobytes())
+                missed.append([own[-1 - k] for k in other.tolist()])
+            arrays = [part.column("doc_id"), pa.array(rows, pa.binary()), pa.array(missed, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "missed"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary, missed array<string>")
@@ -301,10 +356,9 @@ def _located(docs: DataFrame, pattern: str, known: pa.Table) -> DataFrame:
 
 def _finished(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int, schema: str, finish: Callable[[bytes, bytes], tuple]) -> DataFrame:
     """doc_id and what finish makes of each row's ids and decoded bytes."""
-    counts = cut(word_counts(docs, pattern))
-    table = frequent_words(counts, most).withColumn("ids", F.get(encode_words(F.array("word"), ranks), 0))
-    located = _located(docs, pattern, table.toArrow())
-    folded = located.withColumn("missed", encode_words(F.col("missed"), ranks))
+    merges, counts = Merges(docs.sparkSession, ranks), cut(word_counts(docs, pattern))
+    table = frequent_words(counts, most).withColumn("ids", F.get(merges.ids(F.array("word")), 0)).toArrow()
+    folded = _located(docs, pattern, table).withColumn("missed", merges.ids(F.col("missed")))
     pieces = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, id in ranks.items():
         pieces[id] = token
