@@ -282,7 +282,7 @@ def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _parts(batch: pa.RecordBatch, most: int = 16_000_000) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of about `most` bytes of text."""
     import numpy as np
     import pyarrow.compute as pc
