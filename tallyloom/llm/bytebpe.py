@@ -15,8 +15,6 @@ single steps come to, as nothing can come between them.
 from __future__ import annotations
 
 import base64
-import hashlib
-import itertools
 import json
 from collections.abc import Callable, Iterable, Iterator
 
@@ -206,12 +204,13 @@ def _pieces_words(pieces: Iterable[str], find: Callable[[str], list[str]], words
     return sizes, flat
 
 
-def tokenized(texts: pa.Array, pattern: str):
-    """(number of each word of all texts, number of words in each text, words by number).
+def numbered(texts: pa.Array, pattern: str):
+    """(number of each piece of all texts, number of pieces in each text, number of words in each piece, their numbers
+    one piece after another, words by number).
 
     The pattern must begin a match at every space that stands before something other than white space, as those of
     byte-level tokenizers do: texts are cut at spaces, and each piece is matched once. A text with a space before white
-    space or at its end is matched as a whole. Null is empty.
+    space or at its end is one piece. Null is empty; every text has a piece at least.
     """
     import numpy as np
     import pyarrow.compute as pc
@@ -219,36 +218,46 @@ def tokenized(texts: pa.Array, pattern: str):
     find, words = compiled(pattern).findall, {}
     texts = pc.fill_null(texts, "")
     lists = pc.split_pattern(texts, " ")
-    counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    counts = lists.value_lengths().to_numpy(zero_copy_only=False)
     starts = np.cumsum(counts) - counts
     coded = lists.flatten().dictionary_encode()
-    codes = coded.indices.to_numpy().astype(np.int64)
+    codes = coded.indices.to_numpy().copy()
     # Pieces hold no space, so they come as one text and are parted here.
     pieces = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), " ")[0].as_py().split(" ") if len(codes) else []
+    del lists, coded
     odd = np.array([not p or p[0].isspace() for p in pieces], bool)[codes]
     odd[starts] = False
-    whole = np.add.reduceat(odd, starts, dtype=np.int64) > 0 if len(starts) else np.zeros(0, bool)
+    whole = np.add.reduceat(odd, starts, dtype=np.int32) > 0 if len(starts) else np.zeros(0, bool)
     # A text's first piece has no space before it; it, or the whole text, gets a number of its own.
-    first, own = np.empty(len(starts), np.int64), {}
+    first, own = np.empty(len(starts), np.int32), {}
     for i, code in enumerate(codes[starts].tolist()):
         first[i] = len(pieces) + own.setdefault(texts[i].as_py() if whole[i] else pieces[code], len(own))
     codes[starts] = first
-    kept = ~np.repeat(whole, counts)
-    kept[starts] = True
-    codes = codes[kept]
-    counts = np.where(whole, 1, counts)
+    if whole.any():
+        kept = ~np.repeat(whole, counts)
+        kept[starts] = True
+        codes, counts = codes[kept], np.where(whole, 1, counts)
     used = np.zeros(len(pieces) + len(own), bool)
     used[codes] = True
-    sizes = np.zeros(len(used), np.int64)
+    sizes = np.zeros(len(used), np.int32)
     spaced = np.flatnonzero(used[: len(pieces)])
     sizes[spaced], flat = _pieces_words(map(pieces.__getitem__, spaced.tolist()), find, words)
     for i, text in enumerate(own, len(pieces)):
         found = find(text)
         sizes[i] = len(found)
         flat += [words.setdefault(w, len(words)) for w in found]
-    sized = sizes[codes]
-    per_row = np.add.reduceat(sized, np.cumsum(counts) - counts) if len(starts) else np.zeros(0, np.int64)
-    return _spread(codes, sizes, np.array(flat, np.int32)), per_row, list(words)
+    return codes, counts, sizes, np.array(flat, np.int32), list(words)
+
+
+def _runs(counts, most: int = 500_000) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about `most` pieces."""
+    import numpy as np
+
+    ends, at = np.cumsum(counts, dtype=np.int64), 0
+    while at < len(counts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield at, to
+        at = to
 
 
 def _spread(codes, sizes, flat):
@@ -269,9 +278,10 @@ def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
 
         held: dict[str, int] = {}
         out = lambda: pa.RecordBatch.from_pydict({"word": pa.array(held, pa.string()), "n": pa.array(held.values(), pa.int64())})
-        for part in itertools.chain.from_iterable(map(_parts, batches)):
-            codes, _, words = tokenized(part.column("text"), pattern)
-            for w, n in zip(words, np.bincount(codes, minlength=len(words)).tolist(), strict=True):
+        for batch in batches:
+            codes, _, sizes, flat, words = numbered(batch.column("text"), pattern)
+            times = np.repeat(np.bincount(codes, minlength=len(sizes)), sizes)
+            for w, n in zip(words, np.bincount(flat, times, len(words)).astype(np.int64).tolist(), strict=True):
                 held[w] = held.get(w, 0) + n
             if len(held) > HELD:
                 yield out()
@@ -282,19 +292,6 @@ def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _parts(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of about `most` bytes of text."""
-    import numpy as np
-    import pyarrow.compute as pc
-
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right")))
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def frequent_words(counts: DataFrame, most: int = FREQUENT) -> DataFrame:
     """The words that occur most often, `most` of them at most; words that occur equally often are in or out together,
     and so are counts within a twelfth of a doubling. Very wide words stay out."""
@@ -314,7 +311,7 @@ def frequent_words(counts: DataFrame, most: int = FREQUENT) -> DataFrame:
 
 
 def _located(docs: DataFrame, pattern: str, known: pa.Table) -> DataFrame:
-    """doc_id, ids of known words (as bytes; -1 - k stands for the row's k-th other word) and those other words."""
+    """doc_id, ids of known words (-1 - k stands for the row's k-th other word) and those other words."""
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, known.schema) as writer:
         writer.write_table(known.combine_chunks())
@@ -324,84 +321,74 @@ def _located(docs: DataFrame, pattern: str, known: pa.Table) -> DataFrame:
         import numpy as np
         import pyarrow.compute as pc
 
-        table = pa.ipc.open_stream(shared.value).read_all().combine_chunks()
+        table = pa.ipc.open_stream(shared.value).read_all()
         words, lists = table["word"].combine_chunks(), table["ids"].combine_chunks()
-        lengths, values = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten().to_numpy()
-        for part in itertools.chain.from_iterable(map(_parts, batches)):
-            codes, per_row, own = tokenized(part.column("text"), pattern)
+        lengths, values = lists.value_lengths().to_numpy(zero_copy_only=False), lists.flatten().to_numpy()
+        for batch in batches:
+            codes, counts, sizes, flat, own = numbered(batch.column("text"), pattern)
             place = pc.fill_null(pc.index_in(pa.array(own, words.type), value_set=words), -1).to_numpy(zero_copy_only=False)
             # A word that isn't known has one item, made of its number.
-            sizes = np.where(place < 0, 1, lengths[place]) if len(lengths) else np.ones(len(own), np.int64)
-            flat = np.empty(int(sizes.sum()), np.int32)
-            new = np.zeros(len(flat), bool)
-            new[(np.cumsum(sizes) - sizes)[place < 0]] = True
-            flat[new] = -1 - np.flatnonzero(place < 0)
-            flat[~new] = _spread(place[place >= 0], lengths, values)
-            row_ends = np.concatenate([[0], np.cumsum(sizes[codes])])[np.concatenate([[0], np.cumsum(per_row)])]
-            ids = _spread(codes, sizes, flat)
-            rows, missed = [], []
-            for a, b in zip(row_ends[:-1], row_ends[1:], strict=True):
-                row = ids[a:b]
-                other, number = np.unique(row[row < 0], return_inverse=True)
-                if len(other):
-                    row[row < 0] = -1 - number
-                rows.append(row.tobytes())
-                missed.append([own[-1 - k] for k in other.tolist()])
-            arrays = [part.column("doc_id"), pa.array(rows, pa.binary()), pa.array(missed, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "missed"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary, missed array<string>")
-
-
-def _finished(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int, schema: str, finish: Callable[[bytes, bytes], tuple]) -> DataFrame:
-    """doc_id and what finish makes of each row's ids and decoded bytes."""
-    merges, counts = Merges(docs.sparkSession, ranks), cut(word_counts(docs, pattern))
-    table = frequent_words(counts, most).withColumn("ids", F.get(merges.ids(F.array("word")), 0)).toArrow()
-    folded = _located(docs, pattern, table).withColumn("missed", merges.ids(F.col("missed")))
-    pieces = [b""] * (max(ranks.values(), default=-1) + 1)
-    for token, id in ranks.items():
-        pieces[id] = token
-    kinds = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "binary": pa.binary()}
-    fields = [(n, kinds[k]) for n, k in (c.split(" ") for c in schema.split(", "))]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):  # ids and decoded bytes of a whole batch need much memory
-                part, rows = batch.slice(start, 256), []
-                for ids, missed in zip(part.column("ids").to_pylist(), part.column("missed").to_pylist(), strict=True):
-                    row = np.frombuffer(ids, np.int32)
-                    if missed:
-                        sizes = np.fromiter(map(len, missed), np.int64, len(missed))
-                        flat = np.concatenate([np.array(m, np.int32) for m in missed])
-                        n = np.where(row < 0, sizes[np.where(row < 0, -1 - row, 0)], 1)
-                        whole = np.repeat(row, n)
-                        whole[whole < 0] = _spread(-1 - row[row < 0], sizes, flat)
-                        row = whole
-                    rows.append(finish(row.astype("<u4").tobytes(), b"".join(map(pieces.__getitem__, row.tolist()))))
-                arrays = [pa.array(c, k) for c, (_, k) in zip(zip(*rows, strict=True), fields, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *arrays], names=["doc_id", *(n for n, _ in fields)])
+            items = np.where(place < 0, 1, lengths[place]) if len(lengths) else np.ones(len(own), np.int32)
+            ids = np.empty(int(items.sum()), np.int32)
+            new = np.zeros(len(ids), bool)
+            new[(np.cumsum(items) - items)[place < 0]] = True
+            ids[new] = -1 - np.flatnonzero(place < 0)
+            ids[~new] = _spread(place[place >= 0], lengths, values)
+            # Of each piece its ids.
+            piece_ids, piece_ends = _spread(flat, items, ids), np.concatenate([[0], np.cumsum(items[flat])])
+            ends = piece_ends[np.concatenate([[0], np.cumsum(sizes)])]
+            piece_sizes = np.diff(ends)
+            at = 0
+            for a, b in _runs(counts):
+                some = codes[at : at + int(counts[a:b].sum())]
+                at += len(some)
+                row_ids = _spread(some, piece_sizes, piece_ids)
+                offsets = np.concatenate([[0], np.cumsum(piece_sizes[some])])[np.concatenate([[0], np.cumsum(counts[a:b])])]
+                missed = []
+                for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                    row = row_ids[x:y]
+                    other, number = np.unique(row[row < 0], return_inverse=True)
+                    if len(other):
+                        row[row < 0] = -1 - number
+                    missed.append([own[-1 - k] for k in other.tolist()])
+                lists_ = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(row_ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), lists_, pa.array(missed, pa.list_(pa.string()))], names=["doc_id", "ids", "missed"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return folded.mapInArrow(run, f"doc_id {kind}, {schema}")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, missed array<string>")
 
 
 def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = FREQUENT) -> DataFrame:
-    """doc_id, the text's ids, and the bytes that they decode to, which are the text's own.
+    """doc_id and the text's ids.
 
     Each match of pattern is encoded by itself. Null text counts as empty, which has no ids; repeated rows and null
     doc_ids stay; other columns aren't read. ranks must hold every single byte. most bounds the words that are encoded
     beforehand, and changes no result.
     """
-    import numpy as np
+    merges, counts = Merges(docs.sparkSession, ranks), cut(word_counts(docs, pattern))
+    table = frequent_words(counts, most).withColumn("ids", F.get(merges.ids(F.array("word")), 0)).toArrow()
+    located = _located(docs, pattern, table).withColumn("missed", merges.ids(F.col("missed")))
+    whole = F.flatten(F.transform("ids", lambda i: F.when(i >= 0, F.array(i)).otherwise(F.get("missed", -1 - i))))
+    return located.select("doc_id", F.when(F.size("missed") == 0, F.col("ids")).otherwise(whole).alias("ids"))
 
-    return _finished(docs, ranks, pattern, most, "ids array<int>, decoded binary", lambda ids, text: (np.frombuffer(ids, "<i4"), text))
+
+def _listed(texts: Iterable[str]) -> Column:
+    return F.split(F.lit(",".join(texts)), ",")
+
+
+def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
+    """The tokens' bytes one after another, as binary."""
+    pieces = [""] * (max(ranks.values(), default=-1) + 1)
+    for token, id in ranks.items():
+        pieces[id] = token.hex()
+    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(_listed(pieces), i)), ""))
 
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = FREQUENT) -> DataFrame:
-    """As encoded, but with the number of ids and digests of ids and decoded bytes."""
-    sha = lambda b: hashlib.sha256(b).hexdigest()
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return _finished(docs, ranks, pattern, most, schema, lambda ids, text: (len(ids) // 4, sha(ids), sha(text)))
+    """doc_id, the number of ids, and digests of ids (as little-endian unsigned 32-bit integers) and of the bytes that
+    they decode to. Rows as in encoded."""
+    shown = [id.to_bytes(4, "little").hex() for id in range(max(ranks.values(), default=-1) + 1)]
+    ids = F.unhex(F.array_join(F.transform("ids", lambda i: F.get(_listed(shown), i)), ""))
+    return encoded(docs, ranks, pattern, most).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2(decoded(F.col("ids"), ranks), 256).alias("decoded_sha256")
+    )

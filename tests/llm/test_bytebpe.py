@@ -1,6 +1,7 @@
 """Operator 13 against the tiktoken library, and its fold against merges in plain Python."""
 
 import hashlib
+import itertools
 import random
 
 import public_tokenizers
@@ -37,10 +38,11 @@ def test_cut_texts_have_the_patterns_matches():
     draw = random.Random(3)
     texts = [made_up(draw, draw.randrange(40)) for _ in range(2000)] + [None, "", " ", "  ", " a", "a ", "a  b", "\n a", " \n a "]
     for some in (texts, texts[:1], []):
-        codes, per_row, words = bytebpe.tokenized(pa.array(some, pa.string()), PATTERN)
-        at = 0
-        for text, n in zip(some, per_row, strict=True):
-            assert [words[c] for c in codes[at : at + n]] == bytebpe.compiled(PATTERN).findall(text or "")
+        codes, counts, sizes, flat, words = bytebpe.numbered(pa.array(some, pa.string()), PATTERN)
+        at, ends = 0, [0, *itertools.accumulate(sizes.tolist())]
+        for text, n in zip(some, counts.tolist(), strict=True):
+            got = [words[w] for c in codes[at : at + n] for w in flat[ends[c] : ends[c + 1]]]
+            assert got == bytebpe.compiled(PATTERN).findall(text or "")
             at += n
 
 
@@ -87,7 +89,8 @@ def test_documents_equal_the_library(spark, monkeypatch, most):
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
     want = sorted(str((i, len(k := LIBRARY.encode_ordinary(t or "")), sha(b"".join(x.to_bytes(4, "little") for x in k)), sha((t or "").encode()))) for i, t, _ in rows)
     assert sorted(str(tuple(r)) for r in bytebpe.digests(docs, RANKS, PATTERN, most).collect()) == want
-    got = {(r.doc_id, tuple(r.ids), bytes(r.decoded)) for r in bytebpe.encoded(docs, RANKS, PATTERN, most).collect()}
+    ids = bytebpe.encoded(docs, RANKS, PATTERN, most)
+    got = {(r.doc_id, tuple(r.ids), bytes(r.t)) for r in ids.withColumn("t", bytebpe.decoded(F.col("ids"), RANKS)).collect()}
     assert got == {(i, tuple(LIBRARY.encode_ordinary(t or "")), (t or "").encode()) for i, t, _ in rows}
     assert bytebpe.digests(docs.limit(0), RANKS, PATTERN, most).collect() == []
 
