@@ -90,25 +90,21 @@ def _piece(kind, value) -> tuple[set[str] | None, Query]:
         least, most, body = value
         strings, need = _sequence(body)
         if strings is None or most > 4:
-            if strings is not None and least:
-                need = every([need, _held(_powers(strings, min(least, 4)))])
-            return None, need if least else True
-        return _bounded(set().union(*(_powers(strings, n) for n in range(least, int(most) + 1)))), need if least else True
+            row = _powers(strings, min(least, 4)) if strings is not None and least else None
+            return None, every([need, _held(row)]) if row else need if least else True
+        rows = [_powers(strings, n) for n in range(least, int(most) + 1)]
+        all_of = None if None in rows else set().union(*rows)
+        return all_of if all_of and len(all_of) <= MOST else None, need if least else True
     return None, True
 
 
-def _bounded(strings: set[str]) -> set[str] | None:
-    return strings if len(strings) <= MOST else None
-
-
-def _powers(strings: set[str], n: int) -> set[str]:
-    """n of the strings in a row; some of the last ones only, where that would be too many."""
+def _powers(strings: set[str], n: int) -> set[str] | None:
+    """n of the strings in a row, None if those are too many."""
     out = {""}
     for _ in range(n):
-        longer = {a + b for a in out for b in strings}
-        if len(longer) > MOST * MOST:
-            return {""}
-        out = longer
+        if len(out) * len(strings) > MOST * MOST:
+            return None
+        out = {a + b for a in out for b in strings}
     return out
 
 

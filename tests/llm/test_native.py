@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import string
 import unicodedata
 import zlib
 from collections import Counter
@@ -96,6 +97,33 @@ def test_no_match_lacks_its_trigrams():
     assert met > 3000 and missed > 3000
 
 
+def test_wide_classes_lose_no_match(spark):
+    """Classes and repeats of too many strings demand nothing but what stands beside them."""
+    rng = random.Random(11)
+    kinds = (("[a-z0-9]", string.ascii_lowercase + string.digits), ("[0-9a-f]", "0123456789abcdef"), ("[A-Za-z0-9+/]", string.ascii_letters + "+/"), ("[ab]", "ab"), ("(?:ab|cd|[0-9])", "0123456789"))
+    selective = 0
+    for _ in range(3000):
+        regex = sample = ""
+        for _ in range(rng.randrange(1, 6)):
+            literal = "".join(rng.choice("abK-_1") for _ in range(rng.randrange(1, 5)))
+            (kind, letters), least = rng.choice(kinds), rng.randrange(0, 5)
+            most, tail = least + rng.randrange(0, 3), rng.choice(["{{{0},{1}}}", "{{{0},}}", "{{{1}}}"])
+            times = most if "{{{1}}}" == tail else rng.randint(least, most)
+            regex += re.escape(literal) + kind + tail.format(least, most)
+            sample += literal + "".join(rng.choice(letters) for _ in range(times))
+        assert re.fullmatch(regex, sample)
+        query = trigrams.derive(regex)
+        assert trigrams.holds(query, f"x {sample} y".lower()), (regex, sample, query)
+        selective += query is not True
+    assert selective > 2000
+    for regex in ("key-[a-z0-9]{4}-live", "ab[0-9a-z]{3}cd", "sk_[A-Za-z0-9]{2,4}_x", "[a-z0-9]{4}-live"):
+        assert trigrams.holds(trigrams.derive(regex), re.sub(r"\[[^]]*\]\{[^}]*\}", "q9q9" if "4" in regex else "q9q", regex))
+    assert trigrams.named(trigrams.derive("key-[a-z0-9]{4}-live")) == {"key", "ey-", "-li", "liv", "ive"}
+    docs = spark.createDataFrame([(1, "a key-ab12-live here"), (2, "key- -live")], "doc_id long, text string")
+    rule = secrets.SecretRule("live", "key-[a-z0-9]{4}-live", 0, 1)
+    assert {r.doc_id: [(x.start, x.end) for x in r.spans] for r in secrets.scan(docs, (rule,)).collect()} == {1: [(2, 15)], 2: []}
+
+
 def test_rules_given_as_regex_alone(spark, docs, monkeypatch):
     """Other rules, one of them without a trigram, broadcast or shuffled, against plain regexes."""
     rules = (secrets.SecretRule("a", "th(e|at|is) [a-z]{4,}", 1, 2), secrets.SecretRule("b", "[0-9]+", 0, 1), secrets.SecretRule("c", "(?i:THE)n?x?", 0, 3))
@@ -112,19 +140,25 @@ def test_rules_given_as_regex_alone(spark, docs, monkeypatch):
     assert secrets.listing(docs.limit(0)).count() == 0
 
 
-def plain_descent(key, tree):
-    """Node by node with the weights below each child summed anew."""
-    node = ()
-    while len(node) < 3:
-        below = {x.path[: len(node) + 1] for x in tree if x.path[: len(node)] == node}
+def plain_draw(key, name, weight, again):
+    seed = 42 if key is None else xxhash.xxh64(key.to_bytes(8, "little", signed=True), 42).intdigest()
+    bits = xxhash.xxh64(name.encode(), seed).intdigest()
+    bits = bits if again is None else xxhash.xxh64(again.to_bytes(4, "little"), bits).intdigest()
+    return -math.log(((bits >> 11) + 0.5) / 2**53) / weight
 
-        def draw(child):
-            seed = 42 if key is None else xxhash.xxh64(key.to_bytes(8, "little", signed=True), 42).intdigest()
-            u = ((xxhash.xxh64(child[-1].encode(), seed).intdigest() >> 11) + 0.5) / 2**53
-            return -math.log(u) / sum(x.weight for x in tree if x.path[: len(child)] == child)
 
-        node = min(below, key=draw)
-    return next(x.shard for x in tree if x.path == node)
+def plain_descent(key, tree):
+    """Node by node with the weights below each child summed anew, until a shard is open."""
+    for again in (None, *range(1, shards.DESCENTS + 1)):
+        node = ()
+        while len(node) < 3:
+            below = {x.path[: len(node) + 1] for x in tree if x.path[: len(node)] == node}
+            weight = lambda child: sum(x.weight for x in tree if x.path[: len(child)] == child)
+            node = min(below, key=lambda child: plain_draw(key, child[-1], weight(child), again))
+        leaf = next(x for x in tree if x.path == node)
+        if leaf.open:
+            return leaf.shard
+    return min((x for x in tree if x.open), key=lambda x: plain_draw(key, x.path[-1], x.weight, None)).shard
 
 
 def test_shards(spark, docs):
@@ -144,8 +178,30 @@ def test_shards(spark, docs):
     assert 2000 < sum(n for (_, b, _), n in counts.items() if b == 24) < 2800
 
 
+def test_the_number_of_shards_decides(spark):
+    """A tree is the grown tree of one shard less, so rows move only into the new shard, at every number."""
+    for n in range(1, 80):
+        assert shards.even_tree(n + 1) == shards.grown(shards.even_tree(n))
+    for first in range(1, 41, 8):
+        trees = {f"s{n}": shards.even_tree(n) for n in range(first, first + 9)}
+        rows = shards.place(spark.range(400), "id", trees).collect()
+        for n in range(first, first + 8):
+            assert all(r[f"s{n + 1}"] in (r[f"s{n}"], n) and 0 <= r[f"s{n}"] < n for r in rows), n
+        assert [r[f"s{first}"] for r in sorted(rows, key=lambda r: r.id)] == [plain_descent(i, trees[f"s{first}"]) for i in range(400)]
+    docs = spark.createDataFrame([(i, "t") for i in range(300)] + [(None, "t"), (7, None)], "doc_id long, text string")
+    grown = Counter((r.doc_id, r.size, r.grown_shard) for r in shards.shard_documents(docs, 31).collect())
+    assert grown == Counter((r.doc_id, r.size, r.shard) for r in shards.shard_documents(docs, 32).collect())
+
+
+def test_trees_that_cannot_be(spark):
+    one = (shards.Leaf("a", "b", 0),)
+    for trees, why in (({"id": one}, "names"), ({"s": (shards.Leaf("a", "b", 0, 0.0),)}, "weights"), ({"s": (shards.Leaf("a", "b", 0, open=False),)}, "open")):
+        with pytest.raises(ValueError, match=why):
+            shards.place(spark.range(3), "id", trees)
+
+
 def test_weights_move_rows_only_where_sums_change(spark):
-    tree = shards.even_tree(24)
+    tree = tuple(x for x in shards.even_tree(24) if x.open)
     changed = lambda w: tuple(shards.Leaf(x.region, x.rack, x.shard, w.get(x.shard, 1.0)) for x in tree)
     shifted, heavy = changed({5: 1.75, 6: 0.25}), changed({5: 3.0, 6: 3.0})
     rows = shards.place(spark.range(20_000), "id", {"a": tree, "b": shifted, "c": heavy}).collect()
@@ -159,7 +215,7 @@ def test_weights_move_rows_only_where_sums_change(spark):
     assert all(r.c in (5, 6) if rack[r.a] == rack[5] else rack[r.c] == rack[5] or region[r.a] != region[5] for r in rows if r.a != r.c)
     assert abs(sum(r.c == 5 for r in rows) / len(rows) - 3 / 28) < 0.01
     assert shards.sums(heavy)[""]["region0"] == 12.0
-    wide = shards.even_tree(2000, 10, 10)
+    wide = tuple(shards.Leaf(f"region{i // 100}", f"rack{i // 10 % 10}", i) for i in range(2000))
     got = [r.s for r in shards.place(spark.range(200), "id", {"s": wide}).orderBy("id").collect()]
     assert got == [plain_descent(i, wide) for i in range(200)]
 
