@@ -3,9 +3,9 @@
 A line's quote level is its number of leading > marks. Neighbouring lines of one level form a passage. Passages are
 normalised (lower case, white space as one space) and cut into sentences, so that a quote that was wrapped anew or
 shortened still meets its original; sentences are compared by a 128-bit hash. The original of a quoted sentence is
-the first message of the conversation that says it unquoted, if that came earlier. A message answers the message that
-most of its shallowest linked quote comes from, counted in characters; following the answers up to a message that
-answers none gives its thread.
+the first message of the conversation that says it unquoted, if that came earlier. Every passage is linked with each
+message that says some of it. A message answers the one that most of its shallowest linked level comes from, counted in
+characters, of equals the later one; following the answers up to a message that answers none gives its thread.
 """
 
 from __future__ import annotations
@@ -65,27 +65,26 @@ def parsed(messages: DataFrame) -> DataFrame:
 
 
 def _sentences(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, depth, hash and length of every sentence; messages without conv_id or turn have none."""
-    placed = messages.filter("conv_id is not null and turn is not null").select("conv_id", "turn", F.explode("passages").alias("p"))
-    cut_up = placed.select("conv_id", "turn", F.col("p.depth").alias("depth"), F.explode(F.split("p.text", SENTENCE_END)).alias("s"))
-    return cut_up.filter("s <> ''").select("conv_id", "turn", "depth", F.md5(F.col("s").cast("binary")).alias("hash"), F.length("s").alias("size"))
+    """conv_id, turn, passage, depth, hash and length of every sentence; messages without conv_id or turn have none."""
+    placed = messages.filter("conv_id is not null and turn is not null").select("conv_id", "turn", F.posexplode("passages").alias("passage", "p"))
+    cut_up = placed.select("conv_id", "turn", "passage", F.col("p.depth").alias("depth"), F.explode(F.split("p.text", SENTENCE_END)).alias("s"))
+    return cut_up.filter("s <> ''").select("conv_id", "turn", "passage", "depth", F.md5(F.col("s").cast("binary")).alias("hash"), F.length("s").alias("size"))
 
 
 def links(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, depth, original, quoted): for each quote level of a message the message that it mostly quotes.
+    """(conv_id, turn, passage, depth, original, quoted): every link of a quoted passage, by its number in the message
+    and its quote level, with a message that says some of it; quoted counts those characters.
 
-    original is null where no earlier message says any of it; quoted counts the level's characters. Originals are
-    cut down to one row for each conversation and sentence before the join, so a sentence that everybody says or
-    quotes makes no pairs; adaptive execution splits the quotes' side if one of them is frequent.
+    A row with a null original counts the passage's characters that no earlier message says. Originals are cut down to
+    one row for each conversation and sentence before the join, so a sentence that everybody says or quotes makes no
+    pairs; adaptive execution splits the quotes' side if one of them is frequent.
     """
     said = _sentences(messages)
     first = said.filter("depth = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("origin"))
-    quotes = said.filter("depth > 0").groupBy("conv_id", "turn", "depth", "hash").agg(F.sum("size").alias("size"))
-    met = quotes.join(first, ["conv_id", "hash"], "left").withColumn("origin", F.when(F.col("origin") < F.col("turn"), F.col("origin")))
-    votes = met.groupBy("conv_id", "turn", "depth", "origin").agg(F.sum("size").alias("votes"))
-    vote = F.struct(F.when(F.col("origin").isNotNull(), F.col("votes")).otherwise(-1).alias("votes"), "origin")
-    best = votes.groupBy("conv_id", "turn", "depth").agg(F.max(vote).alias("best"), F.sum("votes").alias("quoted"))
-    return best.select("conv_id", "turn", "depth", F.col("best.origin").alias("original"), "quoted")
+    quotes = said.filter("depth > 0").groupBy("conv_id", "turn", "passage", "depth", "hash").agg(F.sum("size").alias("size"))
+    original = F.when(F.col("origin") < F.col("turn"), F.col("origin"))
+    met = quotes.join(first, ["conv_id", "hash"], "left").withColumn("original", original)
+    return met.groupBy("conv_id", "turn", "passage", "depth", "original").agg(F.sum("size").alias("quoted"))
 
 
 def threads(parents: DataFrame) -> DataFrame:
@@ -111,25 +110,29 @@ def linked(messages: DataFrame) -> DataFrame:
     """Every message without its quotes, in reply order.
 
     Columns: conv_id, turn, role, text, parent_turn (the message answered), thread (turn of the first message of its
-    thread, its own where it answers none), replies (steps down from there), n_levels and n_levels_linked (quote
-    levels, and those whose original was found), and reply_order, which rises along conv_id, thread and turn: an
-    answer always follows what it answers. Quotes whose original is missing go too. Rows repeated in messages are
+    thread, its own where it answers none), replies (steps down from there), quoted_turns (all messages that its quotes
+    are linked with, ascending), n_levels and n_levels_linked (quote levels, and those with a link), and reply_order,
+    which rises along conv_id, thread and turn: an answer always follows what it answers. Null text counts as empty. Quotes whose original is missing go too. Rows repeated in messages are
     repeated here and don't quote each other; those without conv_id or turn stand alone. The order is a range sort
     over conv_id, thread and turn, so a conversation of any length is spread over many tasks.
     """
     rows = cut(parsed(messages))
     found = cut(links(rows))
-    per_message = found.groupBy("conv_id", "turn").agg(
-        F.min(F.when(F.col("original").isNotNull(), F.struct("depth", "original"))).alias("near"),
-        F.count("*").alias("n_levels"),
-        F.count("original").alias("n_levels_linked"),
+    levels = found.groupBy("conv_id", "turn", "depth", "original").agg(F.sum("quoted").alias("quoted"))
+    linked_depth = F.when(F.col("original").isNotNull(), F.col("depth"))
+    near = F.struct(linked_depth.alias("depth"), (-F.col("quoted")).alias("votes"), (-F.col("original")).alias("later"))
+    per_message = levels.groupBy("conv_id", "turn").agg(
+        F.min(F.when(F.col("original").isNotNull(), near)).alias("near"),
+        F.size(F.collect_set("depth")).alias("n_levels"),
+        F.size(F.collect_set(linked_depth)).alias("n_levels_linked"),
+        F.sort_array(F.collect_set("original")).alias("quoted_turns"),
     )
-    facts = per_message.select("conv_id", "turn", F.col("near.original").alias("parent_turn"), "n_levels", "n_levels_linked")
+    facts = per_message.select("conv_id", "turn", (-F.col("near.later")).alias("parent_turn"), "n_levels", "n_levels_linked", "quoted_turns")
     answers = facts.filter("parent_turn is not null").select("conv_id", "turn", F.col("parent_turn").alias("parent"))
     out = rows.join(facts, ["conv_id", "turn"], "left").join(threads(answers), ["conv_id", "turn"], "left")
     out = out.select(
         "conv_id", "turn", "role", "text", "parent_turn",
-        F.coalesce("thread", "turn").alias("thread"),
+        F.coalesce("thread", "turn").alias("thread"), F.coalesce("quoted_turns", F.array().cast("array<long>")).alias("quoted_turns"),
         *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("replies", "n_levels", "n_levels_linked")],
     )
     return out.orderBy("conv_id", "thread", "turn").withColumn("reply_order", F.monotonically_increasing_id())
