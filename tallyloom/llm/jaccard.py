@@ -458,12 +458,12 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _placed(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n and component_id of every document."""
+    """doc_id, text_hash, n, component_id and root (its component, null without words) of every document."""
     sets, roots = linked_classes(docs)
     placed = sets.join(roots, "k", "left").select("doc_id", "text_hash", "n", F.coalesce("root", "k").alias("root"))
     least = placed.filter("root is not null and doc_id is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
-    return placed.join(least, "root", "left").select("doc_id", "text_hash", "n", component.alias("component_id"))
+    return placed.join(least, "root", "left").select("doc_id", "text_hash", "n", component.alias("component_id"), "root")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -478,12 +478,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs with one document of each component, the one with the smallest doc_id, its columns as they are.
 
-    Documents that link with nothing stay, empty ones and those without doc_id too. Of rows that repeat a doc_id and a
-    text one stays. The rows to leave out are broadcast while they are few enough, else joined by a shuffle.
+    Where several texts of a component have that doc_id, the one with the least hash stays. Documents that link with
+    nothing stay, empty ones and those without doc_id too. Of rows that repeat a doc_id and a text one stays. The rows
+    to leave out are broadcast while they are few enough, else joined by a shuffle.
     """
-    placed = cut(_placed(docs).filter("doc_id is not null").select("doc_id", "text_hash", "component_id"))
-    gone = placed.filter("component_id <> doc_id").select("doc_id", "text_hash").distinct()
-    again = cut(placed.filter("component_id = doc_id").groupBy("doc_id", "text_hash").count().filter("count > 1").drop("count"))
+    placed = cut(_placed(docs).filter("doc_id is not null").select("doc_id", "text_hash", "component_id", "root"))
+    firsts = cut(placed.filter("component_id = doc_id").groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n")))
+    several = firsts.filter("root is not null").groupBy("root").agg(F.min("text_hash").alias("best"), F.count("*").alias("texts")).filter("texts > 1")
+    beside = firsts.join(several, "root").filter("text_hash <> best").select("doc_id", "text_hash")
+    gone = placed.filter("component_id <> doc_id").select("doc_id", "text_hash").union(beside).distinct()
+    again = cut(firsts.filter("n > 1").select("doc_id", "text_hash"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("row"))
     kept = rows.join(_small(cut(gone)), ["doc_id", "text_hash"], "left_anti")
     if not again.isEmpty():

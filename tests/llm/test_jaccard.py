@@ -168,3 +168,12 @@ def test_shingles_of_long_texts_equal_those_of_parts(monkeypatch):
     monkeypatch.setattr(shingles, "_STEP", 1000)
     assert np.array_equal(whole, shingles.word_hashes(text))
     assert len(np.unique(whole)) == len(set(WORDS.findall(text)))
+
+
+def test_one_row_stays_of_a_component_whose_first_id_has_two_texts(spark):
+    a = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, a, "x"), (1, a + " more words", "y"), (2, a, "z"), (3, "something else entirely", "t"), (1, "not linked at all, this one", "u"), (3, "something else entirely", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, root string")
+    for _ in range(2):
+        kept = jaccard.one_of_each(docs).collect()
+        assert sorted(r.doc_id for r in kept) == [1, 1, 3] and sum("w5 " in r.text for r in kept) == 1
