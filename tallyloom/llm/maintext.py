@@ -60,6 +60,7 @@ ARTICLE = frozenset({"article", "main"})
 REGION = ARTICLE | frozenset("html body div section center form fieldset details".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p blockquote pre li dd table".split())
+TEXTUAL = HEADINGS | PARAGRAPHS
 #: Kinds of elements: what a MARKED one holds is no part of the article unless that is most of the page, what a HIDDEN
 #: one holds never is.
 PLAIN, MARKED, HIDDEN = range(3)
@@ -69,21 +70,67 @@ SIGMA = 1.0
 RADIUS = 2
 
 
-@dataclass
+@dataclass(slots=True)
+class Open:
+    """An open element that matters. What a line needs to know of all open ones is kept by number, so that a line costs
+    the same at any depth."""
+
+    tag: str
+    kind: int
+    #: Where the elements begin that stand in the same block as this one, itself included unless it is a block.
+    inline: int
+    #: Is it, or what it stands in, HIDDEN?
+    hidden: bool
+    #: Number of the innermost MARKED element, and of the innermost one of REGION; 0 if there is none.
+    mark: int
+    region: int
+    #: The headings and paragraphs among the open elements.
+    within: frozenset[str]
+
+
+OUTSIDE = Open("", 0, 0, False, 0, 0, frozenset())
+
+
+@dataclass(slots=True)
 class Line:
     text: str
     tags: int
     hidden: bool
-    #: Numbers of the open MARKED elements.
-    marks: tuple[int, ...]
-    #: Open elements of REGION from the outermost, as (number, is it an article).
-    path: tuple[tuple[int, bool], ...]
-    #: Open elements that begin and end a line.
+    mark: int
+    region: int
     within: frozenset[str]
     #: Is most of it in links?
     linked: bool
 
 
+class Tree:
+    """Elements by number, each opened after the one that it stands in; 0 stands for the page."""
+
+    def __init__(self) -> None:
+        self.parents = [0]
+        #: The outermost article that an element is or stands in.
+        self.articles = [0]
+
+    def add(self, parent: int, article: bool = False) -> int:
+        self.parents.append(parent)
+        self.articles.append(self.articles[parent] or (len(self.parents) - 1) * article)
+        return len(self.parents) - 1
+
+    def summed(self, counts: dict[int, int]) -> list[int]:
+        """Of every element what it and all those in it count."""
+        out = [counts.get(n, 0) for n in range(len(self.parents))]
+        for n in range(len(out) - 1, 0, -1):
+            out[self.parents[n]] += out[n]
+        return out
+
+    def below(self, chosen: set[int]) -> list[bool]:
+        """Is an element chosen, or does it stand in one that is?"""
+        out = [0 in chosen]
+        for n in range(1, len(self.parents)):
+            out.append(n in chosen or out[self.parents[n]])
+        return out
+
+
 def kind_of(tag: str, attrs: list[tuple[str, str | None]]) -> int:
     """A form is MARKED only, as some pages stand in one as a whole; html, body and articles aren't marked by names."""
     if tag in ASIDE and tag != "form" or any(k == "hidden" for k, _ in attrs):
@@ -108,10 +155,12 @@ class Lines(HTMLParser):
         self.link_chars = 0
         #: Text of the line that an inline aside interrupts.
         self.before_aside: list[str] = []
-        #: Open elements that matter: (tag, number, kind).
-        self.open: list[tuple[str, int, int]] = []
+        self.open: list[Open] = []
+        #: How often each tag is open, and where heads are.
+        self.count: Counter[str] = Counter()
+        self.heads: list[int] = []
         self.asides = 0
-        self.numbers = 0
+        self.marks, self.regions = Tree(), Tree()
 
     def updatepos(self, i: int, j: int) -> int:
         return j  # line numbers aren't used
@@ -119,15 +168,29 @@ class Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            path = tuple((n, t in ARTICLE) for t, n, _ in self.open if t in REGION)
-            within = frozenset(t for t, _, _ in self.open)
-            marks = tuple(n for _, n, k in self.open if k == MARKED)
-            self.lines.append(Line(text, self.tags, any(k == HIDDEN for _, _, k in self.open), marks, path, within, 2 * self.link_chars > len(text)))
+            top = self.open[-1] if self.open else OUTSIDE
+            self.lines.append(Line(text, self.tags, top.hidden, top.mark, top.region, top.within, 2 * self.link_chars > len(text)))
         self.parts, self.tags, self.link_chars = [], 0, 0
 
+    def push(self, tag: str, kind: int) -> None:
+        top, at = (self.open[-1] if self.open else OUTSIDE), len(self.open)
+        self.open.append(Open(
+            tag, kind, at + 1 if tag in BLOCK else top.inline, top.hidden or kind == HIDDEN,
+            self.marks.add(top.mark) if kind == MARKED else top.mark, self.regions.add(top.region, tag in ARTICLE) if tag in REGION else top.region,
+            top.within | {tag} if tag in TEXTUAL and tag not in top.within else top.within,
+        ))
+        self.count[tag] += 1
+        self.asides += kind != PLAIN
+        if tag == "head":
+            self.heads.append(at)
+
     def pop(self, at: int) -> None:
-        self.asides -= sum(k != PLAIN for _, _, k in self.open[at:])
+        for x in self.open[at:]:
+            self.asides -= x.kind != PLAIN
+            self.count[x.tag] -= 1
         del self.open[at:]
+        while self.heads and self.heads[-1] >= at:
+            self.heads.pop()
 
     def end_head(self, at: int) -> None:
         """What isn't of a head ends it, as </head> may be left out."""
@@ -139,7 +202,7 @@ class Lines(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag == "body" or tag not in HEAD:
-            at = next((i for i, x in enumerate(self.open) if x[0] == "head"), None)
+            at = self.heads[0] if self.heads else None
             if at is not None and (tag == "body" or at == len(self.open) - 1):
                 self.end_head(at)
         self.in_link |= tag == "a"
@@ -152,10 +215,10 @@ class Lines(HTMLParser):
         if tag in BLOCK:
             ends = CLOSES.get(tag, {"p"})
             at = self.inline()
-            if at and self.open[at - 1][0] in ends:
+            if at and self.open[at - 1].tag in ends:
                 self.end_inline(at)
             self.flush()
-            while self.open and self.open[-1][0] in ends:
+            while self.open and self.open[-1].tag in ends:
                 self.pop(len(self.open) - 1)
         elif tag in ("td", "th"):
             self.parts.append(" ")
@@ -163,16 +226,11 @@ class Lines(HTMLParser):
         if tag in BLOCK or kind != PLAIN:
             if kind != PLAIN and tag not in BLOCK:
                 self.flush_inline()
-            self.numbers += 1
-            self.open.append((tag, self.numbers, kind))
-            self.asides += kind != PLAIN
+            self.push(tag, kind)
 
     def inline(self) -> int:
         """Where the inline elements begin that are open within the innermost block."""
-        at = len(self.open)
-        while at and self.open[at - 1][0] not in BLOCK:
-            at -= 1
-        return at
+        return self.open[-1].inline if self.open else 0
 
     def end_inline(self, at: int) -> None:
         """The end of their block ends inline elements too: the line goes on with what stood before an aside."""
@@ -195,7 +253,7 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
+        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i].tag == tag), None) if self.count[tag] else None
         if tag in BLOCK:
             if at is not None and (first := self.inline()) > at:
                 self.end_inline(first)
@@ -213,9 +271,9 @@ class Lines(HTMLParser):
                 self.parts, self.before_aside = [*self.before_aside, " "], []
 
     def handle_data(self, data: str) -> None:
-        if self.open and self.open[-1][0] == "head" and data.strip():
+        if self.open and self.open[-1].tag == "head" and data.strip():
             self.end_head(len(self.open) - 1)
-        if self.open and self.open[-1][0] in ("script", "style"):
+        if self.open and self.open[-1].tag in ("script", "style"):
             return  # code is no line; its ratio would set the threshold
         self.parts.append(data)
         if self.in_link:
@@ -244,27 +302,26 @@ def threshold(values: list[float], rounds: int = 20) -> float:
     return (low + high) / 2
 
 
-def usable_lines(lines: list[Line], high: list[int]) -> list[int]:
+def usable_lines(lines: list[Line], high: list[int], marks: Tree) -> list[int]:
     """Lines that aren't aside. A mark on what holds most of the high lines, and of their text, is one of a wrapper and
     doesn't count."""
     high = [i for i in high if not lines[i].hidden]
     chars: Counter[int] = Counter()
-    count: Counter[int] = Counter()
     for i in high:
-        for m in lines[i].marks:
-            chars[m] += len(lines[i].text)
-            count[m] += 1
-    total = sum(len(lines[i].text) for i in high)
-    wrappers = {m for m in chars if 2 * chars[m] > total and 2 * count[m] > len(high)}
-    return [i for i, x in enumerate(lines) if not x.hidden and wrappers.issuperset(x.marks)]
+        chars[lines[i].mark] += len(lines[i].text)
+    total = sum(chars.values())
+    chars_in, count_in = marks.summed(chars), marks.summed(Counter(lines[i].mark for i in high))
+    aside = marks.below({n for n in range(1, len(chars_in)) if not (2 * chars_in[n] > total and 2 * count_in[n] > len(high))})
+    return [i for i, x in enumerate(lines) if not x.hidden and not aside[x.mark]]
 
 
 def joined(lines: list[Line], usable: list[int], inside: set[int], tagged: bool) -> set[int]:
     """Lines around the region that belong to it: paragraphs and headings up to the next line of links, with what lies
     between them, unless an article's tags bound the region; those between several articles; and the h1 before it, with
     what follows that isn't links."""
-    before, after = [i for i in usable if i < min(inside)][::-1], [i for i in usable if i > max(inside)]
-    between = [i for i in usable if min(inside) < i < max(inside) and i not in inside]
+    first, last = min(inside), max(inside)
+    before, after = [i for i in usable if i < first][::-1], [i for i in usable if i > last]
+    between = [i for i in usable if first < i < last and i not in inside]
     out = {i for i in between if not lines[i].linked and lines[i].within & (PARAGRAPHS | HEADINGS)}
     if not tagged:
         for side, ends in ((before, PARAGRAPHS | HEADINGS), (after, PARAGRAPHS)):
@@ -277,27 +334,28 @@ def joined(lines: list[Line], usable: list[int], inside: set[int], tagged: bool)
     return out
 
 
-def main_lines(lines: list[Line]) -> list[Line]:
+def main_lines(lines: list[Line], marks: Tree, regions: Tree) -> list[Line]:
     """The lines of the content region, in page order."""
     if not lines:
         return []
     ratios = [len(x.text) / max(1, x.tags) for x in lines]
-    articles = [next((n for n, article in x.path if article), None) for x in lines]
-    values = [v * (1 if a is None else BONUS) for v, a in zip(smoothed(ratios), articles, strict=True)]
+    articles = [regions.articles[x.region] for x in lines]
+    values = [v * (BONUS if a else 1) for v, a in zip(smoothed(ratios), articles, strict=True)]
     cut = threshold(values)
-    usable = usable_lines(lines, [i for i in range(len(lines)) if values[i] >= cut])
+    usable = usable_lines(lines, [i for i in range(len(lines)) if values[i] >= cut], marks)
     if not usable:
         return []
     # Links that only the lines around lift over the threshold are none of the content.
     content = [i for i in usable if values[i] >= cut and (ratios[i] >= cut or not lines[i].linked)]
     content = content or [i for i in usable if not lines[i].linked] or usable
     held = {articles[i] for i in content}
-    tagged = None not in held
+    tagged = 0 not in held
     if not tagged:
-        # The innermost container of all of the content; a line's containers are numbered from outside in.
-        held = set.intersection(*({n for n, _ in lines[i].path} for i in content))
-        held = {max(held)} if held else set()
-    inside = {i for i in usable if not held or any(n in held for n, _ in lines[i].path)}
+        # The innermost container of all of the content; it was opened after those that it stands in.
+        in_it = regions.summed(Counter(lines[i].region for i in content))
+        held = {max(n for n, count in enumerate(in_it) if count == len(content))}
+    within = regions.below(held)
+    inside = {i for i in usable if within[lines[i].region]}
     return [lines[i] for i in sorted(inside | joined(lines, usable, inside, tagged))]
 
 
@@ -310,7 +368,7 @@ def main_text(html: str) -> str:
     parser.flush()
     parser.pop(0)
     parser.finish()
-    return "\n".join(x.text for x in main_lines(parser.lines))
+    return "\n".join(x.text for x in main_lines(parser.lines, parser.marks, parser.regions))
 
 
 def extract(pages: DataFrame) -> DataFrame:
