@@ -17,6 +17,8 @@ GRAMMAR = r"^P((\d+Y)?(\d+M)?(\d+W)?(\d+D)?)?(T(\d+H)?(\d+M)?(\d+S)?)?$"
 GROUPS = (2, 3, 4, 5, 7, 8, 9)
 CARRY = (0, 12, 4, 7, 24, 60, 60)
 SECONDS = (31104000, 2592000, 604800, 86400, 3600, 60, 1)
+#: Months that a step may have, and twelve times the years that an instant may be away from year 0: microseconds hold no more.
+MONTHS = 290_000 * 12
 WORDS = ("year", "month", "week", "day", "hour", "minute", "second")
 
 
@@ -26,12 +28,13 @@ def is_period(text: Column) -> Column:
 
 def parse_period(text: Column, carry: bool = False) -> Column:
     """Seven ints; null if the text is no period or has a number beyond them, zeros if it is empty. With carry, full
-    slots move up, from the end."""
+    slots move up, from the end; null if they no longer fit then."""
     upper = F.upper(text)
     digits = [F.rtrim(F.regexp_extract(upper, GRAMMAR, g), F.lit("YMWDHS")) for g in GROUPS]
     found = let(F.array(*[F.when(d == "", F.lit(0)).otherwise(d.try_cast("int")) for d in digits]), lambda p: F.when(~F.exists(p, F.isnull), p))
     if carry:
-        found = let(found, lambda p: F.when(p.isNotNull(), _all_carried(p)))
+        wide = lambda p: let(_all_carried(p.cast("array<long>")), lambda q: F.when(F.array_max(q) < 2**31, q.cast("array<int>")))
+        found = let(found, lambda p: F.when(p.isNotNull(), wide(p)))
     return F.when(upper.rlike(GRAMMAR) | (upper == ""), found)
 
 
@@ -46,7 +49,7 @@ def _carried(i: int) -> Callable[[Column], Column]:
 
     def step(p: Column) -> Column:
         slots = [F.get(p, F.lit(k)) for k in range(7)]
-        slots[i - 1] = slots[i - 1] + F.floor(slots[i] / CARRY[i]).cast("int")
+        slots[i - 1] = slots[i - 1] + F.floor(slots[i] / CARRY[i])
         slots[i] = slots[i] % CARRY[i]
         return F.array(*slots)
 
@@ -69,23 +72,25 @@ def period_words(period: Column) -> Column:
 
 def add_period(ts: Column, period: Column, sign: int = 1, overflow: bool = True) -> Column:
     """ts moved by the slots one after another. With overflow, days that a month lacks run over after the year's and
-    after the month's step; without, they are cut to the month's last day."""
+    after the month's step; without, they are cut to the month's last day. Null where that is no timestamp any more."""
 
     def months(n: Column) -> Callable[[Column], Column]:
         def step(at: Column) -> Column:
+            near = F.when(F.abs(n) <= MONTHS, n).cast("int")
             if not overflow:
-                whole = F.add_months(at.cast("date"), n)
+                whole = F.add_months(at.cast("date"), near)
             else:
-                whole = F.date_add(F.add_months(F.trunc(at.cast("date"), "MM"), n), F.dayofmonth(at) - 1)
-            return F.timestamp_micros(F.unix_micros(whole.cast("timestamp")) + F.unix_micros(at) - F.unix_micros(F.date_trunc("DAY", at)))
+                whole = F.date_add(F.add_months(F.trunc(at.cast("date"), "MM"), near), F.dayofmonth(at) - 1)
+            held = let(whole, lambda d: F.when(F.abs(F.year(d)) < MONTHS // 12, d).cast("timestamp"))
+            return F.timestamp_micros(F.unix_micros(held) + F.unix_micros(at) - F.unix_micros(F.date_trunc("DAY", at)))
 
         return step
 
     def moved(p: Column) -> Column:
-        slot = lambda i: F.get(p, F.lit(i)) * sign
+        slot = lambda i: F.get(p, F.lit(i)).cast("long") * sign
         at = let(let(ts, months(slot(0) * 12)), months(slot(1)))
         rest = sum((F.get(p, F.lit(i)).cast("long") * SECONDS[i] for i in range(2, 7)), F.lit(0).cast("long"))
-        return F.timestamp_micros(F.unix_micros(at) + rest * sign * 1000000)
+        return F.timestamp_micros(F.try_add(F.unix_micros(at), F.try_multiply(rest, F.lit(sign * 1000000))))
 
     return let(period, moved)
 

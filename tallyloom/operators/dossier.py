@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,31 +123,40 @@ def _pair(slot: Column, *fields: str) -> Column:
     return F.array(*[slot[f] for f in fields])
 
 
+def gathered(parts: dict[str, DataFrame]) -> DataFrame:
+    """(surname, one struct for each part): all parts' rows in one table, then one aggregation by name.
+
+    A part has one row a name at most, with surname first; where it has none for a name its struct is null.
+    """
+    tagged = [df.select("surname", F.struct(*[c for c in df.columns if c != "surname"]).alias(tag)) for tag, df in parts.items()]
+    whole = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    return whole.groupBy("surname").agg(*[F.any_value(tag, True).alias(tag) for tag in parts])
+
+
 def assemble(probes: DataFrame, t: dict[str, DataFrame], axis: tuple[int, ...] = YEARS, excluded: tuple[int, ...] = EXCLUDED_YEARS) -> DataFrame:
     """One row a probe: input, surname, status, display, years, freqs and a struct `stats` of all slots.
 
     Slots are null unless the probe is found. A found probe with a lookup that has no match, a year off the axis or a
-    place without district gets the status error, as the whole answer would fail.
+    place without district gets the status error, as the whole answer would fail. All facts are gathered by name in one
+    pass and joined with the probes once.
     """
-    from tallyloom.operators.membership import classify
+    from tallyloom.operators.membership import kept_years, status_of
 
+    known = t["names_kde"].select("surname").union(t["names_all"].select("surname")).distinct()
     off = t["names_frq"].groupBy("surname").agg(F.bool_or(~F.coalesce(F.col("year").isin(list(axis)), F.lit(False))).alias("off"))
     unplaced = t["names_loc_hist"].groupBy("surname").agg(F.bool_or(F.col("regcnty").isNull()).alias("unplaced"))
-    fns = {p: forenames(t[f"names_fns_{p}"]).select("surname", F.col("female").alias(f"{p}_f"), F.col("male").alias(f"{p}_m")) for p in ("hist", "cont")}
-    oac = {
-        k: classification(t[f"names_{k}21"], t[f"lookup_{k}21"], t[f"lookup_{k}21_desc"], f"{k}cd", f"{k}nm").select("surname", F.struct("*").alias(k))
-        for k in ("oac", "loac")
-    }
-    parts = [
-        year_vector(t["names_frq"], list(axis)), off, unplaced, *fns.values(), top_places(t["names_loc_hist"]),
-        areas(t["names_loc_cont"], t["lookup_loc_cont"]), *oac.values(),
-        described(t["names_iuc"], "iuccd", "iucnm", t["lookup_iuc"], "iuccd", "iucdesc").select("surname", F.struct("*").alias("iuc")),
-        first_row(t["names_ahah22"], "ahahdec", kind="mode"), first_row(t["names_imd"], "imddec", kind="mode"),
-        first_row(t["names_bbs"], "bbsdec", "bbs"), first_row(t["names_eee"], "code", "eee"), first_row(t["names_imd_std"], "avg", "sd"),
-    ]
-    rows = classify(probes, t["names_kde"], t["names_all"], list(excluded))
-    for part in parts:
-        rows = rows.join(part, "surname", "left")
+    oac = {k: classification(t[f"names_{k}21"], t[f"lookup_{k}21"], t[f"lookup_{k}21_desc"], f"{k}cd", f"{k}nm") for k in ("oac", "loac")}
+    parts = {
+        "known": known.withColumn("known", F.lit(True)), "kept": kept_years(t["names_kde"], list(excluded)),
+        "vector": year_vector(t["names_frq"], list(axis)), "off": off, "unplaced": unplaced,
+        "hist": forenames(t["names_fns_hist"]), "cont": forenames(t["names_fns_cont"]), "parish": top_places(t["names_loc_hist"]),
+        "area": areas(t["names_loc_cont"], t["lookup_loc_cont"]), **oac,
+        "iuc": described(t["names_iuc"], "iuccd", "iucnm", t["lookup_iuc"], "iuccd", "iucdesc"),
+        "ahah": first_row(t["names_ahah22"], "ahahdec", kind="mode"), "imd": first_row(t["names_imd"], "imddec", kind="mode"),
+        "bbs": first_row(t["names_bbs"], "bbsdec", "bbs"), "eee": first_row(t["names_eee"], "code", "eee"), "std": first_row(t["names_imd_std"], "avg", "sd"),
+    }
+    rows = probes.join(gathered(parts), "surname", "left").withColumn("years", F.col("kept.years"))
+    rows = rows.withColumn("status", status_of(F.col("form"), F.col("years"), F.col("known.known")))
     names = lambda c: F.coalesce(F.col(c), F.array(F.lit(NO_FORENAMES)))
     lit = lambda *v: F.array(*[F.lit(x) for x in v])
     pairs = lambda c, a, b: F.coalesce(F.transform(c, lambda x: F.array(x[a], x[b])), F.array(lit(NO_DATA, NO_DATA)))
@@ -154,14 +165,14 @@ def assemble(probes: DataFrame, t: dict[str, DataFrame], axis: tuple[int, ...] =
     )
     coded = lambda code, text: F.when(F.col(code).isNull(), lit(NO_CODE, NO_DATA)).otherwise(F.array(F.col(code).cast("string"), F.col(text)))
     slots = (
-        names("hist_f"), names("hist_m"), names("cont_f"), names("cont_m"), pairs("places", "district", "parish"),
-        pairs("areas", "ladnm", "msoa11nm"), group("oac"), group("loac"),
+        names("hist.female"), names("hist.male"), names("cont.female"), names("cont.male"), pairs("parish.places", "district", "parish"),
+        pairs("area.areas", "ladnm", "msoa11nm"), group("oac"), group("loac"),
         F.when(F.col("iuc").isNull(), lit(NO_CODE, NO_DATA, "")).otherwise(F.array(F.col("iuc.code").cast("string"), F.col("iuc.name"), F.col("iuc.text"))),
-        F.col("ahahdec"), F.col("imddec"), coded("bbsdec", "bbs"), coded("code", "eee"),
-        F.when(F.col("avg").isNull() & F.col("sd").isNull(), lit(NO_DATA, NO_DATA)).otherwise(F.array(to_fixed2(F.col("avg")), to_fixed2(F.col("sd")))),
+        F.col("ahah.ahahdec"), F.col("imd.imddec"), coded("bbs.bbsdec", "bbs.bbs"), coded("eee.code", "eee.eee"),
+        F.when(F.col("std.avg").isNull() & F.col("std.sd").isNull(), lit(NO_DATA, NO_DATA)).otherwise(F.array(to_fixed2(F.col("std.avg")), to_fixed2(F.col("std.sd")))),
     )
-    missed = [F.coalesce(c, F.lit(0)) > 0 for c in (F.col("areas_missed"), F.col("oac.missed"), F.col("loac.missed"), F.col("iuc.missed"))]
-    broken = F.coalesce(F.col("off"), F.lit(False)) | F.coalesce(F.col("unplaced"), F.lit(False))
+    missed = [F.coalesce(c, F.lit(0)) > 0 for c in (F.col("area.areas_missed"), F.col("oac.missed"), F.col("loac.missed"), F.col("iuc.missed"))]
+    broken = F.coalesce(F.col("off.off"), F.lit(False)) | F.coalesce(F.col("unplaced.unplaced"), F.lit(False))
     for m in missed:
         broken = broken | m
     found = F.col("status") == "found"
@@ -172,7 +183,7 @@ def assemble(probes: DataFrame, t: dict[str, DataFrame], axis: tuple[int, ...] =
         "input", "surname", status.alias("status"),
         F.when(shown, title_case(F.col("form"))).otherwise(status).alias("display"),
         F.when(shown, F.col("years")).alias("years"),
-        F.when(shown, F.coalesce(F.col("freqs"), zeros)).alias("freqs"),
+        F.when(shown, F.coalesce(F.col("vector.freqs"), zeros)).alias("freqs"),
         F.when(shown, F.struct(*[s.alias(n) for s, n in zip(slots, SLOTS, strict=True)])).alias("stats"),
     )
 

@@ -36,20 +36,27 @@ def stamped(features: Column, time: Column | None = None, level: Column | None =
     return F.transform(features, one)
 
 
-#: Features of a mask that are broadcast, at most; a larger mask is dealt into parts of about as many.
+#: Features of a mask that are broadcast, at most; a larger mask is dealt into parts of about as many, its keys too.
 MASK_ROWS = 10_000
 
 
 def with_mask(layers: DataFrame, mask: DataFrame, key: str, years: str, year: int) -> DataFrame:
     """Layers and, for the keys whose years hold `year`, the mask's features, in one table.
 
-    The mask is counted first: it is broadcast while it is small, else its parts are joined with all keys by a shuffle.
+    Every such key gets every feature. The mask is counted first: it is broadcast while it is small; a larger one and
+    the keys are both dealt into parts of some MASK_ROWS, and each pair of parts meets in a group of its own. A column
+    of the mask with the key's name isn't read.
     """
     parts = max(1, -(-mask.count() // MASK_ROWS))
-    dealt = mask.withColumn("_part", F.pmod(F.xxhash64(*mask.columns), F.lit(parts)))
-    wanted = layers.filter(F.array_contains(years, year)).select(key).distinct()
-    keyed = wanted.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    added = keyed.join(F.broadcast(dealt) if parts == 1 else dealt, "_part").drop("_part")
+    wanted = layers.filter(F.array_contains(years, year)).select(F.col(key).alias("k")).distinct()
+    features = mask.select(F.struct(*[c for c in mask.columns if c != key]).alias("feature"))
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    groups = 1 if parts == 1 else max(1, -(-wanted.count() // MASK_ROWS))
+    keyed = wanted.withColumn("group", dealt("k", groups)).withColumn("part", all_of(parts))
+    copied = features.withColumn("part", dealt("feature", parts)).withColumn("group", all_of(groups))
+    met = keyed.join(F.broadcast(copied) if parts == 1 else copied, ["part", "group"])
+    added = met.select(F.col("k").alias(key), "feature.*")
     return layers.drop(years).unionByName(added, allowMissingColumns=True)
 
 
@@ -68,6 +75,18 @@ def track_slice(times: Column, points: Column, low: Column, high: Column) -> Col
     return F.when(F.size(times) == 0, points).when(inside, F.transform(after, lambda x: x["p"]))
 
 
+def geometry_slice(coordinates: Column, times: Column, low: Column, high: Column) -> Column:
+    """Coordinates (JSON text) of a feature in the window: of nested ones, as a line has, those that track_slice keeps;
+    others, as a point has, whole. Null where the feature doesn't show, or where the text is no JSON."""
+    items = F.try_variant_get(F.try_parse_json(coordinates), "$", "array<variant>")
+    nested = F.schema_of_variant(F.get(items, F.lit(0))).startswith("ARRAY")
+    texts = F.transform(items, lambda x: F.to_json(x))
+    kept = track_slice(times, texts, low, high)
+    whole = F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
+    part = F.concat(F.lit("["), F.array_join(kept, ","), F.lit("]"))
+    return F.when(kept.isNotNull(), F.when(nested, part).otherwise(whole))
+
+
 def with_last_points(tracks: DataFrame, points: str) -> DataFrame:
     """tracks with `last` (false), and for each that has points a row with its last one alone and `last` true."""
     whole = tracks.withColumn("last", F.lit(False))
@@ -75,18 +94,46 @@ def with_last_points(tracks: DataFrame, points: str) -> DataFrame:
     return whole.unionByName(ends)
 
 
-def overlap_join(ticks: DataFrame, spans: DataFrame, seconds: int) -> DataFrame:
-    """Pairs of ticks (low, high) and spans (first, last) that overlap, ends included.
+def dyadic_cover(low: Column, high: Column, levels: int) -> Column:
+    """[(level, node)]: the fewest stretches of 2^level whole numbers, each from node * 2^level on, that make up low to
+    high, two a level at most; none if low lies after high."""
+
+    def at(k: Column) -> Column:
+        # From the lowest level up: what is left of the range begins and ends between whole nodes of this level.
+        first, end = F.call_function("shiftright", low + F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1, k), F.call_function("shiftright", high + 1, k)
+        odd = lambda n: n.bitwiseAND(F.lit(1).cast("long")) == 1
+        node = lambda n: F.struct(k.alias("level"), n.alias("node"))
+        return F.array(F.when((first < end) & odd(first), node(first)), F.when((first < end) & odd(end), node(end - 1)))
+
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), at)))
+
+
+def overlap_join(ticks: DataFrame, spans: DataFrame, seconds: float = 1.0) -> DataFrame:
+    """Pairs of ticks (low, high) and spans (first, last) that overlap, ends included, whatever their lengths.
 
-    Both are cut into stretches of `seconds`; a pair meets in the stretch where the later of the two begins, and only
-    there, so it comes out once. Choose stretches about as long as the shorter kind.
+    Two ranges overlap if the later begin lies in the other one. A range is covered by stretches of powers of two of
+    `seconds`, at most two for each doubling of its length, and a begin looks for the one stretch of each length that
+    it lies in; so a pair meets once, and a span of decades is some dozens of rows as one of minutes is. Null ends meet
+    nothing; a span whose first time lies after its last one meets ticks that hold both, as such times are compared.
     """
-    width = seconds * 1000000
-    part = lambda c: F.floor(F.unix_micros(c) / width)
-    left = ticks.withColumn("_part", F.explode(F.sequence(part(F.col("low")), part(F.col("high")))))
-    right = spans.withColumn("_part", F.explode(F.sequence(part(F.col("first")), part(F.col("last")))))
-    meet = F.greatest(part(F.col("low")), part(F.col("first"))) == F.col("_part")
-    return left.join(right, "_part").filter(meet & (F.col("last") >= F.col("low")) & (F.col("first") <= F.col("high"))).drop("_part")
+    unit = int(seconds * 1000000)
+    place = lambda c: F.floor(F.unix_micros(c) / unit)
+    ranges = lambda df, name, a, b: df.select(F.struct("*").alias(name), F.col(a).alias(a), F.col(b).alias(b), place(F.col(a)).alias("a"), place(F.col(b)).alias("b"))
+    left, right = ranges(ticks, "tick", "low", "high"), ranges(spans, "span", "first", "last")
+
+    def met(points: DataFrame, covered: DataFrame) -> DataFrame:
+        longest = covered.agg(F.max(F.col("b") - F.col("a"))).first()[0]
+        levels = max(longest or 0, 0).bit_length()  # no longer stretch is part of a cover
+        nodes = covered.withColumn("at", F.explode(dyadic_cover(F.col("a"), F.col("b"), levels))).drop("a", "b")
+        begins = F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda k: F.struct(k.alias("level"), F.call_function("shiftright", F.col("a"), k).alias("node")))
+        seen = points.withColumn("at", F.explode(begins)).drop("a", "b")
+        flat = lambda df: df.withColumns({"level": F.col("at.level"), "node": F.col("at.node")}).drop("at")
+        return flat(seen).join(flat(nodes), ["level", "node"])
+
+    first, last, low, high = (F.col(c) for c in ("first", "last", "low", "high"))
+    held = met(left, right).filter((first <= low) & (last >= low) & (first <= high))
+    holds = met(right, left).filter((first > low) & (first <= high) & (last >= low))
+    return held.select("tick.*", "span.*").union(holds.select("tick.*", "span.*"))
 
 
 def feature_path(surname: Column, year: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import name_form, name_key, not_in
@@ -20,15 +20,15 @@ def kept_years(kde: DataFrame, excluded: list[int]) -> DataFrame:
     return kept.agg(F.transform(held, lambda x: x["year"]).alias("years"))
 
 
-def classify(probes: DataFrame, kde: DataFrame, names: DataFrame, excluded: list[int]) -> DataFrame:
-    """Prepared probes with `years` and `status`. Every side is cut down to one row a name first, so nothing fans out.
+def status_of(form: Column, years: Column, known: Column) -> Column:
+    """empty, found, db or none; a name all of whose years are excluded is db, like one that only the list of names holds."""
+    filled = F.when(F.length(form) == 0, "empty").when(F.size(years) > 0, "found").when(known, "db").otherwise("none")
+    return F.when(form.isNull(), "empty").otherwise(filled)
+
 
-    A name all of whose years are excluded is db, like one that only the list of names holds.
-    """
+def classify(probes: DataFrame, kde: DataFrame, names: DataFrame, excluded: list[int]) -> DataFrame:
+    """Prepared probes with `years` and `status`. Every side is cut down to one row a name first, so nothing fans out."""
     years = kept_years(kde, excluded)
     known = kde.select("surname").union(names.select("surname")).distinct().withColumn("known", F.lit(True))
     joined = probes.join(years, "surname", "left").join(known, "surname", "left")
-    status = (
-        F.when(F.length("form") == 0, "empty").when(F.size("years") > 0, "found").when(F.col("known"), "db").otherwise("none")
-    )
-    return joined.withColumn("status", F.when(F.col("form").isNull(), "empty").otherwise(status)).drop("known")
+    return joined.withColumn("status", status_of(F.col("form"), F.col("years"), F.col("known"))).drop("known")

@@ -1,7 +1,7 @@
 """Time axes: ranges, expressions, set algebra, seeking, cursors and windows.
 
-An axis belongs to a key (a layer, an entity), so window operators partition by that key and never sort all rows in
-one place; the one join without a key, seek_join, is dealt into stretches of time.
+An axis belongs to a key (a layer, an entity). Operators that look along it take a window by key only where no key has
+very many times; else they go by positions, which `scan` counts over stretches of an axis.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.binding import let
-from tallyloom.functions.periods import add_period, parse_instant, parse_period
+from tallyloom.functions.periods import MONTHS, add_period, parse_instant, parse_period
+from tallyloom.operators import scan
 
 
 def in_time_of_day(ts: Column, first: str, last: str) -> Column:
@@ -20,37 +21,72 @@ def in_time_of_day(ts: Column, first: str, last: str) -> Column:
     return hour.between(h, j) & ((hour != h) | (minute >= m)) & ((hour != j) | (minute <= k))
 
 
-def explode_range(start: Column, end: Column, period: Column, valid: tuple[str, str] | None = None, overflow: bool = True) -> Column:
+#: Instants of a range in one row, at most; a longer one is an error of its row.
+LONGEST = 10_000_000
+
+
+def explode_range(start: Column, end: Column, period: Column, valid: tuple[str, str] | None = None, overflow: bool = True, strict: bool = False) -> Column:
     """Array of instants from start in steps of period, before end, then always end itself.
 
     Steps add up: a month's step starts from where the last one landed. valid keeps instants within a time of day, but
-    not end. A zero period raises an error if start lies before end; null if one of the three is.
+    not end. Null if one of the three is, or where range_problem says why; with strict, such a row raises an error.
     """
     given = F.struct(start.alias("start"), end.alias("end"), period.alias("period"))
-    whole = lambda x: x["start"].isNotNull() & x["end"].isNotNull() & x["period"].isNotNull()
-    return let(given, lambda x: F.when(whole(x), _stepped(x["start"], x["end"], x["period"], valid, overflow)))
+
+    def whole(x: Column) -> Column:
+        why = _problem(x)
+        bad = F.raise_error(why).cast("array<timestamp>") if strict else F.lit(None).cast("array<timestamp>")
+        return F.when(why.isNotNull(), bad).when(_given(x), _stepped(x["start"], x["end"], x["period"], valid, overflow))
+
+    return let(given, whole)
+
+
+def range_problem(start: Column, end: Column, period: Column) -> Column:
+    """Why a range has no instants, as text; null if it has, or if a part of it is null."""
+    return let(F.struct(start.alias("start"), end.alias("end"), period.alias("period")), _problem)
+
+
+def _given(x: Column) -> Column:
+    return x["start"].isNotNull() & x["end"].isNotNull() & x["period"].isNotNull()
+
+
+def _problem(x: Column) -> Column:
+    count = _steps(x["start"], x["end"], x["period"])
+    zero = F.lit("a range can't be stepped through by a period of zero")
+    return F.when(_given(x), F.when(count.isNull(), zero).when(count > LONGEST, F.lit(f"a range has more than {LONGEST} steps")))
+
+
+def _parts(period: Column) -> tuple[Column, Column]:
+    """(months, seconds) of a period."""
+    slot = lambda i: F.get(period, F.lit(i)).cast("long")
+    return slot(0) * 12 + slot(1), sum((slot(i) * n for i, n in ((2, 604800), (3, 86400), (4, 3600), (5, 60), (6, 1))), F.lit(0).cast("long"))
+
+
+def _steps(start: Column, end: Column, period: Column) -> Column:
+    """Steps from start to end, at most so many; null for a period of zero with something to step through."""
+    months, fixed = _parts(period)
+    left = F.coalesce(F.try_subtract(F.unix_micros(end), F.unix_micros(start)), F.lit(2**63 - 1))
+    least = F.coalesce(F.try_multiply(F.try_add(F.try_multiply(months, F.lit(28 * 86400)), fixed), F.lit(1000000)), F.lit(2**63 - 1))
+    return F.when(left <= 0, F.lit(0).cast("long")).when(least > 0, F.ceil(left / least))
 
 
 def _stepped(start: Column, end: Column, period: Column, valid: tuple[str, str] | None, overflow: bool) -> Column:
-    months = F.get(period, F.lit(0)) * 12 + F.get(period, F.lit(1))
-    fixed = sum((F.get(period, F.lit(i)).cast("long") * n for i, n in ((2, 604800), (3, 86400), (4, 3600), (5, 60), (6, 1))), F.lit(0).cast("long"))
-    left = F.unix_micros(end) - F.unix_micros(start)
-    least = (months.cast("long") * 28 * 86400 + fixed) * 1000000
-    count = F.when(left <= 0, F.lit(0).cast("long")).when(least > 0, F.ceil(left / least)).otherwise(
-        F.raise_error(F.lit("a range can't be stepped through by a period of zero")).cast("long")
-    )
-    even = F.transform(F.sequence(F.lit(0).cast("long"), count), lambda i: F.timestamp_micros(F.unix_micros(start) + i * fixed * 1000000))
+    months, fixed = _parts(period)
+    count = _steps(start, end, period)
+    before_end = F.timestamp_micros(F.unix_micros(end) - 1)
+    even = F.when(count > 0, F.sequence(start, before_end, F.make_dt_interval(secs=fixed.cast("decimal(18,6)")))).otherwise(F.array().cast("array<timestamp>"))
     walked = F.aggregate(
         F.sequence(F.lit(1).cast("long"), F.greatest(count, F.lit(1))), F.array(start),
         lambda seen, _: F.concat(seen, F.array(add_period(F.element_at(seen, -1), period, overflow=overflow))),
     )
     # Up to the 28th a month's steps land on the same day of every month, so each is reached from start at once.
+    most = (MONTHS // 12 - F.year(start)) * 12
     leaps = F.transform(
-        F.sequence(F.lit(0), count.cast("int")),
-        lambda i: F.timestamp_micros(F.unix_micros(F.add_months(start.cast("date"), months * i).cast("timestamp")) + F.unix_micros(start) - F.unix_micros(F.date_trunc("DAY", start))),
+        F.sequence(F.lit(0).cast("long"), count),
+        lambda i: F.timestamp_micros(F.unix_micros(F.add_months(start.cast("date"), F.least(months * i, most).cast("int")).cast("timestamp")) + F.unix_micros(start) - F.unix_micros(F.date_trunc("DAY", start))),
     )
     monthly = F.when((fixed == 0) & (F.dayofmonth(start) <= 28), leaps).otherwise(walked)
-    steps = F.filter(F.when(months > 0, monthly).otherwise(even), lambda t: t < end)
+    steps = F.when(months > 0, F.filter(monthly, lambda t: t < end)).otherwise(even)
     if valid:
         steps = F.filter(steps, lambda t: in_time_of_day(t, *valid))
     return F.concat(steps, F.array(end))
@@ -73,15 +109,16 @@ DAILY = "P1D"
 
 
 def parse_range(text: Column) -> Column:
-    """Instants of `start/end/period` or `start/end`, which is in steps of a day; null if a part can't be read."""
+    """Instants of `start/end/period` or `start/end`, which is in steps of a day; null if a part can't be read, or if the
+    period is zero or makes too many steps."""
     cut = F.split(text, "/")
     start, end = parse_instant(F.get(cut, F.lit(0))), parse_instant(F.get(cut, F.lit(1)))
     return explode_range(start, end, parse_period(F.coalesce(F.get(cut, F.lit(2)), F.lit(DAILY)), carry=True))
 
 
 def parse_times(text: Column) -> Column:
-    """Sorted instants of a list of dates and start/end/period ranges; what is neither is left out, ranges that can't be
-    read too, repeats stay."""
+    """Sorted instants of a list of dates and start/end/period ranges; what is neither is left out, ranges that parse_range
+    has null for too, repeats stay."""
 
     def one(part: Column) -> Column:
         single = F.array_compact(F.array(parse_instant(part)))
@@ -138,46 +175,32 @@ def seek(axis: Column, time: Column) -> Column:
     return F.when(time.isNotNull(), F.coalesce(F.try_element_at(found, F.lit(-1)), F.get(axis, F.lit(0))))
 
 
-def seek_join(rows: DataFrame, time: str, axis: DataFrame, axis_time: str, seconds: int = 86400) -> DataFrame:
+def seek_join(rows: DataFrame, time: str, axis: DataFrame, axis_time: str, key: str | None = None) -> DataFrame:
     """rows with `sought`, the last axis time that isn't after theirs, or the first of all. Null times seek nothing.
 
-    Both sides are dealt by stretches of `seconds`; what a stretch starts with comes from a table of the stretches'
-    last times, which grows with the span of time only. Null times are set aside first.
+    With key, each row seeks on its key's own axis, and one without an axis seeks nothing.
     """
-    untimed = rows.filter(F.col(time).isNull()).withColumn("sought", F.lit(None).cast("timestamp"))
-    whole, rows = rows, rows.filter(F.col(time).isNotNull())
-    part = lambda c: F.floor(F.unix_micros(c) / (seconds * 1000000))
-    marks = axis.select(F.col(axis_time).alias("_t")).filter("_t is not null").distinct()
-    probes = rows.withColumn("_t", F.col(time)).withColumn("_mark", F.lit(None).cast("timestamp"))
-    both = probes.unionByName(marks.withColumn("_mark", F.col("_t")), allowMissingColumns=True).withColumn("_part", part(F.col("_t")))
-    within = Window.partitionBy("_part").orderBy("_t", F.col("_mark").isNull())
-    filled = both.withColumn("_sought", F.last("_mark", True).over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = marks.groupBy(part(F.col("_t")).alias("_p")).agg(F.max("_t").alias("_last"))
-    parts = both.select(F.col("_part").alias("_p")).filter("_p is not null").distinct().join(ends, "_p", "left")
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("_p", F.max("_last").over(before).alias("_start"))
-    first = marks.agg(F.min("_t").alias("_first"))
-    out = filled.filter(F.col("_mark").isNull()).join(starts, F.col("_part") == F.col("_p"), "left").join(F.broadcast(first))
-    found = out.withColumn("sought", F.coalesce("_sought", "_start", "_first")).select(*whole.columns, "sought")
-    return found.unionByName(untimed)
+    return scan.sought(rows, time, axis, axis_time, key)
 
 
 def _by(key: str, time: str):
     return Window.partitionBy(key).orderBy(time)
 
 
+def _wide(axis: DataFrame, key: str, time: str) -> bool:
+    """Has a key so many times that no task should hold them all?"""
+    return scan.cuts(scan.packed(axis, key, time)) is not None
+
+
 def positions(axis: DataFrame, key: str, time: str) -> DataFrame:
     """axis with `index`, counted from 0, and `last`, the greatest index of its key."""
-    return axis.withColumns({
-        "index": F.row_number().over(_by(key, time)) - 1,
-        "last": (F.count("*").over(Window.partitionBy(key)) - 1).cast("int"),
-    })
+    return scan.positions(axis, key, time)
 
 
 def cursor(axis: DataFrame, key: str, time: str, step: int = 1, loop: bool = False, lower: int = 0, upper: int | None = None) -> DataFrame:
     """axis with `index`, its place, and `moved`: the time that a cursor on this one goes to. Beyond a limit it stops
     there, or with loop goes to the opposite limit."""
-    if lower == 0 and upper is None:  # the whole axis: a look along it
+    if lower == 0 and upper is None and not _wide(axis, key, time):  # the whole axis: a look along it
         whole = _by(key, time).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         far, near = (F.last, F.first) if step > 0 else (F.first, F.last)
         past = (near if loop else far)(time).over(whole)
@@ -187,9 +210,9 @@ def cursor(axis: DataFrame, key: str, time: str, step: int = 1, loop: bool = Fal
     high = F.least(F.col("last"), F.lit(upper)) if upper is not None else F.col("last")
     to = F.col("index") + step
     to = F.when(to > high, F.lit(lower) if loop else high).when(to < lower, high if loop else F.lit(lower)).otherwise(to)
-    moved = placed.withColumn("to", F.greatest(F.lit(0), F.least(to, F.col("last"))))
-    target = placed.select(key, F.col("index").alias("to"), F.col(time).alias("moved"))
-    return moved.join(target, [key, "to"]).select(key, time, "index", "moved")
+    moved = placed.select(key, time, "index", F.greatest(F.lit(0), F.least(to, F.col("last"))).alias("_to"))
+    target = placed.select(F.col(key).alias("_k"), F.col("index").alias("_i"), F.col(time).alias("moved"))
+    return moved.join(target, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_to") == F.col("_i"))).select(key, time, "index", "moved")
 
 
 def _ahead(step: int, count: int, loop: bool, lower: int, upper: int | None, halt: bool) -> Column:
@@ -221,7 +244,7 @@ def lookahead(
 ) -> DataFrame:
     """axis with `ahead`: up to `count` times that a cursor moving by `step` comes to. Without loop they end at a limit,
     with it where they come back to the start. (key, time) must be unique unless the plain window does."""
-    if step == 1 and not loop and lower == 0 and upper is None:
+    if step == 1 and not loop and lower == 0 and upper is None and not _wide(axis, key, time):
         return axis.withColumn("ahead", F.collect_list(time).over(_by(key, time).rowsBetween(1, count)))
     spots = _visited(axis, key, time, _ahead(step, count, loop, lower, upper, halt=True))
     placed = positions(axis, key, time)
@@ -234,7 +257,7 @@ def ready_ahead(
     axis: DataFrame, key: str, time: str, ready: str, count: int, step: int = 1, loop: bool = False, lower: int = 0, upper: int | None = None
 ) -> DataFrame:
     """axis with `ready_ahead`: how many of the next `count` are ready; all of them if a limit ends them before."""
-    if step == 1 and not loop and lower == 0 and upper is None:
+    if step == 1 and not loop and lower == 0 and upper is None and not _wide(axis, key, time):
         frame = _by(key, time).rowsBetween(1, count)
         seen = F.count("*").over(frame)
         n = F.coalesce(F.sum(F.col(ready).cast("int")).over(frame), F.lit(0))
@@ -259,6 +282,18 @@ def limited(axis: DataFrame, key: str, time: str, low: Column, high: Column) ->
 
 
 def trailing_count(rows: DataFrame, key: str, time: str, seconds: int) -> DataFrame:
-    """rows with `trailing`: rows of the key from `seconds` before, up to this one's time."""
+    """rows with `trailing`: rows of the key from `seconds` before, up to this one's time. Null times have null."""
+    if _wide(rows, key, time):
+        return scan.trailing(rows, key, time, F.timestamp_micros(F.unix_micros(time) - seconds * 1000000))
     frame = Window.partitionBy(key).orderBy(F.unix_micros(time)).rangeBetween(-seconds * 1000000, 0)
-    return rows.withColumn("trailing", F.count("*").over(frame))
+    return rows.withColumn("trailing", F.when(F.col(time).isNotNull(), F.count("*").over(frame)))
+
+
+def trailing_period(rows: DataFrame, key: str, time: str, period: Column, overflow: bool = True, out: str = "trailing") -> DataFrame:
+    """rows with `trailing`: rows of the key from a calendar period before, up to this one's time, ends included.
+
+    period (as parse_period makes it) may differ from row to row; where it is null the window has no lower end. A month
+    before the 31st runs over as add_period says. A period that leads beyond what a timestamp can hold has no lower end
+    either. Null times have null.
+    """
+    return scan.trailing(rows, key, time, add_period(F.col(time).cast("timestamp"), period, -1, overflow), out)

@@ -37,9 +37,9 @@ def frequencies(spark: SparkSession, sf: str) -> DataFrame:
     return years.groupBy("surname", "year").agg(F.count("*").cast("int").alias("freq"))
 
 
-def thresholded(freq: DataFrame) -> DataFrame:
-    """Rows that reach the 0.95 quantile of all counts."""
-    limit = freq.agg(F.expr("percentile_disc(0.95) within group (order by freq)").alias("least"))
+def thresholded(freq: DataFrame, share: float = 0.95) -> DataFrame:
+    """Rows that reach a quantile of all counts."""
+    limit = freq.agg(F.expr(f"percentile_disc({share}) within group (order by freq)").alias("least"))
     return freq.join(F.broadcast(limit), F.col("freq") >= F.col("least")).drop("least")
 
 
@@ -123,3 +123,20 @@ def tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         "lookup_loac21": loac_names,
         "lookup_loac21_desc": loac_texts,
     }
+
+
+def gappy(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The star with rows left out, by the lengths of the names, so that every default and every failure comes up: years
+    off the axis, places without district, a lookup that misses, names without forenames or other facts."""
+    size = F.length("surname")
+    without = {
+        "names_fns_cont": size % 5 == 2, "names_loc_cont": size % 6 == 3, "names_oac21": size % 6 == 5, "names_loac21": size % 4 == 3, "names_ahah22": size % 3 == 0,
+        "names_imd": size % 3 == 1, "names_imd_std": size % 4 == 0, "names_bbs": size % 4 == 1, "names_eee": size % 4 == 2,
+    }
+    off = t["names_all"].filter(size % 7 == 0).select("surname", F.lit(1900).alias("year"), F.lit(1).alias("freq"))
+    places = t["names_loc_hist"].filter(size % 6 != 4).withColumn("regcnty", F.when(size % 7 != 1, F.col("regcnty")))
+    return t | {n: t[n].filter(~c) for n, c in without.items()} | {
+        "names_kde": thresholded(t["names_frq"], 0.5), "names_frq": t["names_frq"].filter(size % 9 != 0).unionByName(off), "names_loc_hist": places,
+        "names_fns_hist": t["names_fns_hist"].filter((size % 5 != 2) & ((size % 5 != 3) | (F.col("sex") == "M"))),
+        "lookup_iuc": t["lookup_iuc"].filter(F.col("iuccd").cast("int") % 10 != 3),
+    }

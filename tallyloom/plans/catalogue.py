@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import periods, text
-from tallyloom.operators import dossier, layers, membership, ranking, timeline
+from tallyloom.operators import codes, dossier, layers, membership, ranking, timeline
 from tallyloom.plans import analogue
-from tallyloom.sources import schemas
+from tallyloom.sources import folders, schemas, tables
 from tallyloom.sources.tables import table
 from tallyloom.streaming import snapshots
 
@@ -252,6 +252,38 @@ def dossier_json(spark: SparkSession, sf: str) -> DataFrame:
     return dossier.documents(rows)
 
 
+def _or(value: str, default: str) -> str:
+    return f"coalesce(to_json({value})::VARCHAR, '{default}')"
+
+
+_BOTH, _FIVE = '["No data","No data"]', '["No data","No data","","","99"]'
+#: As DOSSIER, with left joins, defaults and failures, over the star with gaps.
+GAPS = DOSSIER.replace("quantile_disc(freq, 0.95)", "quantile_disc(freq, 0.5)").split("slots AS (")[0] + f"""hist AS (SELECT surname, CASE WHEN length(surname) % 5 = 3 THEN [] ELSE f END AS f, m
+  FROM {_sexed('p_brand', 'l_returnflag', 'R', 'A')} WHERE length(surname) % 5 <> 2 AND NOT (length(surname) % 5 = 3 AND len(m) = 0)),
+cont AS (SELECT * FROM {_sexed('p_type', 'l_linestatus', 'F', 'O')} WHERE length(surname) % 5 <> 2), L AS (SELECT DISTINCT surname, length(surname) AS n FROM sold),
+slots AS (SELECT L.surname, i.s % 10 = 3 AS missed, concat_ws(',', {_or('h.f', '["No forenames found"]')}, {_or('h.m', '["No forenames found"]')}, {_or('c.f', '["No forenames found"]')}, {_or('c.m', '["No forenames found"]')},
+  {_or('p.x', f'[{_BOTH}]')}, {_or('a.x', f'[{_BOTH}]')},
+  CASE WHEN o.surname IS NULL THEN '{_FIVE}' ELSE to_json(['Super ' || o_orderpriority[1], o_orderpriority, 'all of ' || o_orderpriority[1], 'about ' || o_orderpriority, o_orderpriority[1] || lower(o_orderpriority[3])])::VARCHAR END,
+  CASE WHEN g.surname IS NULL THEN '{_FIVE}' ELSE to_json(['Super ' || c_mktsegment[1], c_mktsegment, 'all of ' || c_mktsegment[1], 'about ' || c_mktsegment, c_mktsegment[1] || '1'])::VARCHAR END,
+  to_json([i.s::VARCHAR, i.t, 'size ' || i.s])::VARCHAR, CASE WHEN n % 3 = 0 THEN '["No data"]' ELSE ah.l_linenumber::VARCHAR END, CASE WHEN n % 3 = 1 THEN '["No data"]' ELSE im.decile::VARCHAR END,
+  CASE WHEN n % 4 = 1 THEN '["99","No data"]' ELSE to_json([ceil(b.s / 5.0)::INT::VARCHAR, b.b])::VARCHAR END, CASE WHEN n % 4 = 2 THEN '["99","No data"]' ELSE to_json([(n % 9 + 1)::VARCHAR, 'length ' || n])::VARCHAR END,
+  CASE WHEN n % 4 = 0 THEN '{_BOTH}' ELSE to_json(std.x)::VARCHAR END) AS stats
+  FROM L LEFT JOIN hist h USING (surname) LEFT JOIN cont c USING (surname) LEFT JOIN parishes p ON p.surname = L.surname AND n % 6 <> 4 LEFT JOIN areas a ON a.surname = L.surname AND n % 6 <> 3
+  LEFT JOIN {_modal('prio', 'o_orderpriority')} o ON o.surname = L.surname AND n % 6 <> 5 LEFT JOIN {_modal('seg', 'c_mktsegment')} g ON g.surname = L.surname AND n % 4 <> 3 LEFT JOIN own ON own.surname = L.surname
+  LEFT JOIN {_modal('sold', 'l_linenumber')} ah ON ah.surname = L.surname LEFT JOIN {_modal('sized', 'decile')} im ON im.surname = L.surname LEFT JOIN std ON std.surname = L.surname),
+settled AS (SELECT *, CASE WHEN status = 'found' AND (length(surname) % 7 = 0 OR (length(surname) % 7 = 1 AND length(surname) % 6 <> 4) OR missed) THEN 'error' ELSE status END AS state FROM classed LEFT JOIN slots USING (surname))
+SELECT input, CASE WHEN state <> 'found' THEN '{{"surname":"' || state || '"}}' ELSE '{{"surname":"' || {TITLE.format('form')} || '","years":[' || years || '],"freqs":[' || CASE WHEN length(surname) % 9 = 0 THEN '0,0,0,0,0,0,0,0' ELSE freqs END
+  || '],"stats":[' || stats || ']}}' END AS document FROM settled LEFT JOIN vectors USING (surname)"""
+
+
+@query(GAPS)
+def dossier_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with every default there is, and names whose answer fails."""
+    probes = membership.prepared(analogue.probes(spark, sf))
+    rows = dossier.assemble(probes, analogue.gappy(analogue.tables(spark, sf)), analogue.AXIS, analogue.EXCLUDED)
+    return dossier.documents(rows)
+
+
 @query("SELECT o_orderkey, format('{:,}', (o_totalprice * 100)::BIGINT) AS shown FROM orders")
 def thousands(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", text.thousands(F.round(F.col("o_totalprice") * 100).cast("long")).alias("shown"))
@@ -395,11 +427,23 @@ def period_seconds(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH r AS (SELECT l_orderkey, l_linenumber, {SLOTS_SQL} AS p FROM lineitem) SELECT l_orderkey, l_linenumber, concat_ws(' ', """ + ", ".join(
     f"CASE WHEN p[{i}] = 1 THEN '1 {w}' WHEN p[{i}] > 1 THEN p[{i}] || ' {w}s' END" for i, w in enumerate(periods.WORDS, 1)
-) + ") AS words, true AS valid FROM r")
+) + """) AS words FROM r""")
 def period_text(spark: SparkSession, sf: str) -> DataFrame:
     rows = _periods(spark, sf)
-    said = F.col("said")
-    return rows.select("l_orderkey", "l_linenumber", periods.period_words(periods.parse_period(said)).alias("words"), periods.is_period(said).alias("valid"))
+    return rows.select("l_orderkey", "l_linenumber", periods.period_words(periods.parse_period(F.col("said"))).alias("words"))
+
+
+#: A row's number made into texts of which some are periods, some nearly.
+ODD_PERIODS = ("P{n}D", "P{n}", "{n}D", "PT{n}M", "P{n}M{n}Y", "P{n}DT", "p{n}w", "P-{n}D", "PT{n}D", "P{n}.5D", "", "T{n}H")
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, replace(list_value({", ".join(f"'{x}'" for x in ODD_PERIODS)})[1 + (l_orderkey + l_linenumber) % {len(ODD_PERIODS)}], '{{n}}', l_partkey::VARCHAR) AS said,
+  list_value(true, false, false, true, false, true, true, false, false, false, false, false)[1 + (l_orderkey + l_linenumber) % {len(ODD_PERIODS)}] AS valid FROM lineitem""")
+def period_valid(spark: SparkSession, sf: str) -> DataFrame:
+    """Which of a row's texts are periods."""
+    shapes = F.get(F.array(*[F.lit(x) for x in ODD_PERIODS]), ((F.col("l_orderkey") + F.col("l_linenumber")) % len(ODD_PERIODS)).cast("int"))
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.replace(shapes, F.lit("{n}"), F.col("l_partkey").cast("string")).alias("said"))
+    return rows.withColumn("valid", periods.is_period(F.col("said")))
 
 
 def _month_moved(months: str, days: int, overflow: bool) -> Query:
@@ -430,7 +474,7 @@ def year_instants(spark: SparkSession, sf: str) -> DataFrame:
   SELECT event_id, strftime(coalesce(t, (SELECT min(t) FROM axis)), '%Y-%m-%d %H:%M:%S') AS sought FROM e ASOF LEFT JOIN axis ON e.ts >= axis.t""")
 def asof_seek(spark: SparkSession, sf: str) -> DataFrame:
     rows = events(spark, sf).select("event_id", "ts", "event_type")
-    found = timeline.seek_join(rows, "ts", rows.filter("event_type = 'purchase'"), "ts", 3600)
+    found = timeline.seek_join(rows, "ts", rows.filter("event_type = 'purchase'"), "ts")
     return found.select("event_id", shown("sought").alias("sought"))
 
 
@@ -487,6 +531,48 @@ def trailing_window(spark: SparkSession, sf: str) -> DataFrame:
     return timeline.trailing_count(events(spark, sf), "user_id", "ts", 2 * 86400).select("event_id", "trailing")
 
 
+@query("""WITH e AS (SELECT event_id, user_id, event_type, date_trunc('second', ts) AS ts FROM events), axis AS (SELECT DISTINCT user_id, ts AS t FROM e WHERE event_type = 'purchase')
+  SELECT event_id, strftime(coalesce(t, (SELECT min(t) FROM axis a WHERE a.user_id = e.user_id)), '%Y-%m-%d %H:%M:%S') AS sought FROM e ASOF LEFT JOIN axis ON e.user_id = axis.user_id AND e.ts >= axis.t""")
+def asof_seek_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Each event seeks on the axis of its own user's purchases, which may be empty."""
+    rows = events(spark, sf).select("event_id", "user_id", "ts", "event_type")
+    found = timeline.seek_join(rows, "ts", rows.filter("event_type = 'purchase'"), "ts", key="user_id")
+    return found.select("event_id", shown("sought").alias("sought"))
+
+
+@query(AXIS + "SELECT user_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS t, index, last FROM placed")
+def axis_positions(spark: SparkSession, sf: str) -> DataFrame:
+    return timeline.positions(user_axis(spark, sf), "user_id", "t").select("user_id", shown("t").alias("t"), "index", "last")
+
+
+#: A month before, one before the 31st of a short month running over.
+MONTH_BEFORE = "date_trunc('month', l_shipdate) - INTERVAL 1 MONTH + to_days(day(l_shipdate)::INT - 1) + (l_shipdate - date_trunc('day', l_shipdate))"
+
+
+def _shipped(low: str) -> str:
+    return f"""WITH l AS (SELECT row_number() OVER () AS rid, l_suppkey, l_orderkey, l_linenumber, l_shipdate AS t, {low} AS low FROM lineitem)
+  SELECT a.l_orderkey, a.l_linenumber, count(b.t) AS trailing FROM l a JOIN l b ON a.l_suppkey = b.l_suppkey AND b.t <= a.t AND (a.low IS NULL OR b.t >= a.low) GROUP BY a.rid, a.l_orderkey, a.l_linenumber"""
+
+
+def _shipments(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp").alias("t"))
+
+
+@query(_shipped(MONTH_BEFORE))
+def trailing_month(spark: SparkSession, sf: str) -> DataFrame:
+    """Shipments of a supplier within a calendar month up to each one."""
+    found = timeline.trailing_period(_shipments(spark, sf), "l_suppkey", "t", periods.parse_period(F.lit("P1M")))
+    return found.select("l_orderkey", "l_linenumber", "trailing")
+
+
+@query(_shipped(f"CASE l_linenumber % 4 WHEN 0 THEN l_shipdate - INTERVAL 1 YEAR WHEN 1 THEN l_shipdate - INTERVAL 36 HOUR WHEN 2 THEN {MONTH_BEFORE} END").replace("INTERVAL 1 YEAR", "INTERVAL 365 DAY"))
+def trailing_periods_and_open(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows that differ from row to row: 365 days, 36 hours, a month, or no lower end."""
+    said = F.get(F.array(F.lit("P365D"), F.lit("PT36H"), F.lit("P1M"), F.lit(None).cast("string")), F.col("l_linenumber") % 4)
+    found = timeline.trailing_period(_shipments(spark, sf), "l_suppkey", "t", periods.parse_period(said))
+    return found.select("l_orderkey", "l_linenumber", "trailing")
+
+
 STEPPED = AXIS + """, one AS (SELECT *, CASE WHEN index + 2 > last THEN 0 ELSE index + 2 END AS a FROM placed), two AS (SELECT *, CASE WHEN a + 2 > last THEN 0 ELSE a + 2 END AS b FROM one),
   three AS (SELECT *, CASE WHEN b + 2 > last THEN 0 ELSE b + 2 END AS c FROM two), times AS (SELECT user_id, list(t ORDER BY t) AS ts FROM axis GROUP BY user_id) """
 
@@ -563,6 +649,17 @@ def times_with_unreadable_ranges(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", instants(timeline.parse_times(said)).alias("times"))
 
 
+@query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 3 WHEN 3 THEN 2 WHEN 5 THEN 1 END AS n, CASE o_orderkey % 6 WHEN 1 THEN 'a range can''t be stepped through by a period of zero'
+  WHEN 2 THEN 'a range has more than 10000000 steps' END AS problem FROM orders""")
+def range_problems(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges of which some have a period of zero, too many steps, a number beyond all bounds, or nothing to step through."""
+    kinds = ("2000-01-01/2000-01-03/P1D", "2000-01-01/2000-01-03/P0D", "1700-01-01/2500-01-01/PT1S", "2000-01-01/2000-01-03/P2147483647DT24H", "2000-01-01/junk/P1D", "2000-01-01/2000-01-01/P0D")
+    said = F.split(F.get(F.array(*[F.lit(k) for k in kinds]), (F.col("o_orderkey") % 6).cast("int")), "/")
+    start, end = (periods.parse_instant(F.get(said, F.lit(i))) for i in (0, 1))
+    period = periods.parse_period(F.get(said, F.lit(2)), carry=True)
+    return table(spark, sf, "orders").select("o_orderkey", F.size(timeline.explode_range(start, end, period)).alias("n"), timeline.range_problem(start, end, period).alias("problem"))
+
+
 @query("""WITH ticks AS (SELECT user_id, ts, unnest([date_trunc('day', ts) + INTERVAL 1 DAY, date_trunc('day', ts) + INTERVAL 2 DAY]) AS tick FROM events)
   SELECT strftime(tick, '%Y-%m-%d %H:%M:%S') AS tick, user_id, count(*) AS n, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last FROM ticks GROUP BY ALL""")
 def ticking_window(spark: SparkSession, sf: str) -> DataFrame:
@@ -591,7 +688,21 @@ def overlap_join(spark: SparkSession, sf: str) -> DataFrame:
     month = table(spark, sf, "orders").select(F.date_trunc("MONTH", F.col("o_orderdate").cast("timestamp")).alias("high")).distinct()
     ticks = month.withColumn("low", F.timestamp_micros(F.unix_micros("high") - 7 * 86400 * 1000000))
     spans = order_spans(spark, sf).select("o_orderkey", F.get("times", F.lit(0)).alias("first"), F.element_at("times", -1).alias("last"))
-    return layers.overlap_join(ticks, spans, 30 * 86400).select(F.date_format("high", "yyyy-MM-dd").alias("tick"), "o_orderkey")
+    return layers.overlap_join(ticks, spans).select(F.date_format("high", "yyyy-MM-dd").alias("tick"), "o_orderkey")
+
+
+@query(TRACKS + """, ticks AS (SELECT t - INTERVAL 7 DAY AS low, t AS high FROM (SELECT DISTINCT date_trunc('month', o_orderdate) AS t FROM orders)),
+  spans AS (SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN ts[1] - INTERVAL 9000 DAY WHEN 1 THEN ts[-1] ELSE ts[1] END AS a, CASE o_orderkey % 7 WHEN 2 THEN ts[1] + INTERVAL 40 SECOND ELSE ts[-1] END AS b FROM tracks)
+  SELECT strftime(high, '%Y-%m-%d') AS tick, o_orderkey FROM ticks JOIN spans ON b >= low AND a <= high""")
+def overlap_join_of_any_length(spark: SparkSession, sf: str) -> DataFrame:
+    """Spans of no length, of seconds, of months and of decades against windows of a week."""
+    month = table(spark, sf, "orders").select(F.date_trunc("MONTH", F.col("o_orderdate").cast("timestamp")).alias("high")).distinct()
+    ticks = month.withColumn("low", F.timestamp_micros(F.unix_micros("high") - 7 * 86400 * 1000000))
+    a, b, kind = F.get("times", F.lit(0)), F.element_at("times", -1), F.col("o_orderkey") % 7
+    moved = lambda t, seconds: F.timestamp_micros(F.unix_micros(t) + seconds * 1000000)
+    first = F.when(kind == 0, moved(a, -9000 * 86400)).when(kind == 1, b).otherwise(a)
+    spans = order_spans(spark, sf).select("o_orderkey", first.alias("first"), F.when(kind == 2, moved(a, 40)).otherwise(b).alias("last"))
+    return layers.overlap_join(ticks, spans).select(F.date_format("high", "yyyy-MM-dd").alias("tick"), "o_orderkey")
 
 
 @query(TRACKS + f"""SELECT o_orderkey, array_to_string(list_transform(list_filter(list_zip(ts, ps), lambda x: x[1] <= TIMESTAMP '{HIGH}' AND (x[1] > TIMESTAMP '{LOW}' OR ts[-1] <= TIMESTAMP '{LOW}')), lambda x: x[2]), ',') AS points
@@ -602,6 +713,18 @@ def track_slice(spark: SparkSession, sf: str) -> DataFrame:
     return order_spans(spark, sf).select("o_orderkey", joined(cut).alias("points")).filter("points is not null")
 
 
+@query(TRACKS + f"""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '[' || ps[1] || ',' || len(ps) || ']' ELSE '[' || array_to_string(list_transform(list_filter(list_zip(ts, ps, range(len(ps))),
+  lambda x: x[1] <= TIMESTAMP '{HIGH}' AND (x[1] > TIMESTAMP '{LOW}' OR ts[-1] <= TIMESTAMP '{LOW}')), lambda x: '[' || x[2] || ',' || x[3] || ']'), ',') || ']' END AS coordinates
+  FROM tracks WHERE NOT (ts[1] > TIMESTAMP '{HIGH}' OR ts[-1] < TIMESTAMP '{LOW}')""")
+def geometry_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """Coordinates as JSON text: lines lose the points outside the window, points stay as they are."""
+    line = F.transform("points", lambda p, i: F.concat(F.lit("["), p.cast("int").cast("string"), F.lit(", "), i.cast("string"), F.lit("]")))
+    point = F.concat(F.lit("["), F.get("points", F.lit(0)).cast("int").cast("string"), F.lit(","), F.size("points").cast("string"), F.lit("]"))
+    text_ = F.when(F.col("o_orderkey") % 3 == 0, point).otherwise(F.concat(F.lit("[ "), joined(line), F.lit("]")))
+    cut = layers.geometry_slice(text_, F.col("times"), *_window())
+    return order_spans(spark, sf).select("o_orderkey", cut.alias("coordinates")).filter("coordinates is not null")
+
+
 @query(TRACKS + "SELECT o_orderkey, ps[-1] AS point, strftime(ts[-1], '%Y-%m-%d') AS at FROM tracks")
 def track_last_point(spark: SparkSession, sf: str) -> DataFrame:
     last = lambda c: F.element_at(c, -1)
@@ -641,10 +764,11 @@ def stamped_features(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("user_id", joined(pairs).alias("features"))
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 'No data' WHEN 1 THEN 'NaN' ELSE printf('%.2f', l_quantity / 8 + 1e-12) END AS said FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 'No data' WHEN 1 THEN 'NaN' ELSE printf('%.2f', floor(l_quantity * 12.5 + 0.5) / 100) END AS said FROM lineitem")
 def number_or_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Eighths, of which every second one lies half-way between two numbers of two decimals."""
     kind = F.col("l_linenumber") % 4
-    raw = F.when(kind == 0, "No data").when(kind == 1, "NaN").otherwise((F.col("l_quantity").cast("double") / 8 + 1e-12).cast("string"))
+    raw = F.when(kind == 0, "No data").when(kind == 1, "NaN").otherwise((F.col("l_quantity").cast("double") / 8).cast("string"))
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.number_or_text(raw).alias("said"))
 
 
@@ -698,6 +822,72 @@ def feature_times(spark: SparkSession, sf: str) -> DataFrame:
     return order_spans(spark, sf).select(F.explode("times").alias("t")).distinct().select(F.date_format("t", "yyyy-MM-dd").alias("t"))
 
 
+MASKED = 1997
+LAYER_STAR = STAR.replace("quantile_disc(freq, 0.95)", "quantile_disc(freq, 0.5)")
+
+
+def _written_layers(spark: SparkSession, sf: str) -> str:
+    """Layer files of every name and year that is sold, some lines of them broken; as many features as the count's last
+    digit says."""
+    freq = analogue.frequencies(spark, sf)
+    level = lambda i: F.concat(F.lit('{"type":"Feature","properties":{"level":'), (i % 4).cast("string"), F.lit('},"geometry":{"type":"Polygon","coordinates":"[]"}}'))
+    features = joined(F.transform(F.sequence(F.lit(1), F.col("freq") % 10 + 1), level))
+    line = F.concat(F.lit('{"surname":"'), "surname", F.lit('","type":"FeatureCollection","features":['), features, F.when(F.col("freq") % 11 == 0, "").otherwise("]}"))
+    folder = folders.fresh(spark)
+    freq.select(line.alias("value"), F.substring("surname", 1, 2).alias("prefix"), "year").repartition("prefix", "year").write.partitionBy("prefix", "year").text(folder)
+    return folder
+
+
+@query(LAYER_STAR + f""", wanted AS (SELECT c.surname, k.year, f.freq FROM (SELECT DISTINCT surname FROM classed WHERE status = 'found') c JOIN kde k ON c.surname = k.surname JOIN frq f ON f.surname = k.surname AND f.year = k.year
+    WHERE NOT coalesce(k.year IN (0, 1996, 1998), false)),
+  own AS (SELECT surname, year, unnest(range(1, freq % 10 + 2)) % 4 AS level FROM wanted WHERE freq % 11 <> 0)
+  SELECT surname, epoch_ms(make_timestamp(year, 1, 1, 0, 0, 0)) AS time, level::INT AS level, count(*) AS features FROM own GROUP BY ALL
+  UNION ALL SELECT surname, epoch_ms(make_timestamp({MASKED}, 1, 1, 0, 0, 0)), 9, (SELECT count(*) FROM nation) FROM wanted WHERE year = {MASKED}""")
+def layer_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The layers of every found name's kept years from files, with their years' times, and the mask of one year from a
+    file of its own."""
+    freq = analogue.frequencies(spark, sf)
+    names = table(spark, sf, "part").select(text.name_key(text.name_form(F.col("p_name"))).alias("surname")).distinct()
+    found = membership.classify(membership.prepared(names, "surname"), analogue.thresholded(freq, 0.5), names, list(analogue.EXCLUDED)).filter("status = 'found'")
+    wanted = found.select("surname", F.explode("years").alias("year"))
+    read = tables.read_wanted_layers(spark, _written_layers(spark, sf), wanted)
+    stamped = read.select("surname", F.explode(layers.stamped(F.col("features"), periods.year_millis(F.col("year")))).alias("feature"))
+    mask = folders.fresh(spark)
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"level":9},"geometry":{"type":"Point","coordinates":"['), F.col("n_nationkey").cast("string"), F.lit(']"}}'))
+    listed = F.array_join(F.collect_list(feature), ",\n")
+    table(spark, sf, "nation").agg(F.concat(F.lit('{"type":"FeatureCollection",\n"features":['), listed, F.lit("]}")).alias("value")).coalesce(1).write.text(mask)
+    scene = layers.stamped(F.array("feature"), periods.year_millis(F.lit(MASKED)))
+    masks = tables.read_mask(spark, mask).select(F.get(scene, F.lit(0)).alias("feature"))
+    years = wanted.groupBy("surname").agg(F.collect_list("year").alias("years"))
+    both = stamped.unionByName(layers.with_mask(years, masks, "surname", "years", MASKED).filter("feature is not null"))
+    return both.groupBy("surname", F.col("feature.properties.time").alias("time"), F.col("feature.properties.level").alias("level")).agg(F.count("*").alias("features"))
+
+
+@query(STAR + "SELECT surname[1:2] AS prefix, year, count(*) AS broken FROM frq WHERE freq % 11 = 0 GROUP BY ALL")
+def broken_layer_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of layer files that are no layer, by folder."""
+    return tables.broken_layers(spark, _written_layers(spark, sf)).groupBy("prefix", "year").agg(F.count("*").alias("broken"))
+
+
+_COLOURS = ", ".join(f"('{s}', '{c}', '{x}')" for s, cs in codes.COLOURS[codes.EDITION].items() for c, x in cs.items())
+_SCHEMES = tuple(codes.COLOURS[codes.EDITION])
+
+
+@query(f"""WITH known(scheme, code, colour) AS (VALUES {_COLOURS}), asked AS (SELECT l_orderkey, l_linenumber, list_value({", ".join(f"'{x}'" for x in _SCHEMES)})[1 + l_orderkey % {len(_SCHEMES)}] AS scheme,
+    CASE WHEN l_partkey % 13 = 0 THEN '99' WHEN l_orderkey % {len(_SCHEMES)} = 0 THEN (l_partkey % 10)::VARCHAR || chr((97 + l_suppkey % 4)::INT) WHEN l_orderkey % {len(_SCHEMES)} = 1 THEN chr((65 + l_partkey % 9)::INT) || (l_suppkey % 4)
+    WHEN l_partkey % 17 <> 0 THEN (l_partkey % 12)::VARCHAR END AS code FROM lineitem)
+  SELECT a.l_orderkey, a.l_linenumber, coalesce(k.colour, g.colour) AS colour, CASE WHEN k.colour IS NOT NULL THEN 'code' WHEN g.colour IS NOT NULL THEN 'group' ELSE 'none' END AS matched
+  FROM asked a LEFT JOIN known k ON a.scheme = k.scheme AND a.code = k.code LEFT JOIN known g ON a.scheme = g.scheme AND a.scheme IN ('oac', 'loac') AND a.code <> '99' AND a.code[1] = g.code""")
+def code_colours(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes of all schemes, some of a group only, some unknown, some null."""
+    kind, part, supp = (F.col("l_orderkey") % len(_SCHEMES)).cast("int"), F.col("l_partkey"), F.col("l_suppkey")
+    nested = lambda base, n: F.char(base + part % n)
+    code = F.when(part % 13 == 0, "99").when(kind == 0, F.concat((part % 10).cast("string"), F.char(97 + supp % 4))).when(kind == 1, F.concat(nested(65, 9), (supp % 4).cast("string")))
+    code = code.when(part % 17 != 0, (part % 12).cast("string"))
+    scheme = F.get(F.array(*[F.lit(s) for s in _SCHEMES]), kind)
+    return codes.coloured(table(spark, sf, "lineitem"), scheme, code).select("l_orderkey", "l_linenumber", "colour", "matched")
+
+
 # --- what feeds the star ------------------------------------------------------------------------------------------
 
 

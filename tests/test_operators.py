@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import periods
-from tallyloom.operators import dossier, layers, membership, ranking, timeline
+from tallyloom.operators import codes, dossier, layers, membership, ranking, scan, timeline
 from tallyloom.sources import schemas, tables
 
 
@@ -32,8 +32,9 @@ def test_ranges_and_expressions(spark):
     assert days(ranged("2020-01-01", "2020-01-01", "P1D")) == ["01-01 00"]
     assert days(ranged("2020-01-31", "2020-04-30", "P1M")) == ["01-31 00", "03-02 00", "04-02 00", "04-30 00"]
     assert days(ranged("2020-01-01", "2020-01-02", "PT9H", ("08:00", "10:00"))) == ["01-01 09", "01-02 00"]
+    assert one(spark, timeline.explode_range(at("2020-01-01"), at("2020-01-02"), periods.parse_period(F.lit("PT0S")))) is None
     with pytest.raises(Exception, match="period of zero"):
-        ranged("2020-01-01", "2020-01-02", "PT0S")
+        one(spark, timeline.explode_range(at("2020-01-01"), at("2020-01-02"), periods.parse_period(F.lit("PT0S")), strict=True))
     times = one(spark, timeline.parse_times(F.lit("2003-01-01,2001-01-01,junk,2001-01-01")))
     assert [t.year for t in times] == [2001, 2001, 2003]
     assert [t.year for t in one(spark, timeline.parse_times(F.lit("2001-01-01,junk/2020-01-02/P1D,2020-01-01/2020-01-03/P1X")))] == [2001]
@@ -145,7 +146,7 @@ def test_only_the_first_places_of_a_name_are_gathered(spark):
 def test_trailing_window_keeps_columns(spark):
     rows = spark.sql("SELECT 'a' AS k, timestamp_seconds(id) AS t, id AS _us FROM range(5) UNION ALL SELECT 'a', NULL, 9")
     got = timeline.trailing_count(rows, "k", "t", 2)
-    assert {r._us: r.trailing for r in got.collect()} == {0: 1, 1: 2, 2: 3, 3: 3, 4: 3, 9: 1} and got.columns == ["k", "t", "_us", "trailing"]
+    assert {r._us: r.trailing for r in got.collect()} == {0: 1, 1: 2, 2: 3, 3: 3, 4: 3, 9: None} and got.columns == ["k", "t", "_us", "trailing"]
 
 
 def test_layer_files_are_pruned(spark, tmp_path):
@@ -211,3 +212,147 @@ def test_limited_gathers_no_key_in_one_row(spark):
     want = [("a", i) for i in range(10, 90)] + [("b", i) for i in range(90, 93)] + [(None, 95)]
     assert sorted(((r.k, int(r.s)) for r in got.select("k", F.unix_seconds("t").alias("s")).collect()), key=str) == sorted(want, key=str)
     assert timeline.limited(axis, "k", "t", F.lit(None).cast("timestamp"), at(50)).count() == 0
+
+
+def test_one_bad_text_touches_its_own_row(spark):
+    texts = {
+        "2000-01-05,2000-01-01/2000-01-03/P999999999Y": ["01-01 00", "01-03 00", "01-05 00"], "2000-01-05,2000-01-01/2000-01-03/P0D": ["01-05 00"],
+        "2000-01-05,1700-01-01/2500-01-01/PT1S": ["01-05 00"], "2000-01-01/2000-01-03/P2147483647DT24H": ["01-01 00", "01-03 00"], "2000-01-01/2000-01-03/P1D": ["01-01 00", "01-02 00", "01-03 00"],
+        "2000-01-01/2000-01-02/P2147483647Y2147483647M2147483647W2147483647D": [], "": [],
+    }
+    rows = spark.createDataFrame([(x,) for x in texts], "x string").select("x", timeline.parse_times(F.col("x")).alias("t")).collect()
+    assert {r.x: days(r.t) for r in rows} == texts
+    moved = lambda p, **k: one(spark, periods.add_period(at("2000-01-31"), periods.parse_period(F.lit(p)), **k))
+    assert all(moved(f"P2147483647{u}", sign=s, overflow=o) is None for u in "YM" for s in (1, -1) for o in (True, False))
+    assert moved("P2147483647W") is None and moved("P2147483647W", sign=-1) is None
+    assert f"{moved('PT2147483647S'):%Y-%m}" == "2068-02"
+    assert sum(x * n for x, n in zip(one(spark, periods.parse_period(F.lit("P2147483647DT24H"), carry=True)), (336, 28, 7, 1), strict=False)) == 2**31
+    assert one(spark, periods.parse_period(F.lit("P2147483647YT2147483647H2147483647M"), carry=True)) is None
+
+
+HOT = "SELECT CASE WHEN id % 10 = 0 THEN concat('k', id % 7) WHEN id % 10 < 9 THEN 'hot' END AS k, timestamp_seconds((id * 7919) % 5000 * 3600) AS t, id AS i, id AS at, id AS stretch, id AS key, id AS row FROM range(6000)"
+
+
+def test_scans_of_a_hot_key_equal_windows(spark):
+    """Nine tenths of the rows have one key or none; cut into stretches they give what a window by key gives."""
+    rows = spark.sql(f"{HOT} UNION ALL SELECT 'hot', NULL, -1, 0, 0, 0, 0")
+    rows.createOrReplaceTempView("hot_rows")
+    plain = spark.sql("SELECT i, count(*) OVER (PARTITION BY k ORDER BY t RANGE BETWEEN INTERVAL 40 DAYS PRECEDING AND CURRENT ROW) AS n, count(*) OVER (PARTITION BY k ORDER BY t) AS m FROM hot_rows WHERE t IS NOT NULL").collect()
+    back = F.timestamp_micros(F.unix_micros("t") - 40 * 86400 * 1000000)
+    for size in (scan.STRETCH, 150):
+        got = {r.i: r.n for r in scan.trailing(rows, "k", "t", back, "n", size).collect()}
+        assert got == {r.i: r.n for r in plain} | {-1: None}
+        got = scan.trailing(rows, "k", "t", F.lit(None).cast("timestamp"), "n", size)
+        assert {r.i: r.n for r in got.collect()} == {r.i: r.m for r in plain} | {-1: None} and got.columns == [*rows.columns, "n"]
+        placed = scan.positions(rows.filter("i >= 0").select("k", "t", "i", "at", "stretch").withColumn("u", F.struct("t", "i")), "k", "t", size).collect()
+        by_key = {k: sorted((r.t, r["index"]) for r in placed if r.k == k) for k in {r.k for r in placed}}
+        assert all([i for _, i in sorted(v, key=lambda x: x[1])] == list(range(len(v))) and [t for t, _ in sorted(v, key=lambda x: x[1])] == sorted(t for t, _ in v) for v in by_key.values())
+        assert all(r.last == len(by_key[r.k]) - 1 for r in placed)
+    assert "hot" in {r.hot for r in scan.cuts(scan.packed(rows, "k", "t"), 150).collect()} and scan.cuts(scan.packed(rows, "k", "t")) is None
+
+
+def test_no_task_holds_a_hot_key(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        rows = spark.sql(HOT).filter("k = 'hot'")
+        placed = scan.positions(rows.select("k", "t", "i"), "k", "t", 150).withColumn("p", F.spark_partition_id())
+        assert max(r["count"] for r in placed.groupBy("p").count().collect()) < rows.count() / 4
+        below = ranking.rows_below(spark.range(10_000).select(F.when(F.col("id") == 0, 1e12).otherwise(F.col("id")).alias("v")), "v")
+        assert max(r["count"] for r in below.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()) < 2000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_each_key_seeks_on_its_own_axis(spark):
+    rng = random.Random(9)
+    stamp = lambda s: None if s is None else datetime.fromtimestamp(s)
+    rows = [(rng.choice(["a", "a", "a", "b", "c", None]), rng.choice([None, *range(40)]), i) for i in range(400)]
+    marks = [(rng.choice(["a", "a", "b", None, "d"]), rng.choice([None, *range(5, 35)])) for _ in range(60)]
+    frame = lambda xs, kind: spark.createDataFrame([(x[0], stamp(x[1]), *x[2:]) for x in xs], kind)
+    left, axis = frame(rows, "k string, t timestamp, _part int").withColumn("mark", F.lit(7)), frame(marks, "k string, u timestamp")
+
+    def plain(k, t):
+        own = sorted(u for q, u in marks if q == k and u is not None)
+        return None if t is None or not own else max((u for u in own if u <= t), default=own[0])
+
+    for size in (scan.STRETCH, 20):
+        got = scan.sought(left, "t", axis, "u", "k", size=size)
+        assert got.columns == [*left.columns, "sought"]
+        assert {r._part: r.sought and int(r.sought.timestamp()) for r in got.collect()} == {i: plain(k, t) for k, t, i in rows}
+    assert timeline.seek_join(left.limit(0), "t", axis, "u").count() == 0
+    assert {r.sought for r in timeline.seek_join(left, "t", axis.limit(0), "u").collect()} == {None}
+    marked = spark.createDataFrame([(1, 1.5), (2, float("nan"))], "total int, v double")
+    assert {r.total: r.n for r in ranking.tiled(ranking.percent_ranked(marked, "v", "p"), "v", "total", 2, "n").collect()} == {1: 1, 2: 2}
+
+
+def test_ranks_of_texts_outliers_and_one_value(spark):
+    rng = random.Random(2)
+    for kind, values in (("string", ["x" * rng.randrange(5) + rng.choice("abé") for _ in range(300)]), ("double", [1e300, -1e300, float("nan"), *[2.5] * 500, *range(40)]), ("date", [datetime(2020, 1, 1 + i % 28).date() for i in range(90)])):
+        rows = spark.createDataFrame([(i, v if kind != "double" else float(v)) for i, v in enumerate(values)] + [(-1, None)], f"i int, v {kind}")
+        rows.createOrReplaceTempView("valued")
+        want = {r.i: (r.p, r.n) for r in spark.sql("SELECT i, percent_rank() OVER (ORDER BY v) AS p, ntile(7) OVER (ORDER BY v, i) AS n FROM valued WHERE v IS NOT NULL").collect()}
+        for size in (scan.STRETCH, 60):
+            got = {r.i: (r.p, r.n) for r in ranking.tiled(ranking.percent_ranked(rows, "v", "p"), "v", "i", 7, "n", size).collect()}
+            assert got.pop(-1) == (None, None) and got == want
+
+
+def test_overlaps_of_any_length(spark):
+    rng = random.Random(5)
+    year = 365 * 86400
+    ranged = lambda n: [(i, (a := rng.randrange(-50 * year, 50 * year)), a + rng.choice([0, 1, 60, 86400, year, 30 * year, -100])) for i in range(n)]
+    ticks, spans = ranged(60) + [(60, None, 5), (61, 0, None)], ranged(300) + [(300, None, 4), (301, 10, 10), (302, 10, 10)]
+    frame = lambda xs, a, b, i: spark.createDataFrame(xs, f"{i} int, {a} long, {b} long").withColumns({a: F.timestamp_seconds(a), b: F.timestamp_seconds(b), "node" if i == "j" else "level": F.lit(1)})
+    left, right = frame(ticks, "low", "high", "i"), frame(spans, "first", "last", "j")
+    want = sorted((i, j) for i, lo, hi in ticks for j, a, b in spans if None not in (lo, hi, a, b) and a <= hi and b >= lo)
+    for seconds in (1.0, 1e6):
+        got = layers.overlap_join(left, right, seconds)
+        assert sorted((r.i, r.j) for r in got.select("i", "j").collect()) == want and len(got.columns) == 8
+    assert layers.overlap_join(left.limit(0), right).count() == 0
+    cover = lambda a, b: [tuple(x) for x in one(spark, layers.dyadic_cover(F.lit(a).cast("long"), F.lit(b).cast("long"), 62))]
+    for a, b in [(0, 0), (5, 4), (-7, 9), (1, 2**40), (-(2**41), 12345)] + [tuple(sorted((rng.randrange(-99, 99), rng.randrange(-99, 99)))) for _ in range(20)]:
+        parts = sorted((n << k, (n + 1) << k) for k, n in cover(a, b))
+        assert len(parts) <= 2 * max(b - a + 1, 1).bit_length() and (not parts if b < a else (parts[0][0], parts[-1][1]) == (a, b + 1))
+        assert all(x[1] == y[0] for x, y in zip(parts, parts[1:], strict=False))
+
+
+def test_wanted_layers_prune_folders_and_set_broken_lines_aside(spark, tmp_path):
+    feature = '{"type":"Feature","properties":{"level":1},"geometry":{"type":"Point","coordinates":"[1,2]"}}'
+    whole = [(f'{{"surname":"{s}","type":"FeatureCollection","features":[{feature}]}}', s[:2], y) for s in ("oneil", "onto", "smith") for y in (1851, 1911)]
+    lines = spark.createDataFrame(whole + [('{"surname":"smith","features":[', "sm", 1911), ("junk", "on", 1851)], "value string, prefix string, year int")
+    folder = str(tmp_path / "layers")
+    lines.write.partitionBy("prefix", "year").text(folder)
+    wanted = spark.createDataFrame([("oneil", 1911, 1), ("smith", 1911, 2), ("smith", 1911, 3), ("smith", 1999, 4), ("nobody", 1851, 5), (None, 1851, 6)], "surname string, year int, i int").filter("i > 0")
+    got = tables.read_wanted_layers(spark, folder, wanted)
+    assert sorted((r.surname, r.year, r.i, len(r.features)) for r in got.collect()) == [("oneil", 1911, 1, 1), ("smith", 1911, 2, 1), ("smith", 1911, 3, 1)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression" in plan
+    assert sorted((r.prefix, r.year, r.line) for r in tables.broken_layers(spark, folder).collect()) == [("on", 1851, "junk"), ("sm", 1911, '{"surname":"smith","features":[')]
+    (tmp_path / "mask.json").write_text(f'{{"type":"FeatureCollection",\n"features":[{feature},\n{feature}]}}')
+    mask = tables.read_mask(spark, str(tmp_path / "mask.json")).collect()
+    assert [m.feature.geometry.coordinates for m in mask] == ["[1,2]", "[1,2]"]
+
+
+def test_geometries_are_cut_as_json(spark):
+    times = F.array(*[F.lit(x) for x in (1, 2, 3, 4)])
+    cut = lambda c, t=times, a=1, b=3: one(spark, layers.geometry_slice(F.lit(c).cast("string"), t, F.lit(a), F.lit(b)))
+    assert cut("[[0, 1], [2.5,3],[4,5],[6,7]]") == "[[2.5,3],[4,5]]" and cut("[7, 8]") == "[7,8]"
+    assert cut("[[0,1],[2,3]]", F.array().cast("array<int>")) == "[[0,1],[2,3]]" and cut("[[0,1]]", a=9, b=10) is None
+    assert cut("no json") is None and cut(None) is None and cut("[]") == "[]"
+
+
+def test_codes_have_colours(spark):
+    rows = spark.createDataFrame([("oac", "1b"), ("oac", "1z"), ("oac", "99"), ("oac", "0a"), ("loac", "G2"), ("iuc", "10"), ("iuc", "12"), ("imd", None), (None, "1"), ("x", "1")], "scheme string, code string")
+    got = {(r.scheme, r.code): (r.colour, r.matched) for r in codes.coloured(rows, F.col("scheme"), F.col("code")).collect()}
+    assert got == {
+        ("oac", "1b"): ("#e4d3b1", "code"), ("oac", "1z"): ("#ccbb99", "group"), ("oac", "99"): ("#dddddd", "code"), ("oac", "0a"): (None, "none"), ("loac", "G2"): ("#D1D1D1", "code"),
+        ("iuc", "10"): ("#8470ff", "code"), ("iuc", "12"): (None, "none"), ("imd", None): (None, "none"), (None, "1"): (None, "none"), ("x", "1"): (None, "none"),
+    }
+
+
+def test_dossiers_are_gathered_once(spark):
+    t = {n: spark.createDataFrame(ROWS.get(n, []), kind) for n, kind in (schemas.FACTS | schemas.LOOKUPS).items()}
+    probes = membership.prepared(spark.createDataFrame([("oneil",)], "input string"))
+    plan = dossier.assemble(probes, t)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter, (surname#") == 1 and "Union" in plan
