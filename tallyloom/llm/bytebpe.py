@@ -358,6 +358,13 @@ def _located(docs: DataFrame, pattern: str, known: pa.Table) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, missed array<string>")
 
 
+def _folded_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int) -> DataFrame:
+    """doc_id, ids as _located has them, and the ids of each of the row's other words."""
+    merges, counts = Merges(docs.sparkSession, ranks), cut(word_counts(docs, pattern))
+    table = frequent_words(counts, most).withColumn("ids", F.get(merges.ids(F.array("word")), 0)).toArrow()
+    return _located(docs, pattern, table).withColumn("missed", merges.ids(F.col("missed")))
+
+
 def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = FREQUENT) -> DataFrame:
     """doc_id and the text's ids.
 
@@ -365,30 +372,37 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int =
     doc_ids stay; other columns aren't read. ranks must hold every single byte. most bounds the words that are encoded
     beforehand, and changes no result.
     """
-    merges, counts = Merges(docs.sparkSession, ranks), cut(word_counts(docs, pattern))
-    table = frequent_words(counts, most).withColumn("ids", F.get(merges.ids(F.array("word")), 0)).toArrow()
-    located = _located(docs, pattern, table).withColumn("missed", merges.ids(F.col("missed")))
     whole = F.flatten(F.transform("ids", lambda i: F.when(i >= 0, F.array(i)).otherwise(F.get("missed", -1 - i))))
-    return located.select("doc_id", F.when(F.size("missed") == 0, F.col("ids")).otherwise(whole).alias("ids"))
+    return _folded_texts(docs, ranks, pattern, most).select("doc_id", F.when(F.size("missed") == 0, F.col("ids")).otherwise(whole).alias("ids"))
 
 
-def _listed(texts: Iterable[str]) -> Column:
-    return F.split(F.lit(",".join(texts)), ",")
+def _shown(ids: Column, names: list[str], other: Column | None = None) -> Column:
+    """The names of ids one after another; of -1 - k the k-th of other."""
+    listed = F.split(F.lit(",".join(names)), ",")
+    name = lambda i: F.get(listed, i) if other is None else F.coalesce(F.get(listed, i), F.get(other, -1 - i))
+    return F.array_join(F.transform(ids, name), "")
 
 
-def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The tokens' bytes one after another, as binary."""
+def _pieces(ranks: dict[bytes, int]) -> list[str]:
+    """The tokens' bytes by id, as hexadecimal digits."""
     pieces = [""] * (max(ranks.values(), default=-1) + 1)
     for token, id in ranks.items():
         pieces[id] = token.hex()
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(_listed(pieces), i)), ""))
+    return pieces
+
+
+def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
+    """The tokens' bytes one after another, as binary."""
+    return F.unhex(_shown(ids, _pieces(ranks)))
 
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = FREQUENT) -> DataFrame:
     """doc_id, the number of ids, and digests of ids (as little-endian unsigned 32-bit integers) and of the bytes that
     they decode to. Rows as in encoded."""
-    shown = [id.to_bytes(4, "little").hex() for id in range(max(ranks.values(), default=-1) + 1)]
-    ids = F.unhex(F.array_join(F.transform("ids", lambda i: F.get(_listed(shown), i)), ""))
-    return encoded(docs, ranks, pattern, most).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2(decoded(F.col("ids"), ranks), 256).alias("decoded_sha256")
-    )
+    pieces = _pieces(ranks)
+    numbers = [id.to_bytes(4, "little").hex() for id in range(len(pieces))]
+    whole = lambda names: let(F.transform("missed", lambda m: _shown(m, names)), lambda other: _shown(F.col("ids"), names, other))
+    shown = _folded_texts(docs, ranks, pattern, most).select("doc_id", whole(numbers).alias("numbers"), whole(pieces).alias("pieces"))
+    sha = lambda c: F.sha2(F.unhex(c), 256)
+    n = F.expr("octet_length(numbers) div 8").cast("long")
+    return shown.select("doc_id", n.alias("n_tokens"), sha("numbers").alias("ids_sha256"), sha("pieces").alias("decoded_sha256"))
