@@ -102,7 +102,7 @@ def _powers(strings: set[str], n: int) -> set[str] | None:
     """n of the strings in a row, None if those are too many."""
     out = {""}
     for _ in range(n):
-        if len(out) * len(strings) > MOST * MOST:
+        if len(out) * len(strings) > MOST:
             return None
         out = {a + b for a in out for b in strings}
     return out
