@@ -376,9 +376,12 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int =
     return _folded_texts(docs, ranks, pattern, most).select("doc_id", F.when(F.size("missed") == 0, F.col("ids")).otherwise(whole).alias("ids"))
 
 
-def _shown(ids: Column, names: list[str], other: Column | None = None) -> Column:
+def _listed(names: list[str]) -> Column:
+    return F.split(F.lit(",".join(names)), ",")
+
+
+def _shown(ids: Column, listed: Column, other: Column | None = None) -> Column:
     """The names of ids one after another; of -1 - k the k-th of other."""
-    listed = F.split(F.lit(",".join(names)), ",")
     name = lambda i: F.get(listed, i) if other is None else F.coalesce(F.get(listed, i), F.get(other, -1 - i))
     return F.array_join(F.transform(ids, name), "")
 
@@ -393,7 +396,7 @@ def _pieces(ranks: dict[bytes, int]) -> list[str]:
 
 def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
     """The tokens' bytes one after another, as binary."""
-    return F.unhex(_shown(ids, _pieces(ranks)))
+    return F.unhex(_shown(ids, _listed(_pieces(ranks))))
 
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = FREQUENT) -> DataFrame:
@@ -401,7 +404,9 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int =
     they decode to. Rows as in encoded."""
     pieces = _pieces(ranks)
     numbers = [id.to_bytes(4, "little").hex() for id in range(len(pieces))]
-    whole = lambda names: let(F.transform("missed", lambda m: _shown(m, names)), lambda other: _shown(F.col("ids"), names, other))
+    # The names stand in the plan once: its text is kept by the driver.
+    both = lambda listed: let(F.transform("missed", lambda m: _shown(m, listed)), lambda other: _shown(F.col("ids"), listed, other))
+    whole = lambda names: let(_listed(names), both)
     shown = _folded_texts(docs, ranks, pattern, most).select("doc_id", whole(numbers).alias("numbers"), whole(pieces).alias("pieces"))
     sha = lambda c: F.sha2(F.unhex(c), 256)
     n = F.expr("octet_length(numbers) div 8").cast("long")
