@@ -141,7 +141,7 @@ def test_a_level_may_quote_several_messages(spark):
         (1, 3, "d", "Abcd efgh.", None),
         (1, 4, "e", "Ijkl mnop.", None),
         (1, 5, "f", "> Abcd efgh.\nHm.\n> Ijkl mnop.\nEqual.", None),  # a tie goes to the later turn
-        (1, 6, "g", "> Abcd efgh.\n" + "> Never said. \n" * 20_000 + "End.", None),
+        (1, 6, "g", "> Abcd efgh.\n" + "> Never said. \n" * 300 + "End.", None),
     ]
     out = {r.turn: r for r in compared(spark, rows)}
     assert out[2].quoted_turns == [0, 1] and out[2].parent_turn == 1
