@@ -5,7 +5,8 @@ are encoded once each, and that table, of bounded size, goes to every task. A wo
 row, by the same fold. So no token is ever shuffled, only each task's distinct words are.
 
 The fold starts from a word's bytes, each shown as the character of its token, and the ranks of all neighbouring pairs
-from a literal map (an array of small maps by hash, as Spark looks maps up from end to end). A rank is shown as the
+from a constant map (an array of small maps by hash, as Spark looks maps up from end to end; a scalar subquery holds it,
+as the driver keeps every plan's text, literals included). A rank is shown as the
 character of the token that the pair merges to, so tokens and ranks are texts of one character a part, which are cheap
 to cut and whose order is that of the ranks. A step merges the leftmost pair of the least rank. In a word of more than
 LONG parts it merges all pairs of that rank at once, unless a pair made on the way would rank lower still: this is what
@@ -60,8 +61,14 @@ def character(id: int) -> str:
     return chr(id + 1 if id + 1 < 0xD800 else id + 0x801)
 
 
-def _literal(ranks: dict[bytes, int]) -> Column:
-    """The ranks of all pairs of tokens, as a literal that the optimizer makes once of its text."""
+def _constant(spark: SparkSession, value: object, kind: str) -> Column:
+    """A value as a scalar subquery over one row of JSON: tasks get it as they get a literal, but no plan's text holds it."""
+    row = spark.createDataFrame(pa.table({"text": [json.dumps(value)]}))
+    return row.select(F.from_json("text", kind)).scalar()
+
+
+def _pairs(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
+    """The ranks of all pairs of tokens, a constant of the query."""
     buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
     for token, rank in ranks.items():
         for i in range(1, len(token)):
@@ -69,7 +76,7 @@ def _literal(ranks: dict[bytes, int]) -> Column:
                 pair = character(ranks[token[:i]]) + character(ranks[token[i:]])
                 hashed = xxhash.xxh64_intdigest(pair.encode(), 42)
                 buckets[(hashed - (hashed >> 63 << 64)) % BUCKETS][pair] = character(rank)
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
+    return _constant(spark, buckets, "array<map<string,string>>")
 
 
 def _folded(start: Column, table: Column) -> Column:
@@ -143,12 +150,18 @@ class Merges:
     """
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
-        self.pairs, all_bytes = _literal(ranks), [bytes([i]) for i in range(256)]
+        self.pairs, all_bytes = _pairs(spark, ranks), [bytes([i]) for i in range(256)]
         self.bytes = "".join(b.decode("latin-1") for b in all_bytes), "".join(character(ranks[b]) for b in all_bytes)
         self.whole: dict[str, int] = {}
         tokens = spark.createDataFrame([(t.decode("latin-1"), r) for t, r in ranks.items()], "token string, rank int").repartition(8)
-        ids = let(self.pairs, lambda pairs: self._one(F.col("token"), pairs))
-        self.whole = {r.token: r.rank for r in tokens.filter(~F.equal_null(ids, F.array("rank"))).collect()}
+        ids = let(F.col("pairs"), lambda pairs: self._one(F.col("token"), pairs))
+        odd = self.given(tokens).filter(~F.equal_null(ids, F.array("rank"))).select("token", "rank")
+        self.whole = {r.token: r.rank for r in odd.collect()}
+
+    def given(self, rows: DataFrame) -> DataFrame:
+        """rows with `pairs`, which ids needs. It must be used once and not be kept: the optimizer then puts the constant
+        in its place, as subqueries can't be written within higher-order functions."""
+        return rows.withColumn("pairs", self.pairs)
 
     def _one(self, shown: Column, pairs: Column) -> Column:
         """Ids of a word whose bytes are shown as characters."""
@@ -161,9 +174,9 @@ class Merges:
         return let(whole, lambda w: F.when(w.isNotNull(), F.array(w)).otherwise(found))
 
     def ids(self, words: Column) -> Column:
-        """Ids of each word of an array of texts: array<array<int>>."""
+        """Ids of each word of an array of texts, array<array<int>>, in rows that have `pairs`."""
         shown = lambda w: F.decode(w.cast("binary"), "ISO-8859-1")
-        return let(self.pairs, lambda pairs: F.transform(words, lambda w: let(shown(w), lambda s: self._one(s, pairs))))
+        return let(F.col("pairs"), lambda pairs: F.transform(words, lambda w: let(shown(w), lambda s: self._one(s, pairs))))
 
 
 # --- words -------------------------------------------------------------------------------------------------------
@@ -361,8 +374,8 @@ def _located(docs: DataFrame, pattern: str, known: pa.Table) -> DataFrame:
 def _folded_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int) -> DataFrame:
     """doc_id, ids as _located has them, and the ids of each of the row's other words."""
     merges, counts = Merges(docs.sparkSession, ranks), cut(word_counts(docs, pattern))
-    table = frequent_words(counts, most).withColumn("ids", F.get(merges.ids(F.array("word")), 0)).toArrow()
-    return _located(docs, pattern, table).withColumn("missed", merges.ids(F.col("missed")))
+    table = merges.given(frequent_words(counts, most)).select("word", F.get(merges.ids(F.array("word")), 0).alias("ids")).toArrow()
+    return merges.given(_located(docs, pattern, table)).select("doc_id", "ids", merges.ids(F.col("missed")).alias("missed"))
 
 
 def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = FREQUENT) -> DataFrame:
@@ -404,10 +417,10 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int =
     they decode to. Rows as in encoded."""
     pieces = _pieces(ranks)
     numbers = [id.to_bytes(4, "little").hex() for id in range(len(pieces))]
-    # The names stand in the plan once: its text is kept by the driver.
     both = lambda listed: let(F.transform("missed", lambda m: _shown(m, listed)), lambda other: _shown(F.col("ids"), listed, other))
-    whole = lambda names: let(_listed(names), both)
-    shown = _folded_texts(docs, ranks, pattern, most).select("doc_id", whole(numbers).alias("numbers"), whole(pieces).alias("pieces"))
+    named = lambda names: _constant(docs.sparkSession, names, "array<string>")
+    rows = _folded_texts(docs, ranks, pattern, most).withColumns({"by_number": named(numbers), "by_piece": named(pieces)})
+    shown = rows.select("doc_id", let(F.col("by_number"), both).alias("numbers"), let(F.col("by_piece"), both).alias("pieces"))
     sha = lambda c: F.sha2(F.unhex(c), 256)
     n = F.expr("octet_length(numbers) div 8").cast("long")
     return shown.select("doc_id", n.alias("n_tokens"), sha("numbers").alias("ids_sha256"), sha("pieces").alias("decoded_sha256"))
