@@ -61,14 +61,16 @@ def character(id: int) -> str:
     return chr(id + 1 if id + 1 < 0xD800 else id + 0x801)
 
 
-def _constant(spark: SparkSession, value: object, kind: str) -> Column:
-    """A value as a scalar subquery over one row of JSON: tasks get it as they get a literal, but no plan's text holds it."""
-    row = spark.createDataFrame(pa.table({"text": [json.dumps(value)]}))
-    return row.select(F.from_json("text", kind)).scalar()
+def _constant(spark: SparkSession, text: str, kind: str) -> Column:
+    """JSON as a scalar subquery over one row: tasks get it as they get a literal, but no plan's text holds it."""
+    return spark.createDataFrame(pa.table({"text": [text]})).select(F.from_json("text", kind)).scalar()
 
 
-def _pairs(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
-    """The ranks of all pairs of tokens, a constant of the query."""
+PAIRS = "array<map<string,string>>"
+
+
+def _pairs(ranks: dict[bytes, int]) -> str:
+    """The ranks of all pairs of tokens, as JSON."""
     buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
     for token, rank in ranks.items():
         for i in range(1, len(token)):
@@ -76,7 +78,7 @@ def _pairs(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
                 pair = character(ranks[token[:i]]) + character(ranks[token[i:]])
                 hashed = xxhash.xxh64_intdigest(pair.encode(), 42)
                 buckets[(hashed - (hashed >> 63 << 64)) % BUCKETS][pair] = character(rank)
-    return _constant(spark, buckets, "array<map<string,string>>")
+    return json.dumps(buckets)
 
 
 def _folded(start: Column, table: Column) -> Column:
@@ -150,7 +152,8 @@ class Merges:
     """
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
-        self.pairs, all_bytes = _pairs(spark, ranks), [bytes([i]) for i in range(256)]
+        pairs, all_bytes = _pairs(ranks), [bytes([i]) for i in range(256)]
+        self.literal, self.pairs = F.from_json(F.lit(pairs), PAIRS), _constant(spark, pairs, PAIRS)
         self.bytes = "".join(b.decode("latin-1") for b in all_bytes), "".join(character(ranks[b]) for b in all_bytes)
         self.whole: dict[str, int] = {}
         tokens = spark.createDataFrame([(t.decode("latin-1"), r) for t, r in ranks.items()], "token string, rank int").repartition(8)
@@ -159,8 +162,8 @@ class Merges:
         self.whole = {r.token: r.rank for r in odd.collect()}
 
     def given(self, rows: DataFrame) -> DataFrame:
-        """rows with `pairs`, which ids needs. It must be used once and not be kept: the optimizer then puts the constant
-        in its place, as subqueries can't be written within higher-order functions."""
+        """rows with `pairs` for ids. It must be used once and not be kept: the optimizer then puts the constant in its
+        place, as subqueries can't be written within higher-order functions."""
         return rows.withColumn("pairs", self.pairs)
 
     def _one(self, shown: Column, pairs: Column) -> Column:
@@ -173,10 +176,10 @@ class Merges:
         whole = F.try_element_at(F.from_json(F.lit(json.dumps(self.whole)), "map<string,int>"), shown)
         return let(whole, lambda w: F.when(w.isNotNull(), F.array(w)).otherwise(found))
 
-    def ids(self, words: Column) -> Column:
-        """Ids of each word of an array of texts, array<array<int>>, in rows that have `pairs`."""
+    def ids(self, words: Column, pairs: Column | None = None) -> Column:
+        """Ids of each word of an array of texts: array<array<int>>. pairs is a literal unless the rows have it."""
         shown = lambda w: F.decode(w.cast("binary"), "ISO-8859-1")
-        return let(F.col("pairs"), lambda pairs: F.transform(words, lambda w: let(shown(w), lambda s: self._one(s, pairs))))
+        return let(self.literal if pairs is None else pairs, lambda pairs: F.transform(words, lambda w: let(shown(w), lambda s: self._one(s, pairs))))
 
 
 # --- words -------------------------------------------------------------------------------------------------------
@@ -374,8 +377,8 @@ def _located(docs: DataFrame, pattern: str, known: pa.Table) -> DataFrame:
 def _folded_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int) -> DataFrame:
     """doc_id, ids as _located has them, and the ids of each of the row's other words."""
     merges, counts = Merges(docs.sparkSession, ranks), cut(word_counts(docs, pattern))
-    table = merges.given(frequent_words(counts, most)).select("word", F.get(merges.ids(F.array("word")), 0).alias("ids")).toArrow()
-    return merges.given(_located(docs, pattern, table)).select("doc_id", "ids", merges.ids(F.col("missed")).alias("missed"))
+    table = merges.given(frequent_words(counts, most)).select("word", F.get(merges.ids(F.array("word"), F.col("pairs")), 0).alias("ids")).toArrow()
+    return merges.given(_located(docs, pattern, table)).select("doc_id", "ids", merges.ids(F.col("missed"), F.col("pairs")).alias("missed"))
 
 
 def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = FREQUENT) -> DataFrame:
@@ -418,7 +421,7 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int =
     pieces = _pieces(ranks)
     numbers = [id.to_bytes(4, "little").hex() for id in range(len(pieces))]
     both = lambda listed: let(F.transform("missed", lambda m: _shown(m, listed)), lambda other: _shown(F.col("ids"), listed, other))
-    named = lambda names: _constant(docs.sparkSession, names, "array<string>")
+    named = lambda names: _constant(docs.sparkSession, json.dumps(names), "array<string>")
     rows = _folded_texts(docs, ranks, pattern, most).withColumns({"by_number": named(numbers), "by_piece": named(pieces)})
     shown = rows.select("doc_id", let(F.col("by_number"), both).alias("numbers"), let(F.col("by_piece"), both).alias("pieces"))
     sha = lambda c: F.sha2(F.unhex(c), 256)
