@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import periods, text
-from tallyloom.operators import codes, dossier, layers, membership, ranking, timeline
+from tallyloom.operators import bitaxis, codes, dossier, layers, membership, ranking, timeline
 from tallyloom.plans import analogue
 from tallyloom.sources import folders, schemas, tables
 from tallyloom.sources.tables import table
@@ -342,6 +342,32 @@ for _name, _mode, _bag, _sql in (
     ORACLES[_name] = f"{DAYS}SELECT user_id, day::VARCHAR AS day FROM ({_sql})"
 
 
+HOURS = DAYS.replace("date_trunc('day', ts)::DATE AS day", "date_trunc('hour', ts) AS t")
+
+
+def _bits(mode: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        rows = events(spark, sf)
+        axes = [bitaxis.packed(rows.filter(F.col("event_type") == kind), "user_id", "ts", 3600) for kind in ("click", "view")]
+        return bitaxis.unpacked(bitaxis.merged(axes, "user_id", mode), "user_id", "t", 3600).withColumn("t", shown("t"))
+
+    return run
+
+
+for _mode, _sql in (("union", "SELECT * FROM a UNION SELECT * FROM b"), ("intersect", "SELECT * FROM a INTERSECT SELECT * FROM b")):
+    QUERIES[f"bitmap_axis_{_mode}"] = _bits(_mode)
+    ORACLES[f"bitmap_axis_{_mode}"] = f"{HOURS}SELECT user_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS t FROM ({_sql})"
+
+
+@query("SELECT l_suppkey, count(DISTINCT d) AS n FROM (SELECT l_suppkey, unnest([l_shipdate::DATE, o_orderdate::DATE]) AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey) WHERE d IS NOT NULL GROUP BY l_suppkey")
+def bitmap_axis_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Days on which something of a supplier was ordered or shipped: two axes merged, none unpacked."""
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", F.to_date("l_shipdate").alias("d"))
+    ordered = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("d"))
+    axes = [bitaxis.packed(rows, "l_suppkey", "d") for rows in (items, items.drop("d").join(ordered, "l_orderkey"))]
+    return bitaxis.sizes(bitaxis.merged(axes, "l_suppkey", "union"), "l_suppkey")
+
+
 def week() -> Column:
     return periods.parse_period(F.lit("P7D"))
 

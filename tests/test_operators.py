@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import periods
-from tallyloom.operators import codes, dossier, layers, membership, ranking, scan, timeline
+from tallyloom.operators import bitaxis, codes, dossier, layers, membership, ranking, scan, timeline
 from tallyloom.sources import schemas, tables
 
 
@@ -356,3 +356,29 @@ def test_dossiers_are_gathered_once(spark):
     probes = membership.prepared(spark.createDataFrame([("oneil",)], "input string"))
     plan = dossier.assemble(probes, t)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join LeftOuter, (surname#") == 1 and "Union" in plan
+
+
+def test_bitmap_axes(spark):
+    draw = random.Random(5)
+    # Instants before and after 1970 and at the edges of buckets, a key of nine tenths of the rows, null keys and times.
+    edges = [0, 1, -1, 32767, 32768, 32769, -32767, -32768, -32769, 65536, 65537, -65536]
+    key = lambda: None if draw.random() < 0.02 else draw.choice("aaaaaaaaab")
+    rows = lambda: [(key(), n, 1) for n in edges + [draw.randrange(-99999, 99999) for _ in range(3000)]] + [("a", None, 1), ("b", None, 1)]
+    sides, axes, dated = [rows() + [("c", 7, 1)], rows()], [], []
+    for side in sides:
+        df = spark.createDataFrame(side + side[:99], "key string, n long, bits long")
+        axes.append(bitaxis.packed(df.withColumn("t", F.timestamp_micros(F.col("n") * 60_000_000 + 1_000_000)), "key", "t", 60))
+        dated.append(bitaxis.packed(df.select("key", F.date_from_unix_date(F.col("n").cast("int")).alias("d")), "key", "d"))
+    sets = [{(k, n) for k, n, _ in side if n is not None} for side in sides]
+    for mode, want in (("union", sets[0] | sets[1]), ("intersect", sets[0] & sets[1])):
+        got = bitaxis.unpacked(bitaxis.merged(axes, "key", mode), "key", "t", 60).select("key", F.unix_seconds("t") / 60).collect()
+        assert len(got) == len(want) and {(k, int(n)) for k, n in got} == want
+        got = bitaxis.unpacked(bitaxis.merged(dated, "key", mode), "key", "d").select("key", F.unix_date("d")).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+        counted = {r.key: r.n for r in bitaxis.sizes(bitaxis.merged(axes, "key", mode), "key").collect()}
+        assert counted == Counter(k for k, _ in want)
+    empty = axes[0].limit(0)
+    assert bitaxis.merged([axes[0], empty], "key", "intersect").count() == 0
+    assert bitaxis.unpacked(empty, "key", "t", 60).count() == 0
+    with pytest.raises(ValueError, match="unknown way"):
+        bitaxis.merged(axes, "key", "replace")
