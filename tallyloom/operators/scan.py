@@ -51,6 +51,12 @@ def cuts(points: DataFrame, size: int = STRETCH) -> DataFrame | None:
     return hot.groupBy("hot", "n").agg(marks).select("hot", F.array_distinct(kept).alias("cuts"))
 
 
+def drawn(limits: DataFrame) -> DataFrame:
+    """The cuts as a table of their own. A sketch comes out otherwise as its parts arrive, and rows and carries must be
+    dealt by the same cuts, so these are found once: a number for each million points goes through the driver."""
+    return limits.sparkSession.createDataFrame(limits.toArrow(), limits.schema)
+
+
 def scanned(points: DataFrame, order: Iterable[str], running: Parts, whole: Parts | None = None, size: int = STRETCH, known: DataFrame | None | bool = False) -> DataFrame:
     """points with `running` aggregates over the rows of their key up to and including each, and `whole` ones over all.
 
@@ -63,7 +69,7 @@ def scanned(points: DataFrame, order: Iterable[str], running: Parts, whole: Part
     columns = {n: f(c).over(so_far) for n, (f, c) in running.items()} | {n: f(c).over(all_of) for n, (f, c) in whole.items()}
     if limits is None:
         return points.withColumn("stretch", F.lit(0)).withColumns(columns).drop("stretch")
-    met = points.join(F.broadcast(limits), F.col("key").eqNullSafe(F.col("hot")), "left")
+    met = points.join(F.broadcast(drawn(limits)), F.col("key").eqNullSafe(F.col("hot")), "left")
     stretch = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("at"))), F.lit(0))
     placed = met.withColumn("stretch", F.when(F.col("cuts").isNull(), 0).otherwise(stretch)).drop("hot")
     # One row a stretch of the hot keys: what the stretches before it have, and what all have.

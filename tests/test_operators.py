@@ -251,6 +251,16 @@ def test_scans_of_a_hot_key_equal_windows(spark):
     assert "hot" in {r.hot for r in scan.cuts(scan.packed(rows, "k", "t"), 150).collect()} and scan.cuts(scan.packed(rows, "k", "t")) is None
 
 
+def test_cuts_that_come_out_otherwise_each_time_change_no_scan(spark):
+    """As those of a sketch do, whose parts arrive in any order."""
+    rows = spark.sql("SELECT 'hot' AS key, id AS at, id AS by, id AS i FROM range(4000)")
+    anew = F.udf(lambda: sorted(random.SystemRandom().sample(range(4000), 20)), "array<bigint>").asNondeterministic()
+    limits = spark.sql("SELECT 'hot' AS hot").withColumn("cuts", anew())
+    for _ in range(2):
+        got = scan.scanned(rows, ["by"], {"n": (F.count, F.lit(1)), "most": (F.max, F.col("at"))}, {"first": (F.min, F.col("at"))}, known=limits).collect()
+        assert all(r.n == r.i + 1 and r.most == r.i and r.first == 0 for r in got) and len(got) == 4000
+
+
 def test_no_task_holds_a_hot_key(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "32")
