@@ -41,3 +41,8 @@ def test_entry_points(spark):
     queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert set(sql) <= set(queries) and set(catalogue.QUERIES) <= set(queries)
     assert catalogue.QUERIES["dossier_json"](spark, SF).count() > 100
+
+
+def test_period_text_says_whether_it_is_a_period(spark, duck):
+    got = catalogue.QUERIES["period_text"](spark, SF)
+    assert "valid" in got.columns and got.filter("valid").count() == duck.sql("select count(*) from lineitem").fetchall()[0][0]
