@@ -108,6 +108,10 @@ def dyadic_cover(low: Column, high: Column, levels: int) -> Column:
     return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), at)))
 
 
+#: Rows of the smaller side of a join of ranges that are broadcast, at most, and those compared one by one.
+SMALL, FEW = 100_000, 256
+
+
 def overlap_join(ticks: DataFrame, spans: DataFrame, seconds: float = 1.0) -> DataFrame:
     """Pairs of ticks (low, high) and spans (first, last) that overlap, ends included, whatever their lengths.
 
@@ -115,24 +119,33 @@ def overlap_join(ticks: DataFrame, spans: DataFrame, seconds: float = 1.0) -> Da
     `seconds`, at most two for each doubling of its length, and a begin looks for the one stretch of each length that
     it lies in; so a pair meets once, and a span of decades is some dozens of rows as one of minutes is. Null ends meet
     nothing; a span whose first time lies after its last one meets ticks that hold both, as such times are compared.
+
+    Both sides are counted first. If one has at most SMALL rows, its stretches and begins are broadcast and the other
+    side isn't shuffled; if it has at most FEW, its ranges themselves are, and compared with each range of the other.
     """
+    bounded = lambda df, most: df.limit(most + 1).count() <= most
+    first, last, low, high = (F.col(c) for c in ("first", "last", "low", "high"))
+    side = next((i for i, df in enumerate((ticks, spans)) if bounded(df, SMALL)), None)
+    hint = lambda df, i: F.broadcast(df) if i == side else df
+    if side is not None and bounded((ticks, spans)[side], FEW):
+        left, right = (df.select(F.struct("*").alias(name), a, b) for df, name, a, b in ((ticks, "tick", "low", "high"), (spans, "span", "first", "last")))
+        return hint(left, 0).join(hint(right, 1), (first <= high) & (last >= low)).select("tick.*", "span.*")
     unit = int(seconds * 1000000)
     place = lambda c: F.floor(F.unix_micros(c) / unit)
     ranges = lambda df, name, a, b: df.select(F.struct("*").alias(name), F.col(a).alias(a), F.col(b).alias(b), place(F.col(a)).alias("a"), place(F.col(b)).alias("b"))
     left, right = ranges(ticks, "tick", "low", "high"), ranges(spans, "span", "first", "last")
 
-    def met(points: DataFrame, covered: DataFrame) -> DataFrame:
+    def met(points: DataFrame, covered: DataFrame, order: tuple[int, int]) -> DataFrame:
         longest = covered.agg(F.max(F.col("b") - F.col("a"))).first()[0]
         levels = max(longest or 0, 0).bit_length()  # no longer stretch is part of a cover
         nodes = covered.withColumn("at", F.explode(dyadic_cover(F.col("a"), F.col("b"), levels))).drop("a", "b")
         begins = F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda k: F.struct(k.alias("level"), F.call_function("shiftright", F.col("a"), k).alias("node")))
         seen = points.withColumn("at", F.explode(begins)).drop("a", "b")
         flat = lambda df: df.withColumns({"level": F.col("at.level"), "node": F.col("at.node")}).drop("at")
-        return flat(seen).join(flat(nodes), ["level", "node"])
+        return hint(flat(seen), order[0]).join(hint(flat(nodes), order[1]), ["level", "node"])
 
-    first, last, low, high = (F.col(c) for c in ("first", "last", "low", "high"))
-    held = met(left, right).filter((first <= low) & (last >= low) & (first <= high))
-    holds = met(right, left).filter((first > low) & (first <= high) & (last >= low))
+    held = met(left, right, (0, 1)).filter((first <= low) & (last >= low) & (first <= high))
+    holds = met(right, left, (1, 0)).filter((first > low) & (first <= high) & (last >= low))
     return held.select("tick.*", "span.*").union(holds.select("tick.*", "span.*"))
 
 

@@ -327,6 +327,19 @@ def test_overlaps_of_any_length(spark):
         assert all(x[1] == y[0] for x, y in zip(parts, parts[1:], strict=False))
 
 
+def test_few_ticks_meet_spans_without_shuffling_them(spark, monkeypatch):
+    left = spark.sql("SELECT id AS i, timestamp_seconds(id * 1000) AS low, timestamp_seconds(id * 1000 + 700) AS high FROM range(40)")
+    right = spark.sql("SELECT id AS j, timestamp_seconds(id * 37) AS first, timestamp_seconds(id * 37 + id % 5 * 900) AS last FROM range(900)")
+    want = sorted((i, j) for i in range(40) for j in range(900) if j * 37 <= i * 1000 + 700 and j * 37 + j % 5 * 900 >= i * 1000)
+    for few, small in ((40, 40), (10, 40), (10, 10)):
+        monkeypatch.setattr(layers, "FEW", few)
+        monkeypatch.setattr(layers, "SMALL", small)
+        for ticks, spans, sides in ((left, right, ("i", "j")), (right.toDF("j", "low", "high"), left.toDF("i", "first", "last"), ("i", "j"))):
+            got = layers.overlap_join(ticks, spans)
+            assert sorted(tuple(r) for r in got.select(*sides).collect()) == want
+            assert small == 10 or "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_wanted_layers_prune_folders_and_set_broken_lines_aside(spark, tmp_path):
     feature = '{"type":"Feature","properties":{"level":1},"geometry":{"type":"Point","coordinates":"[1,2]"}}'
     whole = [(f'{{"surname":"{s}","type":"FeatureCollection","features":[{feature}]}}', s[:2], y) for s in ("oneil", "onto", "smith") for y in (1851, 1911)]
