@@ -1,10 +1,10 @@
-"""Very long axes as bitmaps: a set of times is bits, so unions, intersections and counts shuffle bitmaps, not times.
+"""Very long axes as bitmaps: a set of times is bits, so unions, intersections and counts shuffle words of bits, not times.
 
 A time is the number of its grid point, of a day for dates and of `unit` seconds for timestamps; a time between two points
-counts as the one before. A key's numbers are dealt to buckets of 32,768, each with a bitmap of 4 KB. Tasks make bitmaps
-of their own rows first, so a key with very many times sends one bitmap a bucket and task. It pays where axes are dense;
-an axis of a few times is smaller as rows (`timeline.merge_axes`). Keys may be null, as one key more; null times are
-times of no axis. A key's column must not be named `_bucket` or `_bits`; other columns aren't read.
+counts as the one before. A key's numbers are dealt to buckets of 64, each with a word of 64 bits. Tasks make words of
+their own rows first, so a key with very many times sends one word a bucket and task, and a key with few times sends no
+more than these. Keys may be null, as one key more; null times are times of no axis. A key's column must not be named
+`_bucket` or `_bits`; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-#: Fixed value: the bits of one of Spark's bitmaps.
-BITS = 32_768
+#: The bits of a word, and by how many bits a number is shifted for its bucket.
+BITS, SHIFT = 64, 6
 
 
 def packed(axis: DataFrame, key: str, time: str, unit: int = 1) -> DataFrame:
@@ -22,8 +22,9 @@ def packed(axis: DataFrame, key: str, time: str, unit: int = 1) -> DataFrame:
     dates = isinstance(axis.schema[time].dataType, DateType)
     number = F.unix_date(time) if dates else F.floor(F.unix_micros(F.col(time).cast("timestamp")) / (unit * 1_000_000))
     rows = axis.filter(F.col(time).isNotNull()).select(key, number.cast("long").alias("_number"))
-    bucketed = rows.select(key, F.bitmap_bucket_number("_number").alias("_bucket"), F.bitmap_bit_position("_number").alias("_at"))
-    return bucketed.groupBy(key, "_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_number").bitwiseAND(F.lit(BITS - 1)).cast("int"))
+    bucketed = rows.select(key, F.shiftright("_number", SHIFT).alias("_bucket"), bit.alias("_bit"))
+    return bucketed.groupBy(key, "_bucket").agg(F.bit_or("_bit").alias("_bits"))
 
 
 def merged(axes: list[DataFrame], key: str, mode: str) -> DataFrame:
@@ -36,23 +37,20 @@ def merged(axes: list[DataFrame], key: str, mode: str) -> DataFrame:
         together = together.unionByName(axis)
     groups = together.groupBy(key, "_bucket")
     if mode == "union":
-        return groups.agg(F.bitmap_or_agg("_bits").alias("_bits"))
-    both = groups.agg(F.bitmap_and_agg("_bits").alias("_bits"), F.count("*").alias("_n"))
-    return both.filter((F.col("_n") == len(axes)) & (F.bitmap_count("_bits") > 0)).drop("_n")
+        return groups.agg(F.bit_or("_bits").alias("_bits"))
+    both = groups.agg(F.bit_and("_bits").alias("_bits"), F.count("*").alias("_n"))
+    return both.filter((F.col("_n") == len(axes)) & (F.col("_bits") != 0)).drop("_n")
 
 
 def sizes(axis: DataFrame, key: str) -> DataFrame:
     """(key, n): the number of times of each key of a packed axis, which no time is unpacked for."""
-    return axis.groupBy(key).agg(F.sum(F.bitmap_count("_bits")).alias("n"))
+    return axis.groupBy(key).agg(F.sum(F.bit_count("_bits")).cast("long").alias("n"))
 
 
 def _numbers(bucket: Column, bits: Column) -> Column:
-    """The numbers that a bucket's bits stand for. Buckets from 1 on count upwards, the others down from their greatest."""
-    bytes_ = F.transform(F.split(F.decode(bits, "ISO-8859-1"), ""), lambda c, i: F.struct(i.alias("at"), F.ascii(c).alias("byte")))
-    is_set = lambda x: lambda b: F.call_function("shiftright", x["byte"], b).bitwiseAND(F.lit(1)) == 1
-    within = lambda x: F.transform(F.filter(F.sequence(F.lit(0), F.lit(7)), is_set(x)), lambda b: x["at"] * 8 + b)
-    places = F.flatten(F.transform(F.filter(bytes_, lambda x: x["byte"] != 0), within))
-    return F.transform(places, lambda p: F.when(bucket > 0, (bucket - 1) * BITS + p + 1).otherwise(bucket * BITS - p))
+    """The numbers that a bucket's bits stand for."""
+    is_set = lambda b: F.call_function("shiftright", bits, b).bitwiseAND(F.lit(1).cast("long")) == 1
+    return F.transform(F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), is_set), lambda b: bucket * BITS + b)
 
 
 def unpacked(axis: DataFrame, key: str, time: str, unit: int | None = None) -> DataFrame:

@@ -405,3 +405,9 @@ def test_bitmap_axes(spark):
     assert bitaxis.unpacked(empty, "key", "t", 60).count() == 0
     with pytest.raises(ValueError, match="unknown way"):
         bitaxis.merged(axes, "key", "replace")
+
+
+def test_an_axis_of_a_few_times_is_a_few_words(spark):
+    axis = spark.sql("SELECT id % 50 AS key, timestamp_seconds(id * 1000003) AS t FROM range(100)")
+    packed = bitaxis.packed(axis, "key", "t", 60)
+    assert dict(packed.dtypes)["_bits"] == "bigint" and packed.count() <= 100
