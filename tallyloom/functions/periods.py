@@ -14,7 +14,8 @@ from tallyloom.functions.binding import let
 
 #: The period grammar, how many of each slot make one of the slot before, and seconds a slot.
 GRAMMAR = r"^P((\d+Y)?(\d+M)?(\d+W)?(\d+D)?)?(T(\d+H)?(\d+M)?(\d+S)?)?$"
-GROUPS = (2, 3, 4, 5, 7, 8, 9)
+#: The grammar with what its `$` lets follow, a line's end, and the slots of it in one text.
+SLOTS, WHOLE = "$2,$3,$4,$5,$7,$8,$9", GRAMMAR[:-1] + r"(?s:.*)$"
 CARRY = (0, 12, 4, 7, 24, 60, 60)
 SECONDS = (31104000, 2592000, 604800, 86400, 3600, 60, 1)
 #: Months that a step may have, and twelve times the years that an instant may be away from year 0: microseconds hold no more.
@@ -30,8 +31,10 @@ def parse_period(text: Column, carry: bool = False) -> Column:
     """Seven ints; null if the text is no period or has a number beyond them, zeros if it is empty. With carry, full
     slots move up, from the end; null if they no longer fit then."""
     upper = F.upper(text)
-    digits = [F.rtrim(F.regexp_extract(upper, GRAMMAR, g), F.lit("YMWDHS")) for g in GROUPS]
-    found = let(F.array(*[F.when(d == "", F.lit(0)).otherwise(d.try_cast("int")) for d in digits]), lambda p: F.when(~F.exists(p, F.isnull), p))
+    digits = F.split(F.translate(F.regexp_replace(upper, WHOLE, SLOTS), "YMWDHS", ""), ",")  # all slots by one match
+    number = lambda d: F.when(d == "", F.lit(0)).otherwise(d.try_cast("int"))
+    slots = F.when(upper == "", F.array(*[F.lit(0)] * 7)).otherwise(F.transform(digits, number))
+    found = let(slots, lambda p: F.when(~F.exists(p, F.isnull), p))
     if carry:
         wide = lambda p: let(_all_carried(p.cast("array<long>")), lambda q: F.when(F.array_max(q) < 2**31, q.cast("array<int>")))
         found = let(found, lambda p: F.when(p.isNotNull(), wide(p)))

@@ -51,3 +51,12 @@ def test_periods(spark):
     assert values(spark, dates, "string", move("P1M", overflow=False))[0] == "2020-02-29 05:30"
     assert values(spark, dates, "string", move("P1DT6H", sign=-1))[0] == "2020-01-29 23:30"
     assert values(spark, [1911], "int", periods.year_millis) == [-1861920000000]
+
+
+def test_periods_are_read_by_one_match(spark):
+    texts = ["P1Y2M3W4DT5H6M7S", "", "P", "P1D\n", "\nP1D", "pt9h", "P1M\r\n", "PT", "P99999999999D", "P1D2", None, "P3M,4"]
+    found = [r.p for r in spark.createDataFrame([(t,) for t in texts], "t string").select(periods.parse_period(F.col("t")).alias("p")).collect()]
+    zero = [0] * 7
+    day, hour, month = [0, 0, 0, 1, 0, 0, 0], [0, 0, 0, 0, 9, 0, 0], [0, 1, 0, 0, 0, 0, 0]
+    assert found == [[1, 2, 3, 4, 5, 6, 7], zero, zero, day, None, hour, month, zero, None, None, None, None]
+    assert spark.range(1).select(periods.parse_period(F.concat(F.lit("P"), F.col("id"), F.lit("D"))))._jdf.queryExecution().analyzed().toString().count("regexp_extract") == 0
