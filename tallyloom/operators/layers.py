@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.binding import let
+
 #: Fill colours by contour level.
 FILLS = {0: "#DCDCDC", 1: "#6baed6", 2: "#4292c6", 3: "#2171b5"}
 
@@ -79,12 +81,14 @@ def geometry_slice(coordinates: Column, times: Column, low: Column, high: Column
     """Coordinates (JSON text) of a feature in the window: of nested ones, as a line has, those that track_slice keeps;
     others, as a point has, whole. Null where the feature doesn't show, or where the text is no JSON."""
     items = F.try_variant_get(F.try_parse_json(coordinates), "$", "array<variant>")
-    nested = F.schema_of_variant(F.get(items, F.lit(0))).startswith("ARRAY")
-    texts = F.transform(items, lambda x: F.to_json(x))
-    kept = track_slice(times, texts, low, high)
-    whole = F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
-    part = F.concat(F.lit("["), F.array_join(kept, ","), F.lit("]"))
-    return F.when(kept.isNotNull(), F.when(nested, part).otherwise(whole))
+    written = lambda texts: F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
+
+    def cut(read: Column) -> Column:
+        texts = F.transform(read, lambda x: F.to_json(x))
+        nested = F.schema_of_variant(F.get(read, F.lit(0))).startswith("ARRAY")
+        return F.when(nested, let(texts, lambda t: let(track_slice(times, t, low, high), written))).otherwise(written(texts))
+
+    return F.when(overlaps(times, low, high), let(items, cut))
 
 
 def with_last_points(tracks: DataFrame, points: str) -> DataFrame:

@@ -749,7 +749,8 @@ def geometry_slice(spark: SparkSession, sf: str) -> DataFrame:
     point = F.concat(F.lit("["), F.get("points", F.lit(0)).cast("int").cast("string"), F.lit(","), F.size("points").cast("string"), F.lit("]"))
     text_ = F.when(F.col("o_orderkey") % 3 == 0, point).otherwise(F.concat(F.lit("[ "), joined(line), F.lit("]")))
     cut = layers.geometry_slice(text_, F.col("times"), *_window())
-    return order_spans(spark, sf).select("o_orderkey", cut.alias("coordinates")).filter("coordinates is not null")
+    # A filter on the text would be worked out by itself before it.
+    return order_spans(spark, sf).select("o_orderkey", F.explode(F.array_compact(F.array(cut))).alias("coordinates"))
 
 
 @query(TRACKS + "SELECT o_orderkey, ps[-1] AS point, strftime(ts[-1], '%Y-%m-%d') AS at FROM tracks")
