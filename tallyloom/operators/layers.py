@@ -93,9 +93,13 @@ def geometry_slice(coordinates: Column, times: Column, low: Column, high: Column
 
 def with_last_points(tracks: DataFrame, points: str) -> DataFrame:
     """tracks with `last` (false), and for each that has points a row with its last one alone and `last` true."""
-    whole = tracks.withColumn("last", F.lit(False))
-    ends = tracks.filter(F.size(points) > 0).withColumn(points, F.slice(points, -1, 1)).withColumn("last", F.lit(True))
-    return whole.unionByName(ends)
+    row = lambda kept, last: F.struct(kept.alias("points"), F.lit(last).alias("last"))
+    whole = row(F.col(points), False)
+    both = F.when(F.size(points) > 0, F.array(whole, row(F.slice(points, -1, 1), True))).otherwise(F.array(whole))
+    others = F.struct(*[c for c in tracks.columns if c not in (points, "last")])
+    rows = tracks.select(others.alias("others"), F.explode(both).alias("one"))  # tracks are made once for both
+    columns = [F.col("one.points").alias(c) if c == points else F.col(f"others.{c}") for c in tracks.columns if c != "last"]
+    return rows.select(*columns, F.col("one.last").alias("last"))
 
 
 def dyadic_cover(low: Column, high: Column, levels: int) -> Column:

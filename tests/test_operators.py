@@ -411,3 +411,15 @@ def test_an_axis_of_a_few_times_is_a_few_words(spark):
     axis = spark.sql("SELECT id % 50 AS key, timestamp_seconds(id * 1000003) AS t FROM range(100)")
     packed = bitaxis.packed(axis, "key", "t", 60)
     assert dict(packed.dtypes)["_bits"] == "bigint" and packed.count() <= 100
+
+
+def test_geometry_and_last_points_make_their_rows_once(spark):
+    rows = spark.sql("SELECT id, array(id, id + 1) AS points, 7 AS others FROM range(3)").union(spark.sql("SELECT 9L, CAST(array() AS array<bigint>), 8"))
+    got = layers.with_last_points(rows, "points")
+    assert got.columns == ["id", "points", "others", "last"]
+    assert sorted(tuple(map(str, r)) for r in got.collect()) == sorted(
+        [(str(i), str([i, i + 1]), "7", "False") for i in range(3)] + [(str(i), str([i + 1]), "7", "True") for i in range(3)] + [("9", "[]", "8", "False")]
+    )
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Range") == 1
+    late = layers.geometry_slice(F.raise_error(F.lit("read")).cast("string"), F.array(F.lit(5)), F.lit(7), F.lit(9))
+    assert one(spark, late) is None  # a feature that doesn't show isn't parsed
