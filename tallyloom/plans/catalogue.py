@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions import periods, text
+from tallyloom.functions import periods, stamps, text
 from tallyloom.operators import bitaxis, codes, dossier, layers, membership, ranking, timeline
 from tallyloom.plans import analogue
 from tallyloom.sources import folders, schemas, tables
@@ -67,6 +67,12 @@ def instants(array: Column) -> Column:
     return joined(F.transform(array, shown))
 
 
+def with_times(rows: DataFrame, array: Column) -> DataFrame:
+    """(o_orderkey, times) with the instants of long arrays as text; the arrays are a column first, so made once."""
+    made = rows.select("o_orderkey", array.alias("times"))
+    return made.withColumn("times", stamps.joined_instants(F.col("times")))
+
+
 def events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").withColumn("ts", F.date_trunc("SECOND", F.col("ts").cast("timestamp")))
 
@@ -387,7 +393,7 @@ WEEKS = "list_append(CASE WHEN a < b THEN generate_series(a, b - INTERVAL 1 SECO
 @query(SPANS + f"steps AS (SELECT o_orderkey, {WEEKS} AS t FROM spans) SELECT o_orderkey, {LIST.format('t')} AS times FROM steps")
 def explode_range(spark: SparkSession, sf: str) -> DataFrame:
     rows = order_spans(spark, sf)
-    return rows.select("o_orderkey", instants(timeline.explode_range(F.col("o_orderdate"), F.array_max("times"), week())).alias("times"))
+    return with_times(rows, timeline.explode_range(F.col("o_orderdate"), F.array_max("times"), week()))
 
 
 @query(SPANS + """steps AS (SELECT o_orderkey, list_append(CASE WHEN a < b THEN list_filter(generate_series(a, b - INTERVAL 1 SECOND, INTERVAL 31 HOUR),

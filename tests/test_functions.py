@@ -6,7 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
-from tallyloom.functions import periods, text
+from tallyloom.functions import periods, stamps, text
 
 
 def values(spark, rows, kind, expr):
@@ -60,3 +60,17 @@ def test_periods_are_read_by_one_match(spark):
     day, hour, month = [0, 0, 0, 1, 0, 0, 0], [0, 0, 0, 0, 9, 0, 0], [0, 1, 0, 0, 0, 0, 0]
     assert found == [[1, 2, 3, 4, 5, 6, 7], zero, zero, day, None, hour, month, zero, None, None, None, None]
     assert spark.range(1).select(periods.parse_period(F.concat(F.lit("P"), F.col("id"), F.lit("D"))))._jdf.queryExecution().analyzed().toString().count("regexp_extract") == 0
+
+
+def test_instants_by_batches_read_as_one_by_one(spark):
+    rows = spark.sql("""SELECT id, CASE id % 7 WHEN 0 THEN transform(sequence(0, id), i -> timestamp_micros(i * 1234567890123 - 5)) WHEN 1 THEN array() WHEN 2 THEN NULL
+      WHEN 3 THEN array(timestamp'0001-01-01', timestamp'9999-12-31 23:59:59.999999') WHEN 4 THEN array(timestamp'2000-02-29 12:00:00', NULL) WHEN 5 THEN array(timestamp'9999-12-31' + INTERVAL 40 DAYS)
+      ELSE transform(sequence(1, 10001 + id % 2), i -> timestamp_seconds(i)) END AS a FROM range(60)""")
+    plain = F.array_join(F.transform("a", lambda t: F.date_format(t, "yyyy-MM-dd HH:mm:ss")), ",")
+    for zone in ("UTC", "Europe/Berlin"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert rows.select(stamps.joined_instants(F.col("a")).alias("x"), plain.alias("y")).filter("NOT x <=> y").count() == 0
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rows.select(stamps.joined_instants(F.col("a")))._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
