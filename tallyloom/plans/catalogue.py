@@ -410,7 +410,7 @@ def times_expression(spark: SparkSession, sf: str) -> DataFrame:
     a, b = F.col("o_orderdate"), F.array_max("times")
     said = F.concat(day(b), F.lit(",junk,"), day(a), F.lit("/"), day(b), F.lit("/P7D,"), day(F.date_sub(a, 1)))
     rows = order_spans(spark, sf).select("o_orderkey", said.alias("said"))
-    return rows.select("o_orderkey", instants(timeline.parse_times(F.col("said"))).alias("times"))
+    return with_times(rows, timeline.parse_times(F.col("said")))
 
 
 @query("""SELECT o_orderkey, strftime(CASE o_orderkey % 3 WHEN 0 THEN o_orderdate WHEN 1 THEN o_orderdate - INTERVAL 36 HOUR ELSE o_orderdate END, '%Y-%m-%d %H:%M:%S') AS first,
