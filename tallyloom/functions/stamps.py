@@ -1,4 +1,4 @@
-"""Arrays of instants as text, whole batches at a time."""
+"""Arrays of instants, stepped and as text, whole batches at a time."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType, TimestampType
 
 #: Instants of a row that are written by batches, at most, so that a batch of 10,000 rows stays within 2 GB; instants
 #: written at a time; and days from year 1 to 9999, in which a year has four digits.
@@ -58,6 +58,49 @@ def _texts(lists: pa.Array) -> pa.Array:
     return pa.array(found, pa.binary()).cast(pa.string())
 
 
+def _stepped_batch(starts: pa.Array, ends: pa.Array, steps: pa.Array, first: pa.Array, last: pa.Array) -> pa.Array:
+    """Null where one of starts, ends and steps (microseconds) is."""
+    given = np.logical_and.reduce([np.asarray(x.is_valid()) for x in (starts, ends, steps)])
+    start, end = (np.asarray(x.cast(pa.int64()).fill_null(0)) for x in (starts, ends))
+    step = np.asarray(steps.fill_null(1))
+    lows, highs = np.asarray(first.fill_null(0)), np.asarray(last.fill_null(1439))
+    counts = np.where(given, np.maximum(-((start - end) // step), 0), 0)
+    until = np.concatenate([[0], np.cumsum(counts)])
+    parts, sizes = [np.zeros(0, np.int64)], np.zeros(len(given), np.int64)
+    row = 0
+    while row < len(given):
+        to = max(row + 1, int(np.searchsorted(until, until[row] + SLICE, "right")) - 1)
+        some = slice(row, to)
+        # One place more in each row, for end itself.
+        n = counts[some] + given[some]
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        made = np.repeat(start[some], n) + at * np.repeat(step[some], n)
+        closing = at == np.repeat(counts[some], n)
+        minute = made // 60_000_000 % 1440
+        kept = closing | ((minute >= np.repeat(lows[some], n)) & (minute <= np.repeat(highs[some], n)))
+        made[closing] = end[some][given[some]]
+        parts.append(made[kept])
+        sizes[some] = np.bincount(np.repeat(np.arange(to - row), n)[kept], minlength=to - row)
+        row = to
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    values = pa.array(np.concatenate(parts), pa.int64()).cast(starts.type)
+    return pa.ListArray.from_arrays(offsets, values, mask=pa.array(~given))
+
+
+#: Not deterministic to Spark, so that a column of these arrays is made once and not again in every use of it.
+_stepped = F.arrow_udf(_stepped_batch, ArrayType(TimestampType())).asNondeterministic()
+
+
+def stepped(start: Column, end: Column, step: Column, minutes: tuple[int, int] | None = None) -> Column:
+    """Instants from start in steps of so many microseconds, before end, then end itself; null if one of the three is.
+
+    minutes keeps those within these minutes of the day, UTC, both included, but not end. A row may have LONG steps at
+    most, all of a positive length.
+    """
+    first, last = (F.lit(m).cast("long") for m in minutes or (None, None))
+    return _stepped(start, end, step, first, last)
+
+
 def joined_instants(array: Column) -> Column:
     """The instants of an array as `yyyy-MM-dd HH:mm:ss`, joined by commas, in the session's time zone.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions import stamps
 from tallyloom.functions.binding import let
 from tallyloom.functions.periods import MONTHS, add_period, parse_instant, parse_period
 from tallyloom.operators import scan
@@ -41,6 +42,20 @@ def explode_range(start: Column, end: Column, period: Column, valid: tuple[str,
     return let(given, whole)
 
 
+def explode_range_by_batches(start: Column, end: Column, period: Column, valid: tuple[str, str] | None = None, overflow: bool = True, strict: bool = False) -> Column:
+    """explode_range for long ranges: even steps are made and filtered by Arrow batches instead of a lambda.
+
+    It can't stand in a lambda itself. Rows of more than stamps.LONG steps or with months, and all in other time zones
+    than UTC, go by explode_range.
+    """
+    months, fixed = _parts(period)
+    step = F.try_multiply(fixed, F.lit(1000000))
+    apart = F.try_subtract(F.unix_micros(end), F.unix_micros(start))
+    even = (F.current_timezone() == "UTC") & (months == 0) & (step > 0) & apart.isNotNull() & (_steps(start, end, period) <= stamps.LONG)
+    minutes = valid and tuple(int(x[:-3]) * 60 + int(x[-2:]) for x in valid)
+    return F.coalesce(stamps.stepped(start, end, F.when(even, step), minutes), explode_range(start, end, period, valid, overflow, strict))
+
+
 def range_problem(start: Column, end: Column, period: Column) -> Column:
     """Why a range has no instants, as text; null if it has, or if a part of it is null."""
     return let(F.struct(start.alias("start"), end.alias("end"), period.alias("period")), _problem)

@@ -400,8 +400,8 @@ def explode_range(spark: SparkSession, sf: str) -> DataFrame:
   lambda x: hour(x) BETWEEN 6 AND 17 AND (hour(x) <> 17 OR minute(x) <= 30)) ELSE [] END, b) AS t FROM spans) SELECT o_orderkey, """ + LIST.format("t") + " AS times FROM steps")
 def time_of_day_filter(spark: SparkSession, sf: str) -> DataFrame:
     period = periods.parse_period(F.lit("PT31H"))
-    steps = timeline.explode_range(F.col("o_orderdate"), F.array_max("times"), period, ("06:00", "17:30"))
-    return order_spans(spark, sf).select("o_orderkey", instants(steps).alias("times"))
+    steps = timeline.explode_range_by_batches(F.col("o_orderdate"), F.array_max("times"), period, ("06:00", "17:30"))
+    return with_times(order_spans(spark, sf), steps)
 
 
 @query(SPANS + f"""steps AS (SELECT o_orderkey, list_sort(list_concat([a - INTERVAL 1 DAY, b], {WEEKS})) AS t FROM spans) SELECT o_orderkey, {LIST.format('t')} AS times FROM steps""")

@@ -9,7 +9,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.functions import periods
+from tallyloom.functions import periods, stamps
 from tallyloom.operators import bitaxis, codes, dossier, layers, membership, ranking, scan, timeline
 from tallyloom.sources import schemas, tables
 
@@ -51,6 +51,22 @@ def test_ranges_and_expressions(spark):
         interval("2020-01-05")
 
 
+def test_ranges_by_batches_equal_those_by_lambdas(spark):
+    cases = [
+        ("2020-01-01", "2020-03-01", "PT31H"), ("2020-01-01 17:30:59", "2020-01-09", "PT7H30M"), ("1899-12-30", "1900-01-03", "PT1H"),
+        ("2020-01-01", "2020-01-01", "P1D"), ("2020-01-02", "2020-01-01", "P1D"), ("2020-01-31", "2020-06-30", "P1M"), ("2020-01-01", "2020-02-01", "PT0S"),
+        ("2020-01-01", "2020-02-01", None), (None, "2020-01-03", "P1D"), ("2020-01-01", "2020-03-01", "PT5M"), ("1000-01-01", "2020-12-31", "P30DT1S"),
+    ]
+    rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, a string, b string, p string").repartition(2, "i")
+    given = [F.col("a").cast("timestamp"), F.col("b").cast("timestamp"), periods.parse_period(F.col("p"))]
+    for valid in (("06:00", "17:30"), ("08:15", "08:45")):
+        found = rows.withColumn("x", timeline.explode_range_by_batches(*given, valid)).withColumn("y", timeline.explode_range(*given, valid)).collect()
+        assert len(found) == len(cases) and all(r.x == r.y for r in found)
+    step = F.when(F.col("i") < 6, 3_600_000_000).cast("long")
+    made = {r.i: r.x for r in rows.select("i", stamps.stepped(given[0], given[1], step, (360, 1050)).alias("x")).collect()}
+    assert len(made[3]) == 1 and len(made[2]) == 4 * 12 + 1 and made[6] is made[8] is None
+
+
 def test_axis_algebra_is_bag_or_set(spark):
     frame = lambda xs: spark.createDataFrame([(x,) for x in xs], "t int")
     a, b = [1, 1, 2, 5], [1, 1, 1, 2, 2, 3]
