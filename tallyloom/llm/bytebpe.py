@@ -31,8 +31,9 @@ from tallyloom.llm.common import cut, let
 FREQUENT, WIDEST = 1_000_000, 64
 #: Small maps of the literal, and parts of a word above which a step merges all pairs of the least rank.
 BUCKETS, LONG = 32_768, 64
-#: Distinct words whose counts a task holds before it passes them on.
-HELD = 262_144
+#: Distinct words whose counts a task holds before it passes them on, and texts of a batch that are cut at a time: their
+#: pieces stand in memory several times.
+HELD, PART = 262_144, 2048
 #: The rank of what can't be merged, and of a pair that overlaps one that is merged.
 NONE, OVERLAPS = "\U0010ffff", "\U0010fffe"
 #: Letters and digits of the regex library that are younger than Unicode 16, which the ranks' library knows.
@@ -286,6 +287,14 @@ def _spread(codes, sizes, flat):
     return flat[np.arange(int(n.sum())) + np.repeat(starts[codes] - (ends - n), n)]
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of PART texts; what Arrow keeps of the last part goes back to the system first."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART):
+            pa.default_memory_pool().release_unused()
+            yield batch.slice(at, PART)
+
+
 def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
     """(word, n): how often each word occurs in all texts. A task adds up its own first."""
 
@@ -294,7 +303,7 @@ def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
 
         held: dict[str, int] = {}
         out = lambda: pa.RecordBatch.from_pydict({"word": pa.array(held, pa.string()), "n": pa.array(held.values(), pa.int64())})
-        for batch in batches:
+        for batch in _parts(batches):
             codes, _, sizes, flat, words = numbered(batch.column("text"), pattern)
             times = np.repeat(np.bincount(codes, minlength=len(sizes)), sizes)
             for w, n in zip(words, np.bincount(flat, times, len(words)).astype(np.int64).tolist(), strict=True):
@@ -333,42 +342,51 @@ def _located(docs: DataFrame, pattern: str, known: pa.Table) -> DataFrame:
         writer.write_table(known.combine_chunks())
     shared = docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def located(part, codes, counts, sizes, flat, own, place, lengths, values) -> Iterator[pa.RecordBatch]:
         import numpy as np
+
+        # A word that isn't known has one item, made of its number.
+        items = np.where(place < 0, 1, lengths[place]) if len(lengths) else np.ones(len(own), np.int32)
+        ids = np.empty(int(items.sum()), np.int32)
+        new = np.zeros(len(ids), bool)
+        new[(np.cumsum(items) - items)[place < 0]] = True
+        ids[new] = -1 - np.flatnonzero(place < 0)
+        ids[~new] = _spread(place[place >= 0], lengths, values)
+        # Of each piece its ids.
+        piece_ids, piece_ends = _spread(flat, items, ids), np.concatenate([[0], np.cumsum(items[flat])])
+        ends = piece_ends[np.concatenate([[0], np.cumsum(sizes)])]
+        piece_sizes = np.diff(ends)
+        at = 0
+        for a, b in _runs(counts):
+            some = codes[at : at + int(counts[a:b].sum())]
+            at += len(some)
+            row_ids = _spread(some, piece_sizes, piece_ids)
+            offsets = np.concatenate([[0], np.cumsum(piece_sizes[some])])[np.concatenate([[0], np.cumsum(counts[a:b])])]
+            missed = []
+            for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                row = row_ids[x:y]
+                other, number = np.unique(row[row < 0], return_inverse=True)
+                if len(other):
+                    row[row < 0] = -1 - number
+                missed.append([own[-1 - k] for k in other.tolist()])
+            lists_ = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(row_ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").slice(a, b - a), lists_, pa.array(missed, pa.list_(pa.string()))], names=["doc_id", "ids", "missed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
 
         table = pa.ipc.open_stream(shared.value).read_all()
         words, lists = table["word"].combine_chunks(), table["ids"].combine_chunks()
         lengths, values = lists.value_lengths().to_numpy(zero_copy_only=False), lists.flatten().to_numpy()
         for batch in batches:
-            codes, counts, sizes, flat, own = numbered(batch.column("text"), pattern)
-            place = pc.fill_null(pc.index_in(pa.array(own, words.type), value_set=words), -1).to_numpy(zero_copy_only=False)
-            # A word that isn't known has one item, made of its number.
-            items = np.where(place < 0, 1, lengths[place]) if len(lengths) else np.ones(len(own), np.int32)
-            ids = np.empty(int(items.sum()), np.int32)
-            new = np.zeros(len(ids), bool)
-            new[(np.cumsum(items) - items)[place < 0]] = True
-            ids[new] = -1 - np.flatnonzero(place < 0)
-            ids[~new] = _spread(place[place >= 0], lengths, values)
-            # Of each piece its ids.
-            piece_ids, piece_ends = _spread(flat, items, ids), np.concatenate([[0], np.cumsum(items[flat])])
-            ends = piece_ends[np.concatenate([[0], np.cumsum(sizes)])]
-            piece_sizes = np.diff(ends)
-            at = 0
-            for a, b in _runs(counts):
-                some = codes[at : at + int(counts[a:b].sum())]
-                at += len(some)
-                row_ids = _spread(some, piece_sizes, piece_ids)
-                offsets = np.concatenate([[0], np.cumsum(piece_sizes[some])])[np.concatenate([[0], np.cumsum(counts[a:b])])]
-                missed = []
-                for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                    row = row_ids[x:y]
-                    other, number = np.unique(row[row < 0], return_inverse=True)
-                    if len(other):
-                        row[row < 0] = -1 - number
-                    missed.append([own[-1 - k] for k in other.tolist()])
-                lists_ = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(row_ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), lists_, pa.array(missed, pa.list_(pa.string()))], names=["doc_id", "ids", "missed"])
+            parts = [(part, *numbered(part.column("text"), pattern)) for part in _parts([batch])]
+            # All parts' words are looked up at once, as Arrow hashes the known ones anew each time.
+            found = pc.index_in(pa.array([w for *_, own in parts for w in own], words.type), value_set=words)
+            places = pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
+            while parts:
+                part, codes, counts, sizes, flat, own = parts.pop(0)
+                place, places = places[: len(own)], places[len(own) :]
+                yield from located(part, codes, counts, sizes, flat, own, place, lengths, values)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, missed array<string>")

@@ -108,3 +108,9 @@ def test_whole_table_equals_the_library(spark):
     for r in docs.select("doc_id", "text").collect():
         ids = LIBRARY.encode_ordinary(r.text or "")
         assert got[r.doc_id] == (len(ids), sha(b"".join(x.to_bytes(4, "little") for x in ids)))
+
+
+def test_batches_are_cut_in_parts_of_a_bounded_size():
+    batch = pa.RecordBatch.from_pydict({"text": [str(i) for i in range(2 * bytebpe.PART + 5)]})
+    parts = list(bytebpe._parts(iter([batch])))
+    assert [p.num_rows for p in parts] == [bytebpe.PART, bytebpe.PART, 5] and pa.Table.from_batches(parts).to_batches()[2]["text"][4].as_py() == str(2 * bytebpe.PART + 4)
