@@ -46,14 +46,28 @@ def digest(tokens: np.ndarray, seed: int = 0) -> tuple[int, int]:
     return int.from_bytes(both[:8], "little", signed=True), int.from_bytes(both[8:], "little", signed=True)
 
 
+def signature_bits(n: int) -> int:
+    return 1 << min(16, max(6, n.bit_length() + 3))
+
+
 def signature(tokens: np.ndarray) -> bytes:
     """Bitmap with eight to sixteen bits an element, a power of two from 64 to 65536: few elements share a bit."""
-    bits = 1 << min(16, max(6, int(len(tokens)).bit_length() + 3))
+    bits = signature_bits(len(tokens))
     flags = np.zeros(bits, bool)
     flags[(mix(tokens) & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes()
 
 
+def packed(sig: bytes) -> bytes:
+    """A signature as it is shuffled and written. At most an eighth of its bits are set, so that entropy coding, which
+    Spark's own compression of shuffles lacks, leaves about half."""
+    return pa.Codec("zstd").compress(sig, asbytes=True)
+
+
+def unpacked(n: int, sig: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(sig, signature_bits(n) // 8, asbytes=True)
+
+
 def overlap_bound(n_a: int, sig_a: bytes, n_b: int, sig_b: bytes) -> int:
     """An overlap that two sets can't exceed: each bit that only one has stands for an element the other lacks."""
     a, b = (np.frombuffer(s, np.uint64) for s in (sig_a, sig_b))
@@ -91,7 +105,7 @@ def _sets(seed: int):
                         pa.array([len(s) for s in found], pa.int64()),
                         pa.array([k for k, _ in keys], pa.int64()),
                         pa.array([c for _, c in keys], pa.int64()),
-                        pa.array([signature(s) if len(s) else None for s in found], pa.binary()),
+                        pa.array([packed(signature(s)) if len(s) else None for s in found], pa.binary()),
                     ],
                     names=["doc_id", "text_hash", "n", "k", "check", "sig"],
                 )
@@ -255,7 +269,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def made(table: pa.Table) -> pa.RecordBatch:
         t = {c: table.column(c).to_numpy() for c in (*keys, "block", "k", "n", "near", "band", "label")}
-        sigs = [np.frombuffer(x, np.uint64) for x in table.column("sig").to_pylist()]
+        sigs = [np.frombuffer(unpacked(n, x), np.uint64) for n, x in zip(t["n"].tolist(), table.column("sig").to_pylist(), strict=True)]
         change = np.logical_or.reduce([t[c][1:] != t[c][:-1] for c in keys])
         edges = [0, *(np.flatnonzero(change) + 1).tolist(), table.num_rows]
         a_out, b_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -283,7 +297,7 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose bound allows the similarity."""
     for batch in batches:
         n_a, n_b, s_a, s_b = (batch.column(c).to_pylist() for c in ("n_a", "n_b", "sig_a", "sig_b"))
-        good = [similar(overlap_bound(*x), x[0], x[2]) for x in zip(n_a, s_a, n_b, s_b, strict=True)]
+        good = [similar(overlap_bound(a, unpacked(a, x), b, unpacked(b, y)), a, b) for a, x, b, y in zip(n_a, s_a, n_b, s_b, strict=True)]
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 

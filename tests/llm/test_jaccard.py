@@ -177,3 +177,13 @@ def test_one_row_stays_of_a_component_whose_first_id_has_two_texts(spark):
     for _ in range(2):
         kept = jaccard.one_of_each(docs).collect()
         assert sorted(r.doc_id for r in kept) == [1, 1, 3] and sum("w5 " in r.text for r in kept) == 1
+
+
+def test_signatures_are_shuffled_packed():
+    for n in (1, 40, 700, 3000):
+        tokens = np.unique(np.random.default_rng(n).integers(0, 2**64, n, dtype=np.uint64))
+        sig = jaccard.signature(tokens)
+        assert jaccard.unpacked(len(tokens), jaccard.packed(sig)) == sig and (n < 700 or len(jaccard.packed(sig)) < 0.7 * len(sig))
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text_hash": [1, 2], "text": [" ".join(map(str, range(900))), None]})
+    (out,) = jaccard._sets(0)(iter([rows]))
+    assert len(out["sig"][0].as_py()) < 0.7 * jaccard.signature_bits(896) / 8 and out["sig"][1].as_py() is None
