@@ -418,8 +418,10 @@ def _still_apart(tiled: DataFrame, labels: DataFrame, classes: DataFrame) -> Dat
     banded = mixed.withColumn("band", band).withColumn("tile_band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     banded = cut(banded)
     own = ["tile", "part", "tile_band"]
-    counts = banded.groupBy(*own).agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
-    counts = counts.filter("low < high").select(*own, F.ceil(F.col("rows") / BLOCK).alias("blocks"))
+    ends = [F.min("label").alias("low"), F.max("label").alias("high"), F.min("band").alias("least"), F.max("near").alias("any")]
+    counts = banded.groupBy(*own).agg(F.count("*").alias("rows"), *ends)
+    # A tile of a band has pairs only if a class of that very band is in it, and one that the smaller of a pair would find.
+    counts = counts.filter("low < high and least = tile_band and any = 1").select(*own, F.ceil(F.col("rows") / BLOCK).alias("blocks"))
     placed = banded.join(_small(cut(counts)), own).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = met.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
