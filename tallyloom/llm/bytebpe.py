@@ -335,8 +335,11 @@ def frequent_words(counts: DataFrame, most: int = FREQUENT) -> DataFrame:
 # --- texts -------------------------------------------------------------------------------------------------------
 
 
-def _located(docs: DataFrame, pattern: str, known: pa.Table) -> DataFrame:
-    """doc_id, ids of known words (-1 - k stands for the row's k-th other word) and those other words."""
+def _located(docs: DataFrame, pattern: str, known: pa.Table, pieces: list[bytes] | None = None) -> DataFrame:
+    """doc_id, ids of known words (-1 - k stands for the row's k-th other word) and those other words.
+
+    With the tokens' bytes by id, what _parted makes of ids stands in their place.
+    """
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, known.schema) as writer:
         writer.write_table(known.combine_chunks())
@@ -362,21 +365,22 @@ def _located(docs: DataFrame, pattern: str, known: pa.Table) -> DataFrame:
             at += len(some)
             row_ids = _spread(some, piece_sizes, piece_ids)
             offsets = np.concatenate([[0], np.cumsum(piece_sizes[some])])[np.concatenate([[0], np.cumsum(counts[a:b])])]
-            missed = []
-            for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                row = row_ids[x:y]
-                other, number = np.unique(row[row < 0], return_inverse=True)
-                if len(other):
-                    row[row < 0] = -1 - number
-                missed.append([own[-1 - k] for k in other.tolist()])
+            # Of each row its other words, each once, in order of their numbers.
+            at_other = np.flatnonzero(row_ids < 0)
+            rows_of = np.searchsorted(offsets, at_other, "right") - 1
+            pairs, place_of = np.unique(rows_of * len(own) - 1 - row_ids[at_other], return_inverse=True)
+            firsts = np.searchsorted(pairs, np.arange(b - a + 1) * len(own))
+            row_ids[at_other] = firsts[rows_of] - 1 - place_of
+            missed = pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array([own[k] for k in (pairs % max(1, len(own))).tolist()], pa.string()))
             lists_ = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(row_ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").slice(a, b - a), lists_, pa.array(missed, pa.list_(pa.string()))], names=["doc_id", "ids", "missed"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").slice(a, b - a), lists_, missed], names=["doc_id", "ids", "missed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
 
         table = pa.ipc.open_stream(shared.value).read_all()
         words, lists = table["word"].combine_chunks(), table["ids"].combine_chunks()
+        shown = None if pieces is None else pa.array(pieces, pa.binary())
         lengths, values = lists.value_lengths().to_numpy(zero_copy_only=False), lists.flatten().to_numpy()
         for batch in batches:
             parts = [(part, *numbered(part.column("text"), pattern)) for part in _parts([batch])]
@@ -386,17 +390,48 @@ def _located(docs: DataFrame, pattern: str, known: pa.Table) -> DataFrame:
             while parts:
                 part, codes, counts, sizes, flat, own = parts.pop(0)
                 place, places = places[: len(own)], places[len(own) :]
-                yield from located(part, codes, counts, sizes, flat, own, place, lengths, values)
+                for rows in located(part, codes, counts, sizes, flat, own, place, lengths, values):
+                    yield rows if shown is None else _parted(rows, shown)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, missed array<string>")
+    ids = "ids array<int>" if pieces is None else "numbers array<binary>, pieces array<binary>, others array<int>"
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {ids}, missed array<string>")
+
 
+def _parted(rows: pa.RecordBatch, pieces: pa.Array) -> pa.RecordBatch:
+    """_located's rows with three columns for ids: the ids before, between and after a row's other words, as little-endian
+    32-bit integers; the bytes that these decode to; and which other word stands at each cut. A row with k cuts has k + 1
+    of the first two."""
+    import numpy as np
+    import pyarrow.compute as pc
 
-def _folded_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int) -> DataFrame:
-    """doc_id, ids as _located has them, and the ids of each of the row's other words."""
+    lists = rows.column("ids")
+    offsets, ids = lists.offsets.to_numpy(), lists.values.to_numpy()
+    cuts = np.flatnonzero(ids < 0)
+    known = ids[ids >= 0].astype("<i4")
+    shown = pieces.take(pa.array(known))  # the bytes of all tokens stand in it without a gap
+    # A part begins with a row and after each cut; the parts follow one another in what is known.
+    begins = np.concatenate([offsets[:-1], cuts])
+    begins = (begins - np.searchsorted(cuts, begins))[np.argsort(begins, kind="stable")]
+    ends = np.append(begins, len(known)).astype(np.int64)
+    at_bytes = np.append(0, np.cumsum(pc.binary_length(shown).to_numpy(), dtype=np.int64))[ends]
+    before = np.searchsorted(cuts, offsets)
+    firsts = pa.array(before + np.arange(len(before)), pa.int32())
+
+    def listed(at, data: pa.Buffer) -> pa.ListArray:
+        return pa.ListArray.from_arrays(firsts, pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), data]))
+
+    others = pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(-1 - ids[cuts], pa.int32()))
+    columns = [rows.column("doc_id"), listed(ends * 4, pa.py_buffer(known)), listed(at_bytes, shown.buffers()[2] or pa.py_buffer(b"")), others, rows.column("missed")]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "numbers", "pieces", "others", "missed"])
+
+
+def _folded_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int, pieces: list[bytes] | None = None) -> DataFrame:
+    """What _located has, with the ids of each of the row's other words for the word."""
     merges, counts = Merges(docs.sparkSession, ranks), cut(word_counts(docs, pattern))
     table = merges.given(frequent_words(counts, most)).select("word", F.get(merges.ids(F.array("word"), F.col("pairs")), 0).alias("ids")).toArrow()
-    return merges.given(_located(docs, pattern, table)).select("doc_id", "ids", merges.ids(F.col("missed"), F.col("pairs")).alias("missed"))
+    texts = _located(docs, pattern, table, pieces)
+    return merges.given(texts).select(*texts.columns[:-1], merges.ids(F.col("missed"), F.col("pairs")).alias("missed"))
 
 
 def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = FREQUENT) -> DataFrame:
@@ -414,34 +449,43 @@ def _listed(names: list[str]) -> Column:
     return F.split(F.lit(",".join(names)), ",")
 
 
-def _shown(ids: Column, listed: Column, other: Column | None = None) -> Column:
-    """The names of ids one after another; of -1 - k the k-th of other."""
-    name = lambda i: F.get(listed, i) if other is None else F.coalesce(F.get(listed, i), F.get(other, -1 - i))
-    return F.array_join(F.transform(ids, name), "")
+def _shown(ids: Column, listed: Column) -> Column:
+    """The names of ids one after another."""
+    return F.array_join(F.transform(ids, lambda i: F.get(listed, i)), "")
 
 
-def _pieces(ranks: dict[bytes, int]) -> list[str]:
-    """The tokens' bytes by id, as hexadecimal digits."""
-    pieces = [""] * (max(ranks.values(), default=-1) + 1)
+def _pieces(ranks: dict[bytes, int]) -> list[bytes]:
+    """The tokens' bytes by id."""
+    pieces = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, id in ranks.items():
-        pieces[id] = token.hex()
+        pieces[id] = token
     return pieces
 
 
 def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
     """The tokens' bytes one after another, as binary."""
-    return F.unhex(_shown(ids, _listed(_pieces(ranks))))
+    return F.unhex(_shown(ids, _listed([p.hex() for p in _pieces(ranks)])))
 
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = FREQUENT) -> DataFrame:
     """doc_id, the number of ids, and digests of ids (as little-endian unsigned 32-bit integers) and of the bytes that
-    they decode to. Rows as in encoded."""
+    they decode to. Rows as in encoded.
+
+    Known words' ids and bytes come from the Arrow batches as they are; only other words' are put together here.
+    """
     pieces = _pieces(ranks)
-    numbers = [id.to_bytes(4, "little").hex() for id in range(len(pieces))]
-    both = lambda listed: let(F.transform("missed", lambda m: _shown(m, listed)), lambda other: _shown(F.col("ids"), listed, other))
-    named = lambda names: _constant(docs.sparkSession, json.dumps(names), "array<string>")
-    rows = _folded_texts(docs, ranks, pattern, most).withColumns({"by_number": named(numbers), "by_piece": named(pieces)})
-    shown = rows.select("doc_id", let(F.col("by_number"), both).alias("numbers"), let(F.col("by_piece"), both).alias("pieces"))
-    sha = lambda c: F.sha2(F.unhex(c), 256)
-    n = F.expr("octet_length(numbers) div 8").cast("long")
-    return shown.select("doc_id", n.alias("n_tokens"), sha("numbers").alias("ids_sha256"), sha("pieces").alias("decoded_sha256"))
+    names = {"numbers": [id.to_bytes(4, "little").hex() for id in range(len(pieces))], "pieces": [p.hex() for p in pieces]}
+    rows = _folded_texts(docs, ranks, pattern, most, pieces)
+    rows = rows.withColumns({f"names_of_{k}": _constant(docs.sparkSession, json.dumps(v), "array<string>") for k, v in names.items()})
+
+    def whole(k: str) -> Column:
+        def put(other: Column) -> Column:
+            part = lambda p, i: F.concat(F.hex(p), F.coalesce(F.get(other, F.get("others", i)), F.lit("")))
+            return F.unhex(F.array_join(F.transform(k, part), ""))
+
+        others = let(F.col(f"names_of_{k}"), lambda listed: F.transform("missed", lambda m: _shown(m, listed)))
+        return F.when(F.size("missed") == 0, F.get(k, 0)).otherwise(let(others, put))
+
+    texts = rows.select("doc_id", *(whole(k).alias(k) for k in names))
+    n = F.expr("octet_length(numbers) div 4").cast("long")
+    return texts.select("doc_id", n.alias("n_tokens"), F.sha2("numbers", 256).alias("ids_sha256"), F.sha2("pieces", 256).alias("decoded_sha256"))

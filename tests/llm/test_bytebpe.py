@@ -114,3 +114,19 @@ def test_batches_are_cut_in_parts_of_a_bounded_size():
     batch = pa.RecordBatch.from_pydict({"text": [str(i) for i in range(2 * bytebpe.PART + 5)]})
     parts = list(bytebpe._parts(iter([batch])))
     assert [p.num_rows for p in parts] == [bytebpe.PART, bytebpe.PART, 5] and pa.Table.from_batches(parts).to_batches()[2]["text"][4].as_py() == str(2 * bytebpe.PART + 4)
+
+
+def test_ids_and_bytes_between_other_words_are_made_in_the_batch():
+    """So that Spark needn't name every token of a text, only those of words that weren't encoded beforehand."""
+    pieces = [b"", b"a", "\u00e9".encode(), b"\xff", b"the"]
+    ids = [[], [4], [-1], [-1, 1], [1, -2, 3, 2, -1, -2], [], [2, 4, 0], [-1, -1]]
+    for some in (ids, ids[:1], [[-1]], [[], []], []):
+        rows = {"doc_id": pa.array(range(len(some)), pa.int64()), "ids": pa.array(some, pa.list_(pa.int32())), "missed": pa.array([["x", "y"]] * len(some), pa.list_(pa.string()))}
+        got = bytebpe._parted(pa.RecordBatch.from_pydict(rows), pa.array(pieces, pa.binary()))
+        assert [r["others"] for r in got.to_pylist()] == [[-1 - i for i in row if i < 0] for row in some]
+        for r, row in zip(got.to_pylist(), some, strict=True):
+            runs = [[]]
+            for i in row:
+                runs = [*runs[:-1], [*runs[-1], i]] if i >= 0 else [*runs, []]
+            assert r["numbers"] == [b"".join(i.to_bytes(4, "little") for i in run) for run in runs]
+            assert r["pieces"] == [b"".join(pieces[i] for i in run) for run in runs] and r["missed"] == ["x", "y"]
