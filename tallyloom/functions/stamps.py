@@ -44,18 +44,24 @@ def _texts(lists: pa.Array) -> pa.Array:
     sizes = np.asarray(lists.value_lengths().fill_null(0))
     ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     bad = empty | (values < FIRST * 86_400_000_000) | (values >= (LAST + 1) * 86_400_000_000)
-    odd = np.concatenate([[0], np.cumsum(bad, dtype=np.int64)])
-    fit = np.asarray(lists.is_valid()) & (sizes <= LONG) & (odd[ends[1:]] == odd[ends[:-1]])
-    found: list[bytes | None] = []
+    fit = np.asarray(lists.is_valid()) & (sizes <= LONG)
+    if bad.any():
+        odd = np.concatenate([[0], np.cumsum(bad, dtype=np.int64)])
+        fit &= odd[ends[1:]] == odd[ends[:-1]]
+    # Of a row's text all but the last comma, straight to its place: texts are the largest thing here and held once.
+    places = np.concatenate([[0], np.cumsum(np.where(fit, np.maximum(sizes * 20 - 1, 0), 0), dtype=np.int64)])
+    text = bytearray(int(places[-1]))
     row = 0
     while row < len(sizes):
         end = max(row + 1, int(np.searchsorted(ends, ends[row] + SLICE, "right")) - 1)
         part = values[ends[row] : ends[end]]
-        raw = _written(np.where(bad[ends[row] : ends[end]], 0, part)) if len(part) else b""
-        at = ((ends[row : end + 1] - ends[row]) * 20).tolist()
-        found += [raw[a : max(a, b - 1)] if ok else None for a, b, ok in zip(at, at[1:], fit[row:end].tolist(), strict=False)]
+        raw = memoryview(_written(np.where(bad[ends[row] : ends[end]], 0, part)) if len(part) else b"")
+        at, to = ((ends[row:end] - ends[row]) * 20).tolist(), places[row : end + 1].tolist()
+        for a, b, c in zip(at, to, to[1:], strict=False):
+            text[b:c] = raw[a : a + c - b]
         row = end
-    return pa.array(found, pa.binary()).cast(pa.string())
+    parts = [pa.array(fit).buffers()[1], pa.array(places, pa.int32()).buffers()[1], pa.py_buffer(text)]
+    return pa.Array.from_buffers(pa.string(), len(sizes), parts)
 
 
 def _stepped_batch(starts: pa.Array, ends: pa.Array, steps: pa.Array, first: pa.Array, last: pa.Array) -> pa.Array:

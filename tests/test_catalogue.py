@@ -46,3 +46,11 @@ def test_entry_points(spark):
 def test_period_text_says_whether_it_is_a_period(spark, duck):
     got = catalogue.QUERIES["period_text"](spark, SF)
     assert "valid" in got.columns and got.filter("valid").count() == duck.sql("select count(*) from lineitem").fetchall()[0][0]
+
+
+def test_time_of_day_filter_takes_little_disk(spark, tmp_path):
+    got = catalogue.QUERIES["time_of_day_filter"](spark, "/root/testdata/sf0.01")
+    assert "collect_list" not in got._jdf.queryExecution().executedPlan().toString()
+    got.write.parquet(f"{tmp_path}/out")
+    said = spark.read.parquet(f"{tmp_path}/out").selectExpr("sum(length(times)) AS n").first().n
+    assert said > 6 * sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet"))

@@ -67,6 +67,18 @@ def test_ranges_by_batches_equal_those_by_lambdas(spark):
     assert len(made[3]) == 1 and len(made[2]) == 4 * 12 + 1 and made[6] is made[8] is None
 
 
+def test_ranges_in_phase_stand_together(spark):
+    starts = [(i, f"2020-01-{1 + i * 7 % 30:02}", "PT48H") for i in range(30)] + [(30, None, "PT48H"), (31, "2020-01-01", "P1M"), (32, "2020-01-01", "PT0S"), (33, "2020-01-01", None)]
+    rows = spark.createDataFrame(starts, "i int, a string, p string").repartition(1)
+    given = F.col("a").cast("timestamp"), periods.parse_period(F.col("p"))
+    found = timeline.in_phase(rows, *given)
+    assert found.columns == rows.columns and "Exchange range" not in found._jdf.queryExecution().toString()
+    got = found.collect()
+    assert sorted(r.i for r in got) == list(range(34)) and {r.i for r in got[:4]} == {30, 31, 32, 33}
+    odd = [(datetime.fromisoformat(r.a) - datetime(1970, 1, 1)).days % 2 for r in got[4:]]
+    assert odd == sorted(odd) and [r.a for r in got[4:19]] == sorted(r.a for r in got[4:19]) and [r.a for r in got[19:]] == sorted(r.a for r in got[19:])
+
+
 def test_axis_algebra_is_bag_or_set(spark):
     frame = lambda xs: spark.createDataFrame([(x,) for x in xs], "t int")
     a, b = [1, 1, 2, 5], [1, 1, 1, 2, 2, 3]
